@@ -31,7 +31,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     files that outlive any executor, and nothing above is computed twice."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._tabulark_path = path
     return out
@@ -59,3 +59,38 @@ def per_batch(fn: Callable[[pa.RecordBatch], pa.RecordBatch]) -> Callable[[Itera
                 yield fn(batch)
 
     return run
+
+
+_shipped: dict[str, bool] = {}
+
+
+def ship(spark: SparkSession) -> None:
+    """Give executors this package: its sources, zipped, by Spark's own file server. Once a context."""
+    import os
+    import zipfile
+
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    _shipped[context.applicationId] = True
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    target = os.path.join(tempfile.mkdtemp(prefix="tabulark-"), "tabulark_sources.zip")
+    with zipfile.ZipFile(target, "w") as out:
+        for folder, _, names in os.walk(root):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    out.write(os.path.join(folder, name), os.path.relpath(os.path.join(folder, name), os.path.dirname(root)))
+    context.addPyFile(target)
+
+
+def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    ship(df.sparkSession)
+    return df.mapInArrow(fn, schema)
+
+
+def collect_garbage(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of jobs that are over and that nothing refers to."""
+    import gc
+
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import per_batch
+from ._shared import map_arrow, per_batch
 
 #: Classes of code points.
 LETTER, NUMBER, OTHER, SPACE, WHITE, END = range(6)
@@ -407,4 +407,4 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
         return pa.RecordBatch.from_arrays([batch.column(0), *columns], ["id", "n_tokens", "ids_sha256", "decoded_sha256", "n_slices", "ids", "offsets"][: 1 + len(columns)])
 
     out = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return out.mapInArrow(per_batch(run), f"id long, n_tokens long, ids_sha256 string, decoded_sha256 string, n_slices long{extra}").withColumnRenamed("id", id_col)
+    return map_arrow(out, per_batch(run), f"id long, n_tokens long, ids_sha256 string, decoded_sha256 string, n_slices long{extra}").withColumnRenamed("id", id_col)

@@ -1,15 +1,56 @@
-"""Queries over the driver's tables, one for each operator of this subpackage."""
+"""Queries over the driver's tables, one for each operator of this subpackage, and the pipeline."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, simhash
+from . import bpe, chat, fingerprints, lm, mixing, quality, secrets, sharding, simhash, toxicity
 from ._shared import documents
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_documents(documents(spark, sf_dir))
+
+
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
+    return quality.measure(docs, quality.vocabulary_path()).drop("text", "lang")
+
+
+def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    probe = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text"))
+    return chat.digest(chat.format_chat(turns.unionByName(probe)))
+
+
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(documents(spark, sf_dir))
+
+
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compare_neighbours(documents(spark, sf_dir))
+
+
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(documents(spark, sf_dir), 8)
+
+
+def op8_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find(documents(spark, sf_dir))
+    joined = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+    count = lambda kind: F.size(F.filter("base_spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select("doc_id", *map(count, secrets.KINDS), F.sha2(joined("base_spans"), 256).alias("base_sha256"), joined("spans").alias("spans"), "n_oversized")
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir))
 
@@ -19,8 +60,10 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op9_simhash, op10_byte_bpe)}
+    single = (op1_toxicity, op2_lm_scoring, op3_quality_rules, op4_chat_formatting, op5_mixing, op6_fingerprints, op7_sharding, op8_secret_scans, op9_simhash, op10_byte_bpe)
+    return {f.__name__: f for f in single} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    found = {"op4_chat_formatting": chat.oracle(), "op5_mixing": mixing.oracle()}
+    return found | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})

@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import discard, materialize, per_batch, raw_texts
+from ._shared import discard, map_arrow, materialize, per_batch, raw_texts
 
 SEED = 42
 #: Bits of the five pivot groups.
@@ -71,7 +71,7 @@ def with_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         fps = np.array([fingerprint(b, width) for b in raw_texts(batch.column(1))], np.uint64).view(np.int64)
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps)], ["id", "fp"])
 
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(per_batch(run), "id long, fp long")
+    return map_arrow(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")), per_batch(run), "id long, fp long")
 
 
 def pivots(spread: int) -> tuple[np.ndarray, np.ndarray]:
@@ -192,9 +192,9 @@ def links(nodes: DataFrame, radius: int = 3, spread: int = 32) -> DataFrame:
         if held_k:
             yield emit(*_links_in(np.concatenate(held_k), np.concatenate(held_f), radius, spread))
 
-    keyed = nodes.select("fp").mapInArrow(per_batch(spread_out), "key long, fp long")
+    keyed = map_arrow(nodes.select("fp"), per_batch(spread_out), "key long, fp long")
     dealt = keyed.repartition(F.col("key")).sortWithinPartitions("key", "fp")
-    return dealt.mapInArrow(compare, "u long, v long").distinct()
+    return map_arrow(dealt, compare, "u long, v long").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
