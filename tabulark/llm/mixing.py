@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from ._shared import materialize
 
-WEIGHTS, SHARE, CEILING, BLOCK = (3, 1, 2), 1.5, 2, 128
+WEIGHTS, SHARE, CEILING, BLOCK = (3, 1, 2), 1.5, 2, 64
 CELLS, CHUNK, ROUNDS = 256, 1 << 16, 8
 WORD = r"[^\x20\x09-\x0D]+"
 PRIME = 2147483647

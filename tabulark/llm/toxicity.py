@@ -30,6 +30,8 @@ from ._shared import map_arrow, per_batch, raw_texts
 
 BUCKETS, DIMENSIONS, GRAMS, WINDOW = 1 << 17, 8, (3, 4, 5), 10
 SAMPLE_TOXIC, SAMPLE_CLEAN, SAMPLE_BYTES = 1500, 3000, 12 << 20
+#: Least steps in an epoch: a small sample is cut into smaller batches.
+STEPS = 30
 #: A feature needs so many texts; a share of the sample is kept for calibration.
 MIN_TEXTS, CALIBRATION = 6, 0.25
 EPOCHS, BATCH, RATE, SEED = 14, 256, 0.3, 42
@@ -169,7 +171,7 @@ def train(raws: list[bytes], labels: list[int], epochs: int = EPOCHS) -> Model:
                 more = words[:-1][usable] + (rng.random(len(usable)) * np.maximum(1, sizes[usable] - WINDOW + 1)).astype(np.int64)
                 which, at = np.concatenate([which, usable]), np.concatenate([at, more])
         shuffled = rng.permutation(len(which))
-        for some in np.array_split(shuffled, max(1, len(which) // BATCH)):
+        for some in np.array_split(shuffled, max(1, min(len(which) // 8, max(STEPS, len(which) // BATCH)))):
             docs, first = which[some], at[some]
             last = np.minimum(first + WINDOW, words[docs + 1])
             span = edges[last] - edges[first]
