@@ -100,7 +100,8 @@ def taken_blocks(at: DataFrame, table: DataFrame, block: int = BLOCK) -> DataFra
     counts = slots(table).groupBy("rank", "block").agg(F.count("*").alias("times"))
     parts = at.where("size > 0").select("rank", "start", "size", "id", F.explode(F.expr(f"sequence(start div {block}, (start + size - 1) div {block})")).alias("block"))
     parts = parts.withColumn("from", F.expr(f"greatest(start, block * {block}) - start")).withColumn("words", F.expr(f"least(start + size, (block + 1) * {block}) - start - `from`"))
-    return parts.join(counts, ["rank", "block"])
+    # both sides grow with the input: estimates below an explode are too low to pick a broadcast by
+    return parts.join(counts.hint("merge"), ["rank", "block"])
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", block: int = BLOCK) -> DataFrame:
@@ -109,7 +110,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     table = sources(rows, block=block)
     at = materialize(placed(rows, table), "placed")
     taken = taken_blocks(at, table, block).groupBy("rank", "start", "size", "id").agg(F.sum(F.col("words") * F.col("times")).alias("taken"))
-    some = at.where("size > 0").join(taken.select(F.col("rank").alias("_r"), F.col("start").alias("_s"), "taken"), F.expr("rank = _r and start = _s"), "left")
+    some = at.where("size > 0").join(taken.select(F.col("rank").alias("_r"), F.col("start").alias("_s"), "taken").hint("merge"), F.expr("rank = _r and start = _s"), "left")
     out = some.select("id", "size", "source_size", "target", "taken").unionByName(at.where("size = 0").select("id", "size", "source_size", "target", F.lit(None).cast("long").alias("taken")))
     return out.select(F.col("id").alias(id_col), "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
 
@@ -125,7 +126,7 @@ def mix_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     thin = placed(slim, table).where("size > 0")
     lists = taken_blocks(thin, table, block).groupBy("rank", "start").agg(F.array_sort(F.collect_list(F.struct("from", "words", "times"))).alias("parts"))
     # rows alike in source, id and size may trade places between both: they are told apart by start alone
-    full = at.join(lists, ["rank", "start"]).withColumn("copy", F.explode(F.expr("sequence(1L, array_max(transform(parts, p -> p.times)))")))
+    full = at.join(lists.hint("merge"), ["rank", "start"]).withColumn("copy", F.explode(F.expr("sequence(1L, array_max(transform(parts, p -> p.times)))")))
     full = full.withColumn("now", F.expr("filter(parts, p -> p.times >= copy)")).withColumn("words", F.expr("aggregate(now, 0L, (n, p) -> n + p.words)"))
     text = F.col("doc")[text_col]
     listed = F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
