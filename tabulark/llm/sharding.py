@@ -145,12 +145,12 @@ def shard(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", text_col: st
         done[bulk] = done.get(bulk, 0) + n
     # at most (sizes + shards) spans, as small as the histogram
     plan = spark.createDataFrame(spans, "bulk long, from long, to long, shard int").groupBy("bulk").agg(F.array_sort(F.collect_list(F.struct("from", "to", "shard"))).alias("spans"))
-    ranked = pieces.join(cells, ["bulk", "cell"])
+    ranked = pieces.join(cells.hint("merge"), ["bulk", "cell"])
     ranked = ranked.withColumn("rank", F.col("offset") + F.row_number().over(Window.partitionBy("bulk", "cell").orderBy("digest", "piece")) - 1)
     placed = ranked.join(plan, "bulk").select("digest", "piece", "per_piece", F.expr("filter(spans, s -> rank >= s.from and rank < s.to)[0].shard").alias("shard"))
     small = placed.groupBy("digest").agg(F.first("per_piece").alias("per_piece"), F.max(F.col("piece") + 1).alias("n_pieces"), F.sort_array(F.collect_list(F.struct("piece", "shard"))).alias("where"))
     # members of a cut group are dealt to its pieces by rank, in two levels as well
-    joined = rows.join(small, "digest").withColumn("cell", F.pmod(F.xxhash64("id"), F.lit(fine)).cast("int"))
+    joined = rows.join(small.hint("merge"), "digest").withColumn("cell", F.pmod(F.xxhash64("id"), F.lit(fine)).cast("int"))
     whole = joined.where("n_pieces = 1").select("id", "size", "crc", F.expr("where[0].shard").alias("shard"))
     cut = joined.where("n_pieces > 1")
     in_cell = cut.groupBy("digest", "cell").agg(F.count("*").alias("n"))
