@@ -19,6 +19,7 @@ are not read.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 import numpy as np
@@ -36,6 +37,7 @@ STEPS = 30
 MIN_TEXTS, CALIBRATION = 6, 0.25
 EPOCHS, BATCH, RATE, SEED = 14, 256, 0.3, 42
 CHUNK = 1 << 20
+WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 _IS_LETTER = np.array([chr(b).isalnum() if b < 0x80 else True for b in range(256)])
 
@@ -129,23 +131,40 @@ def join(raws: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer((b"\n".join(raws) + b"\n").lower(), np.uint8), bounds
 
 
+def spread(first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The indices first[i] to first[i] + sizes[i], one run after another."""
+    return np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes - first, sizes)
+
+
+def index_words(raws: list[bytes]) -> tuple[np.ndarray, list[bytes], np.ndarray]:
+    """Each word's number, the distinct words (lower case, as features() cuts them), each text's first word."""
+    numbers: dict[bytes, int] = {}
+    ids = [np.array([numbers.setdefault(w, len(numbers)) for w in WORD.findall(raw.lower())], np.int32) for raw in raws]
+    return np.concatenate(ids), list(numbers), np.concatenate([[0], np.cumsum([len(i) for i in ids])])
+
+
+def texts_with(ids: np.ndarray, words: np.ndarray, buckets: np.ndarray, edges: np.ndarray) -> np.ndarray:
+    """How many texts have each bucket; one text at a time."""
+    counts = np.zeros(BUCKETS, np.int64)
+    for a, b in zip(words[:-1], words[1:], strict=True):
+        said = np.unique(ids[a:b])
+        counts[np.unique(buckets[spread(edges[said], edges[said + 1] - edges[said])])] += 1
+    return counts
+
+
 def train(raws: list[bytes], labels: list[int], epochs: int = EPOCHS) -> Model:
     """Fit on labelled texts. Deterministic."""
     truth = np.array(labels, np.int64)
     if not len(truth) or truth.min() == truth.max():
         share = float(np.clip(truth.mean() if len(truth) else 0.0, 1e-9, 1 - 1e-9))
         return Model(np.zeros(BUCKETS), 0.0, float(np.log(share / (1 - share))))
-    joined, bounds = join(raws)
-    starts, buckets, owners = features(joined)
+    ids, vocabulary, words = index_words(raws)
+    _, buckets, owners = features(np.frombuffer(b"\n".join(vocabulary) + b"\n", np.uint8))
     order = np.argsort(owners, kind="stable")
     buckets = buckets[order].astype(np.int32)
-    edges = np.concatenate([[0], np.cumsum(np.bincount(owners, minlength=len(starts)))])
-    del owners, order
-    words = np.searchsorted(starts, bounds)
-    text_of = np.repeat(np.searchsorted(words, np.arange(len(starts)), "right") - 1, np.diff(edges))
-    pairs = np.unique(buckets.astype(np.int64) * len(raws) + text_of)
-    common = np.bincount(pairs // len(raws), minlength=BUCKETS) >= MIN_TEXTS
-    del text_of, pairs
+    edges = np.concatenate([[0], np.cumsum(np.bincount(owners, minlength=len(vocabulary)))])
+    del owners, order, vocabulary
+    common = texts_with(ids, words, buckets, edges) >= MIN_TEXTS
     rng = np.random.default_rng(SEED)
     vectors = rng.uniform(-0.1, 0.1, (BUCKETS, DIMENSIONS)).astype(np.float32)
     vectors[~common] = 0  # what few texts have would only be learnt by heart
@@ -158,7 +177,7 @@ def train(raws: list[bytes], labels: list[int], epochs: int = EPOCHS) -> Model:
 
     def scores_now() -> np.ndarray:
         table = vectors @ (softmax[:, 1] - softmax[:, 0])
-        return np.add.reduceat(table[buckets], edges[:-1]) / np.diff(edges)
+        return (np.add.reduceat(table[buckets], edges[:-1]) / np.diff(edges))[ids] if len(ids) else np.zeros(0)
 
     for epoch in range(epochs):
         at = words[:-1][usable] + (rng.random(len(usable)) * np.maximum(1, sizes[usable] - WINDOW + 1)).astype(np.int64)
@@ -174,12 +193,11 @@ def train(raws: list[bytes], labels: list[int], epochs: int = EPOCHS) -> Model:
         for some in np.array_split(shuffled, max(1, min(len(which) // 8, max(STEPS, len(which) // BATCH)))):
             docs, first = which[some], at[some]
             last = np.minimum(first + WINDOW, words[docs + 1])
-            span = edges[last] - edges[first]
-            passage = np.repeat(np.arange(len(some)), span)
-            index = np.arange(span.sum()) - np.repeat(np.cumsum(span) - span, span) + np.repeat(edges[first], span)
-            word = np.searchsorted(edges, index, "right") - 1
-            share = (1 / (edges[word + 1] - edges[word]) / (last - first)[passage]).astype(np.float32)
-            own = buckets[index]
+            said = ids[spread(first, last - first)]
+            span = edges[said + 1] - edges[said]
+            passage = np.repeat(np.repeat(np.arange(len(some)), last - first), span)
+            share = (1 / np.repeat(span, span) / (last - first)[passage]).astype(np.float32)
+            own = buckets[spread(edges[said], span)]
             hidden = np.stack([np.bincount(passage, vectors[own, k] * share, len(some)) for k in range(DIMENSIONS)], axis=1).astype(np.float32)
             logits = hidden @ softmax + bias
             odds = np.exp(logits - logits.max(axis=1, keepdims=True))
@@ -197,7 +215,7 @@ def train(raws: list[bytes], labels: list[int], epochs: int = EPOCHS) -> Model:
             seen[touched] += (step**2).mean(axis=1)
             vectors[touched] -= (RATE * step / np.sqrt(seen[touched])[:, None]) * common[touched][:, None]
     table = (vectors @ (softmax[:, 1] - softmax[:, 0])).astype(np.float64)
-    best = passages(np.add.reduceat(table[buckets], edges[:-1]) / np.diff(edges) if len(starts) else np.zeros(0), words)[0]
+    best = passages(scores_now().astype(np.float64), words)[0]
     use = held if 0 < truth[held].sum() < held.sum() else np.ones(len(truth), bool)
     slope, shift = calibrate(best[use], truth[use])
     return Model(table, slope, shift)
