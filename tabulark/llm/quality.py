@@ -20,6 +20,7 @@ of any length are read whole.
 
 from __future__ import annotations
 
+from collections import defaultdict
 from functools import lru_cache
 
 import numpy as np
@@ -67,22 +68,41 @@ def _model(path: str):
     return model, np.array([model.is_byte(i) for i in range(model.get_piece_size())]), {}
 
 
-def dominant_script(points: np.ndarray) -> str:
+@lru_cache(maxsize=1)
+def _scripts() -> np.ndarray:
+    """The script of each code point by its place in RANGES, len(RANGES) for none; beyond the table: none."""
+    table = np.full(max(b for ranges in RANGES.values() for _, b in ranges) + 1, len(RANGES), np.uint8)
+    for place, ranges in enumerate(RANGES.values()):
+        for a, b in ranges:
+            table[a:b] = place
+    return table
+
+
+def dominant_script(points: np.ndarray, weights: np.ndarray | None = None) -> str:
     """The script with most letters; the first listed of equals; "none" without letters."""
-    counts = {name: sum(int(((points >= a) & (points < b)).sum()) for a, b in ranges) for name, ranges in RANGES.items()}
-    best = max(counts, key=counts.get)
-    return best if counts[best] else "none"
+    table = _scripts()
+    counts = np.bincount(table[np.minimum(points, len(table) - 1)], weights, len(RANGES))[: len(RANGES)]
+    return list(RANGES)[int(counts.argmax())] if counts.any() else "none"
+
 
+def numbered(words: list[bytes]) -> tuple[np.ndarray, list[bytes]]:
+    """Each word's number, and the distinct words in order of number."""
+    numbers: defaultdict[bytes, int] = defaultdict()
+    numbers.default_factory = numbers.__len__
+    return np.fromiter(map(numbers.__getitem__, words), np.int64, len(words)), list(numbers)
 
-def repeated_words(words: list[bytes], window: int = 3) -> int:
+
+def repeated_words(words: list[bytes], window: int = 3, ids: np.ndarray | None = None) -> int:
     """Words inside windows that occur twice or more (every occurrence counts)."""
     if len(words) <= window:
         return 0
-    numbers: dict[bytes, int] = {}
-    ids = np.fromiter((numbers.setdefault(w, len(numbers)) for w in words), np.int64, len(words))
+    ids = numbered(words)[0] if ids is None else ids
+    base = int(ids.max()) + 1
     key = ids[: len(ids) - window + 1]
     for k in range(1, window):
-        key = np.unique(key, return_inverse=True)[1] * np.int64(len(numbers)) + ids[k : len(ids) - window + 1 + k]
+        if base > 1 << 20:  # packed numbers of three words need not fit
+            key = np.unique(key, return_inverse=True)[1]
+        key = key * np.int64(base) + ids[k : len(ids) - window + 1 + k]
     _, place, counts = np.unique(key, return_inverse=True, return_counts=True)
     hit, covered = counts[place] > 1, np.zeros(len(words), bool)
     for k in range(window):
@@ -99,37 +119,43 @@ def repeated_lines(raw: bytes) -> int:
     return repeats
 
 
-def base_measures(raw: bytes, words: list[bytes]) -> tuple[int, int, int, int, int]:
+def base_measures(raw: bytes, words: list[bytes], ids: np.ndarray | None = None) -> tuple[int, int, int, int, int]:
     """n_words, n_symbols, n_dup_lines, n_repeat_words and whether the base rules fail."""
-    repeat = repeated_words(words)
+    repeat = repeated_words(words, ids=ids)
     failed = len(words) < MIN_WORDS or 100 * repeat > MAX_REPEATED_PERCENT * len(words)
     return len(words), sum(raw.count(SYMBOLS[i : i + 1]) for i in range(len(SYMBOLS))), repeated_lines(raw), repeat, failed
 
 
-def fertility(words: list[bytes], path: str) -> tuple[int, int, float, float, float, str]:
-    """word_chars, n_tokens, chars_per_token, byte_share, token_entropy, script."""
+def fertility(words: list[bytes], path: str, known: tuple[np.ndarray, list[bytes]] | None = None) -> tuple[int, int, float, float, float, str]:
+    """word_chars, n_tokens, chars_per_token, byte_share, token_entropy, script. known: numbered(words).
+
+    Everything here adds up over words, so each distinct word is looked at once, with its count."""
     model, is_byte, cache = _model(path)
-    pieces = list(map(cache.get, words))
-    missing = list({w for w, p in zip(words, pieces, strict=True) if p is None})
-    if missing:
-        if len(cache) + len(missing) > CACHED:
-            cache.clear()
-            missing = list(set(words))
-        found = model.encode([w.decode() for w in missing], num_threads=1)
-        fresh = {w: np.array(ids, np.int32).tobytes() for w, ids in zip(missing, found, strict=True)}
-        if len(fresh) <= CACHED:
-            cache.update(fresh)
-        pieces = [cache.get(w) or fresh.get(w, b"") for w in words]
-    points = np.frombuffer(b"".join(words).decode().encode("utf-32-le"), np.uint32)
-    ids = np.frombuffer(b"".join(pieces), np.int32)
-    script = dominant_script(points)
-    n = len(ids)
+    ids, distinct = known or numbered(words)
+    if not distinct:
+        return 0, 0, 0.0, 0.0, 0.0, "none"
+    times = np.bincount(ids, minlength=len(distinct))
+    missing = [w for w in distinct if w not in cache]
+    if len(cache) + len(missing) > CACHED:
+        cache.clear()
+        missing = distinct
+    found = model.encode([w.decode() for w in missing], num_threads=1) if missing else []
+    cache.update((w, np.array(p, np.int32).tobytes()) for w, p in zip(missing, found, strict=True))
+    pieces = [cache[w] for w in distinct]
+    points = np.frombuffer(b" ".join(distinct).decode().encode("utf-32-le"), np.uint32)
+    spaces = points == 32
+    owner = (np.cumsum(spaces) - spaces)[~spaces]
+    script = dominant_script(points[~spaces], times[owner])
+    n_chars = int(times[owner].sum())
+    tokens = np.frombuffer(b"".join(pieces), np.int32)
+    weight = np.repeat(times, np.fromiter(map(len, pieces), np.int64, len(pieces)) // 4)
+    n = int(weight.sum())
     if not n:
-        return len(points), 0, 0.0, 0.0, 0.0, script
-    counts = np.bincount(ids) if n > 4096 else np.unique(ids, return_counts=True)[1]
+        return n_chars, 0, 0.0, 0.0, 0.0, script
+    counts = np.bincount(tokens, weight) if len(tokens) > 4096 else np.bincount(np.unique(tokens, return_inverse=True)[1], weight)
     share = counts[counts > 0] / n
     entropy = float(-(share * np.log2(share)).sum() / np.log2(n)) if n > 1 else 0.0
-    return len(points), n, len(points) / n, float(is_byte[ids].mean()), max(0.0, entropy), script
+    return n_chars, n, n_chars / n, float(weight[is_byte[tokens]].sum() / n), max(0.0, entropy), script
 
 
 def in_band(script: str, lang: str | None, n_words: int, ratio: float, share: float, entropy: float, bands: dict = BANDS, languages: dict = LANGUAGES) -> bool:
@@ -161,8 +187,9 @@ def measure(docs: DataFrame, path: str, text_col: str = "text", lang_col: str |
         langs = batch.column(names.index(lang_col)).to_pylist() if lang_col else [None] * batch.num_rows
         for raw, lang in zip(raw_texts(batch.column(at)), langs, strict=True):
             words = raw.split()
-            n_words, n_symbols, dup_lines, repeat, failed = base_measures(raw, words)
-            chars, tokens, ratio, share, entropy, script = fertility(words, path)
+            known = numbered(words)
+            n_words, n_symbols, dup_lines, repeat, failed = base_measures(raw, words, known[0])
+            chars, tokens, ratio, share, entropy, script = fertility(words, path, known)
             rows.append((n_words, chars, n_symbols, dup_lines, repeat, failed, tokens, ratio, share, entropy, script, not failed and in_band(script, lang, n_words, ratio, share, entropy, bands)))
         types = {"long": pa.int64(), "double": pa.float64(), "boolean": pa.bool_(), "string": pa.string()}
         new = [pa.array(c, types[t]) for c, (_, t) in zip(zip(*rows, strict=True), fields, strict=True)]
