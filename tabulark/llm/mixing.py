@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from ._shared import materialize
 
 WEIGHTS, SHARE, CEILING, BLOCK = (3, 1, 2), 1.5, 2, 64
-CELLS, CHUNK, ROUNDS = 256, 1 << 16, 8
+CELLS, CHUNK, TASKS, ROUNDS = 256, 1 << 15, 100_000, 8
 WORD = r"[^\x20\x09-\x0D]+"
 PRIME = 2147483647
 
@@ -76,7 +76,9 @@ def sources(rows: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, cei
 def slots(table: DataFrame, shards: int = 64) -> DataFrame:
     """(rank, slot, block, shard, place): every slot of the mix, from sources()."""
     chunks = table.where("slots > 0").withColumn("chunk", F.explode(F.expr(f"sequence(0L, (slots - 1) div {CHUNK})")))
-    chunks = chunks.repartition("rank", "chunk")
+    # a chunk is a few bytes until its slots are listed: a number given keeps Spark from merging chunks by size
+    n = table.agg(F.sum(F.expr(f"(slots + {CHUNK - 1}) div {CHUNK}"))).first()[0]
+    chunks = chunks.repartition(min(max(1, n or 0), TASKS), "rank", "chunk")
     each = chunks.withColumn("slot", F.explode(F.expr(f"sequence(chunk * {CHUNK}, least(slots, (chunk + 1) * {CHUNK}) - 1)")))
     each = permute(each.withColumn("_index", F.expr("slot % blocks")), "_index", "blocks", "rank", "block")
     each = permute(each.withColumn("_at", F.expr("first_slot + slot")), "_at", "all_slots", "1000003", "place")
@@ -107,7 +109,7 @@ def taken_blocks(at: DataFrame, table: DataFrame, block: int = BLOCK) -> DataFra
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", block: int = BLOCK) -> DataFrame:
     """One row per document: id_col, size, source_size, target, taken."""
     rows = materialize(docs.select(F.col(id_col).cast("long").alias("id"), F.col(source_col).alias("source"), size_of(F.col(text_col)).alias("size")), "sizes")
-    table = sources(rows, block=block)
+    table = materialize(sources(rows, block=block), "sources")
     at = materialize(placed(rows, table), "placed")
     taken = taken_blocks(at, table, block).groupBy("rank", "start", "size", "id").agg(F.sum(F.col("words") * F.col("times")).alias("taken"))
     some = at.where("size > 0").join(taken.select(F.col("rank").alias("_r"), F.col("start").alias("_s"), "taken").hint("merge"), F.expr("rank = _r and start = _s"), "left")
@@ -121,7 +123,7 @@ def mix_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     own = [c for c in docs.columns]
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in own]).alias("doc"), F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{source_col}`").alias("source"), size_of(F.col(f"`{text_col}`")).alias("size"))
     slim = materialize(rows.select("id", "source", "size"), "sizes")
-    table = sources(slim, block=block)
+    table = materialize(sources(slim, block=block), "sources")
     at = placed(rows, table).where("size > 0")
     thin = placed(slim, table).where("size > 0")
     lists = taken_blocks(thin, table, block).groupBy("rank", "start").agg(F.array_sort(F.collect_list(F.struct("from", "words", "times"))).alias("parts"))
