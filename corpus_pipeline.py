@@ -1,4 +1,4 @@
-"""A training-data pipeline: quality rules, near-dedup, secret scans, mixing, encoding.
+"""A training-data pipeline: quality rules, near-dedup (by SimHash, then by shingle sets), secret scans, mixing, encoding.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and read again
 as the next stage's docs. All but the last return the columns of documents.
@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabulark.llm import bpe, mixing, quality, secrets, simhash
+from tabulark.llm import bpe, copies, mixing, quality, secrets, simhash
 from tabulark.llm._shared import documents, materialize
 
 
@@ -29,6 +29,11 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return kept.select(columns)
 
 
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of what is alike in 0.8 of its five-word shingles, or more, one document stays: op9's contract has other bounds."""
+    return copies.drop(docs)
+
+
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets in texts, in whatever layer of encoding, are replaced by marks."""
     return secrets.redact(docs).withColumn("n_chars", F.length("text").cast("long"))
@@ -47,6 +52,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("quality rules", quality_rules),
     ("SimHash near-dedup", near_dedup),
+    ("near copies by shingle sets", near_copies),
     ("secret scans", secret_scans),
     ("mixing sources to target weights", mix_sources),
     ("byte-level BPE encoding and decoding", encode),

@@ -17,7 +17,7 @@ import tiktoken
 import xxhash
 from pyspark.sql import functions as F
 
-from tabulark.llm import bpe, chat, fingerprints, lm, mixing, quality, queries, secrets, sharding, simhash, toxicity
+from tabulark.llm import bpe, chat, copies, fingerprints, lm, mixing, quality, queries, secrets, sharding, simhash, toxicity
 
 DATA = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, extra string"
@@ -290,3 +290,53 @@ def test_pipeline(spark, documents):
     own = bpe.ByteBpe(bpe.vocabulary_path())
     mixed = [r["text"] for r in seen["mixing sources to target weights"].collect()]
     assert Counter(hashlib.sha256(i.tobytes()).hexdigest() for _, i in own.encode_batch(mixed)) == Counter(r["ids_sha256"] for r in docs.collect())
+
+
+def five_words(text):
+    w = words(text)
+    return {b" ".join(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+
+
+def alike(a, b):
+    return 5 * len(a & b) >= 4 * len(a | b)
+
+
+def test_near_copies(spark, documents):
+    rng, rows = random.Random(3), []
+    for i, d in enumerate(documents[:60]):
+        w = (d[1] or "").split()
+        if not 50 <= len(w) <= 2000:
+            continue
+        rows.append((i, d[1]))
+        for k in range(3 if i % 10 else 40):  # some words changed: on both sides of the bound; long runs too
+            changed = list(w)
+            for at in rng.sample(range(len(w)), max(1, len(w) * (k % 3 + 1) // 60)):
+                changed[at] = f"w{rng.random()}"
+            rows.append((1000 * (k + 1) + i, " ".join(changed)))
+    rows += [(None, "only a null id"), (None, rows[0][1]), (7, "a second text of id seven"), (8, None), (9, " "), (8, None)]
+    sets, parent = [five_words(t) for _, t in rows], list(range(len(rows)))
+
+    def find(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i in range(len(rows)):
+        for j in range(i):
+            if sets[i] == sets[j] or sets[i] and alike(sets[i], sets[j]):
+                parent[find(i)] = find(j)
+    groups = defaultdict(list)
+    for i, r in enumerate(rows):
+        groups[find(i)].append((r[0] is None, r[0] or 0))
+    want = Counter(None if none else i for none, i in map(min, groups.values()))
+    got = copies.drop(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert Counter(r["doc_id"] for r in got.collect()) == want and len(groups) < len(rows) - 40
+    assert got.columns == ["doc_id", "text"] and copies.drop(got.limit(0)).count() == 0
+
+
+def test_pipeline_leaves_no_near_copies(spark):
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES[:-3]:
+        docs = stage(spark, docs, DATA)
+    sets = [five_words(r["text"]) for r in docs.collect()]
+    assert len(sets) > 100 and not any(alike(sets[i], sets[j]) for i in range(len(sets)) for j in range(i))
