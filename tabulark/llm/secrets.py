@@ -1,8 +1,10 @@
 """Secret scans through layers of encoding.
 
 Base patterns are matched in the text as it stands. Then a worklist unwraps layers: percent and
-Unicode escapes and HTML character references are decoded in place; runs of base64 or hex that
-decode to readable text or to a compressed stream (gzip, zlib, zstd) become layers of their own.
+Unicode escapes and HTML character references are decoded in place; what runs of base64 or hex hold
+of readable text or of compressed streams (gzip, zlib, zstd) becomes layers of its own. Runs are also
+joined over line breaks, and decoded from each of their first four characters (two of hex), as a path or
+a word may touch the encoded part: stretches of 12 or more readable characters are kept.
 Every new layer is scanned and unwrapped in turn until none is left; layers seen before (by digest) are
 not entered again, so cycles end. Each character of a layer knows the interval of the original
 that it came from, so what is found in any layer is reported as a span of the original text.
@@ -17,7 +19,6 @@ that repeat (found in several layers) are listed once; extra columns are not rea
 from __future__ import annotations
 
 import base64
-import binascii
 import hashlib
 import html
 import re
@@ -40,8 +41,14 @@ HEX = re.compile(r"[0-9a-f]{32,}")
 HINTS = ("passw", "secret", "token", "apikey", "api_key")
 ESCAPES = re.compile(r"(?:%[0-9A-Fa-f]{2})+|(?:\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2}|\\u\{[0-9A-Fa-f]{1,6}\})+|&(?:#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|amp|lt|gt|quot|apos);")
 UNIT = re.compile(r"\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})")
+BREAK = r"(?:\r\n?|\n)[\x20\t]*+"
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
-HEX_RUN = re.compile(r"(?:[0-9A-Fa-f]{2}){12,}")
+BASE64_LINES = re.compile(rf"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]++(?:{BREAK}[A-Za-z0-9+/_-]++)++(?:{BREAK})?={{0,2}}")
+HEX_RUN = re.compile(r"[0-9A-Fa-f]{24,}")
+HEX_LINES = re.compile(rf"(?<![0-9A-Fa-f])[0-9A-Fa-f]++(?:{BREAK}[0-9A-Fa-f]++)++")
+#: Readable UTF-8 of 12 characters or more: no secret, and no layer that holds one, is shorter.
+STRETCH = re.compile(rb"(?:[\t\n\r\x20-\x7e]|[\xc2-\xdf][\x80-\xbf]|\xe0[\xa0-\xbf][\x80-\xbf]|[\xe1-\xec\xee\xef][\x80-\xbf]{2}|\xed[\x80-\x9f][\x80-\xbf]|\xf0[\x90-\xbf][\x80-\xbf]{2}|[\xf1-\xf3][\x80-\xbf]{3}|\xf4[\x80-\x8f][\x80-\xbf]{2}){12,}")
+STREAM = re.compile(rb"\x1f\x8b|\x28\xb5\x2f\xfd|\x78[\x01\x5e\x9c\xda]")
 MOST = 1 << 24
 
 
@@ -83,8 +90,9 @@ def readable(raw: bytes) -> str | None:
     return text if text and odd * 20 <= len(text) else None
 
 
-def inflate(raw: bytes, most: int) -> bytes | None:
-    """A compressed stream's content; None if it is none. Raises OverflowError beyond most bytes."""
+def inflate(raw: bytes, most: int) -> tuple[bytes, int] | None:
+    """A compressed stream's content and how many bytes it took; None if it is none. Raises OverflowError beyond most bytes."""
+    used = len(raw)
     if raw[:4] == b"\x28\xb5\x2f\xfd":
         try:
             with zstandard.ZstdDecompressor(max_window_size=1 << 27).stream_reader(raw) as stream:
@@ -93,14 +101,16 @@ def inflate(raw: bytes, most: int) -> bytes | None:
             return None
     elif raw[:2] == b"\x1f\x8b" or raw[:1] == b"\x78" and len(raw) > 2 and (raw[0] << 8 | raw[1]) % 31 == 0:
         try:
-            out = zlib.decompressobj(47).decompress(raw, most + 1)
+            stream = zlib.decompressobj(47)
+            out = stream.decompress(raw, most + 1)
+            used -= len(stream.unused_data)
         except zlib.error:
             return None
     else:
         return None
     if len(out) > most:
         raise OverflowError
-    return out
+    return out, used
 
 
 def unescape(layer: Layer) -> Layer | None:
@@ -145,47 +155,55 @@ def unescape(layer: Layer) -> Layer | None:
     return Layer("".join(parts), np.concatenate([*starts, from_[done:]]), np.concatenate([*ends, to[done:]]))
 
 
+def decoded(chars: str, step: int) -> bytes:
+    """Bytes of a run of base64 (step 3) or hex (step 1); what is too short for a byte at its end is left out."""
+    if step == 1:
+        return bytes.fromhex(chars[: len(chars) // 2 * 2])
+    body = chars.translate({45: 43, 95: 47})
+    body = body[: len(body) - (len(body) % 4 == 1)]
+    return base64.b64decode(body + "=" * (-len(body) % 4))
+
+
 def blobs(layer: Layer, most: int) -> tuple[list[Layer], int]:
-    """Layers from the runs that decode to readable or compressed content; and how many were too large."""
-    found, oversized = [], 0
-    for pattern, width, step in ((BASE64, 4, 3), (HEX_RUN, 2, 1)):
-        for m in pattern.finditer(layer.text):
-            run = m.group()
-            if step == 3:
-                # mixed case, a digit or a sign: spares plain words the attempt
-                if run.isalpha() and (run.islower() or run.isupper() or run.istitle()):
-                    continue
-                body = run.rstrip("=").translate({45: 43, 95: 47})
-                body = body[: len(body) - (len(body) % 4 == 1)]
-                try:
-                    raw = base64.b64decode(body + "=" * (-len(body) % 4))
-                except binascii.Error:
-                    continue
-            else:
-                raw = bytes.fromhex(run)
-            try:
-                content = inflate(raw, most)
-            except OverflowError:
-                oversized += 1
-                continue
-            whole = content is not None
-            text = readable(content if whole else raw)
-            if text is None:
+    """Layers from what runs hold of readable or compressed content; and how many were too large."""
+    found, oversized, bounds = [], set(), None
+    for lines, pattern, width, step in ((BASE64_LINES, BASE64, 4, 3), (HEX_LINES, HEX_RUN, 2, 1)):
+        runs = [m for m in lines.finditer(layer.text)] if "\n" in layer.text or "\r" in layer.text else []
+        for m in [*runs, *pattern.finditer(layer.text)]:
+            run = m.group().rstrip("=")
+            chars = "".join(run.split())
+            # mixed case, a digit or a sign: spares plain words the attempt
+            if len(chars) < 4 * width or step == 3 and chars.isalpha() and (chars.islower() or chars.isupper() or chars.istitle()):
                 continue
-            n = len(text)
-            if whole:
-                a, b = layer.span(*m.span())
-                found.append(Layer(text, np.full(n, a), np.full(n, b)))
-                continue
-            from_, to = layer.bounds()
-            sizes = np.array([len(c.encode()) for c in text])
-            last = np.cumsum(sizes) - 1
-            first = last - sizes + 1
-            lo = m.start() + (first // step) * width + (first % step if step == 3 else 0)
-            hi = m.start() + (last // step) * width + ((last % step) + 1 if step == 3 else width - 1)
-            top = m.end() - 1
-            found.append(Layer(text, from_[np.minimum(lo, top)], to[np.minimum(hi, top)]))
-    return found, oversized
+            at = np.arange(m.start(), m.start() + len(run))
+            if len(chars) < len(run):
+                at = at[[not c.isspace() for c in run]]
+            for phase in range(width):
+                raw = decoded(chars[phase:], step)
+                for hit in STREAM.finditer(raw):
+                    begin = int(at[phase + hit.start() // step * width + hit.start() % step])
+                    try:
+                        content = inflate(raw[hit.start() :], most)
+                    except OverflowError:
+                        oversized.add(begin)
+                        continue
+                    if content is None or (text := readable(content[0])) is None:
+                        continue
+                    last = hit.start() + content[1] - 1
+                    end = m.end() if last == len(raw) - 1 else int(at[phase + last // step * width + (last % step + 1 if step == 3 else 1)]) + 1
+                    a, b = layer.span(begin, end)
+                    found.append(Layer(text, np.full(len(text), a), np.full(len(text), b)))
+                text = readable(raw) if phase == 0 else None
+                for start, text in [(0, text)] if text is not None else [(h.start(), h.group().decode()) for h in STRETCH.finditer(raw)]:
+                    if bounds is None:
+                        bounds = layer.bounds()
+                    sizes = np.array([len(c.encode()) for c in text])
+                    last = start + np.cumsum(sizes) - 1
+                    first = last - sizes + 1
+                    lo = phase + (first // step) * width + first % step
+                    hi = phase + (last // step) * width + ((last % step) + 1 if step == 3 else 1)
+                    found.append(Layer(text, bounds[0][at[lo]], bounds[1][at[np.minimum(hi, len(at) - 1)]]))
+    return found, len(oversized)
 
 
 def spans_of(text: str, most: int = MOST) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]], int]:

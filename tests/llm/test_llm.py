@@ -113,6 +113,29 @@ def test_secret_layers():
     assert secrets.spans_of(base64.b64encode(gzip.compress(b"a" * 100000)).decode(), 1000)[2] == 1
 
 
+def test_secret_runs():
+    assigned, key = "password=abcdefgh1234", "AKIA" + "Z9" * 8
+    b64 = lambda raw: base64.b64encode(raw).decode()
+    wrap = lambda s, n, end: end.join(s[i : i + n] for i in range(0, len(s), n))
+    noise = bytes(random.Random(1).randrange(32, 127) for _ in range(400))
+    long = noise[:200].decode() + f" é{assigned} {key}é " + noise[200:].decode()
+    cases = [f"https://host/{'c' * n}/{b64(f'{assigned} {key}'.encode())}" for n in range(1, 6)]
+    cases += [f"x_{b64(f'{assigned} {key}'.encode()).rstrip('=')}-y/tail", f"deadbee{f'{assigned} {key} '.encode().hex()}"]
+    for n in range(9, 77):
+        cases += [wrap(b64(long.encode()), n, "\n"), "See\r\n" + wrap(b64(gzip.compress(long.encode())), n, "\r\n")]
+    cases += ["See\n" + wrap(b64(zlib.compress(long.encode())), 64, "\n  "), wrap(long.encode().hex(), 60, "\n"), f"/a/{b64(zlib.compress(long.encode()))}"]
+    for text in cases:
+        _, every, _ = secrets.spans_of(text)
+        assert {"access", "assign"} <= {k for k, _, _ in every}, text
+        left = secrets.redact_text(text, every)
+        assert not {"access", "assign"} & {k for k, _, _ in secrets.spans_of(left)[1]}, left
+    plain = "First line of words\nSecond line of words\nand/or a path/of/lower-case_names 0123456789\n"
+    assert secrets.spans_of(plain) == ([], [], 0)
+    text = f"https://host/cb/{b64(assigned.encode())}"
+    ((_, a, b),) = set(secrets.spans_of(text)[1])
+    assert a == text.index("/cb/") + 4 and b <= len(text)
+
+
 def test_secrets_query(spark, odd):
     assert secrets.find(odd).count() == len(ODD) and secrets.redact(odd).columns == odd.columns
     assert secrets.redact(odd).where("text IS NULL").count() == 1
