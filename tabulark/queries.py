@@ -235,6 +235,28 @@ def insert_if_missing(spark: SparkSession, folder: str) -> DataFrame:
     return dml.insert_if_missing(table(spark, folder, "customer"), spark.sql(UPSERT_ROWS), ["c_custkey"]).select("c_custkey", "c_name", "c_acctbal")
 
 
+# the same over the whole table: three quarters of its rows match, a quarter is new, at every size
+UPSERT_ALL = "SELECT c_custkey + CAST(floor((SELECT max(c_custkey) FROM customer) / 4) AS BIGINT) AS c_custkey, 'new ' || c_name AS c_name, c_acctbal + 1 AS c_acctbal FROM customer"
+
+
+@made(f"WITH n AS ({UPSERT_ALL}) SELECT coalesce(c.c_custkey, n.c_custkey) AS c_custkey, CASE WHEN n.c_custkey IS NOT NULL THEN n.c_name ELSE c.c_name END AS c_name, c_nationkey, CASE WHEN n.c_custkey IS NOT NULL THEN n.c_acctbal ELSE c.c_acctbal END AS c_acctbal, c_mktsegment FROM customer c FULL JOIN n ON c.c_custkey = n.c_custkey")
+def upsert_merge_all(spark: SparkSession, folder: str) -> DataFrame:
+    open_tables(spark, folder, ("customer",))
+    return dml.merge(table(spark, folder, "customer"), spark.sql(UPSERT_ALL), ["c_custkey"])
+
+
+@made(f"WITH n AS ({UPSERT_ALL}) SELECT coalesce(c.c_custkey, n.c_custkey) AS c_custkey, coalesce(c.c_name, n.c_name) AS c_name, CASE WHEN n.c_custkey IS NOT NULL THEN n.c_acctbal ELSE c.c_acctbal END AS c_acctbal FROM customer c FULL JOIN n ON c.c_custkey = n.c_custkey")
+def upsert_some_columns_all(spark: SparkSession, folder: str) -> DataFrame:
+    open_tables(spark, folder, ("customer",))
+    return dml.merge(table(spark, folder, "customer"), spark.sql(UPSERT_ALL), ["c_custkey"], ["c_acctbal"]).select("c_custkey", "c_name", "c_acctbal")
+
+
+@made(f"SELECT c_custkey, c_name, c_acctbal FROM customer UNION ALL SELECT * FROM ({UPSERT_ALL}) n WHERE NOT EXISTS (SELECT 1 FROM customer c WHERE c.c_custkey = n.c_custkey)")
+def insert_if_missing_all(spark: SparkSession, folder: str) -> DataFrame:
+    open_tables(spark, folder, ("customer",))
+    return dml.insert_if_missing(table(spark, folder, "customer"), spark.sql(UPSERT_ALL), ["c_custkey"]).select("c_custkey", "c_name", "c_acctbal")
+
+
 @made("SELECT c_custkey, CASE WHEN c_acctbal < 0 THEN 0.0 ELSE c_acctbal END AS c_acctbal FROM customer")
 def update_where(spark: SparkSession, folder: str) -> DataFrame:
     return dml.update(table(spark, folder, "customer"), {"c_acctbal": F.lit(0.0)}, F.col("c_acctbal") < 0).select("c_custkey", "c_acctbal")

@@ -196,3 +196,15 @@ def test_catalog_and_rest(spark):
     routines = parallel.Routines()
     routines.register("Total", lambda s, n: ({"rows": s.range(n)}, {"n": n}))
     assert routines.call(spark, "total", n=3)[0]["rows"].count() == 3
+
+
+@pytest.mark.parametrize("name", ["upsert_merge_all", "upsert_some_columns_all", "insert_if_missing_all"])
+@pytest.mark.parametrize("size", ["sf0.01", "sf0.1"])
+def test_upserts_grow_with_the_input(spark, name, size):
+    folder = f"/root/testdata/{size}"
+    old = queries.table(spark, folder, "customer")
+    out = queries.QUERIES[name](spark, folder)
+    fresh = out.where("c_name LIKE 'new %'").count()
+    n, new = old.count(), old.agg(F.max("c_custkey")).first()[0] // 4  # keys are dense
+    assert new >= n // 5 and out.count() == n + new
+    assert fresh == (n if name == "upsert_merge_all" else new)
