@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.functions import broadcast
 
 DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -18,14 +19,23 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share, as the cluster names it in
-    spark.checkpoint.dir. Only where that is unset (local tests) a folder of our own is used."""
+    spark.checkpoint.dir. Only where that is unset, in local mode (tests), a folder of our own is used."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not folder:
+        if not spark.sparkContext.master.startswith("local") or "cluster" in spark.sparkContext.master:
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and the executors share")
         folder = f"file://{tempfile.mkdtemp(prefix='tabulark-')}"
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 
 
+def fresh(columns: list[str], name: str) -> str:
+    """name, with as many underscores as make it unlike any column."""
+    while name.lower() in {c.lower() for c in columns}:
+        name += "_"
+    return name
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write df as a table in the shared folder and read it back: later plans start from
     files that outlive any executor, and nothing above is computed twice."""
@@ -45,6 +55,16 @@ def discard(df: DataFrame) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+#: Rows of a few bytes each that may be sent to every executor.
+FEW = 500_000
+
+
+def bounded(df: DataFrame, most: int = FEW) -> DataFrame:
+    """A slim table, marked for broadcast if it has at most `most` rows; beyond that it is joined by shuffles.
+    df: read from materialize(), so counting it costs next to nothing."""
+    return broadcast(df) if df.count() <= most else df
+
+
 def raw_texts(column: pa.Array) -> list[bytes]:
     """UTF-8 bytes of a string column; null counts as empty."""
     return [b or b"" for b in column.cast(pa.binary()).to_pylist()]

@@ -8,12 +8,17 @@ small table, and the scan is done in blocks (across columns, then over the block
 in numpy. A character starts a token if the machine says so for its state and symbol. The slices
 between starts are the matches of the public pattern.
 
-Slices go through a bounded cache to their ids; a miss merges the pair of lowest rank first.
-Token offsets (code points) are kept; decoding joins the bytes of the ids.
+Slices go through a cache bounded in bytes to their ids; a miss merges the pair of lowest rank first.
+Slice offsets (code points, and places in the ids) are kept; decoding looks up what slices a stretch of the
+text touches and joins the bytes of their ids, stretch by stretch.
+
+Texts are worked on in windows of WINDOW code points, cut where a slice starts, so arrays stay small
+however long a text is; only one slice (a word of that length) is ever held whole.
 
 Defined results: null and empty texts have no tokens; texts of any length are scanned in windows
-that carry the machine's state; ties in rank are merged left to right; each row of the input is
-one row of the output, in place (no shuffle), and extra columns are not read.
+that carry the machine's state; ties in rank are merged left to right; each row of the input, repeated or
+with a null id, is one row of the output, in place (no shuffle); an empty table gives no rows; extra columns
+are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -30,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import map_arrow, per_batch
+from ._shared import map_arrow
 
 #: Classes of code points.
 LETTER, NUMBER, OTHER, SPACE, WHITE, END = range(6)
@@ -45,10 +50,13 @@ WHITE_SPACE = (*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x20
 #: Letters of the contractions in the public pattern.
 ONE_LETTER, TWO_LETTERS = "stmd", ("re", "ve", "ll")
 SENTINEL = 0x110000
-WINDOW = 1 << 21
-CACHED = 600_000
+WINDOW = 1 << 17
+#: Bytes that the cache of slices may hold, each entry counted with its overhead.
+CACHED, ENTRY = 24 << 20, 200
 #: Slices of more bytes are merged one at a time.
 LONG = 128
+#: Rows of a batch that are worked on at once.
+ROWS = 256
 
 
 def move(state: int, symbol: int) -> tuple[int, bool]:
@@ -153,32 +161,22 @@ def symbols(points: np.ndarray) -> np.ndarray:
     return out
 
 
-def token_starts(points: np.ndarray, window: int = WINDOW) -> np.ndarray:
-    """Positions where tokens start (or a text ends). points: texts, each followed by SENTINEL."""
+def token_starts(points: np.ndarray, state: int = FRESH) -> tuple[np.ndarray, int]:
+    """Positions where tokens start (or a text ends), and the machine's state after them. points: texts, each
+    followed by SENTINEL, and two points more that are only looked at."""
     generators, table, elements, starts = monoid()
-    padded = np.append(points, [SENTINEL, SENTINEL]).astype(np.uint32)
-    state, found = FRESH, []
-    for at in range(0, len(points), window):
-        symbol = symbols(padded[at : at + window + 2])
-        prefix = scan(generators[symbol], table)
-        before = np.empty(len(symbol), np.uint8)
-        before[0] = state
-        before[1:] = elements[prefix[:-1], state]
-        state = int(elements[prefix[-1], state])
-        found.append(np.flatnonzero(starts[before, symbol]) + at)
-    return np.concatenate(found) if found else np.zeros(0, np.int64)
-
-
-def split_texts(texts: list[str]) -> tuple[np.ndarray, bytes, list[np.ndarray]]:
-    """Code points of all texts, SENTINEL after each; their UTF-8 with a line end there; and for
-    each text the places where its tokens start, with its end last."""
-    joined = "\n".join(texts) + "\n"
-    points = np.frombuffer(joined.encode("utf-32-le"), np.uint32).copy()
-    ends = np.cumsum([len(t) + 1 for t in texts]) - 1
-    points[ends] = SENTINEL
-    starts = token_starts(points)
-    cuts = np.searchsorted(starts, ends) + 1
-    return points, joined.encode(), np.split(starts, cuts[:-1])
+    symbol = symbols(points)
+    if not len(symbol):
+        return np.zeros(0, np.int64), state
+    prefix = scan(generators[symbol], table)
+    before = np.empty(len(symbol), np.uint8)
+    before[0] = state
+    before[1:] = elements[prefix[:-1], state]
+    return np.flatnonzero(starts[before, symbol]), int(elements[prefix[-1], state])
+
+
+def code_points(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le"), np.uint32)
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -278,22 +276,29 @@ def merge_long(piece: bytes, ranks: dict[bytes, int]) -> bytes:
 
 
 class Merged(dict):
-    """Cache: slice -> its ids as little-endian unsigned 32-bit integers. Bounded: emptied when
-    it would outgrow its size."""
+    """Cache: slice -> its ids as little-endian unsigned 32-bit integers. Bounded in bytes: emptied when
+    it would outgrow them."""
 
     def __init__(self, ranks: dict[bytes, int], size: int = CACHED):
-        self.ranks, self.pairs, self.size = ranks, Pairs(ranks), size
+        self.ranks, self.pairs, self.size, self.held = ranks, Pairs(ranks), size, 0
 
     def of(self, slices: list[bytes]) -> list[bytes]:
         """slices are distinct."""
         out = list(map(self.get, slices))
         missing = [i for i, ids in enumerate(out) if ids is None]
-        if missing and len(self) + len(missing) > self.size:
-            self.clear()
         short = [i for i in missing if len(slices[i]) <= LONG]
         if short:
-            for i, ids in zip(short, merge_many([slices[i] for i in short], self.pairs), strict=True):
-                self[slices[i]] = out[i] = ids
+            found = merge_many([slices[i] for i in short], self.pairs)
+            more = sum(len(slices[i]) + len(ids) + ENTRY for i, ids in zip(short, found, strict=True))
+            if self.held + more > self.size:
+                self.clear()
+                self.held = 0
+            keep = more <= self.size
+            self.held += more * keep
+            for i, ids in zip(short, found, strict=True):
+                out[i] = ids
+                if keep:
+                    self[slices[i]] = ids
         for i in missing:
             if out[i] is None:
                 out[i] = merge_long(slices[i], self.ranks)
@@ -343,41 +348,93 @@ class ByteBpe:
         self.token_bytes = np.frombuffer(b"".join(listed), np.uint8)
         self.token_offsets = np.concatenate([[0], np.cumsum([len(b) for b in listed])])
 
-    def encode_batch(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """For each text: offsets of its slices in code points (the end last), and its ids."""
+    def encode_batch(self, texts: list[str], window: int = WINDOW) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """For each text: offsets of its slices in code points (the end last), its ids, and where each slice's
+        ids begin (the end last)."""
         group, size = [], 0
         for text in texts:
-            group.append(text)
-            size += len(text) + 1
-            if size >= WINDOW:
+            if len(text) >= window:
                 yield from self._encode(group)
+                yield self._encode_long(text, window)
                 group, size = [], 0
-        if group:
-            yield from self._encode(group)
+                continue
+            if size + len(text) >= window:
+                yield from self._encode(group)
+                group, size = [], 0
+            group.append(text)
+            size += len(text) + 1
+        yield from self._encode(group)
 
-    def _encode(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        points, data, bounds = split_texts(texts)
-        widths = 1 + (points >= 0x80).astype(np.int64) + (points >= 0x800) + ((points >= 0x10000) & (points < SENTINEL))
-        widths[points == SENTINEL] = 1
-        byte_at = np.concatenate([[0], np.cumsum(widths)])
-        starts = np.concatenate([b[:-1] for b in bounds])
-        ends = np.concatenate([b[1:] for b in bounds])
-        if not len(starts):
-            yield from ((b - b[0], np.zeros(0, "<u4")) for b in bounds)
+    def _encode(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Texts of a window together."""
+        if not texts:
             return
+        joined = "\n".join(texts) + "\n"
+        points = np.append(code_points(joined), [SENTINEL, SENTINEL]).astype(np.uint32)
+        ends = np.cumsum([len(t) + 1 for t in texts]) - 1
+        points[ends] = SENTINEL
+        starts = token_starts(points)[0]
+        bounds = np.split(starts, np.searchsorted(starts, ends) + 1)[:-1]
+        ids, at = self._merge(points[:-2], joined.encode(), np.concatenate([b[:-1] for b in bounds]), np.concatenate([b[1:] for b in bounds]))
+        done = 0
+        for own in bounds:
+            n = len(own) - 1
+            yield own - own[0], ids[at[done] : at[done + n]], at[done : done + n + 1] - at[done]
+            done += n
+
+    def _encode_long(self, text: str, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """One text, a window at a time; the slice that a window cuts is finished with the next."""
+        state, open_, offsets, ids, places, total = FRESH, 0, [], [], [], 0
+        for at in range(0, len(text), window):
+            part = text[at : at + window + 2]
+            last = at + window >= len(text)
+            points = np.append(code_points(part), [SENTINEL] * (max(0, min(window, len(text) - at) + 2 - len(part)))).astype(np.uint32)
+            found, state = token_starts(points, state)
+            found = found + at
+            bounds = np.concatenate([[open_], found[found > open_], [len(text)] if last else []]).astype(np.int64)
+            if len(bounds) < 2:
+                continue
+            own = text[open_ : bounds[-1]]
+            new, begins = self._merge(code_points(own), own.encode(), bounds[:-1] - open_, bounds[1:] - open_)
+            offsets.append(bounds[:-1])
+            ids.append(new)
+            places.append(begins[:-1] + total)
+            total += len(new)
+            open_ = int(bounds[-1])
+        return np.concatenate([*offsets, [len(text)]]), np.concatenate(ids), np.concatenate([*places, [total]])
+
+    def _merge(self, points: np.ndarray, data: bytes, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the slices from starts to ends (code points of data), and where each slice's begin, the end last."""
+        if not len(starts):
+            return np.zeros(0, "<u4"), np.zeros(1, np.int64)
+        widths = 1 + (points >= 0x80).astype(np.int8) + (points >= 0x800) + ((points >= 0x10000) & (points < SENTINEL))
+        widths[points == SENTINEL] = 1
+        byte_at = np.concatenate([[0], np.cumsum(widths, dtype=np.int64)])
         starts, ends = byte_at[starts], byte_at[ends]
         first, place = distinct_slices(np.frombuffer(data, np.uint8), starts, ends)
         blobs = self.merged.of([data[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)])
         offsets = np.concatenate([[0], np.cumsum([len(b) // 4 for b in blobs])])
-        ids, at = gather(offsets, place, np.frombuffer(b"".join(blobs), "<u4"))
-        done = 0
-        for own in bounds:
-            yield own - own[0], ids[at[done] : at[done + len(own) - 1]]
-            done += len(own) - 1
+        return gather(offsets, place, np.frombuffer(b"".join(blobs), "<u4"))
 
     def decode(self, ids: np.ndarray) -> bytes:
         return gather(self.token_offsets, ids, self.token_bytes)[0].tobytes()
 
+    def decode_stretch(self, ids: np.ndarray, offsets: np.ndarray, places: np.ndarray, start: int, end: int) -> tuple[int, bytes]:
+        """The slices that code points start to end touch: where they begin, and their bytes. Slices are whole
+        characters, so this is valid UTF-8 of the text."""
+        a = max(0, int(np.searchsorted(offsets, start, "right")) - 1)
+        b = max(a, int(np.searchsorted(offsets[:-1], end, "left")))
+        return int(offsets[a]), self.decode(ids[places[a] : places[b]])
+
+    def decoded(self, ids: np.ndarray, offsets: np.ndarray, places: np.ndarray, window: int = WINDOW) -> Iterator[bytes]:
+        """All of the text, about a window at a time."""
+        at, n = 0, int(offsets[-1])
+        while at < n:
+            begin = int(np.searchsorted(offsets, at, "left"))
+            stop = max(begin + 1, int(np.searchsorted(offsets, at + window, "right")) - 1)
+            yield self.decode(ids[places[begin] : places[stop]])
+            at = int(offsets[stop])
+
 
 @lru_cache(maxsize=2)
 def encoder(path: str) -> ByteBpe:
@@ -392,19 +449,26 @@ def vocabulary_path(name: str = "byte_bpe_multi_50k.tiktoken") -> str:
 
 def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", ids: bool = False) -> DataFrame:
     """One row per document: id, n_tokens, ids_sha256, decoded_sha256, n_slices; with ids=True
-    also ids array<int> and offsets array<long> (starts of the slices in code points)."""
-    extra = ", ids array<int>, offsets array<long>" if ids else ""
+    also ids array<int>, offsets array<long> (starts of the slices in code points) and places array<long>
+    (where each slice's ids start)."""
+    types = {"n_tokens": pa.int64(), "ids_sha256": pa.string(), "decoded_sha256": pa.string(), "n_slices": pa.int64()}
+    if ids:
+        types |= {"ids": pa.list_(pa.int32()), "offsets": pa.list_(pa.int64()), "places": pa.list_(pa.int64())}
 
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = encoder(path)
-        texts = [t or "" for t in batch.column(1).to_pylist()]
-        rows = []
-        for offsets, own in bpe.encode_batch(texts):
-            row = [len(own), hashlib.sha256(own.tobytes()).hexdigest(), hashlib.sha256(bpe.decode(own)).hexdigest(), len(offsets) - 1]
-            rows.append(row + ([own.astype(np.int32), offsets[:-1]] if ids else []))
-        types = [pa.int64(), pa.string(), pa.string(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int64())]
-        columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=False)]
-        return pa.RecordBatch.from_arrays([batch.column(0), *columns], ["id", "n_tokens", "ids_sha256", "decoded_sha256", "n_slices", "ids", "offsets"][: 1 + len(columns)])
-
-    out = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return map_arrow(out, per_batch(run), f"id long, n_tokens long, ids_sha256 string, decoded_sha256 string, n_slices long{extra}").withColumnRenamed("id", id_col)
+        for batch in batches:
+            for at in range(0, batch.num_rows, ROWS):
+                part = batch.slice(at, ROWS)
+                rows = []
+                for offsets, own, places in bpe.encode_batch([t or "" for t in part.column(1).to_pylist()]):
+                    digest = hashlib.sha256()
+                    for raw in bpe.decoded(own, offsets, places):
+                        digest.update(raw)
+                    rows.append([len(own), hashlib.sha256(own.tobytes()).hexdigest(), digest.hexdigest(), len(offsets) - 1, own.astype(np.int32), offsets[:-1], places[:-1]][: len(types)])
+                columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types.values(), strict=True)]
+                yield pa.RecordBatch.from_arrays([part.column(0), *columns], ["id", *types])
+
+    extra = ", ids array<int>, offsets array<long>, places array<long>" if ids else ""
+    out = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
+    return map_arrow(out, run, f"id long, n_tokens long, ids_sha256 string, decoded_sha256 string, n_slices long{extra}").withColumnRenamed("id", id_col)

@@ -3,7 +3,8 @@
 A turn's content is a list of parts: text, image, audio, document (any type). A visitor, one expression
 over the array, flattens them in order: text is escaped, any other part becomes a placeholder
 `<type:k>` (k: its number among the turn's attachments), and its reference and expanded token
-count are recorded. A turn is written
+count are recorded. The count is what the part says, else what its type and measures expand to: an image
+the tiles of its pixels, audio its seconds, a document its pages. A turn is written
 
     <s>ROLE<m>CONTENT</s>\n
 
@@ -15,8 +16,9 @@ Only DataFrame and SQL functions. A conversation is one row of the result, so it
 row is made; turns are formatted before that, in parallel.
 
 Defined results: null roles, texts and part lists count as empty; turns are ordered by turn (null
-first), role, content, so repeated rows and ties have one order; null conv_id is a conversation; extra
-columns are not read; no rows give no rows.
+first), role, content before it is escaped, so repeated rows and ties have one order; null conv_id is a
+conversation; a text of any length is one turn, whole; a part without measures and count expands to 0 tokens; extra
+columns are not read, whatever their names; no rows give no rows.
 """
 
 from __future__ import annotations
@@ -27,7 +29,9 @@ from pyspark.sql import functions as F
 #: What stands for the characters that marks use.
 ESCAPES = (("\\", "\\0"), ("<", "\\1"), ("[", "\\2"))
 OPEN, MIDDLE, CLOSE = "<s>", "<m>", "</s>\n"
-PART = "array<struct<type:string,text:string,ref:string,tokens:bigint>>"
+PART = "array<struct<type:string,text:string,ref:string,tokens:bigint,width:bigint,height:bigint,length:double>>"
+#: Tokens of an image: a base and so many for each tile; of a second of audio; of a page.
+IMAGE_BASE, TILE_TOKENS, TILE_PIXELS, SECOND_TOKENS, PAGE_TOKENS = 85, 170, 512.0, 25, 600
 
 
 def escape(text: Column) -> Column:
@@ -44,31 +48,41 @@ def unescape(text: Column) -> Column:
 
 def text_parts(text: Column) -> Column:
     """A plain text as its list of parts."""
-    none = F.lit(None).cast("string")
-    return F.array(F.struct(F.lit("text").alias("type"), text.alias("text"), none.alias("ref"), F.lit(None).cast("long").alias("tokens"))).cast(PART)
+    return F.array(F.struct(F.lit("text").alias("type"), text.alias("text"), *[F.lit(None).alias(c) for c in ("ref", "tokens", "width", "height", "length")])).cast(PART)
 
 
-def attachments(parts: Column) -> Column:
-    """array<struct<number,type,ref,tokens>>: what is not text, in order."""
-    others = F.filter(parts, lambda p: ~p["type"].eqNullSafe("text"))
-    return F.transform(others, lambda p, i: F.struct(i.cast("long").alias("number"), F.coalesce(p["type"], F.lit("unknown")).alias("type"), p["ref"].alias("ref"), F.coalesce(p["tokens"], F.lit(0)).alias("tokens")))
+def expanded(part: Column) -> Column:
+    """Tokens of a part that is not text."""
+    tiles = F.ceil(part["width"] / TILE_PIXELS) * F.ceil(part["height"] / TILE_PIXELS)
+    rules = {"image": IMAGE_BASE + TILE_TOKENS * tiles, "audio": F.ceil(part["length"] * SECOND_TOKENS), "document": F.ceil(part["length"]) * PAGE_TOKENS}
+    return F.coalesce(part["tokens"], *[F.when(part["type"].eqNullSafe(kind), rule) for kind, rule in rules.items()], F.lit(0)).cast("long")
 
 
-def content(parts: Column) -> Column:
-    """Parts flattened to one string."""
-    is_text = lambda p: p["type"].eqNullSafe("text")
-    number = lambda i: F.size(F.filter(F.slice(parts, 1, i), lambda q: ~is_text(q)))
-    placeholder = lambda p, i: F.concat(F.lit("<"), escape(F.coalesce(p["type"], F.lit("unknown"))), F.lit(":"), number(i).cast("string"), F.lit(">"))
-    return F.array_join(F.transform(parts, lambda p, i: F.when(is_text(p), escape(F.coalesce(p["text"], F.lit("")))).otherwise(placeholder(p, i))), "")
+def visited(parts: Column) -> Column:
+    """struct<content, files>: parts flattened to one string, and array<struct<number,type,ref,tokens>> of what is
+    not text. One fold over the parts: each adds its piece, and its number is how many files there are so far."""
+    file = "array<struct<number:bigint,type:string,ref:string,tokens:bigint>>"
+    start = F.struct(F.array().cast("array<string>").alias("pieces"), F.array().cast(file).alias("files"))
+
+    def visit(seen: Column, part: Column) -> Column:
+        is_text, number = part["type"].eqNullSafe("text"), F.size(seen["files"]).cast("long")
+        kind = F.coalesce(part["type"], F.lit("unknown"))
+        placeholder = F.concat(F.lit("<"), escape(kind), F.lit(":"), number.cast("string"), F.lit(">"))
+        new = F.struct(number.alias("number"), kind.alias("type"), part["ref"].alias("ref"), expanded(part).alias("tokens"))
+        piece = F.when(is_text, escape(F.coalesce(part["text"], F.lit("")))).otherwise(placeholder)
+        return F.struct(F.concat(seen["pieces"], F.array(piece)).alias("pieces"), F.when(is_text, seen["files"]).otherwise(F.concat(seen["files"], F.array(new))).alias("files"))
+
+    return F.aggregate(parts, start, visit, lambda seen: F.struct(F.array_join(seen["pieces"], "").alias("content"), seen["files"].alias("files")))
 
 
 def format_chat(turns: DataFrame, parts: Column | None = None, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text", learn: tuple = ("assistant",)) -> DataFrame:
     """One row per conversation: conv_col, formatted, loss_mask array<struct<turn,start,end>>, attachments
     array<struct<turn,number,type,ref,tokens>>, expanded_tokens (of attachments). parts: a column of PART;
     left out, the text column is the only part."""
-    parts = text_parts(F.col(text_col)) if parts is None else F.coalesce(parts, F.array().cast(PART))
-    rows = turns.select(F.col(conv_col).alias("conv"), F.col(turn_col).alias("turn"), F.coalesce(role_col, F.lit("")).alias("role"), content(parts).alias("content"), attachments(parts).alias("files"))
-    rows = rows.groupBy("conv").agg(F.array_sort(F.collect_list(F.struct("turn", "role", "content", "files"))).alias("turns"))
+    parts = text_parts(F.col(f"`{text_col}`")) if parts is None else F.coalesce(parts, F.array().cast(PART))
+    plain = F.array_join(F.transform(parts, lambda p: F.coalesce(F.when(p["type"].eqNullSafe("text"), p["text"]).otherwise(p["type"]), F.lit(""))), "")
+    rows = turns.select(F.col(f"`{conv_col}`").alias("conv"), F.col(f"`{turn_col}`").alias("turn"), F.coalesce(F.col(f"`{role_col}`"), F.lit("")).alias("role"), plain.alias("plain"), visited(parts).alias("seen"))
+    rows = rows.groupBy("conv").agg(F.array_sort(F.collect_list(F.struct("turn", "role", "plain", F.col("seen.content").alias("content"), F.col("seen.files").alias("files")))).alias("turns"))
     head = lambda t: F.concat(F.lit(OPEN), escape(t["role"]), F.lit(MIDDLE))
     rows = rows.select(
         F.col("conv").alias(conv_col),

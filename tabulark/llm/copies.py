@@ -1,19 +1,25 @@
-"""Near copies by shingle sets: one row stays of what similarity of at least 0.8 connects.
+"""Near-dedup of a corpus: SimHash classes, completed by sets of five-word shingles.
 
-A text is the set of its shingles of five lower-cased words; two are near copies if the Jaccard similarity
-of their sets is at least 0.8. At that similarity 64-bit SimHash fingerprints of five-word shingles differ
-in some 10 bits and up to 20, too many for keys that lose no pair, so candidates come from MinHash:
+First, one row stays of what SimHash over five-word shingles links (three bits or fewer). But at a Jaccard
+similarity of 0.8, the least that a near copy has, 64-bit fingerprints differ in some 10 bits and up to 20, too
+many for keys that lose no pair. So what is left meets again as sets of its shingles, by candidates from MinHash:
 
 * 24 bands of 4 values each. A pair at 0.8 agrees in no band with probability (1 - 0.8^4)^24 = 3e-6,
-  less above. Rows are sorted by band key; equal sets cost one row.
+  less above. Equal sets cost one row.
 * 64 values, a byte of each, discard candidates of which fewer than 35 agree (at 0.8: 1e-6 or less).
-* what candidates connect meets in one task, as shingle sets, and is compared exactly.
-
-Long runs and components are searched breadth first, each text reached being compared with those not
-reached yet, so near copies of one text are not expanded into all their pairs.
-
-Defined results: null and blank texts are one set, the empty; fewer than five words are one shingle; of a
-component the row of the least id stays, nulls last, then by a hash of the row; equal rows are one.
+* candidates are compared as shingle sets, exactly.
+
+Buckets aren't held or expanded into pairs. In each round the first `hubs` rows of a bucket (in order of set
+digest) are compared with all that follow, which stream by; a row that proves alike to a hub goes. What is left
+of buckets, without the hubs, meets in the next round, with four times as many hubs: the first round (one hub)
+removes near copies of one text in a star, however many they are; later ones see what remains. Candidates meet
+their hub in SALT parts, so a hub of a third of all rows is compared in as many tasks. After the last round
+every pair that shares a bucket, and stays, has been compared.
+
+Defined results: null and blank texts are one set, the empty; fewer than five words are one shingle; of equal
+sets, and of a SimHash class, the row of the least id stays, nulls last, then by a hash of the row; equal rows
+are one; of two sets that are alike the one of the lesser digest stays, unless it goes for one that is less
+still; an empty table gives no rows; texts are read whole; extra columns stay, whatever their names.
 """
 
 from __future__ import annotations
@@ -26,26 +32,31 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import map_arrow, materialize, per_batch, raw_texts
-from .simhash import components
+from . import simhash
+from ._shared import bounded, discard, fresh, map_arrow, materialize, raw_texts
 
 SEED, WIDTH = 42, 5
 BANDS, DEEP, SKETCH, ALIKE = 24, 4, 64, 35
-SHORT_RUN, TILE = 16, 1 << 12
+SALT, TILE, ROWS = 64, 1 << 12, 256
 _draw = np.random.default_rng(SEED)
 MASKS, FACTORS = (_draw.integers(0, 1 << 64, BANDS * DEEP, np.uint64) for _ in range(2))
 FACTORS |= np.uint64(1)
 MIX = _draw.integers(0, 1 << 64, (BANDS, DEEP), np.uint64) | np.uint64(1)
 
 
-def shingle_set(raw: bytes, width: int = WIDTH) -> np.ndarray:
-    """Sorted distinct hashes."""
+def shingle_hashes(raw: bytes, width: int = WIDTH) -> np.ndarray:
+    """Hashes of all shingles in order, repeats included."""
     words = raw.lower().split()
     if not words:
         return np.zeros(0, np.uint64)
     shingles = map(b" ".join, zip(*(words[i:] for i in range(width)), strict=False)) if len(words) > width else [b" ".join(words)]
     digest = xxhash.xxh64_intdigest
-    return np.unique(np.fromiter((digest(s, SEED) for s in shingles), np.uint64))
+    return np.fromiter((digest(s, SEED) for s in shingles), np.uint64)
+
+
+def shingle_set(raw: bytes, width: int = WIDTH) -> np.ndarray:
+    """Sorted distinct hashes."""
+    return np.unique(shingle_hashes(raw, width))
 
 
 def least_values(hashes: np.ndarray) -> np.ndarray:
@@ -55,134 +66,138 @@ def least_values(hashes: np.ndarray) -> np.ndarray:
     return least
 
 
+def alike(a: np.ndarray, b: np.ndarray) -> bool:
+    """Similarity of at least 0.8; the empty set is like none but itself."""
+    common = len(np.intersect1d(a, b, assume_unique=True))
+    return 5 * common >= 4 * (len(a) + len(b) - common)
+
+
 def sketched(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, place, text, digest, keys, sketch): place hashes the row, digest the set."""
-
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        sets = [shingle_set(b) for b in raw_texts(batch.column(2))]
-        least = np.array([least_values(s) for s in sets])
-        keys = (least.reshape(-1, BANDS, DEEP) * MIX).sum(axis=2, dtype=np.uint64).view(np.int64)
-        sketch = ((least[:, :SKETCH] * MIX[0, 0]) >> np.uint64(56)).astype(np.uint8)
-        digest = np.array([xxhash.xxh64_intdigest(s.tobytes(), SEED) for s in sets], np.uint64).view(np.int64)
-        columns = [*batch.columns, pa.array(digest), pa.array(list(keys), pa.list_(pa.int64())), pa.array([s.tobytes() for s in sketch], pa.binary())]
-        return pa.RecordBatch.from_arrays(columns, ["id", "place", "text", "digest", "keys", "sketch"])
-
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(*docs.columns).alias("place"), F.col(text_col).alias("text"))
-    return map_arrow(rows, per_batch(run), "id long, place long, text string, digest long, keys array<long>, sketch binary")
-
-
-def _pairs_in(keys: np.ndarray, nodes: np.ndarray, sketch: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Edges that connect likely near copies within equal keys; keys are sorted and no run is cut."""
-    starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
-    sizes = np.diff(np.r_[starts, len(keys)])
-    size_of = np.repeat(sizes, sizes)
-    out_a, out_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    some = np.flatnonzero((size_of > 1) & (size_of <= SHORT_RUN))
-    for shift in range(1, min(SHORT_RUN, len(some))):
-        same = np.flatnonzero(keys[some[shift:]] == keys[some[:-shift]])
-        if not len(same):
-            break
-        a, b = some[same], some[same + shift]
-        hit = (sketch[a] == sketch[b]).sum(axis=1) >= ALIKE
-        out_a.append(nodes[a[hit]])
-        out_b.append(nodes[b[hit]])
-    for at, n in zip(starts[sizes > SHORT_RUN].tolist(), sizes[sizes > SHORT_RUN].tolist(), strict=True):
-        left = np.arange(at, at + n)
-        while len(left):
-            queue, left = [left[0]], left[1:]
-            root = queue[0]
-            while queue and len(left):
-                i = queue.pop()
-                hit = np.concatenate([(sketch[left[t : t + TILE]] == sketch[i]).sum(axis=1) >= ALIKE for t in range(0, len(left), TILE)])
-                near, left = left[hit], left[~hit]
-                queue.extend(near.tolist())
-                out_a.append(np.full(len(near), nodes[root]))
-                out_b.append(nodes[near])
-    return np.concatenate(out_a), np.concatenate(out_b)
-
-
-def candidates(nodes: DataFrame) -> DataFrame:
-    """Edges (u > v) that connect likely near copies, from (digest, keys, sketch) with distinct digests."""
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def emit() -> pa.RecordBatch:
-            a, b = _pairs_in(*(np.concatenate(c) for c in zip(*held, strict=True)))
-            return pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], ["u", "v"])
-
-        held = []
+    """(id, place, text, digest, fp, keys, sketch): place hashes the row, digest the set; fp is the SimHash."""
+    names = ["id", "place", "text", "digest", "fp", "keys", "sketch"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, ROWS):
+                part = batch.slice(at, ROWS)
+                sets, fps = [], []
+                for raw in raw_texts(part.column(2)):
+                    hashes = shingle_hashes(raw)
+                    fps.append(simhash.majority(hashes))
+                    sets.append(np.unique(hashes))
+                least = np.array([least_values(s) for s in sets])
+                keys = (least.reshape(-1, BANDS, DEEP) * MIX).sum(axis=2, dtype=np.uint64).view(np.int64)
+                sketch = ((least[:, :SKETCH] * MIX[0, 0]) >> np.uint64(56)).astype(np.uint8)
+                digest = np.array([xxhash.xxh64_intdigest(s.tobytes(), SEED) for s in sets], np.uint64).view(np.int64)
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(digest), pa.array(np.array(fps, np.uint64).view(np.int64)), pa.array(list(keys), pa.list_(pa.int64())), pa.array([s.tobytes() for s in sketch], pa.binary())], names)
+
+    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), place_of(docs).alias("place"), F.col(f"`{text_col}`").alias("text"))
+    return map_arrow(rows, run, "id long, place long, text string, digest long, fp long, keys array<long>, sketch binary")
+
+
+def place_of(docs: DataFrame):
+    return F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def compare_hubs(hubs: int):
+    """For rows (key, digest, sketch) sorted by key and digest: candidates (digest, hub) of the first `hubs` rows of
+    each key, and (key, digest, sketch) of all rows after those. Holds the hubs of one key only."""
+    names = ["key", "digest", "hub", "sketch"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, held_d, held_s = None, np.zeros(0, np.int64), np.zeros((0, SKETCH), np.uint8)
         for batch in batches:
             if not batch.num_rows:
                 continue
-            k, n, s = batch.column(0).to_numpy(), batch.column(1).to_numpy(), np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint8).reshape(-1, SKETCH)
-            cut = int(np.searchsorted(k, k[-1], "left"))  # the last run may go on in the next batch
-            if cut:
-                held.append((k[:cut], n[:cut], s[:cut]))
-            if held and (cut or held[-1][0][-1] != k[-1]):
-                yield emit()
-                held = []
-            held.append((k[cut:], n[cut:], s[cut:]))
-        if held:
-            yield emit()
-
-    keyed = nodes.select(F.explode("keys").alias("key"), "digest", "sketch")
-    return map_arrow(keyed.repartition(F.col("key")).sortWithinPartitions("key", "digest"), compare, "u long, v long").distinct()
-
-
-def connected(sets: list[np.ndarray]) -> np.ndarray:
-    """For each set the number of the first in its component; exact."""
-    sizes = np.array([len(s) for s in sets])
-    starts = np.cumsum(sizes) - sizes
-    _, codes = np.unique(np.concatenate(sets), return_inverse=True)
-    label, mark = np.full(len(sets), -1), np.zeros(codes.max() + 1, np.int32)
-    for root in range(len(sets)):
-        if label[root] >= 0:
-            continue
-        label[root], queue = root, [root]
-        while queue and len(left := np.flatnonzero(label < 0)):
-            i = queue.pop()
-            own = codes[starts[i] : starts[i] + sizes[i]]
-            mark[own] = 1
-            common = np.add.reduceat(mark[codes], starts)[left]
-            mark[own] = 0
-            near = left[5 * common >= 4 * (sizes[left] + sizes[i] - common)]
-            label[near] = root
-            queue.extend(near.tolist())
-    return label
-
-
-def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(digest, component) from (root, digest, text) sorted by root and digest."""
-
-    def emit(nodes: list[int], sets: list[np.ndarray]) -> pa.RecordBatch:
-        label = connected(sets)
-        return pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(np.array(nodes, np.int64)[label])], ["digest", "component"])
-
-    root, nodes, sets = None, [], []
+            keys, digests = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            sketches = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint8).reshape(-1, SKETCH)
+            starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+            edges, left = [], []
+            alone = np.diff(np.r_[starts, len(keys)]) == 1
+            alone[0] &= keys[0] != current
+            for a, b in zip(starts[~alone].tolist(), np.r_[starts, len(keys)][1:][~alone].tolist(), strict=True):
+                if keys[a] != current:
+                    current, held_d, held_s = keys[a], np.zeros(0, np.int64), np.zeros((0, SKETCH), np.uint8)
+                more = min(b - a, hubs - len(held_d))
+                held_d, held_s = np.r_[held_d, digests[a : a + more]], np.r_[held_s, sketches[a : a + more]]
+                for h in range(len(held_d)):  # rows are sorted: the hub of a pair is the lesser
+                    after = a + int(np.searchsorted(digests[a:b], held_d[h], "right"))
+                    hit = after + np.flatnonzero((sketches[after:b] == held_s[h]).sum(axis=1) >= ALIKE)
+                    edges.append(np.stack([digests[hit], np.full(len(hit), held_d[h])]))
+                left.append(np.arange(a + more, b))
+            if alone[-1]:
+                current, held_d, held_s = keys[-1], digests[-1:].copy(), sketches[-1:].copy()
+            pair = np.concatenate(edges, axis=1) if edges else np.zeros((2, 0), np.int64)
+            rest = np.concatenate(left) if left else np.zeros(0, np.int64)
+            n, m = pair.shape[1], len(rest)
+            yield pa.RecordBatch.from_arrays([pa.array(np.r_[np.zeros(n, np.int64), keys[rest]]), pa.array(np.r_[pair[0], digests[rest]]), pa.array(np.r_[pair[1], np.zeros(m, np.int64)], mask=np.r_[np.zeros(n, bool), np.ones(m, bool)]), pa.array([None] * n + [s.tobytes() for s in sketches[rest]], pa.binary())], names)
+
+    return run
+
+
+def _check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Digests that prove alike to their hub, from (hub, salt, member, text) sorted so, the hub's own row (null) first."""
+    own, key = None, None
     for batch in batches:
-        for r, d, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), raw_texts(batch.column(2)), strict=True):
-            if r != root and nodes:
-                yield emit(nodes, sets)
-                nodes, sets = [], []
-            if not nodes or nodes[-1] != d:
-                nodes.append(d)
-                sets.append(shingle_set(raw))
-            root = r
-    if nodes:
-        yield emit(nodes, sets)
-
-
-def drop(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+        found = []
+        for hub, salt, member, raw in zip(*(batch.column(i).to_pylist() for i in range(3)), raw_texts(batch.column(3)), strict=True):
+            if member is None:
+                own, key = shingle_set(raw), (hub, salt)
+            elif (hub, salt) == key and alike(own, shingle_set(raw)):
+                found.append(member)
+        yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64())], ["digest"])
+
+
+def proven(edges: DataFrame, texts: DataFrame) -> DataFrame:
+    """(digest) of those edges (digest, hub) whose sets are alike. texts: (digest, text), one row a digest."""
+    edges = edges.withColumn("salt", F.pmod(F.xxhash64("digest"), F.lit(SALT)).cast("int"))
+    members = edges.join(texts, "digest").select("hub", "salt", F.col("digest").alias("member"), "text")
+    owners = edges.select("hub", "salt").distinct().join(texts.select(F.col("digest").alias("hub"), "text"), "hub").select("hub", "salt", F.lit(None).cast("long").alias("member"), "text")
+    both = owners.unionByName(members).repartition("hub", "salt").sortWithinPartitions("hub", "salt", F.col("member").asc_nulls_first())
+    return map_arrow(both, _check, "digest long").distinct()
+
+
+def near_copies(nodes: DataFrame, base: DataFrame) -> DataFrame:
+    """(digest) of the sets that go. nodes: (digest, keys, sketch), one row a digest; base: (digest, text)."""
+    spark = base.sparkSession
+    rest = nodes.select(F.explode("keys").alias("key"), "digest", "sketch")
+    gone, tables, hubs = spark.createDataFrame([], "digest long"), [], 1
+    while True:
+        dealt = rest.repartition(F.col("key")).sortWithinPartitions("key", "digest")
+        found = materialize(map_arrow(dealt, compare_hubs(hubs), "key long, digest long, hub long, sketch binary"), "candidates")
+        edges = materialize(found.where("hub IS NOT NULL").select("digest", "hub").distinct(), "edges")
+        named = materialize(edges.select("digest").union(edges.select("hub")).distinct(), "named")
+        texts = materialize(base.select("digest", "text").join(bounded(named), "digest", "left_semi").dropDuplicates(["digest"]), "texts")
+        lost = materialize(proven(edges, texts), "near")
+        tables += [found, edges, named, texts, lost]
+        gone = gone.union(lost)
+        rest = found.where("hub IS NULL").select("key", "digest", "sketch").join(bounded(lost), "digest", "left_anti")
+        if not rest.groupBy("key").count().where("count > 1").limit(1).count():
+            break
+        hubs = 4 * hubs
+    out = materialize(gone.distinct(), "gone")
+    for t in tables:
+        discard(t)
+    return out
+
+
+def drop(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = 3) -> DataFrame:
     """docs without near copies."""
     base = materialize(sketched(docs, id_col, text_col), "sketches")
-    nodes = base.groupBy("digest").agg(F.first("keys").alias("keys"), F.first("sketch").alias("sketch"))
-    # as tables, small sides have a known size: what they pick is found without dealing all texts
-    members = materialize(components(candidates(nodes)).withColumnRenamed("u", "digest"), "members")
-    texts = base.select("digest", "text").join(members, "digest").select("root", "digest", "text")
-    found = materialize(map_arrow(texts.repartition(F.col("root")).sortWithinPartitions("root", "digest"), _verify, "digest long, component long"), "copies")
-    rows = base.select("digest", F.struct(F.col("id").isNull().alias("none"), "id", "place").alias("row")).join(found, "digest", "left").select("row", F.coalesce("component", "digest").alias("component"))
-    rows = materialize(rows, "components")
-    first = rows.groupBy("component").agg(F.min("row").alias("first"), F.count("*").alias("n"))
-    lost = rows.join(first.where("n > 1"), "component").where("row != first").select(F.col("row.id").alias("_id"), F.col("row.place").alias("_place")).distinct()
-    kept = docs.withColumn("_at", F.xxhash64(*docs.columns))
-    kept = kept.join(materialize(lost, "lost"), F.col(id_col).cast("long").eqNullSafe(F.col("_id")) & (F.col("_at") == F.col("_place")), "left_anti").select(docs.columns)
-    return kept.dropDuplicates() if rows.groupBy("row").count().where("count > 1").limit(1).count() else kept
+    row = F.struct(F.col("id").isNull().alias("none"), "id", "place")
+    roots = materialize(simhash.roots(base.select("fp").distinct(), radius), "roots")
+    sets = base.groupBy("digest", "fp").agg(F.min(row).alias("row"), F.first("keys").alias("keys"), F.first("sketch").alias("sketch"))
+    classes = sets.join(roots, "fp").groupBy("root").agg(F.min(F.struct("row", "digest", "keys", "sketch")).alias("least"))
+    nodes = materialize(classes.groupBy(F.col("least.digest").alias("digest")).agg(F.min("least.row").alias("row"), F.first("least.keys").alias("keys"), F.first("least.sketch").alias("sketch")), "sets")
+    gone = near_copies(nodes, base)
+    kept = nodes.select("digest", "row").join(bounded(gone), "digest", "left_anti").select(F.col("row.id").alias("_id"), F.col("row.place").alias("_place"))
+    rows = base.groupBy("id", "place").count()
+    rows = materialize(rows.join(kept.withColumn("_stays", F.lit(True)), F.col("id").eqNullSafe(F.col("_id")) & (F.col("place") == F.col("_place")), "left").select("id", "place", "count", F.col("_stays").isNotNull().alias("stays")), "rows")
+    lost = materialize(rows.where("NOT stays").select(F.col("id").alias("_id"), F.col("place").alias("_place")), "lost")
+    again = rows.where("stays AND count > 1").limit(1).count()
+    at = fresh(docs.columns, "_at")
+    out = docs.withColumn(at, place_of(docs))
+    out = out.join(bounded(lost), F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col("_id")) & (F.col(at) == F.col("_place")), "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    for t in (base, roots, nodes, gone, rows):
+        discard(t)
+    return out.dropDuplicates() if again else out

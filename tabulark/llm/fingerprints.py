@@ -9,11 +9,13 @@ is corrected for it: (matches / k - 2^-b) / (1 - 2^-b), within 0 and 1.
 
 To meet its neighbour in doc_id order, a document is sent to the range of ids it belongs to; the
 least of each range also goes to the range before (the very least to the last), so each range has
-all it needs. Texts cross the network once; ranges hold about `range_bytes` of text.
+all it needs. Texts cross the network once. Ranges hold about `range_bytes` of text, or more where there would be
+more than RANGES of them; rows of a range stream by, sorted, two at a time.
 
 Defined results: null texts count as empty; no words: the empty text's fingerprint (of the shingle
-""); fewer than five words: one shingle; null ids come last; rows with equal ids are ordered by text;
-a lone document is its own next.
+""); fewer than five words: one shingle; null ids come last; rows with equal ids, also null ones, share a range and
+are ordered by text; repeated rows follow each other; a lone document is its own next; an empty table gives no
+rows; texts of any length are read whole; extra columns are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -32,6 +34,7 @@ from ._shared import map_arrow, per_batch
 
 SEED = 0x5EED
 BINS, BITS, WIDTH = 256, 4, 5
+RANGE_BYTES, RANGES, ROWS = 4 << 20, 20_000, 256
 
 
 def shingle_hashes(raw: bytes, width: int = WIDTH) -> np.ndarray:
@@ -43,9 +46,9 @@ def shingle_hashes(raw: bytes, width: int = WIDTH) -> np.ndarray:
 
 
 @cache
-def probes(bins: int, attempts: int = 64) -> np.ndarray:
-    """Fixed bins to look at for each empty bin: row i, attempt by attempt."""
-    return np.random.default_rng(SEED).integers(0, bins, (bins, attempts))
+def probes(bins: int, turn: int, attempts: int = 64) -> np.ndarray:
+    """Fixed bins to look at for each empty bin: row i, attempt by attempt; turn 0 first, then turn 1, .."""
+    return np.random.default_rng([SEED, turn]).integers(0, bins, (bins, attempts))
 
 
 def signature(hashes: np.ndarray, bins: int = BINS) -> np.ndarray:
@@ -56,15 +59,13 @@ def signature(hashes: np.ndarray, bins: int = BINS) -> np.ndarray:
     least, filled = np.zeros(bins, np.uint64), np.zeros(bins, bool)
     least[where] = ordered[first] & ((np.uint64(1) << shift) - np.uint64(1))
     filled[where] = True
-    empty = np.flatnonzero(~filled)
-    if len(empty):
-        path = probes(bins)[empty]
+    empty, turn = np.flatnonzero(~filled), 0
+    while len(empty):  # some bin is filled, so every path ends
+        path = probes(bins, turn)[empty]
         hit = filled[path]
-        source = path[np.arange(len(empty)), hit.argmax(axis=1)]
-        lost = ~hit.any(axis=1)  # few bins filled: walk on from the last probe
-        for k in np.flatnonzero(lost):
-            source[k] = where[np.argmin((where.astype(np.int64) - path[k, -1]) % bins)]
-        least[empty] = least[source]
+        done = hit.any(axis=1)
+        least[empty[done]] = least[path[done, hit[done].argmax(axis=1)]]
+        empty, turn = empty[~done], turn + 1
     return least
 
 
@@ -91,7 +92,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         texts = batch.column(1).cast(pa.binary()).to_pylist()
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array([fingerprint(t or b"", bins, bits, width) for t in texts], pa.binary())], ["id", "fingerprint"])
 
-    out = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    out = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
     return map_arrow(out, per_batch(run), f"id {docs.schema[id_col].dataType.simpleString()}, fingerprint binary").withColumnRenamed("id", id_col)
 
 
@@ -101,12 +102,13 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - half] + following[:half]
 
 
-def compare_neighbours(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", range_bytes: int = 16 << 20) -> DataFrame:
+def compare_neighbours(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", range_bytes: int = RANGE_BYTES) -> DataFrame:
     """Per document: n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next."""
     last = (1 << 63) - 1
-    rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(last)).alias("id"), F.col(id_col).isNull().alias("no_id"), F.coalesce(text_col, F.lit("")).alias("text"))
+    id_, text = F.col(f"`{id_col}`"), F.col(f"`{text_col}`")
+    rows = docs.select(F.coalesce(id_.cast("long"), F.lit(last)).alias("id"), id_.isNull().alias("no_id"), F.coalesce(text, F.lit("")).alias("text"))
     total, n = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)), F.count("*")).first()
-    ranges = max(1, -(-total // range_bytes))
+    ranges = min(RANGES, max(1, -(-total // range_bytes)))
     cuts = rows.agg(F.percentile_approx("id", [i / ranges for i in range(1, ranges)], 10 * ranges)).first()[0] if ranges > 1 and n else []
     cuts = np.unique(np.array(cuts or [], np.int64))
 
@@ -115,13 +117,14 @@ def compare_neighbours(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     least = map_arrow(rows.select("id"), per_batch(place), "part int, id long").groupBy("part").agg(F.min("id").alias("id")).orderBy("part").collect()  # one row a range
     firsts = {r["id"]: least[i - 1]["part"] for i, r in enumerate(least)}  # the very least goes to the last range
+    known = np.array(sorted(firsts), np.int64)
     nothing = np.zeros(0, np.int32)
 
     def deal(batch: pa.RecordBatch) -> pa.RecordBatch:
         """Each row to its range, and rows with a range's least id to the range before as well."""
         ids = batch.column(0).to_numpy()
         parts = np.searchsorted(cuts, ids, "right").astype(np.int32)
-        again = np.flatnonzero(np.isin(ids, list(firsts))) if firsts else nothing
+        again = np.flatnonzero(np.isin(ids, known)) if firsts else nothing
         guests = np.array([firsts[i] for i in ids[again].tolist()], np.int32)
         both = pa.RecordBatch.from_arrays([pa.array(parts), pa.array(np.zeros(len(ids), bool)), *batch.columns], ["part", "guest", *batch.schema.names])
         extra = batch.take(pa.array(again))
@@ -140,15 +143,16 @@ def compare_neighbours(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             out.append((None if no_id else id_, len(text), hashlib.sha256(new.encode()).hexdigest(), own.hex(), fp.hex(), likeness(own, fp), likeness(own, next_print)))
 
         for batch in batches:
-            for part, guest, id_, no_id, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if held and held[0] != part:
-                    held = None  # what is left of that range has met its guest
-                own = fingerprint(text.encode())
-                if held:
-                    finish(held[1:], (text, own))
-                held = None if guest else (part, id_, no_id, text, own)
-            yield results(out)
-            out.clear()
+            for at in range(0, batch.num_rows, ROWS):
+                for part, guest, id_, no_id, text in zip(*(c.to_pylist() for c in batch.slice(at, ROWS).columns), strict=True):
+                    if held and held[0] != part:
+                        held = None  # what is left of that range has met its guest
+                    own = fingerprint(text.encode())
+                    if held:
+                        finish(held[1:], (text, own))
+                    held = None if guest else (part, id_, no_id, text, own)
+                yield results(out)
+                out.clear()
 
     names = ["id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
     types = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
@@ -158,6 +162,6 @@ def compare_neighbours(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
 
     dealt = map_arrow(rows, per_batch(deal), "part int, guest boolean, id long, no_id boolean, text string")
-    dealt = dealt.repartition(ranges, "part").sortWithinPartitions("part", "guest", "id", "no_id", "text")
+    dealt = dealt.repartitionById(ranges, F.col("part")).sortWithinPartitions("part", "guest", "id", "no_id", "text")
     out = map_arrow(dealt, walk, "id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
     return out.withColumnRenamed("id", id_col)

@@ -21,8 +21,7 @@ def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
-    return quality.measure(docs, quality.vocabulary_path()).drop("text", "lang")
+    return quality.measure(documents(spark, sf_dir))
 
 
 def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,7 +47,7 @@ def op8_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.find(documents(spark, sf_dir))
     joined = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
     count = lambda kind: F.size(F.filter("base_spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
-    return found.select("doc_id", *map(count, secrets.KINDS), F.sha2(joined("base_spans"), 256).alias("base_sha256"), joined("spans").alias("spans"), "n_oversized")
+    return found.select("doc_id", *map(count, secrets.KINDS), F.sha2(joined("base_spans"), 256).alias("base_sha256"), joined("spans").alias("spans"), "n_windowed")
 
 
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,19 +1,23 @@
 """Secret scans through layers of encoding.
 
 Base patterns are matched in the text as it stands. Then a worklist unwraps layers: percent and
-Unicode escapes and HTML character references are decoded in place; what runs of base64 or hex hold
-of readable text or of compressed streams (gzip, zlib, zstd) becomes layers of its own. Runs are also
-joined over line breaks, and decoded from each of their first four characters (two of hex), as a path or
-a word may touch the encoded part: stretches of 12 or more readable characters are kept.
-Every new layer is scanned and unwrapped in turn until none is left; layers seen before (by digest) are
-not entered again, so cycles end. Each character of a layer knows the interval of the original
+Unicode escapes and HTML character references are decoded in place; what runs of base64, hex or percent escapes
+hold of readable text or of compressed streams (gzip, zlib, zstd, raw deflate; all members or frames) becomes
+layers of its own. Runs are also joined over line breaks, and decoded from each of their first four characters
+(two of hex), as a path or a word may touch the encoded part: stretches of 12 or more readable characters are
+kept, in UTF-8 (of which ASCII is all that the patterns need, whatever other single-byte charset surrounds it)
+or UTF-16. Every new layer is scanned and unwrapped in turn until none is left; layers seen before (by place and
+digest) are not entered again, so cycles end. Each character of a layer knows the interval of the original
 that it came from, so what is found in any layer is reported as a span of the original text.
 
-A layer may be at most `most` code points (a decompression bomb would exceed any memory); one
-that is larger isn't entered, and the row says so in n_oversized. Texts themselves have no limit.
+All of a compressed stream maps to the one run that holds it. So a stream of more than `most` bytes is read in
+windows of that size, which overlap by OVERLAP: nothing in it goes unscanned, whatever its size, and memory stays
+bounded; n_windowed counts such streams. Only a compressed stream within it that is itself longer than a window
+is read no further than the window goes.
 
-Defined results: null and empty texts have no spans; each row of the input gives one row; spans
-that repeat (found in several layers) are listed once; extra columns are not read.
+Defined results: null and empty texts have no spans; each row of the input, repeated or with a null id, gives one
+row; spans that repeat (found in several layers) are listed once; texts of any length are scanned whole; an empty
+table gives no rows; extra columns are not read (find) or kept (redact), whatever their names.
 """
 
 from __future__ import annotations
@@ -23,6 +27,7 @@ import hashlib
 import html
 import re
 import zlib
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -31,7 +36,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import map_arrow, per_batch
+from ._shared import map_arrow
 
 KINDS = ("assign", "access", "hex")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
@@ -48,24 +53,39 @@ HEX_RUN = re.compile(r"[0-9A-Fa-f]{24,}")
 HEX_LINES = re.compile(rf"(?<![0-9A-Fa-f])[0-9A-Fa-f]++(?:{BREAK}[0-9A-Fa-f]++)++")
 #: Readable UTF-8 of 12 characters or more: no secret, and no layer that holds one, is shorter.
 STRETCH = re.compile(rb"(?:[\t\n\r\x20-\x7e]|[\xc2-\xdf][\x80-\xbf]|\xe0[\xa0-\xbf][\x80-\xbf]|[\xe1-\xec\xee\xef][\x80-\xbf]{2}|\xed[\x80-\x9f][\x80-\xbf]|\xf0[\x90-\xbf][\x80-\xbf]{2}|[\xf1-\xf3][\x80-\xbf]{3}|\xf4[\x80-\x8f][\x80-\xbf]{2}){12,}")
+#: The same in UTF-16, of either byte order.
+STRETCH_16 = ((re.compile(rb"(?:[\t\n\r\x20-\x7e]\x00){12,}"), "utf-16-le"), (re.compile(rb"(?:\x00[\t\n\r\x20-\x7e]){12,}"), "utf-16-be"))
 STREAM = re.compile(rb"\x1f\x8b|\x28\xb5\x2f\xfd|\x78[\x01\x5e\x9c\xda]")
-MOST = 1 << 24
+#: Percent escapes among the characters that need none.
+PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2}|[!-$&-~])*%[0-9A-Fa-f]{2}(?:%[0-9A-Fa-f]{2}|[!-$&-~])*")
+PERCENT_UNIT = re.compile(r"%[0-9A-Fa-f]{2}|.", re.DOTALL)
+MOST, OVERLAP, CHUNK, ROWS = 1 << 22, 1 << 16, 1 << 20, 256
 
 
 @dataclass
 class Layer:
-    """A text whose character i comes from [start[i], end[i]) of the original (None: itself)."""
+    """A text whose character i comes from [start[i], end[i]) of the original (None: itself), or, if whole is
+    given, all of which comes from that interval."""
 
     text: str
     start: np.ndarray | None = None
     end: np.ndarray | None = None
+    whole: tuple[int, int] | None = None
 
     def span(self, a: int, b: int) -> tuple[int, int]:
+        if self.whole:
+            return self.whole
         return (a, b) if self.start is None else (int(self.start[a:b].min()), int(self.end[a:b].max()))
 
-    def bounds(self) -> tuple[np.ndarray, np.ndarray]:
-        n = np.arange(len(self.text))
-        return (n, n + 1) if self.start is None else (self.start, self.end)
+    def part(self, text: str, lo: np.ndarray, hi: np.ndarray) -> Layer:
+        """A layer of text whose character i comes from characters lo[i] to hi[i] (inclusive) of this one."""
+        if self.whole:
+            return Layer(text, whole=self.whole)
+        return Layer(text, lo, hi + 1) if self.start is None else Layer(text, self.start[lo], self.end[hi])
+
+    def place(self) -> bytes:
+        first, last = self.whole or ((self.start[0], self.end[-1]) if self.start is not None and len(self.start) else (0, 0))
+        return b"%d:%d" % (first, last)
 
 
 def scan(text: str) -> list[tuple[str, int, int]]:
@@ -90,32 +110,85 @@ def readable(raw: bytes) -> str | None:
     return text if text and odd * 20 <= len(text) else None
 
 
-def inflate(raw: bytes, most: int) -> tuple[bytes, int] | None:
-    """A compressed stream's content and how many bytes it took; None if it is none. Raises OverflowError beyond most bytes."""
-    used = len(raw)
+def stretches(raw: bytes) -> Iterator[tuple[int, str, np.ndarray]]:
+    """Readable parts of raw: where each starts, its text, and the bytes of each character."""
+    for h in STRETCH.finditer(raw):
+        text = h.group().decode()
+        yield h.start(), text, np.ones(len(text), np.int64) if text.isascii() else np.array([len(c.encode()) for c in text])
+    if b"\x00" in raw:
+        for pattern, charset in STRETCH_16:
+            for h in pattern.finditer(raw):
+                yield h.start(), h.group().decode(charset), np.full(len(h.group()) // 2, 2)
+
+
+def inflated(raw: bytes) -> Iterator[tuple[bytes, int]]:
+    """Content of the compressed stream that raw begins with, all members or frames, in chunks; and how many bytes
+    of raw were read by then. What comes before an error counts: streams may be cut."""
     if raw[:4] == b"\x28\xb5\x2f\xfd":
         try:
-            with zstandard.ZstdDecompressor(max_window_size=1 << 27).stream_reader(raw) as stream:
-                out = stream.read(most + 1)
+            with zstandard.ZstdDecompressor(max_window_size=1 << 31).stream_reader(raw, read_across_frames=True) as stream:
+                while chunk := stream.read(CHUNK):
+                    yield chunk, len(raw)
         except zstandard.ZstdError:
-            return None
-    elif raw[:2] == b"\x1f\x8b" or raw[:1] == b"\x78" and len(raw) > 2 and (raw[0] << 8 | raw[1]) % 31 == 0:
+            return
+        return
+    left = raw
+    while left[:2] == b"\x1f\x8b" or left[:1] == b"\x78" and len(left) > 2 and (left[0] << 8 | left[1]) % 31 == 0:
+        stream = zlib.decompressobj(47)
         try:
-            stream = zlib.decompressobj(47)
-            out = stream.decompress(raw, most + 1)
-            used -= len(stream.unused_data)
+            while not stream.eof:
+                chunk = stream.decompress(left, CHUNK)
+                left = stream.unconsumed_tail
+                if not chunk and not left and not stream.eof:
+                    return  # cut short
+                yield chunk, len(raw) - len(stream.unused_data if stream.eof else left)
         except zlib.error:
-            return None
-    else:
-        return None
-    if len(out) > most:
-        raise OverflowError
-    return out, used
+            return
+        left = stream.unused_data.lstrip(b"\x00")
+
+
+def deflated(raw: bytes) -> Iterator[tuple[bytes, int]]:
+    """The same for raw deflate, which has no mark: only streams that end well count."""
+    stream, chunks, left = zlib.decompressobj(-15), [], raw
+    try:
+        while not stream.eof:
+            chunk = stream.decompress(left, CHUNK)
+            if not chunks and (len(chunk) < 12 or not STRETCH.search(chunk)):
+                return
+            chunks.append((chunk, len(raw)))
+            left = stream.unconsumed_tail
+            if not left and not stream.eof:
+                return
+            if len(chunks) > 4:  # no chance: it is a stream, and may be long
+                yield from chunks
+                chunks = [(b"", 0)]
+    except zlib.error:
+        return
+    for chunk, _ in chunks:
+        yield chunk, len(raw) - len(stream.unused_data)
+
+
+def windows(chunks: Iterator[tuple[bytes, int]], most: int) -> Iterator[tuple[list[str], int, int]]:
+    """Readable texts of a stream's content, in windows of at most about `most` bytes that overlap; how many bytes
+    were read by then; and the window's number. Each is followed by what it holds in windows of the next."""
+    held, used, number = b"", 0, 0
+    for chunk, used in chunks:
+        held += chunk
+        if len(held) >= most + OVERLAP:
+            yield texts_in(held), used, number
+            held, number = held[-OVERLAP:], number + 1
+    if held:
+        yield texts_in(held), used, number
+
+
+def texts_in(raw: bytes) -> list[str]:
+    text = readable(raw)
+    return [t for _, t, _ in stretches(raw)] if text is None else [text]
 
 
 def unescape(layer: Layer) -> Layer | None:
     """The layer with its escapes decoded in place; None if there are none."""
-    parts, starts, ends, done, (from_, to) = [], [], [], 0, (None, None)
+    parts, lows, highs, done = [], [], [], 0
     for m in ESCAPES.finditer(layer.text):
         run, pieces = m.group(), []
         if run[0] == "%":
@@ -134,25 +207,26 @@ def unescape(layer: Layer) -> Layer | None:
         elif run[0] == "&":
             pieces = [(c, 0, len(run)) for c in html.unescape(run)]
         else:
-            units = [(int(u[1] or u[2] or u[3], 16), u.start(), u.end()) for u in UNIT.finditer(run)]
-            while units:
-                code, a, b = units.pop(0)
-                if 0xD800 <= code < 0xDC00 and units and 0xDC00 <= units[0][0] < 0xE000:
-                    low, _, b = units.pop(0)
+            units, i = [(int(u[1] or u[2] or u[3], 16), u.start(), u.end()) for u in UNIT.finditer(run)], 0
+            while i < len(units):
+                code, a, b = units[i]
+                i += 1
+                if 0xD800 <= code < 0xDC00 and i < len(units) and 0xDC00 <= units[i][0] < 0xE000:
+                    low, _, b = units[i]
+                    i += 1
                     code = 0x10000 + (code - 0xD800 << 10) + (low - 0xDC00)
                 if code > 0x10FFFF or 0xD800 <= code < 0xE000:
                     code = 0xFFFD
                 pieces.append((chr(code), a, b))
-        if from_ is None:
-            from_, to = layer.bounds()
+        plain = np.arange(done, m.start())
         parts += [layer.text[done : m.start()], "".join(c for c, _, _ in pieces)]
-        starts += [from_[done : m.start()], np.array([from_[m.start() + a] for _, a, _ in pieces], np.int64)]
-        ends += [to[done : m.start()], np.array([to[m.start() + b - 1] for _, _, b in pieces], np.int64)]
+        lows += [plain, np.array([m.start() + a for _, a, _ in pieces], np.int64)]
+        highs += [plain, np.array([m.start() + b - 1 for _, _, b in pieces], np.int64)]
         done = m.end()
-    if from_ is None:
+    if not parts:
         return None
-    parts.append(layer.text[done:])
-    return Layer("".join(parts), np.concatenate([*starts, from_[done:]]), np.concatenate([*ends, to[done:]]))
+    rest = np.arange(done, len(layer.text))
+    return layer.part("".join([*parts, layer.text[done:]]), np.concatenate([*lows, rest]), np.concatenate([*highs, rest]))
 
 
 def decoded(chars: str, step: int) -> bytes:
@@ -164,72 +238,83 @@ def decoded(chars: str, step: int) -> bytes:
     return base64.b64decode(body + "=" * (-len(body) % 4))
 
 
+def streams(layer: Layer, raw: bytes, low: Callable[[int], int], high: Callable[[int], int], most: int, marked: bool, bare: list[int]) -> Iterator[tuple[Layer, bool]]:
+    """Layers from compressed streams in raw, whose byte j comes from characters low(j) to high(j) (inclusive) of the
+    layer: those with a mark, and unmarked ones that start at the bytes `bare`. Whether it is a first window more of a large stream."""
+    starts = [(h.start(), inflated) for h in STREAM.finditer(raw)] if marked else []
+    for start, reader in starts + [(j, deflated) for j in bare]:
+        begin = low(start)
+        for texts, used, number in windows(reader(raw[start:]), most):
+            span = layer.span(begin, high(start + max(1, used) - 1) + 1)
+            for i, text in enumerate(texts):
+                yield Layer(text, whole=span), number == 1 and not i
+
+
 def blobs(layer: Layer, most: int) -> tuple[list[Layer], int]:
-    """Layers from what runs hold of readable or compressed content; and how many were too large."""
-    found, oversized, bounds = [], set(), None
+    """Layers from what runs hold of readable or compressed content; and how many streams took several windows."""
+    found, windowed, text = [], 0, layer.text
     for lines, pattern, width, step in ((BASE64_LINES, BASE64, 4, 3), (HEX_LINES, HEX_RUN, 2, 1)):
-        runs = [m for m in lines.finditer(layer.text)] if "\n" in layer.text or "\r" in layer.text else []
-        for m in [*runs, *pattern.finditer(layer.text)]:
+        runs = [m for m in lines.finditer(text)] if "\n" in text or "\r" in text else []
+        for m in [*runs, *pattern.finditer(text)]:
             run = m.group().rstrip("=")
             chars = "".join(run.split())
-            # mixed case, a digit or a sign: spares plain words the attempt
-            if len(chars) < 4 * width or step == 3 and chars.isalpha() and (chars.islower() or chars.isupper() or chars.istitle()):
+            if len(chars) < 4 * width:
                 continue
             at = np.arange(m.start(), m.start() + len(run))
             if len(chars) < len(run):
                 at = at[[not c.isspace() for c in run]]
+            cuts = [0, *(i + 1 for i, c in enumerate(chars) if c in "/_-")] if step == 3 else [0]
             for phase in range(width):
                 raw = decoded(chars[phase:], step)
-                for hit in STREAM.finditer(raw):
-                    begin = int(at[phase + hit.start() // step * width + hit.start() % step])
-                    try:
-                        content = inflate(raw[hit.start() :], most)
-                    except OverflowError:
-                        oversized.add(begin)
-                        continue
-                    if content is None or (text := readable(content[0])) is None:
-                        continue
-                    last = hit.start() + content[1] - 1
-                    end = m.end() if last == len(raw) - 1 else int(at[phase + last // step * width + (last % step + 1 if step == 3 else 1)]) + 1
-                    a, b = layer.span(begin, end)
-                    found.append(Layer(text, np.full(len(text), a), np.full(len(text), b)))
-                text = readable(raw) if phase == 0 else None
-                for start, text in [(0, text)] if text is not None else [(h.start(), h.group().decode()) for h in STRETCH.finditer(raw)]:
-                    if bounds is None:
-                        bounds = layer.bounds()
-                    sizes = np.array([len(c.encode()) for c in text])
+                low = lambda j: int(at[phase + j // step * width + j % step])  # noqa: B023, E731
+                high = lambda j: m.end() - 1 if j == len(raw) - 1 else int(at[phase + j // step * width + (j % step + 1 if step == 3 else 1)])  # noqa: B023, E731
+                bare = [j for c in cuts if c >= phase and (c - phase) % width == 0 and (j := (c - phase) // width * step) < len(raw)]
+                for new, again in streams(layer, raw, low, high, most, True, bare):
+                    found.append(new)
+                    windowed += again
+                whole = readable(raw) if phase == 0 else None
+                for start, new, sizes in [(0, whole, np.array([len(c.encode()) for c in whole]))] if whole is not None else stretches(raw):
                     last = start + np.cumsum(sizes) - 1
                     first = last - sizes + 1
                     lo = phase + (first // step) * width + first % step
                     hi = phase + (last // step) * width + ((last % step) + 1 if step == 3 else 1)
-                    found.append(Layer(text, bounds[0][at[lo]], bounds[1][at[np.minimum(hi, len(at) - 1)]]))
-    return found, len(oversized)
+                    found.append(layer.part(new, at[lo], at[np.minimum(hi, len(at) - 1)]))
+    if "%" in text:
+        for m in PERCENT.finditer(text):
+            units = [u.span() for u in PERCENT_UNIT.finditer(m.group())]
+            raw = b"".join(bytes([int(m.group()[a + 1 : b], 16)]) if b - a == 3 else m.group()[a:b].encode() for a, b in units)
+            bare = [j for j, (a, b) in enumerate(units) if b - a == 3 and (not j or units[j - 1][1] - units[j - 1][0] == 1)]
+            for new, again in streams(layer, raw, lambda j: m.start() + units[j][0], lambda j: m.start() + units[j][1] - 1, most, True, bare):  # noqa: B023
+                found.append(new)
+                windowed += again
+            if b"\x00" in raw:
+                for start, new, sizes in stretches(raw):
+                    places = start + np.cumsum(sizes) - 1
+                    ends = np.array(units)
+                    found.append(layer.part(new, m.start() + ends[places - sizes + 1, 0], m.start() + ends[places, 1] - 1))
+    return found, windowed
 
 
 def spans_of(text: str, most: int = MOST) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]], int]:
-    """Base spans, all spans (both ordered by start, then kind), and how many layers were too large."""
+    """Base spans, all spans (both ordered by start, then kind), and how many streams were read in windows."""
     order = lambda s: (s[1], KINDS.index(s[0]), s[2])
     base = sorted(scan(text), key=order)
-    every, seen, work, oversized = set(base), {hashlib.sha256(text.encode()).digest()}, [Layer(text)], 0
+    every, seen, work, windowed = set(base), {hashlib.sha256(text.encode()).digest()}, [Layer(text)], 0
     while work:
         layer = work.pop()
         inner, large = blobs(layer, most)
-        oversized += large
+        windowed += large
         if (plain := unescape(layer)) is not None:
             inner.append(plain)
         for new in inner:
             # the same content at another place is another layer: its spans differ
-            place = b"" if new.start is None or not len(new.start) else b"%d:%d" % (new.start[0], new.end[-1])
-            digest = hashlib.sha256(place + b"/" + new.text.encode()).digest()
+            digest = hashlib.sha256(new.place() + b"/" + new.text.encode("utf-8", "surrogatepass")).digest()
             if digest in seen:
                 continue
             seen.add(digest)
-            if len(new.text) > most and len(new.text) > len(text):
-                oversized += 1
-                continue
             every.update((kind, *new.span(a, b)) for kind, a, b in scan(new.text))
             work.append(new)
-    return base, sorted(every, key=order), oversized
+    return base, sorted(every, key=order), windowed
 
 
 def joined(spans: list[tuple[str, int, int]]) -> str:
@@ -237,16 +322,20 @@ def joined(spans: list[tuple[str, int, int]]) -> str:
 
 
 def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", most: int = MOST) -> DataFrame:
-    """One row per document: id_col, base_spans and spans (array<struct<kind,start,end>>), n_oversized."""
+    """One row per document: id_col, base_spans and spans (array<struct<kind,start,end>>), n_windowed."""
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
 
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        rows = [spans_of(t or "", most) for t in batch.column(1).to_pylist()]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         listed = lambda spans: [{"kind": k, "start": a, "end": b} for k, a, b in spans]
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array([listed(r[0]) for r in rows], kind), pa.array([listed(r[1]) for r in rows], kind), pa.array([r[2] for r in rows], pa.int64())], ["id", "base_spans", "spans", "n_oversized"])
+        for batch in batches:
+            for at in range(0, batch.num_rows, ROWS):
+                part = batch.slice(at, ROWS)
+                rows = [spans_of(t or "", most) for t in part.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([listed(r[0]) for r in rows], kind), pa.array([listed(r[1]) for r in rows], kind), pa.array([r[2] for r in rows], pa.int64())], ["id", "base_spans", "spans", "n_windowed"])
 
     span = "array<struct<kind:string,start:bigint,end:bigint>>"
-    out = map_arrow(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), per_batch(run), f"id {docs.schema[id_col].dataType.simpleString()}, base_spans {span}, spans {span}, n_oversized long")
+    rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
+    out = map_arrow(rows, run, f"id {docs.schema[id_col].dataType.simpleString()}, base_spans {span}, spans {span}, n_windowed long")
     return out.withColumnRenamed("id", id_col)
 
 
@@ -264,10 +353,12 @@ def redact(docs: DataFrame, text_col: str = "text", most: int = MOST) -> DataFra
     """docs with every span in its text replaced by a mark; null stays null."""
     at = docs.columns.index(text_col)
 
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        texts = [t if t is None else redact_text(t, spans_of(t, most)[1]) for t in batch.column(at).to_pylist()]
-        columns = list(batch.columns)
-        columns[at] = pa.array(texts, pa.string())
-        return pa.RecordBatch.from_arrays(columns, batch.schema.names)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first in range(0, batch.num_rows, ROWS):
+                part = batch.slice(first, ROWS)
+                columns = list(part.columns)
+                columns[at] = pa.array([t if t is None else redact_text(t, spans_of(t, most)[1]) for t in part.column(at).to_pylist()], pa.string())
+                yield pa.RecordBatch.from_arrays(columns, part.schema.names)
 
-    return map_arrow(docs, per_batch(run), ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema))
+    return map_arrow(docs, run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema))

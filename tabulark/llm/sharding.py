@@ -4,16 +4,17 @@ Rows with equal texts form a group that no shard boundary may cut. Groups, large
 bin with the least remaining capacity that still takes them; a balanced tree (a treap over
 (remaining, bin)) finds it in logarithmic time. Groups of one size are packed as a run: the tightest bin
 takes as many as fit before the next is looked up, which is what one-by-one packing does too, so the
-driver handles the histogram of sizes and never the groups themselves. Sizes of 2^16 and more
-are rounded up to 16 significant bits, so the histogram has a bounded number of entries.
+driver handles the histogram of sizes and never the groups themselves. Sizes below 2^EXACT_BITS (2 MiB) are exact;
+larger ones are packed as if up to a 2^20th larger, so the histogram has a bounded number of entries.
 
-With a fixed number of shards the capacity is the least, found by bisection, at which no more bins are
-needed. A group larger than total / shards can't be balanced whole; it is split at row boundaries
-into pieces below that (the `bytes` law comes before indivisibility; only such groups are cut).
+With a fixed number of shards the capacity is the least, found by galloping up from the average and bisection, at
+which no more bins are needed. A group larger than total / shards can't be balanced whole; it is split at row
+boundaries into pieces below that (the `bytes` law comes before indivisibility; only such groups are cut).
 Law: `bytes`: sizes near equal. Slots are gapless from 0 in each shard, by two-level ranks.
 
 Defined results: null texts count as empty (size 1); equal texts incl. null and empty form one
-group; repeated rows are members like any other; an empty table has no rows; extra columns are not read.
+group; repeated rows, also of null ids, are members like any other; a text of any length is one row of one shard;
+an empty table has no rows; extra columns are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -23,9 +24,9 @@ import random
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._shared import materialize
+from ._shared import discard, materialize
 
-EXACT_BITS = 16
+EXACT_BITS = 21
 
 
 class Treap:
@@ -99,10 +100,13 @@ def best_fit_decreasing(runs: list[tuple[int, int]], capacity: int, bins: int |
 
 
 def pack(runs: list[tuple[int, int]], bins: int) -> tuple[int, list[tuple[int, int, int]]]:
-    """Least capacity at which best fit decreasing needs at most `bins` bins (by bisection), and the packing."""
+    """Least capacity found at which best fit decreasing needs at most `bins` bins, and the packing."""
     total = sum(s * n for s, n in runs)
-    low, high = max([0, -(-total // bins), *(s for s, _ in runs)]), max([total, 1])
-    best = best_fit_decreasing(runs, high, bins)
+    low = high = max([1, -(-total // bins), *(s for s, _ in runs)])
+    step, best = 1, best_fit_decreasing(runs, high, bins)
+    while best is None:  # a capacity of total takes all
+        low, high, step = high + 1, min(high + step, max(total, 1)), 2 * step
+        best = best_fit_decreasing(runs, high, bins)
     while low < high:
         middle = (low + high) // 2
         found = best_fit_decreasing(runs, middle, bins)
@@ -110,11 +114,11 @@ def pack(runs: list[tuple[int, int]], bins: int) -> tuple[int, list[tuple[int, i
             low = middle + 1
         else:
             high, best = middle, found
-    return high, best or []
+    return high, best
 
 
 def rounded(size):
-    """Column: size, up to 16 significant bits."""
+    """Column: size, up to EXACT_BITS significant bits."""
     unit = F.pow(F.lit(2.0), F.greatest(F.lit(0), F.floor(F.log2(size.cast("double"))) - (EXACT_BITS - 1))).cast("long")
     return (F.ceil(size / unit) * unit).cast("long")
 
@@ -122,9 +126,9 @@ def rounded(size):
 def shard(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", text_col: str = "text", fine: int = 256) -> DataFrame:
     """One row per document: id_col, size, text_crc32, law, shard, slot, grown_shard (null: not by key)."""
     spark = docs.sparkSession
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(F.col(id_col).alias("id"), (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("crc"), F.unhex(F.sha2(text, 256)).alias("digest"))
-    rows = materialize(rows, "rows")
+    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
+    rows = docs.select(F.col(f"`{id_col}`").alias("id"), (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("crc"), F.unhex(F.sha2(text, 256)).alias("digest"))
+    rows = materialize(rows.withColumn("deal", F.pmod(F.monotonically_increasing_id(), F.lit(fine)).cast("int")), "rows")
     groups = rows.groupBy("digest", "size").agg(F.count("*").alias("members"))
     total = rows.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
     # pieces of a group: one, unless it is larger than a shard's share
@@ -138,7 +142,7 @@ def shard(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", text_col: st
     cells = pieces.groupBy("bulk", "cell").agg(F.count("*").alias("n"))
     before = Window.partitionBy("bulk").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
     cells = cells.select("bulk", "cell", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
-    runs = [(r["bulk"], r["n"]) for r in pieces.groupBy("bulk").agg(F.count("*").alias("n")).collect()]  # bounded: sizes of 16 significant bits
+    runs = [(r["bulk"], r["n"]) for r in pieces.groupBy("bulk").agg(F.count("*").alias("n")).collect()]  # bounded: sizes of EXACT_BITS significant bits
     packed, spans, done = pack(runs, shards)[1], [], {}
     for bulk, number, n in packed:
         spans.append((bulk, done.get(bulk, 0), done.get(bulk, 0) + n, number))
@@ -150,14 +154,16 @@ def shard(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", text_col: st
     placed = ranked.join(plan, "bulk").select("digest", "piece", "per_piece", F.expr("filter(spans, s -> rank >= s.from and rank < s.to)[0].shard").alias("shard"))
     small = placed.groupBy("digest").agg(F.first("per_piece").alias("per_piece"), F.max(F.col("piece") + 1).alias("n_pieces"), F.sort_array(F.collect_list(F.struct("piece", "shard"))).alias("where"))
     # members of a cut group are dealt to its pieces by rank, in two levels as well
-    joined = rows.join(small.hint("merge"), "digest").withColumn("cell", F.pmod(F.xxhash64("id"), F.lit(fine)).cast("int"))
-    whole = joined.where("n_pieces = 1").select("id", "size", "crc", F.expr("where[0].shard").alias("shard"))
+    joined = rows.join(small.hint("merge"), "digest").withColumnRenamed("deal", "cell")
+    whole = joined.where("n_pieces = 1").select("id", "size", "crc", "cell", F.expr("where[0].shard").alias("shard"))
     cut = joined.where("n_pieces > 1")
     in_cell = cut.groupBy("digest", "cell").agg(F.count("*").alias("n"))
     in_cell = in_cell.select("digest", "cell", F.coalesce(F.sum("n").over(Window.partitionBy("digest").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("offset"))
     cut = cut.join(in_cell, ["digest", "cell"]).withColumn("rank", F.col("offset") + F.row_number().over(Window.partitionBy("digest", "cell").orderBy("id")) - 1)
-    cut = cut.select("id", "size", "crc", F.expr("where[int(rank div per_piece)].shard").alias("shard"))
-    dealt = materialize(whole.unionByName(cut).withColumn("cell", F.pmod(F.xxhash64("id"), F.lit(fine)).cast("int")), "dealt")
+    cut = cut.select("id", "size", "crc", "cell", F.expr("where[int(rank div per_piece)].shard").alias("shard"))
+    dealt = materialize(whole.unionByName(cut), "dealt")
+    discard(rows)
+    discard(pieces)
     slots = dealt.groupBy("shard", "cell").agg(F.count("*").alias("n"))
     slots = slots.select("shard", "cell", F.coalesce(F.sum("n").over(Window.partitionBy("shard").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("offset"))
     out = dealt.join(slots, ["shard", "cell"]).withColumn("slot", F.col("offset") + F.row_number().over(Window.partitionBy("shard", "cell").orderBy("id", "crc")) - 1)

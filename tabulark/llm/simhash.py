@@ -9,20 +9,24 @@ Search. Every distinct fingerprint x gets its Hamming distances to reference fin
 
 * an anchor and, for each bit j, the anchor with bit j flipped. The offsets
   d(x, flipped_j) - d(x, anchor) of a group of such pivots depend on the bits of that group
-  alone. The 64 pivots form five groups; two fingerprints at distance <= 3 touch at most three
-  of them, so they have the same offsets in some *pair* of groups (10 pairs). The offsets of a
-  pair are the bucket key: no pair of texts is lost, and a bucket holds about n / 2^25 others.
+  alone. The 64 pivots form six groups; two fingerprints at distance <= 3 differ in at most three
+  of them, so they have the same offsets in some *three* groups (20 choices). The offsets of three
+  groups are the bucket key: no pair of texts is lost, and a bucket holds about n / 2^32 others.
 * `spread` pivots at random. |d(x,p) - d(y,p)| <= d(x,y) for each, so pairs in a bucket whose
   largest coordinate difference is over the radius are discarded; survivors are verified.
 
-A bucket of m near copies is not expanded into m^2 pairs: long runs are reduced in place to a
-spanning forest (a star for each local component), compared in tiles, so rows out stay linear
-and memory is bounded by the tile. Components are then joined up by alternating large-star and
-small-star steps on tables in the shared folder.
+Random pivots alone can't give the buckets: distances to them lie within 32 +- 4, so a cell as wide as the
+radius allows holds a quarter of all fingerprints in each coordinate and must be probed with its neighbours.
+
+A bucket of m near copies is not expanded into m^2 pairs: long runs are reduced to a spanning forest (a star
+for each local component), so rows out stay linear. A task holds one bucket at a time, 8 bytes for each distinct
+fingerprint that has half of its bits in common with the others; copies are one. Components are then joined
+up by alternating large-star and small-star steps on tables in the shared folder.
 
 Defined results: null and blank texts have fingerprint zero and link like any other; fewer than
-`width` words hash as one shingle; repeated rows each get a row; a null doc_id is ignored in the
-minimum (a component of nulls alone has a null id); extra input columns are not read.
+`width` words hash as one shingle; texts of any length are read whole; repeated rows each get a row; a null
+doc_id is ignored in the minimum (a component of nulls alone has a null id); an empty table gives no rows;
+extra input columns are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -39,8 +43,8 @@ from pyspark.sql import functions as F
 from ._shared import discard, map_arrow, materialize, per_batch, raw_texts
 
 SEED = 42
-#: Bits of the five pivot groups.
-GROUPS = (13, 13, 13, 13, 12)
+#: Bits of the six pivot groups, of which three are equal.
+GROUPS, EQUAL = (11, 11, 11, 11, 10, 10), 3
 ANCHOR = 0x9E3779B97F4A7C15
 #: Runs longer than this become stars in place instead of being listed pair by pair.
 SHORT_RUN = 16
@@ -56,7 +60,11 @@ def fingerprint(raw: bytes, width: int = 3) -> int:
     else:
         shingles = map(b" ".join, zip(*(words[i:] for i in range(width)), strict=False))
     digest = xxhash.xxh64_intdigest
-    hashes = np.fromiter((digest(s, SEED) for s in shingles), np.uint64)
+    return majority(np.fromiter((digest(s, SEED) for s in shingles), np.uint64))
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The number whose bits are set where over half of the hashes have them set."""
     counts, step = np.zeros(64, np.int64), 1 << 16
     for at in range(0, len(hashes), step):
         part = hashes[at : at + step]
@@ -71,7 +79,7 @@ def with_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         fps = np.array([fingerprint(b, width) for b in raw_texts(batch.column(1))], np.uint64).view(np.int64)
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps)], ["id", "fp"])
 
-    return map_arrow(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")), per_batch(run), "id long, fp long")
+    return map_arrow(docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text")), per_batch(run), "id long, fp long")
 
 
 def pivots(spread: int) -> tuple[np.ndarray, np.ndarray]:
@@ -85,14 +93,14 @@ def distances(fps: np.ndarray, to: np.ndarray) -> np.ndarray:
 
 
 def bucket_keys(fps: np.ndarray) -> np.ndarray:
-    """(n, 10) keys: offsets of two pivot groups, packed, with the number of the pair on top."""
+    """(n, 20) keys: offsets of three pivot groups, packed, with the number of the choice on top."""
     table = distances(fps, pivots(0)[0])
     nearer = table[:, 1:] < table[:, :1]
     packed, at = [], 0
     for bits in GROUPS:
         packed.append(nearer[:, at : at + bits] @ (1 << np.arange(bits, dtype=np.int64)))
         at += bits
-    return np.stack([(k << 40) | (packed[a] << 20) | packed[b] for k, (a, b) in enumerate(combinations(range(len(GROUPS)), 2))], axis=1)
+    return np.stack([(k << 33) | (packed[a] << 22) | (packed[b] << 11) | packed[c] for k, (a, b, c) in enumerate(combinations(range(len(GROUPS)), EQUAL))], axis=1)
 
 
 def _survivors(x: np.ndarray, y: np.ndarray, tx: np.ndarray, ty: np.ndarray, radius: int) -> np.ndarray:
@@ -160,8 +168,8 @@ def _links_in(keys: np.ndarray, fps: np.ndarray, radius: int, spread: int) -> tu
 
 def links(nodes: DataFrame, radius: int = 3, spread: int = 32) -> DataFrame:
     """Edges (u > v) that connect what is linked, from a column fp of distinct fingerprints."""
-    if not 0 <= radius <= len(GROUPS) - 2:
-        raise ValueError("radius must be 0 to 3: two of five pivot groups must stay equal")
+    if not 0 <= radius <= len(GROUPS) - EQUAL:
+        raise ValueError("radius must be 0 to 3: three of six pivot groups must stay equal")
 
     def spread_out(batch: pa.RecordBatch) -> pa.RecordBatch:
         fps = batch.column(0).to_numpy().view(np.uint64)
@@ -221,12 +229,17 @@ def components(edges: DataFrame) -> DataFrame:
     return spark.createDataFrame([], "u long, root long") if not state else out.unionByName(out.select(F.col("root").alias("u"), "root").distinct())
 
 
+def roots(nodes: DataFrame, radius: int = 3, spread: int = 32) -> DataFrame:
+    """(fp, root): what links connect has one root. nodes: distinct fingerprints fp."""
+    found = components(links(nodes, radius, spread))
+    return nodes.join(found, nodes.fp == found.u, "left").select("fp", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, radius: int = 3, spread: int = 32) -> DataFrame:
     """One row per document: id_col, fingerprint (16 hex digits), component_id."""
     base = materialize(with_fingerprints(docs, id_col, text_col, width), "fingerprints")
-    nodes = base.groupBy("fp").agg(F.min("id").alias("least"))
-    roots = components(links(nodes, radius, spread))
-    joined = nodes.join(roots, nodes.fp == roots.u, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    joined = materialize(joined, "classes")
+    nodes = materialize(base.groupBy("fp").agg(F.min("id").alias("least")), "nodes")
+    joined = materialize(nodes.join(roots(nodes.select("fp"), radius, spread), "fp"), "classes")
+    discard(nodes)
     classes = joined.join(joined.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("fp", "component_id")
     return base.join(classes, "fp").select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

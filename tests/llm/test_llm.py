@@ -3,7 +3,9 @@
 import base64
 import gzip
 import hashlib
+import json
 import random
+import time
 import zlib
 from collections import Counter, defaultdict
 from math import log10
@@ -12,9 +14,12 @@ from urllib.parse import quote
 import corpus_pipeline
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
+import sentencepiece
 import tiktoken
 import xxhash
+import zstandard
 from pyspark.sql import functions as F
 
 from tabulark.llm import bpe, chat, copies, fingerprints, lm, mixing, quality, queries, secrets, sharding, simhash, toxicity
@@ -43,11 +48,19 @@ def test_bpe_equals_the_library(documents):
     library = tiktoken.Encoding("own", pat_str=__import__("public_tokenizers").PATTERN, mergeable_ranks=own.ranks, special_tokens={})
     rng, letters = random.Random(1), " '\n\t  abstremvld'''12é世!?. ßАя 😀\x1cᲉ\u3000\x85"
     texts = ["".join(rng.choice(letters) for _ in range(rng.randrange(60))) for _ in range(3000)] + [d[1] for d in documents] + ["", "a" * 3000, " " * 999, "ab1" * 999, "'s" * 99, "don't  I'll\n\n x "]
-    for text, (offsets, ids) in zip(texts, own.encode_batch(texts), strict=True):
-        assert ids.tolist() == library.encode_ordinary(text)
-        assert own.decode(ids) == text.encode() and offsets[-1] == len(text)
-    points = np.append(np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32), bpe.SENTINEL).astype(np.uint32)
-    assert (bpe.token_starts(points) == bpe.token_starts(points, 777)).all()
+    for window, some in ((bpe.WINDOW, texts), (7, texts[:1500]), (50, texts[:600] + texts[-10:]), (777, texts[2900:3100])):
+        for text, (offsets, ids, places) in zip(some, own.encode_batch(some, window), strict=True):
+            assert ids.tolist() == library.encode_ordinary(text)
+            assert b"".join(own.decoded(ids, offsets, places, window)) == text.encode() and offsets[-1] == len(text)
+            if text:
+                start = rng.randrange(len(text))
+                end = rng.randrange(start, len(text))
+                at, raw = own.decode_stretch(ids, offsets, places, start, end)
+                assert at <= start and text[at:].startswith(raw.decode()) and at + len(raw.decode()) >= end
+    small = bpe.Merged(own.ranks, 5000)  # a cache that overflows all the time
+    slices = [f" w{i}".encode() for i in range(400)]
+    assert small.of(slices) == bpe.Merged(own.ranks).of(slices) and small.held <= 5000
+    assert all(x == y for x, y in zip(small.of(slices[:20]), bpe.Merged(own.ranks).of(slices[:20]), strict=True))
 
 
 def brute_components(fps, ids):
@@ -69,9 +82,9 @@ def brute_components(fps, ids):
     return [min(least[find(i)], default=None) for i in range(len(fps))]
 
 
-def brute_fingerprint(text):
+def brute_fingerprint(text, width=3):
     w = [x.decode() for x in words(text)]
-    shingles = [" ".join(w[i : i + 3]) for i in range(len(w) - 2)] or ([" ".join(w)] if w else [])
+    shingles = [" ".join(w[i : i + width]) for i in range(len(w) - width + 1)] or ([" ".join(w)] if w else [])
     h = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
     return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
 
@@ -93,6 +106,7 @@ def test_simhash_long_runs():
     assert len(a) == len(fps) - len(set(brute_components([int(x) for x in fps], range(len(fps)))))
     i, j = np.where(np.triu(np.bitwise_count(fps[:, None] ^ fps[None, :]) <= 3, 1))
     keys = simhash.bucket_keys(fps)
+    assert keys.shape[1] == 20 and len(np.unique(keys >> 33)) == 20
     assert len(i) and (keys[i] == keys[j]).any(axis=1).all()
 
 
@@ -110,7 +124,91 @@ def test_secret_layers():
     assert ("assign", at, len(text)) in secrets.spans_of(text)[1]
     assert secrets.spans_of("secret: token: abcdefgh12")[0] == [] and secrets.spans_of("")[1] == []
     assert secrets.spans_of("to\u212aen=abcdefgh12")[0] == []  # letters of ASCII only
-    assert secrets.spans_of(base64.b64encode(gzip.compress(b"a" * 100000)).decode(), 1000)[2] == 1
+    large = f"{'ab cd ' * 9000}{assigned} {'ef gh ' * 9000}"
+    found = secrets.spans_of(base64.b64encode(gzip.compress(large.encode())).decode(), 1000)
+    assert found[2] >= 1 and "assign" in {k for k, _, _ in found[1]}  # read in windows, all of it
+    size = 20_000
+    began = time.process_time()
+    secrets.spans_of("\\u0061" * size)
+    once = time.process_time() - began
+    secrets.spans_of("\\u0061" * 8 * size)
+    assert time.process_time() - began - once < 30 * once + 1  # linear
+
+
+def test_secret_streams():
+    key, assigned = "AKIA" + "Z9" * 8, "password=abcdefgh1234"
+    plain = f"x {key} {assigned} y".encode()
+    b64 = lambda raw: base64.b64encode(raw).decode()
+    rng, z = random.Random(5), zstandard.ZstdCompressor()
+    noise = bytes(rng.randrange(256) for _ in range(3000))
+
+    def bare(raw):
+        packer = zlib.compressobj(9, zlib.DEFLATED, -15)
+        return packer.compress(raw) + packer.flush()
+
+    cases = [b64(gzip.compress(b"nothing is here") + gzip.compress(plain)), b64(z.compress(b"nothing is here") + z.compress(plain)), b64(zlib.compress(b"nothing is here") + zlib.compress(plain))]
+    cases += [b64(gzip.compress("é è ".encode("latin-1") * 20 + plain)), b64(gzip.compress(noise + plain + noise)), b64(gzip.compress(plain + noise))[:-400]]
+    cases += [b64(plain.decode().encode(c)) for c in ("utf-16-le", "utf-16-be")] + [b64(gzip.compress(plain.decode().encode("utf-16")))]
+    cases += [quote(gzip.compress(plain)), quote(bare(plain + b" and more of the same")), b64(bare(plain * 2)), bare(plain * 2).hex(), "https://h/abc/x/" + b64(bare(plain * 2)), "internationalization/" + b64(plain)]
+    cases += [base64.encodebytes(gzip.compress(plain + noise)).decode(), b64(gzip.compress(b64(zlib.compress(quote(plain, safe="").encode())).encode()))]
+    for text in cases:
+        text = f"before {text} after"
+        every = secrets.spans_of(text)[1]
+        assert {"access", "assign"} <= {k for k, a, b in every if a >= 6 and b <= len(text) - 5}, text[:80]
+        assert not {"access", "assign"} & {k for k, _, _ in secrets.spans_of(secrets.redact_text(text, every))[1]}, text[:80]
+
+
+def brute_base(text):
+    """Base spans by looking at each place in turn."""
+    found, n = [], len(text)
+    run = lambda at, allowed: next((i for i in range(at, n) if text[i] not in allowed), n)
+    upper, digits = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+    at = 0
+    while at < n:
+        end = run(at + 4, upper + digits) if text.startswith("AKIA", at) else at
+        if end - at >= 5:
+            found += [("access", at, end)] * (end - at >= 16)
+            at = end
+        else:
+            at += 1
+    at = 0
+    while at < n:
+        end = run(at, digits + "abcdef")
+        found += [("hex", at, end)] * (end - at >= 32)
+        at = max(end, at + 1)
+    at, folded = 0, "".join(c.lower() if c in upper else c for c in text)
+    while at < n:
+        name = next((w for w in ("password", "passwd", "secret", "token", "apikey", "api_key") if folded.startswith(w, at)), None)
+        end = at
+        if name:
+            i = at + len(name)
+            for quoted in (2, 1):  # quotes may be there or not
+                j = i + (quoted == 2 and text[i : i + 1] in ("'", '"') and text[i : i + 1] != "")
+                j = run(j, " ")
+                if text[j : j + 1] and text[j : j + 1] in ":=":
+                    j = run(j + 1, " ")
+                    j += text[j : j + 1] != "" and text[j : j + 1] in "'\""
+                    value = run(j, upper + upper.lower() + digits + "+/_.=-")
+                    if value > j:
+                        end = value
+                        found += [("assign", at, end)] * (value - j >= 8)
+                        break
+        at = max(end, at + 1)
+    return sorted(found, key=lambda s: (s[1], secrets.KINDS.index(s[0]), s[2]))
+
+
+def test_secret_base_by_brute_force(documents):
+    rng, letters = random.Random(8), ["password", "SECRET", "api_key", "Token", "passwd", "apikey", "=", ":", " ", '"', "'", "AKIA", "Z9Z9Z9Z9", "0123456789abcdef", "f00d", "x", "\n", "+/"]
+    for text in [d[1] for d in documents] + ["".join(rng.choice(letters) for _ in range(40)) for _ in range(400)]:
+        assert secrets.spans_of(text)[0] == brute_base(text), text
+
+
+def test_secret_query_columns(spark, documents):
+    got = {r["doc_id"]: r for r in queries.op8_secret_scans(spark, DATA).collect()}
+    for i, text, _ in documents:
+        base, every, _ = secrets.spans_of(text)
+        assert base == brute_base(text) and got[i]["spans"] == secrets.joined(every) and got[i]["base_sha256"] == hashlib.sha256(secrets.joined(base).encode()).hexdigest()
+        assert tuple(got[i][f"n_{k}"] for k in secrets.KINDS) == tuple(sum(s[0] == k for s in base) for k in secrets.KINDS)
 
 
 def test_secret_runs():
@@ -146,13 +244,22 @@ def test_fingerprints_of_neighbours(spark, documents):
     ordered = sorted(rows, key=lambda r: (r[0] is None, r[0] or 0))
     got = {r["doc_id"]: r for r in fingerprints.compare_neighbours(spark.createDataFrame(rows, "doc_id long, text string"), range_bytes=20_000).collect()}
     assert len(got) == len(rows)
+    errors = []
     for (i, text), (_, following) in zip(ordered, ordered[1:] + ordered[:1], strict=True):
         text, following = text or "", following or ""
         new = text[: len(text) - len(text) // 2] + following[: len(text) // 2]
         assert got[i]["edited_sha256"] == hashlib.sha256(new.encode()).hexdigest() and got[i]["n_chars"] == len(text)
         for name, other in (("near_edited", new), ("near_next", following)):
             x, y = (set(fingerprints.shingle_hashes(t.encode()).tolist()) for t in (text, other))
-            assert abs(got[i][name] - len(x & y) / len(x | y)) < 0.2
+            j = len(x & y) / len(x | y)
+            errors.append((got[i][name] - j, (j * (1 - j) + 1 / 16) / fingerprints.BINS, min(len(x), len(y))))
+    # three standard errors of as many independent bins; texts of few shingles fill few bins, which then repeat
+    wide = [abs(e) > 3 * v**0.5 for e, v, n in errors if n >= 300]
+    assert len(wide) > 20 and sum(wide) <= 0.05 * len(wide) and abs(np.mean([e for e, _, n in errors if n >= 300])) < 0.01
+    few = fingerprints.shingle_hashes(b"a b c d e f g")
+    least = fingerprints.signature(few)
+    assert len(few) == 3 and len(set(least.tolist())) == 3  # every bin copies a filled one ..
+    assert min(Counter(least.tolist()).values()) > 40  # .. by hash: none is preferred
     assert fingerprints.compare_neighbours(spark.createDataFrame([], "doc_id long, text string")).count() == 0
     assert fingerprints.compare_neighbours(spark.createDataFrame([(7, "alone here")], "doc_id long, text string")).first()["near_next"] == 1.0
 
@@ -171,15 +278,42 @@ def test_quality_base_rules(spark, odd, documents):
         n, symbols, dups, repeat, failed = quality.base_measures(raw, w)
         assert (n, dups, repeat) == (len(w), dup, len(covered)) and symbols == sum(raw.count(c.encode()) for c in "#*$%&|<>")
         assert failed == (n < 50 or 100 * repeat > 50 * n)
-    out = quality.measure(odd.drop("extra"), quality.vocabulary_path())
-    assert out.count() == len(ODD) and out.where("kept AND base_failed").count() == 0
-    assert quality.keep(odd, quality.vocabulary_path()).columns == odd.columns
+    clash = odd.selectExpr("*", "1 AS kept", "'x' AS script", "2 AS n_words", "3 AS _quality")
+    out = quality.measure(clash)
+    assert out.count() == len(ODD) and out.where("kept AND base_failed").count() == 0 and out.columns[:2] == ["doc_id", "n_words"]
+    assert quality.keep(clash).columns == clash.columns and quality.keep(clash).where("kept = 1 AND script = 'x'").count() == out.where("kept").count()
+    assert quality.measure(odd.limit(0)).count() == 0
     labels = {r[0]: r[1] for r in spark.read.parquet(f"{DATA}/labels.parquet").select("doc_id", "quality").collect()}
     clean = [d for d in documents if labels.get(d[0]) == 1]
-    measured = quality.measure(spark.createDataFrame(clean, "doc_id long, text string, lang string"), quality.vocabulary_path()).where("NOT base_failed")
+    measured = quality.measure(spark.createDataFrame(clean, "doc_id long, text string, lang string")).where("NOT base_failed")
     assert measured.where("NOT kept").count() <= 0.02 * measured.count()
 
 
+def test_fertility_by_hand():
+    """Word by word with the libraries themselves."""
+    import public_tokenizers
+
+    paths = quality.vocabulary_paths()
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(paths[quality.BYTES], "rb"))}
+    multi = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    piece = sentencepiece.SentencePieceProcessor(model_file=paths[quality.PIECES])
+    for text, script in (("The man was walking, walking down the street café \U0001f600", "latin"), ("Человек шёл по улице по улице", "cyrillic"), ("Ο άντρας περπατούσε στο δρόμο", "greek"), ("кот 12 ქართული ენა ქართული", "other"), ("그 남자가 거리를 걷고 있을 때", "cjk"), ("वह आदमी सड़क पर", "indic"), ("كان الرجل يمشي", "semitic"), ("12 34", "none")):
+        w = text.split()
+        if quality.RULES[script][0] == quality.PIECES:
+            tokens = [i for x in w for i in piece.encode(x)]
+            single = sum(piece.is_byte(i) for i in tokens)
+        else:
+            tokens = [i for x in w for i in multi.encode_ordinary(" " + x)]
+            single = sum(len(b := multi.decode_single_token_bytes(i).strip()) == 1 and b[0] >= 0x80 for i in tokens)
+        counts = np.array(list(Counter(tokens).values())) / len(tokens)
+        want = (sum(map(len, w)), len(tokens), sum(map(len, w)) / len(tokens), single / len(tokens), -(counts * np.log2(counts)).sum() / np.log2(len(tokens)), script)
+        got = quality.fertility([x.encode() for x in w], paths)
+        assert got[5] == script and np.allclose(got[:5], want[:5]), (got, want)
+    own = quality.Vocabulary(paths[quality.PIECES], 3000)  # a cache that overflows
+    listed = [f"wort{i}".encode() for i in range(50)]
+    assert own.pieces(listed) == quality.Vocabulary(paths[quality.PIECES]).pieces(listed) and own.held <= 3000
+
+
 def test_lm(spark, documents):
     rows = [(d[0], d[1]) for d in documents] + [(None, None), (100000, "unheard-of words")]
     got = lm.score_documents(spark.createDataFrame(rows, "doc_id long, text string"), block_bytes=100_000).collect()
@@ -246,6 +380,8 @@ def test_sharding(spark, documents, odd):
         loads[r["shard"]] += r["size"]
         slots[r["shard"]].append(r["slot"])
         homes[r["text_crc32"], r["size"]].add(r["shard"])
+    assert sum(len(h) > 1 for h in homes.values()) == 1 and len(homes[max(homes, key=lambda k: len(homes[k]))]) > 1  # only the hot group is cut
+    assert all(len(homes[zlib.crc32(d[1].encode()), len(d[1].encode()) + 1]) == 1 for d in documents)
     assert max(loads.values()) - min(loads.values()) <= 0.02 * sum(loads.values()) / 8 and set(loads) == set(range(8))
     assert all(sorted(s) == list(range(len(s))) for s in slots.values())
     assert sharding.shard(odd).count() == len(ODD) and sharding.shard(odd.limit(0)).count() == 0
@@ -275,23 +411,38 @@ def test_mixing(spark, odd):
         per_doc[r["doc_id"]] += len(r["text"].encode().split())
     assert texts.columns == docs.columns and per_doc == Counter({r["doc_id"]: r["taken"] for r in mixing.mix(docs).collect() if r["taken"]})
     assert mixing.mix(odd.limit(0)).count() == 0 and mixing.mix_texts(odd.limit(0)).count() == 0
-    table = spark.createDataFrame([(0, 1000, 1700, 0, 1700)], "rank long, blocks long, slots long, first_slot long, all_slots long")
-    drawn = mixing.slots(table).collect()
-    assert Counter(Counter(r["block"] for r in drawn).values()) == Counter({2: 700, 1: 300}) and sorted(r["place"] for r in drawn) == list(range(1700))
+    whole = {r["doc_id"]: r["text"] for r in docs.collect()}
+    cut = [r for r in texts.collect() if r["text"] != whole[r["doc_id"]]]
+    assert len(cut) > 20 and any("\n" in r["text"] for r in cut) and sum(r["text"] in whole[r["doc_id"]] for r in cut) > len(cut) // 5
+    assert Counter((r["doc_id"], r["extra"]) for r in mixing.mix_texts(odd).collect()) == Counter((r["doc_id"], r["extra"]) for r in mixing.mix_texts(odd.withColumnRenamed("extra", "_shard")).withColumnRenamed("_shard", "extra").collect())
+    counts = mixing.counts_by_shard(spark.createDataFrame([(0, 1000, 1700), (1, 5000, 9000)], "rank long, blocks long, slots long"))
+    drawn = mixing.slots(counts).collect()
+    assert Counter(Counter(r["block"] for r in drawn if r["rank"] == 0).values()) == Counter({2: 700, 1: 300})
+    shares = Counter(r["shard"] for r in drawn if r["rank"] == 1)  # a multinomial draw: chi-squared with 63 degrees of freedom
+    assert 25 < sum((shares[i] - 9000 / 64) ** 2 / (9000 / 64) for i in range(64)) < 115
+    both = {(r["rank"], r["block"], r["copy"]): r["shard"] for r in drawn}
+    twice = [(both[1, b, 0], both[1, b, 1]) for b in range(5000) if (1, b, 1) in both]
+    assert sum(x == y for x, y in twice) < 0.05 * len(twice)
+    places = [r["block"] for r in mixing.permute(spark.range(5000).selectExpr("id AS x", "5000L AS n", "1L AS seed"), "x", "n", "seed", "block").orderBy("x").collect()]
+    assert sorted(places) == list(range(5000)) and len({p * 16 // 5000 for p in places[:100]}) == 16
 
 
 def test_chat(spark):
-    rows = [(1, 1, "assistant", "a <s>\\0[INST]"), (1, 0, "user", None), (2, 0, None, "x"), (2, 0, None, "x"), (3, None, "as<m>", "\\1"), (None, 0, "assistant", "y")]
+    rows = [(1, 1, "assistant", "a <s>\\0[INST]"), (1, 0, "user", None), (2, 0, None, "x"), (2, 0, None, "x"), (3, None, "as<m>", "\\1"), (None, 0, "assistant", "y"), *[(4, 0, "assistant", c + "x") for c in "A<[\\a"]]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
     probe = spark.sql("SELECT * FROM VALUES (-1L, 0L, 'user', '</s>[INST] ok [/INST]'), (-1L, 1L, 'assistant', '</s>[INST] ok [/INST]') AS t(conv_id, turn, role, text)")
     got = chat.digest(chat.format_chat(df.unionByName(probe))).collect()
     want = view("conversations", df.toArrow()).execute(chat.oracle()).fetchall()
     assert Counter(map(tuple, got)) == Counter(want)
     assert chat.format_chat(df.limit(0)).count() == 0
-    parts = F.expr(f"CAST(array(named_struct('type','text','text','see <','ref',NULL,'tokens',NULL), named_struct('type','image','text',NULL,'ref','u1','tokens',256L), named_struct('type','audio','text',NULL,'ref','u2','tokens',64L), named_struct('type','text','text','end','ref',NULL,'tokens',NULL)) AS {chat.PART})")
-    row = chat.format_chat(spark.createDataFrame([(1, 0, "user", "")], "conv_id long, turn long, role string, text string"), parts).first()
-    assert row["formatted"] == "<s>user<m>see \\1<image:0><audio:1>end</s>\n" and row["expanded_tokens"] == 320
-    assert [(a["number"], a["type"], a["ref"]) for a in row["attachments"]] == [(0, "image", "u1"), (1, "audio", "u2")]
+    given = [{"type": "text", "text": "see <"}, {"type": "image", "ref": "u1", "width": 1024, "height": 600}, {"type": "audio", "ref": "u2", "tokens": 64, "length": 9.0}, {"type": "document", "ref": "u3", "length": 2.5}, {"type": "audio", "ref": "u4", "length": 1.01}, {"type": None, "ref": "u5"}, {"type": "text", "text": "end"}]
+    rows = [(1, 0, "user", "", json.dumps(given)), (1, 1, "assistant", "", None), (2, 0, "assistant", "", json.dumps(given[:1] + [{"type": "image"}] * 300))]
+    typed = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, parts string")
+    first, second = chat.format_chat(typed, F.from_json("parts", chat.PART)).orderBy("conv_id").collect()
+    assert first["formatted"] == "<s>user<m>see \\1<image:0><audio:1><document:2><audio:3><unknown:4>end</s>\n<s>assistant<m></s>\n"
+    tokens = [85 + 170 * 2 * 2, 64, 3 * 600, 26, 0]
+    assert [(a["number"], a["type"], a["ref"], a["tokens"]) for a in first["attachments"]] == list(zip(range(5), ["image", "audio", "document", "audio", "unknown"], ["u1", "u2", "u3", "u4", "u5"], tokens, strict=True)) and first["expanded_tokens"] == sum(tokens)
+    assert second["formatted"].count("<image:") == 300 and "<image:299>" in second["formatted"]
 
 
 def test_pipeline(spark, documents):
@@ -305,14 +456,18 @@ def test_pipeline(spark, documents):
     texts = {d[0]: d[1] for d in documents}
     kept = [r["doc_id"] for r in seen["quality rules"].collect()]
     assert all(len(words(texts[i])) >= 50 for i in kept)
-    fps = [brute_fingerprint(texts[i]) for i in kept]
-    unique = {r["doc_id"] for r in seen["SimHash near-dedup"].collect()}
-    assert unique == set(brute_components(fps, kept))
+    unique = [r["doc_id"] for r in seen["SimHash near-dedup"].collect()]
+    assert set(unique) <= set(kept) and len(unique) == len(set(unique))
+    sets = {i: five_words(texts[i]) for i in kept}
+    assert not any(alike(sets[i], sets[j]) for i in unique for j in unique if i < j)
+    fps = {i: brute_fingerprint(texts[i], 5) for i in kept}
+    for i in set(kept) - set(unique):  # what goes is like something else
+        assert any(j != i and (alike(sets[i], sets[j]) or (fps[i] ^ fps[j]).bit_count() <= 3) for j in kept)
     for r in seen["secret scans"].collect():
         assert r["text"] == secrets.redact_text(texts[r["doc_id"]], secrets.spans_of(texts[r["doc_id"]])[1]) and r["n_chars"] == len(r["text"])
     own = bpe.ByteBpe(bpe.vocabulary_path())
     mixed = [r["text"] for r in seen["mixing sources to target weights"].collect()]
-    assert Counter(hashlib.sha256(i.tobytes()).hexdigest() for _, i in own.encode_batch(mixed)) == Counter(r["ids_sha256"] for r in docs.collect())
+    assert Counter(hashlib.sha256(i.tobytes()).hexdigest() for _, i, _ in own.encode_batch(mixed)) == Counter(r["ids_sha256"] for r in docs.collect())
 
 
 def five_words(text):
@@ -337,29 +492,48 @@ def test_near_copies(spark, documents):
                 changed[at] = f"w{rng.random()}"
             rows.append((1000 * (k + 1) + i, " ".join(changed)))
     rows += [(None, "only a null id"), (None, rows[0][1]), (7, "a second text of id seven"), (8, None), (9, " "), (8, None)]
-    sets, parent = [five_words(t) for _, t in rows], list(range(len(rows)))
-
-    def find(i):
-        while parent[i] != i:
-            i = parent[i]
-        return i
-
-    for i in range(len(rows)):
-        for j in range(i):
-            if sets[i] == sets[j] or sets[i] and alike(sets[i], sets[j]):
-                parent[find(i)] = find(j)
-    groups = defaultdict(list)
-    for i, r in enumerate(rows):
-        groups[find(i)].append((r[0] is None, r[0] or 0))
-    want = Counter(None if none else i for none, i in map(min, groups.values()))
-    got = copies.drop(spark.createDataFrame(rows, "doc_id long, text string"))
-    assert Counter(r["doc_id"] for r in got.collect()) == want and len(groups) < len(rows) - 40
-    assert got.columns == ["doc_id", "text"] and copies.drop(got.limit(0)).count() == 0
-
-
-def test_pipeline_leaves_no_near_copies(spark):
-    docs = spark.read.parquet(f"{DATA}/documents.parquet")
-    for _, stage in corpus_pipeline.STAGES[:-3]:
-        docs = stage(spark, docs, DATA)
-    sets = [five_words(r["text"]) for r in docs.collect()]
-    assert len(sets) > 100 and not any(alike(sets[i], sets[j]) for i in range(len(sets)) for j in range(i))
+    rows += [(11, "unlike " * 3 + "one of two texts of id eleven here"), (11, "quite " * 3 + "another text that has the same id")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    stay = [tuple(r) for r in copies.drop(df).collect()]
+    kept = [five_words(t) for _, t in stay]
+    assert not any(alike(kept[i], kept[j]) for i in range(len(kept)) for j in range(i))
+    assert len({tuple(sorted(k)) for k in kept}) == len(kept) < len(rows) - 40
+    linked = lambda a, b: alike(five_words(a), five_words(b)) or (brute_fingerprint(a, 5) ^ brute_fingerprint(b, 5)).bit_count() <= 3
+    for i, text in rows:  # what goes, goes for something like it
+        assert (i, text) in stay or any(linked(text, t) for j, t in rows if (j, t) != (i, text)) or sum(r == (i, text) for r in rows) > 1
+    assert {(11, rows[-1][1]), (11, rows[-2][1]), (None, "only a null id"), (7, "a second text of id seven")} <= set(stay)
+    assert sum(not five_words(t) for _, t in stay) == 1 and copies.drop(df.limit(0)).count() == 0
+    extra = copies.drop(df.selectExpr("*", "1 AS digest", "2 AS _at", "3 AS id"))
+    assert extra.columns == ["doc_id", "text", "digest", "_at", "id"] and extra.count() == len(stay)
+
+
+def test_near_copies_in_rounds():
+    """Buckets of what is alike in pairs only, streamed in batches: all pairs that share one are compared."""
+    rng = np.random.default_rng(2)
+    n = 90
+    sketches = rng.integers(0, 256, (n, copies.SKETCH), np.uint8)
+    sketches[:, :30] = 7
+    sketches[rng.permutation(n)[:60], 30:40] = 9
+    keys, digests = np.sort(rng.integers(0, 3, n)), np.arange(n)
+    want = {(int(b), int(a)) for a in range(n) for b in range(a + 1, n) if keys[a] == keys[b] and (sketches[a] == sketches[b]).sum() >= copies.ALIKE}
+    found, hubs = set(), 1
+    while len(keys):
+        cuts = np.sort(rng.integers(0, len(keys) + 1, 5))
+        batches = [pa.RecordBatch.from_arrays([pa.array(keys[a:b]), pa.array(digests[a:b]), pa.array([s.tobytes() for s in sketches[digests[a:b]]], pa.binary())], ["key", "digest", "sketch"]) for a, b in zip([0, *cuts], [*cuts, len(keys)], strict=True)]
+        out = pa.Table.from_batches(list(copies.compare_hubs(hubs)(iter(batches)))).to_pylist()
+        found |= {(r["digest"], r["hub"]) for r in out if r["hub"] is not None}
+        rest = [(r["key"], r["digest"]) for r in out if r["hub"] is None]
+        keys, digests = np.array([k for k, _ in rest], np.int64), np.array([d for _, d in rest], np.int64)
+        hubs *= 4
+    assert found == want and len(want) > 100
+
+
+@pytest.mark.parametrize("rows", [ODD, []])
+def test_pipeline_on_odd_rows(spark, documents, tmp_path, rows):
+    plain = [(None, d[1], d[2], "a", 1, None) for d in documents if len(d[1].split()) > 60][: 5 * len(rows)]
+    spark.createDataFrame([*rows, *plain, *plain], SCHEMA).withColumnRenamed("extra", "kept").write.parquet(f"{tmp_path}/documents.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, str(tmp_path))
+        assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars", "kept"]
+    assert (corpus_pipeline.run(spark, str(tmp_path)).count() > 0) == bool(rows)
