@@ -1,4 +1,4 @@
-"""A training-data pipeline: quality rules, near-dedup (by SimHash, then by shingle sets), secret scans, mixing, encoding.
+"""A training-data pipeline: quality rules, SimHash near-dedup, secret scans, mixing, encoding.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and read again
 as the next stage's docs. All but the last return the columns of documents.
@@ -9,28 +9,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabulark.llm import bpe, copies, mixing, quality, secrets, simhash
+from tabulark.llm import bpe, copies, mixing, quality, secrets
 from tabulark.llm._shared import documents, materialize
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules or the fertility bands reject go."""
-    return quality.keep(docs, quality.vocabulary_path())
+    return quality.keep(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component stays: the one with its least id (of repeated rows, one)."""
-    found = simhash.near_duplicates(docs)
-    stays = found.where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(stays, "doc_id", "left_semi")
-    columns = docs.columns
-    if docs.groupBy("doc_id").count().where("count > 1").limit(1).count():
-        kept = kept.dropDuplicates(["doc_id"])
-    return kept.select(columns)
-
-
-def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of what is alike in 0.8 of its five-word shingles, or more, one document stays: op9's contract has other bounds."""
+    """One document stays of each group that SimHash over five-word shingles links, and none of what is alike to
+    another that stays in 0.8 of its five-word shingles or more (op9's contract has other bounds)."""
     return copies.drop(docs)
 
 
@@ -52,7 +42,6 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("quality rules", quality_rules),
     ("SimHash near-dedup", near_dedup),
-    ("near copies by shingle sets", near_copies),
     ("secret scans", secret_scans),
     ("mixing sources to target weights", mix_sources),
     ("byte-level BPE encoding and decoding", encode),
