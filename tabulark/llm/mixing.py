@@ -34,7 +34,9 @@ from pyspark.sql import functions as F
 
 from ._shared import discard, fresh, materialize
 
-WEIGHTS, SHARE, CEILING, BLOCK, SHARDS = (3, 1, 2), 1.5, 2, 64, 64
+WEIGHTS, SHARE, CEILING, BLOCK = (3, 1, 2), 1.5, 2, 64
+#: Output shards: one for so many words of the sources, and so many at least.
+SHARDS, SHARD_WORDS = 64, 1 << 22
 CELLS, PER_CELL, CHUNK, TASKS, ROUNDS = 256, 1 << 16, 1 << 15, 100_000, 8
 WORD = r"[^\x20\x09-\x0D]+"
 #: A word with the white space before it.
@@ -59,7 +61,7 @@ def affine(x: str, n: str, seed: str) -> str:
     return f"(({x}) * (({factor(n)}) % {n}) + (({seed} + 1) * 16807) % {n}) % {n}"
 
 
-def draw(slot: str, rank: str, shards: int) -> str:
+def draw(slot: str, rank: str, shards: int | str) -> str:
     """A shard at random; SQL of Spark (DuckDB: // for div)."""
     first = f"((({slot}) % {PRIME}) * 48271 + ({rank} + 1) * 69621) % {PRIME}"
     second = f"((({first}) * ({first}) + ({slot})) % {PRIME} * 16807 + {rank}) % {PRIME}"
@@ -120,6 +122,10 @@ def slots(counts: DataFrame) -> DataFrame:
     return each.select("rank", "block", F.expr("slot div blocks").alias("copy"), "shard", F.expr(draw("slot * 31 + 7", "rank", 1 << 30)).alias("place"))
 
 
+def shards_for(table: DataFrame) -> int:
+    return max(SHARDS, (table.agg(F.sum("source_size")).first()[0] or 0) // SHARD_WORDS)
+
+
 def cell_of(id_: str, size: str) -> str:
     """A number below PRIME; SQL of both engines."""
     mixed = f"((coalesce({id_}, 0) % {PRIME} + {PRIME}) % {PRIME} * 48271 + {size} % {PRIME} * 69621 + 11) % {PRIME}"
@@ -148,10 +154,11 @@ def taken_parts(at: DataFrame, table: DataFrame, block: int = BLOCK, shards: int
     return parts.join(slots(counts).hint("merge"), ["rank", "block"])
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", block: int = BLOCK, shards: int = SHARDS) -> DataFrame:
+def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", block: int = BLOCK, shards: int | None = None) -> DataFrame:
     """One row per document: id_col, size, source_size, target, taken, n_shards (that it is taken into)."""
     rows = materialize(docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{source_col}`").alias("source"), size_of(F.col(f"`{text_col}`")).alias("size")), "sizes")
     table = materialize(sources(rows, block=block), "sources")
+    shards = shards or shards_for(table)
     at = materialize(placed(rows, table), "placed")
     discard(rows)
     taken = taken_parts(at.select("rank", "start", "size"), table, block, shards).groupBy("rank", "start").agg(F.sum("words").alias("taken"), F.size(F.collect_set("shard")).cast("long").alias("n_shards"))
@@ -161,7 +168,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     return out.select(F.col("id").alias(id_col), "size", "source_size", "target", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("taken", "n_shards")])
 
 
-def mix_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", block: int = BLOCK, shards: int = SHARDS) -> DataFrame:
+def mix_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", block: int = BLOCK, shards: int | None = None) -> DataFrame:
     """The mix itself, as documents with the columns of docs, a partition for each shard: one row for each time some
     of a document is taken, its text the blocks taken that time, in order and with the white space before each
     word (the text itself where all are). A row lies in the shard, and at the place, of its first block."""
@@ -169,6 +176,7 @@ def mix_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     names = {n: fresh(own, n) for n in ("_id", "_key", "_parts", "_words", "_size", "_shard", "_place", "_part")}
     rows = materialize(docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{source_col}`").alias("source"), size_of(text).alias("size"), key.alias("key")), "sizes")
     table = materialize(sources(rows, block=block), "sources")
+    shards = shards or shards_for(table)
     parts = taken_parts(placed(rows, table).select("rank", "start", "size", "id", "key"), table, block, shards)
     pieces = parts.groupBy("rank", "start", "id", "key", "size", "copy").agg(F.array_sort(F.collect_list(F.struct("from", "words"))).alias("parts"), F.min(F.struct("from", "shard", "place")).alias("at"), F.sum("words").alias("words"))
     pieces = pieces.select(*[F.col(c).alias(names[f"_{c}"]) for c in ("id", "key", "parts", "words", "size")], F.col("at.shard").alias(names["_shard"]), F.col("at.place").alias(names["_place"]))
@@ -183,10 +191,10 @@ def mix_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     cut = F.array_join(F.flatten(F.transform(names["_parts"], lambda p: F.slice(listed, (p["from"] + 1).cast("int"), p["words"].cast("int")))), "")
     found = found.withColumn(names["_part"], F.when(F.col(names["_words"]) == F.col(names["_size"]), text).otherwise(F.regexp_replace(cut, r"^[\x20\x09-\x0D]+", "")))
     dealt = found.select(names["_shard"], names["_place"], *[F.col(names["_part"]).alias(c) if c == text_col else F.length(names["_part"]).cast("long").alias(c) if c == "n_chars" else F.col(f"`{c}`") for c in own])
-    return dealt.repartition(shards, names["_shard"]).sortWithinPartitions(names["_shard"], names["_place"]).select(*[F.col(f"`{c}`") for c in own])
+    return dealt.repartitionById(shards, F.col(names["_shard"]).cast("int")).sortWithinPartitions(names["_shard"], names["_place"]).select(*[F.col(f"`{c}`") for c in own])
 
 
-def oracle(block: int = BLOCK, rounds: int = ROUNDS, shards: int = SHARDS) -> str:
+def oracle(block: int = BLOCK, rounds: int = ROUNDS) -> str:
     """The same for DuckDB, over the view documents: plain windows and the same arithmetic."""
     steps, last = [], "s0"
     for r in range(rounds):
@@ -196,6 +204,7 @@ def oracle(block: int = BLOCK, rounds: int = ROUNDS, shards: int = SHARDS) -> st
         steps.append(f"s{r + 1} AS (SELECT rank, blocks, shard, CASE WHEN ((h * h + greatest(x, y)) % {PRIME}) // 1024 % 2 = 1 THEN y ELSE x END AS x FROM h{r})")
         last = f"s{r + 1}"
     weights = " ".join(f"WHEN {i} THEN {w}" for i, w in enumerate(WEIGHTS))
+    shards = f"greatest({SHARDS}, (SELECT sum(source_size) FROM n) // {SHARD_WORDS})"
     cell = f"{cell_of('doc_id', 'size')} % greatest({CELLS}, (SELECT count(*) FROM d) // {PER_CELL})"
     return f"""
 WITH d AS (SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '{WORD}')), 0) AS BIGINT) AS size FROM documents),

@@ -7,14 +7,18 @@ linear softmax over two classes reads a passage, and a text is as toxic as its w
 n-grams, hence vectors, with what was. Embeddings and softmax are trained together (Adagrad on
 the passage that stands out most in each labelled text); the text score is then calibrated.
 
+A word said again within three words counts nothing, in training as in scoring: saying it on and on makes a
+passage no worse.
+
 The model is fitted in the driver on a bounded sample of labelled rows: at most SAMPLE_TOXIC and
-SAMPLE_CLEAN texts in hash order, SAMPLE_BYTES in all. Every text is scored, whole, in place
+SAMPLE_CLEAN labels in hash order, as many rows, SAMPLE_BYTES in all. Every text is scored, whole, in place
 (no shuffle). What is sent to executors is a table of 2^17 floats.
 
-Defined results: null, empty and wordless texts score as a passage without words (the bias alone);
-labels that are null, or without a document, teach nothing; a doc_id labelled twice teaches twice; if
-either class is missing every score is the share of toxic labels (0 without labels); extra columns
-are not read.
+Defined results: null, empty and wordless texts score as a passage without words (the bias alone); texts of any
+length are scored whole; labels that are null, or without a document, teach nothing; a doc_id labelled twice
+teaches twice, different texts of one id each teach, equal ones once; repeated rows each get their row and the same
+score, whatever stands next to them; if either class is missing every score is the share of toxic labels (0 without
+labels); an empty table gives no rows; extra columns are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -36,7 +40,7 @@ STEPS = 30
 #: A feature needs so many texts; a share of the sample is kept for calibration.
 MIN_TEXTS, CALIBRATION = 6, 0.25
 EPOCHS, BATCH, RATE, SEED = 14, 256, 0.3, 42
-CHUNK = 1 << 20
+CHUNK, ROWS = 1 << 18, 256
 WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 _IS_LETTER = np.array([chr(b).isalnum() if b < 0x80 else True for b in range(256)])
@@ -72,13 +76,20 @@ def features(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return starts - 1, np.concatenate(buckets).astype(np.int64), np.concatenate(owners)
 
 
-def word_scores(data: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def said_again(words: np.ndarray, texts: np.ndarray) -> np.ndarray:
+    """Which words occur among the three before them in their text."""
+    again = np.zeros(len(words), bool)
+    for back in range(1, min(4, len(words))):
+        again[back:] |= (words[back:] == words[:-back]) & (texts[back:] == texts[:-back])
+    return again
+
+
+def word_scores(data: np.ndarray, table: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each word starts, and its score; bounds: where each text begins, the end last."""
     starts, buckets, owners = features(data)
     n = len(starts)
     scores = np.bincount(owners, table[buckets], n) / np.maximum(1, np.bincount(owners, minlength=n))
-    itself = buckets[len(buckets) - n :]
-    for back in range(1, min(4, n)):  # said again and again, a word counts once
-        scores[back:][itself[back:] == itself[:-back]] = 0
+    scores[said_again(buckets[len(buckets) - n :], np.searchsorted(bounds, starts, "right"))] = 0
     return starts, scores
 
 
@@ -106,23 +117,43 @@ class Model:
     slope: float
     bias: float
 
-    def score(self, raws: list[bytes]) -> np.ndarray:
+    def score(self, raws: list[bytes], chunk: int = CHUNK) -> np.ndarray:
         out, group, size = [], [], 0
-        for raw in [*raws, None]:
-            if raw is None or size >= CHUNK:
-                if group:
-                    out.append(self._score(group))
+        for raw in raws:
+            if group and size + len(raw) > chunk:
+                out.append(self._score(group))
                 group, size = [], 0
-            if raw is not None:
-                group.append(raw)
-                size += len(raw) + 1
+            if len(raw) > chunk:
+                out.append(self._logistic(passages(words := self._long(raw, chunk), np.array([0, len(words)]))[0]))
+                continue
+            group.append(raw)
+            size += len(raw) + 1
+        if group:
+            out.append(self._score(group))
         return np.concatenate(out) if out else np.zeros(0)
 
+    def _long(self, raw: bytes, chunk: int) -> np.ndarray:
+        """Word scores of one text, a chunk at a time: each is cut between words and led in by the three words before it."""
+        found, at, lead, skip = [], 0, b"", 0
+        while at < len(raw):
+            cut = at + chunk
+            while cut < len(raw) and _IS_LETTER[raw[cut]] and _IS_LETTER[raw[cut - 1]]:
+                cut += 1
+            joined, bounds = join([lead + raw[at:cut]])
+            starts, scores = word_scores(joined, self.table, bounds)
+            found.append(scores[skip:])
+            skip = min(3, len(starts))
+            lead = (lead + raw[at:cut])[starts[-skip] :] if skip else b""
+            at = cut
+        return np.concatenate(found)
+
     def _score(self, raws: list[bytes]) -> np.ndarray:
         joined, bounds = join(raws)
-        starts, scores = word_scores(joined, self.table)
-        logits = self.slope * passages(scores, np.searchsorted(starts, bounds))[0] + self.bias
-        return 1 / (1 + np.exp(-np.clip(logits, -500, 500)))
+        starts, scores = word_scores(joined, self.table, bounds)
+        return self._logistic(passages(scores, np.searchsorted(starts, bounds))[0])
+
+    def _logistic(self, worst: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(self.slope * worst + self.bias, -500, 500)))
 
 
 def join(raws: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -175,9 +206,11 @@ def train(raws: list[bytes], labels: list[int], epochs: int = EPOCHS) -> Model:
     usable = np.flatnonzero((sizes > 0) & ~held)
     weight = np.where(truth == 1, 0.5 / max(1, truth.sum()), 0.5 / max(1, (1 - truth).sum())) * len(truth)
 
+    again = said_again(ids, np.repeat(np.arange(len(raws)), sizes))
+
     def scores_now() -> np.ndarray:
         table = vectors @ (softmax[:, 1] - softmax[:, 0])
-        return (np.add.reduceat(table[buckets], edges[:-1]) / np.diff(edges))[ids] if len(ids) else np.zeros(0)
+        return np.where(again, 0, (np.add.reduceat(table[buckets], edges[:-1]) / np.diff(edges))[ids]) if len(ids) else np.zeros(0)
 
     for epoch in range(epochs):
         at = words[:-1][usable] + (rng.random(len(usable)) * np.maximum(1, sizes[usable] - WINDOW + 1)).astype(np.int64)
@@ -193,10 +226,11 @@ def train(raws: list[bytes], labels: list[int], epochs: int = EPOCHS) -> Model:
         for some in np.array_split(shuffled, max(1, min(len(which) // 8, max(STEPS, len(which) // BATCH)))):
             docs, first = which[some], at[some]
             last = np.minimum(first + WINDOW, words[docs + 1])
-            said = ids[spread(first, last - first)]
+            places = spread(first, last - first)
+            said = ids[places]
             span = edges[said + 1] - edges[said]
             passage = np.repeat(np.repeat(np.arange(len(some)), last - first), span)
-            share = (1 / np.repeat(span, span) / (last - first)[passage]).astype(np.float32)
+            share = (np.repeat(~again[places], span) / np.repeat(span, span) / (last - first)[passage]).astype(np.float32)
             own = buckets[spread(edges[said], span)]
             hidden = np.stack([np.bincount(passage, vectors[own, k] * share, len(some)) for k in range(DIMENSIONS)], axis=1).astype(np.float32)
             logits = hidden @ softmax + bias
@@ -237,16 +271,19 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: s
     known = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y"))
     known = known.withColumn("h", F.xxhash64("id"))
     chosen = known.where("y = 1").orderBy("h", "id").limit(SAMPLE_TOXIC).unionAll(known.where("y = 0").orderBy("h", "id").limit(SAMPLE_CLEAN))
-    texts = docs.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text"))
-    sizes = texts.select("id", F.octet_length("text").alias("size")).join(F.broadcast(chosen), "id").orderBy("h", "id").collect()
-    room, ids = SAMPLE_BYTES, set()
+    texts = docs.select(F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
+    # as many rows as labels, whatever rows an id has; then their texts, within the bytes
+    slim = texts.select("id", F.octet_length("text").alias("size"), F.xxhash64("text").alias("key"))
+    sizes = slim.join(F.broadcast(chosen), "id").select("h", "id", "key", "size").distinct().orderBy("h", "id", "key").limit(SAMPLE_TOXIC + SAMPLE_CLEAN).collect()
+    room, wanted = SAMPLE_BYTES, []
     for r in sizes:
         if r["size"] <= room:
             room -= r["size"]
-            ids.add(r["id"])
+            wanted.append((r["id"], r["key"]))
     spark = docs.sparkSession
-    wanted = chosen.join(F.broadcast(spark.createDataFrame([(i,) for i in sorted(ids)], "id long")), "id")
-    rows = texts.join(F.broadcast(wanted), "id").orderBy("h", "id", "text").collect()
+    few = F.broadcast(spark.createDataFrame(wanted, f"id {texts.schema['id'].dataType.simpleString()}, key long"))
+    some = texts.withColumn("key", F.xxhash64("text")).join(few, ["id", "key"]).dropDuplicates(["id", "key"])
+    rows = some.join(F.broadcast(chosen), "id").orderBy("h", "id", "key", "y").collect()
     return [r["text"].encode() for r in rows], [r["y"] for r in rows]
 
 
@@ -254,9 +291,10 @@ def score_documents(docs: DataFrame, model: Model, id_col: str = "doc_id", text_
     """(id_col, score double): one row for each document."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(model.score(raw_texts(batch.column(1))))], ["id", "score"])
+        parts = [model.score(raw_texts(batch.column(1).slice(at, ROWS))) for at in range(0, batch.num_rows, ROWS)]
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.concatenate(parts))], ["id", "score"])
 
-    out = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    out = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
     return map_arrow(out, per_batch(run), f"id {docs.schema[id_col].dataType.simpleString()}, score double").withColumnRenamed("id", id_col)
 
 

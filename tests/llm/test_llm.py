@@ -314,20 +314,103 @@ def test_fertility_by_hand():
     assert own.pieces(listed) == quality.Vocabulary(paths[quality.PIECES]).pieces(listed) and own.held <= 3000
 
 
+def brute_lm(learnt, core, least):
+    """Counts, classes and probabilities of the class model, one token at a time; classes of the core are given."""
+    counts = Counter(w for t in learnt for w in [*words(t), b"\n"])
+    near = defaultdict(lambda: np.zeros(2 * core.k + 1, np.int64))
+    for text in learnt:
+        before = b"\n"
+        for w in [*words(text), b"\n"]:
+            near[before][core.class_of(w)] += 1
+            near[w][core.k + core.class_of(before)] += 1
+            near[w][2 * core.k] += before == w
+            before = w
+    classes = {w: core.symbols.get(w) if w in core.symbols else lm.move(core, w, near[w]) if c >= least else core.class_of(w) for w, c in counts.items()}
+    table, totals, types = np.zeros((core.k, core.k)), np.zeros(core.k), np.zeros(core.k)
+    for w, c in counts.items():
+        totals[classes[w]] += c
+        types[classes[w]] += 1
+    for text in learnt:
+        before = b"\n"
+        for w in [*words(text), b"\n"]:
+            table[classes[before], classes[w]] += 1
+            before = w
+    return counts, classes, lm.estimate(sum(counts.values()), len(counts), core.classes, table, totals, types)
+
+
 def test_lm(spark, documents):
-    rows = [(d[0], d[1]) for d in documents] + [(None, None), (100000, "unheard-of words")]
-    got = lm.score_documents(spark.createDataFrame(rows, "doc_id long, text string"), block_bytes=100_000).collect()
+    rows = [(d[0], d[1]) for d in documents] + [(None, None), (100000, "unheard-of words"), (5, "the same id"), (None, "no id"), (None, "no id")]
+    got = lm.score_documents(spark.createDataFrame(rows, "doc_id long, text string"), block_bytes=100_000, core_words=60, least=8, classes=6).collect()
     learnt = [t for i, t in rows if i is not None and zlib.crc32(str(i).encode()) % 7 != 2]
     counts = Counter(w for t in learnt for w in [*words(t), b"\n"])
+    frequent = [b"\n", *sorted((w for w in counts if w != b"\n"), key=lambda w: (-counts[w], w))[:60]]
+    number = {w: i for i, w in enumerate(frequent)}
+    matrix = np.zeros((61 + lm.SHAPES,) * 2)
+    symbol = lambda w: number.get(w, 61 + lm.shape(w))
+    for t in learnt:
+        own = [b"\n", *words(t), b"\n"]
+        np.add.at(matrix, ([symbol(w) for w in own[:-1]], [symbol(w) for w in own[1:]]), 1)
+    core = lm.cluster(frequent, matrix, 6)
+    counts, classes, model = brute_lm(learnt, core, 8)
+    moved = [w for w, c in counts.items() if c >= 8 and w not in core.symbols and classes[w] < 6]
+    assert len(moved) > 100  # words beyond the core take part
     n, v = sum(counts.values()), len(counts)
-    texts = dict(rows)
-    for r in got:
-        own = [*words(texts[r["doc_id"]]), b"\n"]
-        assert (r["n_tokens"], r["n_known"], r["train_tokens"]) == (len(own), sum(counts[w] > 0 for w in own), n)
-        assert abs(r["base_score"] - sum(log10((counts[w] + 1) / (n + v + 1)) for w in own)) < 1e-6 * len(own) and r["score"] < 0
+    want = Counter()
+    for i, t in rows:
+        own = [*words(t), b"\n"]
+        base = sum(log10((counts[w] + 1) / (n + v + 1)) for w in own)
+        kinds = np.array([classes.get(w, core.class_of(w)) for w in [b"\n", *own]])
+        emission = model.emission(kinds[1:], np.array([counts[w] for w in own], float))
+        score = np.log10(lm.MIX * model.transition[kinds[:-1], kinds[1:]] * emission + (1 - lm.MIX) * np.array([(counts[w] + 1) / (n + v + 1) for w in own])).sum()
+        held = i is None or zlib.crc32(str(i).encode()) % 7 == 2
+        want[i, held, len(own), sum(counts[w] > 0 for w in own), n, round(base, 5), round(float(score), 5), round(10 ** (-score / len(own)), 2)] += 1
+    assert Counter((*tuple(r)[:5], round(r[5], 5), round(r[6], 5), round(r[7], 2)) for r in got) == want
     held = [r for r in got if r["held_out"]]
     assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
+    # what a class gives its words, and a word its followers, sums up to one
+    assert np.allclose(model.transition.sum(axis=1), 1)
+    for k in range(core.k):
+        own = [w for w in counts if classes[w] == k]
+        seen = model.emission(np.full(len(own), k), np.array([counts[w] for w in own], float)).sum() if own else 0
+        unseen = (model.class_types[k] + 1) * model.emission(np.array([k]), np.zeros(1))[0] if k > core.classes else 0
+        assert abs(seen + unseen - 1) < 1e-9 or not own
     assert [r["n_tokens"] for r in lm.score_documents(spark.createDataFrame([(5, "")], "doc_id long, text string")).collect()] == [1]
+    assert lm.score_documents(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+    clash = spark.createDataFrame([(5, "a b", 1, 2), (9, "a b", 1, 2)], "doc_id long, text string, block int, word int")
+    assert lm.score_documents(clash).count() == 2
+
+
+def test_lm_pieces():
+    rng = random.Random(3)
+    for text in ("a" * 3_000_000, "ab " * 900_000, "".join(rng.choice("a \n\té") for _ in range(1_500_000)), ""):
+        raw = text.encode()
+        assert b"".join(lm.pieces(raw)) == raw and [w for p in lm.pieces(raw) for w in p.split()] == raw.split()
+
+
+def likelihood(pairs, own):
+    """Log likelihood of class bigrams, from nothing but the classes."""
+    k = own.max() + 1
+    table = np.zeros((k, k))
+    np.add.at(table, (own[:, None], own[None, :]), pairs)
+    return sum(lm.h(table.ravel())) - sum(lm.h(table.sum(axis=0))) - sum(lm.h(table.sum(axis=1)))
+
+
+def test_exchange_gains():
+    """A move's gain is the difference of the likelihoods before and after it."""
+    rng = np.random.default_rng(4)
+    pairs, own = rng.integers(0, 9, (14, 14)).astype(float), np.concatenate([np.arange(11) % 4, [4, 5, 5]])
+    member = np.eye(6)[own]
+    for w in range(11):
+        out, into, self_ = pairs[w] @ member, pairs[:, w] @ member, pairs[w, w]
+        out[own[w]] -= self_
+        into[own[w]] -= self_
+        gain = lm.gains(lm.without(member.T @ pairs @ member, own[w], out, into, self_), out, into, self_, 4)
+        for b in range(4):
+            other = own.copy()
+            other[w] = b
+            assert abs((gain[b] - gain[own[w]]) - (likelihood(pairs, other) - likelihood(pairs, own))) < 1e-6
+    found = lm.exchange(pairs, own, 11, 4)
+    assert likelihood(pairs, found) >= likelihood(pairs, own) and (found[11:] == own[11:]).all()
 
 
 def test_exchange_finds_classes():
@@ -354,10 +437,47 @@ def test_toxicity():
     assert toxicity.train([], []).score([b"x"])[0] < 1e-6 and toxicity.train([b"a"], [1]).score([b"x"])[0] > 0.99
 
 
-def test_toxicity_query(spark):
+def test_toxicity_by_hand(documents):
+    """A text's score from words and n-grams taken one at a time, alone and among others."""
+    rng = np.random.default_rng(5)
+    model = toxicity.Model(rng.normal(size=toxicity.BUCKETS), 3.0, -1.0)
+
+    def bucket(symbols, n):
+        code = 0
+        for c in symbols:
+            code = (code * 0x100000001B3 + c) % 2**64
+        return ((code + n) * 0x9E3779B97F4A7C15 % 2**64) >> 47
+
+    def scored(text):
+        found, seen = [], []
+        for w in toxicity.WORD.findall(text.encode().lower()):
+            symbols = [1, *(b + 1 for b in w), 1]
+            grams = [bucket(symbols[i : i + n], n) for n in toxicity.GRAMS for i in range(len(symbols) - n + 1)]
+            whole = sum((b + 1) * pow(0x100000001B3, min(i, 255) + 1, 2**64) for i, b in enumerate(w)) % 2**64
+            grams.append((whole * 0x9E3779B97F4A7C15 % 2**64) >> 47)
+            found.append(0 if w in seen[-3:] else model.table[grams].mean())
+            seen.append(w)
+        k = toxicity.WINDOW
+        best = max((np.mean(found[i : i + k]) for i in range(max(1, len(found) - k + 1))), default=0) if found else 0
+        return 1 / (1 + np.exp(-(model.slope * best + model.bias)))
+
+    texts = [d[1][:600] for d in documents[:60]] + ["", "  ", "again again again no again", "again", "a", "é Ünï " * 30]
+    assert np.allclose(model.score([t.encode() for t in texts]), [scored(t) for t in texts], atol=1e-6)
+    for chunk in (50, 333):
+        assert np.allclose(model.score([t.encode() for t in texts], chunk), [scored(t) for t in texts], atol=1e-6)
+    assert np.allclose(model.score([t.encode() for t in texts[::-1]])[::-1], model.score([t.encode() for t in texts]))
+
+
+def test_toxicity_query(spark, odd):
     got = queries.op1_toxicity(spark, DATA).collect()
     assert len(got) == spark.read.parquet(f"{DATA}/documents.parquet").count()
     assert all(r["predicted"] == (r["score"] >= 0.5) and r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0) for r in got)
+    labels = spark.createDataFrame([(1, 0), (5, 1), (5, 1), (9, 0), (None, 1), (7, None), (777, 1)], "doc_id long, toxic int")
+    got = toxicity.toxicity(odd, labels).collect()
+    assert len(got) == len(ODD) and all(0 <= r["score"] <= 1 for r in got)
+    assert len({r["score"] for r in got if r["doc_id"] == 5}) == 1 and toxicity.toxicity(odd.limit(0), labels).count() == 0
+    many = spark.range(6000).selectExpr("5L AS doc_id", "concat('text ', id) AS text")
+    assert len(toxicity.labelled_sample(many, labels, "doc_id", "text", "toxic")[0]) <= 2 * (toxicity.SAMPLE_TOXIC + toxicity.SAMPLE_CLEAN)
 
 
 def test_sharding(spark, documents, odd):
