@@ -1,3 +1,3 @@
 """Tabular analytics and data movement on Spark."""
 
-__version__ = "0.1.0"
+VERSION = __version__ = "0.2.0"

@@ -7,14 +7,17 @@ copied is observed in that job. Guards and plans run in the driver on metadata a
 from __future__ import annotations
 
 import hashlib
+import os
+import re
 import time
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .. import VERSION
 from ..functions.convert import TARGETS, convert
 
 
@@ -46,10 +49,14 @@ def dedupe(df: DataFrame, keys: tuple[str, ...], winners: tuple[str, ...] = (),
     return df.withColumn("_rank", F.row_number().over(Window.partitionBy(*part).orderBy(*order))).where("_rank = 1").drop("_rank")
 
 
-def distinct_keys(df: DataFrame, keys: tuple[str, ...], ignore_case: bool = False) -> int:
-    """Groups of equal keys; nulls form one group."""
+def keys_of(df: DataFrame, keys: tuple[str, ...], ignore_case: bool = False) -> DataFrame:
+    """A row for each group of equal keys; nulls form one group."""
     strings = {f.name for f in df.schema if f.dataType.simpleString() == "string"}
-    return df.select(*[F.lower(k).alias(k) if ignore_case and k in strings else F.col(k) for k in keys]).distinct().count()
+    return df.select(*[F.lower(k).alias(k) if ignore_case and k in strings else F.col(k) for k in keys]).distinct()
+
+
+def distinct_keys(df: DataFrame, keys: tuple[str, ...], ignore_case: bool = False) -> int:
+    return keys_of(df, keys, ignore_case).count()
 
 
 def transform(df: DataFrame, spec: CopySpec, case_sensitive: bool = False) -> DataFrame:
@@ -84,41 +91,31 @@ class ColumnInfo:
     generated: bool = False
 
 
-def plan(source: str, destination: str, columns: list[ColumnInfo], into: list[ColumnInfo] | None = None, mappings: dict[str, str] | None = None, exclusions: tuple[str, ...] = (), order_by: tuple[str, ...] = (), keep_identity: bool = False) -> tuple[CopySpec, list[str]]:
-    """A spec from metadata, with warnings: what the destination generates or lacks is excluded; rows are
-    ordered as asked, else by primary key, else by identity."""
-    maps = {k.lower(): v for k, v in (mappings or {}).items()}
-    known = None if into is None else {c.name.lower(): c for c in into}
-    left, warnings, used = [], [], {}
-    if not columns:
-        warnings.append("NoSourceColumns")
-    for c in columns:
-        name = maps.get(c.name.lower(), c.name)
-        there = known.get(name.lower()) if known is not None else None
-        if c.name.lower() in {e.lower() for e in exclusions} or c.generated:
-            left.append(c.name)
-        elif known is not None and there is None:
-            left.append(c.name)
-            warnings.append(f"MissingDestinationColumn:{c.name}")
-        elif there and (there.generated or there.identity and not keep_identity):
-            left.append(c.name)
-        elif name != c.name:
-            used[c.name] = name
-    if columns and len(left) == len(columns):
-        warnings.append("NoWritableColumns")
-    order = order_by or tuple(c.name for c in columns if c.primary_key) or tuple(c.name for c in columns if c.identity)
-    if not order:
-        warnings.append("NoOrderByColumns")
-    return CopySpec(source, destination, order, used, tuple(left)), warnings
+@dataclass(frozen=True)
+class CopyOptions:
+    """Of a whole run. Unordered: pages of sources that page may come in any order. schema_only: what the source has
+    no rows of is made as an empty table."""
+
+    page_size: int = 10_000
+    batch_size: int = 10_000
+    timeout: float = 600.0
+    allow_unordered: bool = False
+    missing_is_empty: bool = False
+    schema_only: bool = True
+
+    def __post_init__(self):
+        for name in ("page_size", "batch_size", "timeout"):
+            if getattr(self, name) <= 0:
+                raise CopyError(f"{name} must be positive")
 
 
 @dataclass
 class TableResult:
     source: str
     destination: str
-    source_rows: int
+    source_rows: int | None
     copied_rows: int
-    destination_rows: int
+    destination_rows: int | None
     verified: bool
 
 
@@ -130,12 +127,18 @@ class Manifest:
     fingerprint: str
     tables: list[TableResult]
     warnings: list[str]
+    version: str = VERSION
 
     def total(self) -> int | None:
         """Rows copied; unknown if any table's count is."""
         counts = [t.copied_rows for t in self.tables]
         return None if any(c is None for c in counts) else sum(counts)
 
+    def rows(self, spark: SparkSession) -> DataFrame:
+        """The manifest as a table, for an audit."""
+        found = [(self.operation, self.fingerprint, self.version, t.source, t.destination, t.source_rows, t.copied_rows, t.destination_rows, t.verified) for t in self.tables]
+        return spark.createDataFrame(found, "operation string, fingerprint string, version string, source string, destination string, source_rows long, copied_rows long, destination_rows long, verified boolean")
+
 
 def fingerprint(specs: list[CopySpec]) -> str:
     """SHA-256 of the specs as length-prefixed canonical text."""
@@ -148,43 +151,110 @@ def fingerprint(specs: list[CopySpec]) -> str:
     return digest.hexdigest()
 
 
+#: Ports that a server has if none is said.
+PORTS = {"postgresql": "5432", "mysql": "3306", "mariadb": "3306", "sqlserver": "1433", "oracle": "1521"}
+
+
+def identity(place: str) -> str:
+    """A place in one spelling: real paths of files; servers without credentials, the local one as localhost, with its
+    port; names without quotes, ignoring case."""
+    text = place.strip()
+    if m := re.match(r"^(?:jdbc:)?(\w+)://(?:[^@/]*@)?(\(local\)|[^/:?;#]+)(?::(\d+))?(/[^?;#]*)?(?:[?;]([^#]*))?(?:#(.*))?$", text):
+        kind, host, port, path, _, table = m.groups()
+        if kind.lower() in PORTS:
+            host = "localhost" if host.lower() in (".", "(local)", "127.0.0.1", "localhost", "::1") else host.lower()
+            return f"{kind.lower()}://{host}:{port or PORTS[kind.lower()]}{(path or '').lower()}#{identity(table) if table else ''}"
+    if text.startswith("file:") or text.startswith("/"):
+        path, _, table = re.sub("^file:/*", "/", text).partition("#")
+        return f"file://{os.path.realpath(path)}" + (f"#{identity(table)}" if table else "")
+    if "://" in text:
+        return text.rstrip("/")
+    return re.sub(r'["`\[\]]', "", text).lower()
+
+
 def same_place(a: str, b: str) -> bool:
-    norm = lambda s: s.replace("file://", "").rstrip("/").replace("`", "").replace('"', "").lower()
-    return norm(a) == norm(b)
+    """Whether two names mean one table. One with fewer parts is compared by its last parts: it may mean the other."""
+    x, y = identity(a), identity(b)
+    if "://" in x or "://" in y:
+        return x == y
+    n = min(x.count("."), y.count(".")) + 1
+    return x.split(".")[-n:] == y.split(".")[-n:]
 
 
-def copy_tables(specs: list[CopySpec], read: Callable[[str], DataFrame], write: Callable[[DataFrame, str], None], count: Callable[[str], int | None], clear: Callable[[str], None] | None = None, progress: Callable[[str, int], None] | None = None) -> Manifest:
-    """Copy each table. clear: given, destinations are emptied first, last to first, after every table has
-    passed preflight. Counts are compared after each write; a difference raises."""
-    started, warnings, frames = time.time(), [], []
+def missing_table(error: Exception) -> bool:
+    """Whether an error says that a table isn't there."""
+    said = str(error).lower()
+    return isinstance(error, FileNotFoundError) or any(m in said for m in ("table_or_view_not_found", "path_not_found", "no such table", "does not exist", "doesn't exist", "invalid object name", "ora-00942"))
+
+
+def _opened(read: Callable[[str], DataFrame], spec: CopySpec, options: CopyOptions) -> DataFrame | None:
+    """The source, None if it isn't there and that is allowed."""
+    try:
+        return read(spec.source)
+    except Exception as error:
+        if options.missing_is_empty and missing_table(error):
+            return None
+        raise
+
+
+def check_run(specs: list[CopySpec], clear: bool, options: CopyOptions, paged: bool = False) -> None:
+    """The rules of a run that metadata alone can tell."""
     for s in specs:
         if same_place(s.source, s.destination):
             raise CopyError(f"{s.source} would be copied onto itself")
         if clear and any(same_place(s.destination, o.source) for o in specs):
             raise CopyError(f"clearing {s.destination} would remove a source")
-    if len({s.destination.lower() for s in specs}) < len(specs):
+        if paged and not s.order_by and not options.allow_unordered:
+            raise CopyError(f"{s.source} is read in pages and has no order: allow_unordered accepts that pages may overlap")
+        if s.winners and not s.dedupe_keys:
+            raise CopyError(f"{s.source}: winners without keys to dedupe by")
+    if any(same_place(a.destination, b.destination) for i, a in enumerate(specs) for b in specs[:i]):
         raise CopyError("two tables have one destination")
+
+
+def copy_tables(specs: list[CopySpec], read: Callable[[str], DataFrame], write: Callable[[DataFrame, str], None], count: Callable[[str], int | None], clear: Callable[[str], None] | None = None, progress: Callable[[str, int], None] | None = None, options: CopyOptions = CopyOptions(), columns: Callable[[str], list[str] | None] | None = None, paged: bool = False, warnings: list[str] | None = None) -> Manifest:
+    """Copy each table. clear: given, destinations are emptied first, last to first, after every table has
+    passed preflight: it can be read, its plan is sound, and the destination (columns(name): its columns, None if it isn't
+    there yet) has a place for each column. Source rows and copied rows are counted by the job that writes: nothing
+    is read twice, so a source that changes meanwhile does no harm. Counts that don't fit raise."""
+    started, said, frames = time.time(), list(warnings or []), []
+    check_run(specs, clear is not None, options, paged)
     for s in specs:
-        df = read(s.source)
+        df = _opened(read, s, options)
+        if df is None:
+            said.append(f"{s.source}:MissingSourceTable")
+            frames.append((None, None))
+            continue
+        seen = Observation(f"source-{uuid.uuid4().hex}")
         if s.dedupe_keys:
             df = dedupe(df, s.dedupe_keys, s.winners, s.ignore_case)
-        df = transform(df, s)
-        df.limit(1).collect()  # preflight: the plan is sound before anything is cleared
-        frames.append(df)
+        df = transform(df.observe(seen, F.count(F.lit(1)).alias("rows")), s)
+        there = columns(s.destination) if columns else None
+        if there is not None and (lost := {c.lower() for c in df.columns} - {c.lower() for c in there}):
+            raise CopyError(f"{s.destination} has no columns {sorted(lost)}")
+        transform(read(s.source), s).limit(1).collect()  # preflight: the plan runs before anything is cleared
+        frames.append((df, seen))
     if clear:
         for s in reversed(specs):
-            clear(s.destination)
+            try:
+                clear(s.destination)
+            except Exception as error:
+                if not missing_table(error):
+                    raise
+                said.append(f"{s.destination}:MissingDestinationTable")
     results = []
-    for s, df in zip(specs, frames, strict=True):
-        before = 0 if clear else count(s.destination) or 0
-        seen = Observation(f"copy-{uuid.uuid4().hex}")
-        write(df.observe(seen, F.count(F.lit(1)).alias("rows")), s.destination)
-        copied, after = seen.get["rows"], count(s.destination)
-        source_rows = distinct_keys(read(s.source), s.dedupe_keys, s.ignore_case) if s.dedupe_keys else read(s.source).count()
-        sound = source_rows == copied and (after is None or after == before + copied)
-        results.append(TableResult(s.source, s.destination, source_rows, copied, after, sound))
-        if not sound:
-            raise CopyError(f"{s.destination}: source {source_rows}, copied {copied}, before {before}, now {after}")
+    for s, (df, source_seen) in zip(specs, frames, strict=True):
+        if df is not None:
+            before = 0 if clear else count(s.destination) or 0
+            seen = Observation(f"copy-{uuid.uuid4().hex}")
+            write(df.observe(seen, F.count(F.lit(1)).alias("rows")), s.destination)
+            copied, source_rows, after = seen.get["rows"], source_seen.get["rows"], count(s.destination)
+            sound = source_rows == copied and (after is None or after == before + copied)
+            results.append(TableResult(s.source, s.destination, source_rows, copied, after, sound))
+            if not sound:
+                raise CopyError(f"{s.destination}: source {source_rows}, copied {copied}, before {before}, now {after}")
+        else:
+            results.append(TableResult(s.source, s.destination, None, 0, None, False))
         if progress:
             progress(s.destination, min(100, 100 * len(results) // len(specs)))
-    return Manifest(uuid.uuid4().hex, started, time.time(), fingerprint(specs), results, warnings)
+    return Manifest(uuid.uuid4().hex, started, time.time(), fingerprint(specs), results, said)

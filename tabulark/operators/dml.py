@@ -1,17 +1,23 @@
 """Insert, update, delete and upsert over immutable data.
 
-Each verb maps a DataFrame to its next version. VersionedTable keeps versions of a Parquet table in a folder,
-with a pointer to the current one that is swapped last: a failed write changes nothing that readers see.
+Each verb maps a DataFrame to its next version. VersionedTable keeps versions of a Parquet table in a folder, with a
+log of numbered pointers: the pointer of the next number is made only if there is none, so a failed write changes
+nothing that readers see, and of two writers that start from one version the second fails.
 """
 
 from __future__ import annotations
 
 import uuid
+from types import TracebackType
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 
+class ConflictError(RuntimeError):
+    """Another writer came first."""
+
+
 def insert(target: DataFrame, rows: DataFrame) -> DataFrame:
     """Rows appended by name; columns that they lack become null; unknown ones are an error."""
     if extra := {c.lower() for c in rows.columns} - {c.lower() for c in target.columns}:
@@ -21,6 +27,8 @@ def insert(target: DataFrame, rows: DataFrame) -> DataFrame:
 
 def update(target: DataFrame, changes: dict[str, Column], where: Column) -> DataFrame:
     """Rows for which the predicate is true get the changes."""
+    if unknown := set(changes) - set(target.columns):
+        raise ValueError(f"unknown columns: {sorted(unknown)}")
     return target.select(*[F.when(where, changes[c]).otherwise(F.col(c)).alias(c) if c in changes else F.col(c) for c in target.columns])
 
 
@@ -35,14 +43,21 @@ def last_of_each(rows: DataFrame, keys: list[str], arrival: str) -> DataFrame:
     return rows.withColumn("_rank", rank).where("_rank = 1").drop("_rank")
 
 
-def merge(target: DataFrame, rows: DataFrame, keys: list[str], update_columns: list[str] | None = None) -> DataFrame:
-    """Upsert: matched rows get update_columns (default: all that rows has, but the keys), others are inserted.
-    An empty list inserts what is missing only. Keys of rows must be distinct."""
-    changed = [c for c in rows.columns if c not in keys] if update_columns is None else update_columns
-    new = rows.select(*[F.col(c).alias(f"_new_{c}") for c in rows.columns], F.lit(True).alias("_new"))
+def _once(rows: DataFrame, keys: list[str], flag: str) -> DataFrame:
+    """rows with a true flag; a key (null is one) that comes twice fails the job that reads the flag."""
+    times = F.count(F.lit(1)).over(Window.partitionBy(*keys))
+    said = F.raise_error(F.concat(F.lit("merge: more than one source row has the key "), F.to_json(F.struct(*keys))))
+    return rows.withColumn(flag, F.when(times > 1, said.cast("boolean")).otherwise(F.lit(True)))
+
+
+def _joined(target: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:
+    new = _once(rows, keys, "_new").select(*[F.col(c).alias(f"_new_{c}") for c in rows.columns], "_new")
     old = target.withColumn("_old", F.lit(True))
-    on = [old[k].eqNullSafe(new[f"_new_{k}"]) for k in keys]
-    both = old.join(new, on, "full")
+    return old.join(new, [old[k].eqNullSafe(new[f"_new_{k}"]) for k in keys], "full")
+
+
+def _taken(both: DataFrame, target: DataFrame, rows: DataFrame, keys: list[str], update_columns: list[str] | None) -> DataFrame:
+    changed = [c for c in rows.columns if c not in keys] if update_columns is None else update_columns
     take = []
     for c in target.columns:
         if c not in rows.columns:
@@ -54,12 +69,33 @@ def merge(target: DataFrame, rows: DataFrame, keys: list[str], update_columns: l
     return both.select(*take)
 
 
+def merge(target: DataFrame, rows: DataFrame, keys: list[str], update_columns: list[str] | None = None) -> DataFrame:
+    """Upsert: matched rows get update_columns (default: all that rows has, but the keys), others are inserted. An
+    empty list inserts what is missing only. Null keys match null keys. A key that rows has twice is an error, raised by
+    the job itself (use last_of_each() to choose)."""
+    if unknown := {*keys, *(update_columns or [])} - set(rows.columns) or {*rows.columns} - {*target.columns}:
+        raise ValueError(f"unknown columns: {sorted(unknown)}")
+    return _taken(_joined(target, rows, keys), target, rows, keys, update_columns)
+
+
 def insert_if_missing(target: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:
-    return insert(target, rows.join(target, keys, "left_anti"))
+    """Rows whose key (null is one) the target lacks, appended; keys must be distinct, as in merge()."""
+    old = target.select(*[F.col(k).alias(f"_old_{k}") for k in keys]).distinct()
+    new = _once(rows, keys, "_new")
+    fresh = new.join(old, [new[k].eqNullSafe(old[f"_old_{k}"]) for k in keys], "left_anti").where("_new").drop("_new")
+    return insert(target, fresh)
+
+
+def key_columns(primary: list[str], columns: list[str], identity: list[str] | None = None) -> tuple[list[str], list[str]]:
+    """For a generated merge: what rows are matched by, and what is updated: neither keys nor identities."""
+    if not primary:
+        raise ValueError("a merge needs a primary key")
+    fixed = {c.lower() for c in (*primary, *(identity or []))}
+    return primary, [c for c in columns if c.lower() not in fixed]
 
 
 class VersionedTable:
-    """A Parquet table with versions in one folder: `v-*` folders and a `CURRENT` pointer."""
+    """A Parquet table with versions in one folder: `v-*` folders, and `log/N`, the name of version N's folder."""
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
@@ -69,44 +105,110 @@ class VersionedTable:
         root = jvm.org.apache.hadoop.fs.Path(self.path)
         return jvm, root.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
 
-    def current(self) -> str | None:
+    def number(self) -> int:
+        """The current version's number; 0 if there is none."""
         jvm, fs = self._fs()
-        pointer = jvm.org.apache.hadoop.fs.Path(f"{self.path}/CURRENT")
-        if not fs.exists(pointer):
-            return None
-        return self.spark.read.text(f"{self.path}/CURRENT").first()[0]
-
-    def read(self) -> DataFrame:
-        version = self.current()
-        if version is None:
+        log = jvm.org.apache.hadoop.fs.Path(f"{self.path}/log")
+        if not fs.exists(log):
+            return 0
+        names = [s.getPath().getName() for s in fs.listStatus(log)]
+        return max((int(n) for n in names if n.isdigit()), default=0)
+
+    def version(self, number: int) -> str:
+        return self.spark.read.text(f"{self.path}/log/{number:020d}").first()[0]
+
+    def read(self, number: int | None = None) -> DataFrame:
+        """The current version, or one of the past."""
+        number = self.number() if number is None else number
+        if number == 0:
             raise FileNotFoundError(self.path)
-        return self.spark.read.parquet(f"{self.path}/{version}")
+        return self.spark.read.parquet(f"{self.path}/{self.version(number)}")
 
-    def commit(self, df: DataFrame) -> str:
-        """Write df as the next version, then swap the pointer."""
-        jvm, fs = self._fs()
+    def stage(self, df: DataFrame) -> str:
+        """Write df where no reader looks; publish() makes it the current version."""
         version = f"v-{uuid.uuid4().hex}"
         df.write.parquet(f"{self.path}/{version}")
-        fresh = jvm.org.apache.hadoop.fs.Path(f"{self.path}/.CURRENT-{version}")
-        stream = fs.create(fresh, True)
-        stream.write(bytearray(version.encode()))
-        stream.close()
-        pointer = jvm.org.apache.hadoop.fs.Path(f"{self.path}/CURRENT")
-        fs.delete(pointer, False)
-        fs.rename(fresh, pointer)
         return version
 
-    def append(self, rows: DataFrame) -> str:
-        return self.commit(insert(self.read(), rows))
-
-    def update(self, changes: dict[str, Column], where: Column) -> str:
-        return self.commit(update(self.read(), changes, where))
-
-    def delete(self, where: Column) -> str:
-        return self.commit(delete(self.read(), where))
-
-    def upsert(self, rows: DataFrame, keys: list[str], update_columns: list[str] | None = None) -> str:
-        return self.commit(merge(self.read(), rows, keys, update_columns))
-
-    def truncate(self) -> str:
-        return self.commit(self.read().limit(0))
+    def publish(self, version: str, base: int) -> int:
+        """Make a staged version number base + 1. The pointer is written aside and renamed to its number, which fails
+        if the number is taken."""
+        jvm, fs = self._fs()
+        paths = jvm.org.apache.hadoop.fs
+        aside, pointer = paths.Path(f"{self.path}/.{version}"), paths.Path(f"{self.path}/log/{base + 1:020d}")
+        fs.mkdirs(pointer.getParent())
+        stream = fs.create(aside, True)
+        stream.write(bytearray(version.encode()))
+        stream.close()
+        context = paths.FileContext.getFileContext(fs.getUri(), self.spark.sparkContext._jsc.hadoopConfiguration())
+        how = self.spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+        how[0] = getattr(jvm.org.apache.hadoop.fs.Options.Rename, "NONE")
+        try:
+            context.rename(aside, pointer, how)
+        except Exception as error:
+            fs.delete(aside, False)
+            raise ConflictError(f"{self.path}: version {base + 1} is another writer's") from error
+        return base + 1
+
+    def commit(self, df: DataFrame, base: int | None = None) -> int:
+        """df as the version after base (default: after the current one)."""
+        base = self.number() if base is None else base
+        return self.publish(self.stage(df), base)
+
+    def _counted(self, df: DataFrame, observed: Observation, base: int) -> int:
+        self.commit(df, base)
+        return observed.get["rows"]
+
+    def append(self, rows: DataFrame) -> int:
+        """Rows inserted. Verbs give the rows they affect, counted by the job that writes."""
+        base, seen = self.number(), Observation()
+        return self._counted(insert(self.read(base), rows.observe(seen, F.count(F.lit(1)).alias("rows"))), seen, base)
+
+    def update(self, changes: dict[str, Column], where: Column) -> int:
+        base, seen = self.number(), Observation()
+        return self._counted(update(self.read(base).observe(seen, F.count_if(where).alias("rows")), changes, where), seen, base)
+
+    def delete(self, where: Column) -> int:
+        base, seen = self.number(), Observation()
+        return self._counted(delete(self.read(base).observe(seen, F.count_if(where).alias("rows")), where), seen, base)
+
+    def upsert(self, rows: DataFrame, keys: list[str], update_columns: list[str] | None = None) -> int:
+        base, seen = self.number(), Observation()
+        target = self.read(base)
+        hit = F.col("_new") if update_columns is None or update_columns else F.col("_new") & F.col("_old").isNull()
+        both = _joined(target, rows, keys).observe(seen, F.count_if(hit).alias("rows"))
+        return self._counted(_taken(both, target, rows, keys, update_columns), seen, base)
+
+    def truncate(self) -> int:
+        base = self.number()
+        rows = self.read(base).count()
+        self.commit(self.read(base).limit(0), base)
+        return rows
+
+
+class Transaction:
+    """Next versions of several tables, published together when the block ends well, and none if it doesn't. If a
+    table has moved on meanwhile, those already published go back to where they were and the error is raised."""
+
+    def __init__(self):
+        self.staged: list[tuple[VersionedTable, str, int]] = []
+
+    def write(self, table: VersionedTable, df: DataFrame) -> None:
+        base = table.number()
+        self.staged.append((table, table.stage(df), base))
+
+    def __enter__(self) -> Transaction:
+        return self
+
+    def __exit__(self, kind: type | None, error: BaseException | None, trace: TracebackType | None) -> None:
+        if error is not None:
+            return
+        done: list[tuple[VersionedTable, int]] = []
+        try:
+            for table, version, base in self.staged:
+                table.publish(version, base)
+                done.append((table, base))
+        except ConflictError:
+            for table, base in reversed(done):
+                table.publish(table.version(base), base + 1) if base else table.commit(table.read(1).limit(0), 1)
+            raise

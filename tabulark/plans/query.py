@@ -16,7 +16,8 @@ from ..functions import matching
 
 #: Operators that a comparison may use.
 OPERATORS = ("=", "<>", "!=", "<", "<=", ">", ">=", "!<", "!>", "<=>", "LIKE", "NOT LIKE", "ILIKE", "NOT ILIKE", "IN", "NOT IN", "IS", "IS NOT", "IS DISTINCT FROM", "IS NOT DISTINCT FROM", "SIMILAR TO", "NOT SIMILAR TO", "REGEXP", "RLIKE", "GLOB", "MATCH")
-JOINS = {"inner": "JOIN", "left": "LEFT JOIN", "right": "RIGHT JOIN", "full": "FULL OUTER JOIN", "cross": "CROSS JOIN"}
+JOINS = {"inner": "JOIN", "left": "LEFT JOIN", "right": "RIGHT JOIN", "full": "FULL OUTER JOIN", "cross": "CROSS JOIN", "semi": "LEFT SEMI JOIN", "anti": "LEFT ANTI JOIN", "lateral": "JOIN LATERAL", "left lateral": "LEFT JOIN LATERAL"}
+GROUPINGS = ("ROLLUP", "CUBE", "GROUPING SETS")
 LITERAL = re.compile(r"^(?:-?\d+(?:\.\d+)?|NULL|TRUE|FALSE)$", re.IGNORECASE)
 
 
@@ -76,6 +77,7 @@ class Query:
     joins: tuple = ()
     tests: tuple = ()
     groups: tuple = ()
+    grouping: str = ""
     havings: tuple = ()
     orders: tuple = ()
     count: int | None = None
@@ -124,6 +126,18 @@ class Query:
     def cross_join(self, table: str, alias: str | None = None) -> Query:
         return self._join("cross", table, (), alias)
 
+    def semi_join(self, table: str, *on: str, alias: str | None = None) -> Query:
+        """Rows with a partner; the partner's columns aren't seen."""
+        return self._join("semi", table, on, alias)
+
+    def anti_join(self, table: str, *on: str, alias: str | None = None) -> Query:
+        """Rows without a partner. Unlike where_not_in, a null key has none."""
+        return self._join("anti", table, on, alias)
+
+    def lateral_join(self, query: Query | Raw, alias: str, left: bool = True) -> Query:
+        """A sub-query (or table function) that may use columns of what stands before it, for each of its rows."""
+        return replace(self, joins=(*self.joins, ("left lateral" if left else "lateral", query, alias, Raw("true"))))
+
     def join_raw(self, table: str, condition: str | None = None, kind: str = "inner") -> Query:
         if kind not in JOINS or (condition is None) != (kind == "cross"):
             raise QueryError("join kind and condition don't fit")
@@ -196,7 +210,20 @@ class Query:
             raise QueryError("no group to end, or an empty one")
         return replace(self, tests=(*self.tests, Test("", "close")))
 
+    def where_if(self, column: str, *args: Any) -> Query:
+        """An optional filter: no test at all if the value is null."""
+        return self if args[-1] is None else self.where(column, *args)
+
     # the rest
+    def rollup(self, *names: str) -> Query:
+        return replace(self, groups=names, grouping="ROLLUP")
+
+    def cube(self, *names: str) -> Query:
+        return replace(self, groups=names, grouping="CUBE")
+
+    def grouping_sets(self, *sets: tuple[str, ...]) -> Query:
+        return replace(self, groups=sets, grouping="GROUPING SETS")
+
     def group_by(self, *names: str) -> Query:
         return replace(self, groups=self.groups + names)
 
@@ -243,12 +270,29 @@ class Query:
     def intersect(self, other: Query) -> Query:
         return replace(self, compounds=(*self.compounds, ("INTERSECT", other)))
 
+    def intersect_all(self, other: Query) -> Query:
+        return replace(self, compounds=(*self.compounds, ("INTERSECT ALL", other)))
+
+    def except_(self, other: Query) -> Query:
+        return replace(self, compounds=(*self.compounds, ("EXCEPT", other)))
+
+    def except_all(self, other: Query) -> Query:
+        return replace(self, compounds=(*self.compounds, ("EXCEPT ALL", other)))
+
     # lowering
     def to_sql(self, binder: Binder | None = None) -> tuple[str, dict[str, Any]]:
         """Spark SQL text and its named arguments."""
         binder = binder or Binder()
         return _select(self, binder), binder.args
 
+    def tables(self) -> set[str]:
+        """Names of the tables that the query reads, but for those in raw text."""
+        found = {self.source} if isinstance(self.source, str) else self.source.tables() if isinstance(self.source, Query) else set()
+        for _, table, _, _ in self.joins:
+            found |= {table} if isinstance(table, str) else table.tables() if isinstance(table, Query) else set()
+        inner = [v for t in (*self.tests, *self.havings) for v in t.values if isinstance(v, Query)]
+        return found.union(*(q.tables() for q in inner), *(q.tables() for _, q in self.compounds))
+
     def to_df(self, spark: SparkSession) -> DataFrame:
         """The query as a lazy DataFrame; Catalyst plans it."""
         text, args = self.to_sql()
@@ -323,8 +367,11 @@ def _select(q: Query, binder: Binder) -> str:
         parts.append(text)
     if q.tests:
         parts.append(f"WHERE {_predicate(q.tests, binder)}")
-    if q.groups:
-        parts.append(f"GROUP BY {', '.join(map(_name, q.groups))}")
+    if q.grouping == "GROUPING SETS":
+        parts.append(f"GROUP BY GROUPING SETS ({', '.join('(' + ', '.join(map(_name, g)) + ')' for g in q.groups)})")
+    elif q.groups:
+        listed = ", ".join(map(_name, q.groups))
+        parts.append(f"GROUP BY {q.grouping} ({listed})" if q.grouping else f"GROUP BY {listed}")
     if q.havings:
         parts.append(f"HAVING {' AND '.join(_test_sql(t, binder) for t in q.havings)}")
     if q.orders:

@@ -1,10 +1,17 @@
-"""Sessions and table views."""
+"""Sessions, table views, and tables in the shared folder."""
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import os
+import re
+import tempfile
+import zipfile
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
+_schemas: dict[str, StructType] = {}
 
 
 def session(app: str = "tabulark", master: str | None = None, **conf: str) -> SparkSession:
@@ -18,7 +25,52 @@ def session(app: str = "tabulark", master: str | None = None, **conf: str) -> Sp
     return builder.getOrCreate()
 
 
+def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A Parquet table of a folder. Its schema is read once a process: schemas of a folder don't change."""
+    path = f"{folder}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
+
+
+def named_in(text: str, tables: tuple = TABLES) -> tuple[str, ...]:
+    """Tables whose names occur in a text."""
+    words = set(re.findall(r"\w+", text))
+    return tuple(t for t in tables if t in words)
+
+
 def open_tables(spark: SparkSession, folder: str, tables: tuple = TABLES) -> None:
-    """Register the Parquet tables of a folder as temporary views."""
+    """Register Parquet tables of a folder as temporary views."""
     for name in tables:
-        spark.read.parquet(f"{folder}/{name}.parquet").createOrReplaceTempView(name)
+        table(spark, folder, name).createOrReplaceTempView(name)
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give executors this package, for Python functions that run there: its sources, zipped. Once an application."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    _shipped.add(context.applicationId)
+    root = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="tabulark-"), "tabulark_engine.zip")
+    with zipfile.ZipFile(target, "w") as out:
+        for folder, _, names in os.walk(root):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                out.write(os.path.join(folder, name), os.path.relpath(os.path.join(folder, name), os.path.dirname(root)))
+    context.addPyFile(target)
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """df, computed once and kept in the folder that spark.checkpoint.dir names (in local mode without one: a folder
+    of our own): what follows starts from files that outlive any executor."""
+    context = df.sparkSession.sparkContext
+    if not (df.sparkSession.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()):
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and the executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="tabulark-"))
+    elif not context.getCheckpointDir():
+        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir"))
+    return df.checkpoint()
