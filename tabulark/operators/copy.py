@@ -93,8 +93,8 @@ class ColumnInfo:
 
 @dataclass(frozen=True)
 class CopyOptions:
-    """Of a whole run. Unordered: pages of sources that page may come in any order. schema_only: what the source has
-    no rows of is made as an empty table."""
+    """Of a whole run. allow_unordered: pages of sources that page may come in any order. missing_is_empty: a source that
+    isn't there has no rows. schema_only: a source without rows is written as an empty table (else nothing is written)."""
 
     page_size: int = 10_000
     batch_size: int = 10_000
@@ -232,8 +232,8 @@ def copy_tables(specs: list[CopySpec], read: Callable[[str], DataFrame], write:
         there = columns(s.destination) if columns else None
         if there is not None and (lost := {c.lower() for c in df.columns} - {c.lower() for c in there}):
             raise CopyError(f"{s.destination} has no columns {sorted(lost)}")
-        transform(read(s.source), s).limit(1).collect()  # preflight: the plan runs before anything is cleared
-        frames.append((df, seen))
+        some = transform(read(s.source), s).limit(1).collect()  # preflight: the plan runs before anything is cleared
+        frames.append((df if some or options.schema_only else df.limit(0), seen if some else None))
     if clear:
         for s in reversed(specs):
             try:
@@ -244,11 +244,13 @@ def copy_tables(specs: list[CopySpec], read: Callable[[str], DataFrame], write:
                 said.append(f"{s.destination}:MissingDestinationTable")
     results = []
     for s, (df, source_seen) in zip(specs, frames, strict=True):
-        if df is not None:
+        if df is not None and source_seen is None and not options.schema_only:
+            results.append(TableResult(s.source, s.destination, 0, 0, count(s.destination), True))
+        elif df is not None:
             before = 0 if clear else count(s.destination) or 0
             seen = Observation(f"copy-{uuid.uuid4().hex}")
             write(df.observe(seen, F.count(F.lit(1)).alias("rows")), s.destination)
-            copied, source_rows, after = seen.get["rows"], source_seen.get["rows"], count(s.destination)
+            copied, source_rows, after = seen.get["rows"], source_seen.get["rows"] if source_seen else 0, count(s.destination)
             sound = source_rows == copied and (after is None or after == before + copied)
             results.append(TableResult(s.source, s.destination, source_rows, copied, after, sound))
             if not sound:

@@ -81,15 +81,22 @@ class WritePlan:
     def rows(self, spark: SparkSession, items: Iterable[Any], ambient: dict[str, Any] | None = None) -> DataFrame:
         return from_objects(spark, [parameters(i, {c: self.members[c] for c in self.columns}, ambient) for i in items])
 
-    def run(self, spark: SparkSession, table: VersionedTable, items: Iterable[Any], ambient: dict[str, Any] | None = None) -> int:
-        """One write for all items; rows affected. A column whose values are all null takes the table's type."""
+    def run(self, spark: SparkSession, table: VersionedTable, items: Iterable[Any], ambient: dict[str, Any] | None = None, degree: int | None = None, expect: int | None = None) -> int:
+        """One write for all items; rows affected. A column whose values are all null takes the table's type. degree: in
+        how many tasks at once (1 to 1024). expect: how many rows must be affected, else the table stays as it was."""
+        if degree is not None and not 1 <= degree <= 1024:
+            raise ValueError("degree is 1 to 1024")
         target = table.read()
         types = {f.name.lower(): f.dataType for f in target.schema}
         rows = self.rows(spark, items, ambient)
         rows = rows.select(*[F.col(c).cast(types[c.lower()]).alias(c) for c in rows.columns])
-        if self.keys:
-            return table.upsert(rows, list(self.keys), None if self.update is None else list(self.update))
-        return table.append(rows)
+        rows = rows.repartition(degree) if degree else rows
+        base = table.number()
+        n = table.upsert(rows, list(self.keys), None if self.update is None else list(self.update)) if self.keys else table.append(rows)
+        if expect is not None and n != expect:
+            table.publish(table.version(base), base + 1)  # back to what it was
+            raise ValueError(f"{n} rows affected where {expect} were expected")
+        return n
 
 
 def write_plan(columns: list[str], members: dict[str, str] | None = None, keys: list[str] | None = None, update: list[str] | None = None) -> WritePlan:

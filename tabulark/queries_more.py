@@ -423,6 +423,14 @@ def provider_capabilities(spark: SparkSession, folder: str) -> DataFrame:
     return files.capabilities(spark).where(F.col("provider").isin("sqlite", "csv"))
 
 
+@made("SELECT * FROM (VALUES ('select', 'SELECT `n_nationkey`, `n_name` FROM `nation` WHERE n_regionkey = 1'), ('insert', 'INSERT INTO `b`.`nation` (`n_nationkey`, `n_name`) SELECT `n_nationkey`, `n_name` FROM `nation` WHERE n_regionkey = 1'), ('rows', (SELECT CAST(count(*) AS VARCHAR) FROM nation WHERE n_regionkey = 1))) AS t(verb, text)")
+def copy_statements(spark: SparkSession, folder: str) -> DataFrame:
+    """The statements that copy one table, and what the first of them finds."""
+    open_tables(spark, folder, ("nation",))
+    texts = manage.copy_texts("nation", "b.nation", ["n_nationkey", "n_name"], ["n_nationkey"], "n_regionkey = 1")
+    return spark.createDataFrame([("select", texts["select"]), ("insert", texts["insert"]), ("rows", str(spark.sql(texts["select"]).count()))], "verb string, text string")
+
+
 # running queries
 @made("SELECT 0 AS place, count(*) AS n FROM customer UNION ALL SELECT 1, count(*) FROM orders WHERE o_totalprice > 100000 UNION ALL SELECT 2, count(*) FROM nation")
 def parallel_queries(spark: SparkSession, folder: str) -> DataFrame:

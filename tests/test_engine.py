@@ -213,6 +213,18 @@ def test_parameters_and_plans(spark):
         writes.folded_names(spark.sql("SELECT 1 AS A, 2 AS `\"a\"`"))
 
 
+def test_plan_counts(spark, tmp_path):
+    table = dml.VersionedTable(spark, f"file://{tmp_path}/t")
+    table.commit(spark.sql("SELECT * FROM VALUES (1, 'a'), (2, 'b') AS t(k, v)"))
+    plan = writes.write_plan(["k", "v"], keys=["k"])
+    assert plan.run(spark, table, [{"k": 2, "v": "x"}, {"k": 3, "v": None}], degree=2, expect=2) == 2
+    with pytest.raises(ValueError, match="expected"):
+        plan.run(spark, table, [{"k": 9, "v": "z"}], expect=5)
+    with pytest.raises(ValueError):
+        plan.run(spark, table, [{"k": 9, "v": "z"}], degree=2000)
+    assert Counter(map(tuple, table.read().collect())) == Counter([(1, "a"), (2, "x"), (3, None)])
+
+
 def test_copy(spark):
     source = spark.sql("SELECT * FROM VALUES ('Server1', 10L, 1), ('server1', 20L, 2), ('Server2', 15L, 3) AS t(ProbeName, LastUtc, StatusId)")
     kept, cleared, seen = {}, [], []
@@ -246,6 +258,11 @@ def test_copy(spark):
 
     with pytest.raises(FileNotFoundError):
         copy.copy_tables([copy.CopySpec("a", "b")], lost, write, count)
+    empty, kept["e"] = source.limit(0), source
+    for schema_only in (False, True):
+        found = copy.copy_tables([copy.CopySpec("a", "e", exclusions=("StatusId",))], lambda n: empty, write, count, options=copy.CopyOptions(schema_only=schema_only)) if not schema_only else copy.copy_tables([copy.CopySpec("a", "f", exclusions=("StatusId",))], lambda n: empty, write, count)
+        assert found.tables[0].verified and found.total() == 0
+    assert kept["e"].count() == 3 and kept["f"].columns == ["ProbeName", "LastUtc"] and kept["f"].count() == 0
     found = copy.copy_tables([copy.CopySpec("a", "b")], lost, write, count, lost, options=copy.CopyOptions(missing_is_empty=True))
     assert found.warnings == ["a:MissingSourceTable", "b:MissingDestinationTable"] and found.tables[0].source_rows is None
     assert copy.missing_table(RuntimeError("no such table: x")) and not copy.missing_table(RuntimeError("timeout"))
