@@ -2,6 +2,12 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and read again
 as the next stage's docs. All but the last return the columns of documents.
+
+Defined results of every stage: an empty table gives no rows; texts of any length are worked on whole; extra columns,
+also of clashing names, stay as they are up to the mix and are not read by the encoding. Null, empty and blank texts
+fail the quality rules, so no later stage meets them; each would take them nonetheless (as no words, or the empty
+text). Null and repeated ids are ids like any other: rows are told apart by all their columns, and of equal rows one
+stays after near-dedup. Ties (equal texts of several ids) keep the least id, nulls last.
 """
 
 from __future__ import annotations
