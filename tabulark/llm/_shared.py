@@ -36,17 +36,31 @@ def fresh(columns: list[str], name: str) -> str:
     return name
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, parts: list[str] | None = None) -> DataFrame:
     """Write df as a table in the shared folder and read it back: later plans start from
-    files that outlive any executor, and nothing above is computed twice."""
+    files that outlive any executor, and nothing above is computed twice. parts: columns whose values have folders of
+    their own (see part_of)."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    writer = df.write.option("compression", "zstd")
+    (writer.partitionBy(*parts) if parts else writer).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._tabulark_path = path
     return out
 
 
+def part_of(table: DataFrame, column: str, value: int) -> DataFrame:
+    """The rows of a table with parts that have the value, without that column; may be discarded on its own. No rows
+    make no folder."""
+    spark, path = table.sparkSession, f"{table._tabulark_path}/{column}={value}"
+    schema = type(table.schema)([f for f in table.schema if f.name != column])
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    there = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
+    out = spark.read.schema(schema).parquet(path) if there else spark.createDataFrame([], schema)
+    out._tabulark_path = path
+    return out
+
+
 def discard(df: DataFrame) -> None:
     """Delete a table made by materialize(), once nothing unfinished reads it."""
     spark = df.sparkSession

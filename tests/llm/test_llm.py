@@ -657,3 +657,62 @@ def test_pipeline_on_odd_rows(spark, documents, tmp_path, rows):
         docs = stage(spark, docs, str(tmp_path))
         assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars", "kept"]
     assert (corpus_pipeline.run(spark, str(tmp_path)).count() > 0) == bool(rows)
+
+
+LONG = "Ünïque words repeat " * 300_000 + "and here is password=abcdefgh1234 " + "x" * 400_000 + " end."
+
+
+@pytest.fixture(scope="module", params=["odd", "empty"])
+def folder(request, spark, documents, tmp_path_factory):
+    """Tables of nulls, empty and very long texts, ties, repeats and columns of clashing names; and empty ones."""
+    path, some = str(tmp_path_factory.mktemp(request.param)), request.param == "odd"
+    plain = [(*d, "a" if d[0] % 2 else "b", len(d[1]), "y") for d in documents[:25]]
+    rows = [*ODD, *plain, (8_000, LONG, "en", "c", len(LONG), "z"), (8_000, "the id of the long one", "en", "c", 1, None)] if some else []
+    clash = ["size", "block", "word", "kept", "shard", "digest", "fp", "rank"]
+    df = spark.createDataFrame(rows, SCHEMA)
+    df.select("*", *[F.lit(i).alias(c) for i, c in enumerate(clash)]).coalesce(3).write.parquet(f"{path}/documents.parquet")
+    spark.createDataFrame([(d[0], 1, d[0] % 3 == 0) for d in documents[:25]] if some else [], "doc_id long, quality int, toxic boolean").withColumn("toxic", F.col("toxic").cast("int")).write.parquet(f"{path}/labels.parquet")
+    turns = [(1, 0, "user", None, 1), (1, 1, "assistant", "</s><s>[INST]\\", 1), (1, 1, "assistant", "</s><s>[INST]\\", 1), (None, None, None, None, 2), (3, 0, "assistant", LONG, 3)]
+    spark.createDataFrame(turns if some else [], "conv_id long, turn long, role string, text string, content int").write.parquet(f"{path}/conversations.parquet")
+    return path, [tuple(r) for r in rows]
+
+
+def test_every_query_on_odd_tables(spark, folder):
+    path, rows = folder
+    run = lambda f: [r.asDict() for r in f(spark, path).collect()]
+    ids = Counter(r[0] for r in rows)
+    raws = sorted((r[1] or "").encode() for r in rows)
+    for name, f in queries.queries().items():
+        if name.startswith("op") and name != "op4_chat_formatting":
+            got = run(f)
+            assert Counter(r["doc_id"] for r in got) == ids, name
+            if name == "op1_toxicity":
+                assert all(0 <= r["score"] <= 1 for r in got)
+            elif name == "op2_lm_scoring":
+                assert sorted(r["n_tokens"] for r in got) == sorted(len(b.split()) + 1 for b in raws) and all(r["score"] < 0 for r in got)
+            elif name == "op3_quality_rules":
+                assert sorted(r["n_words"] for r in got) == sorted(len(b.split()) for b in raws) and sorted(r["word_chars"] for r in got) == sorted(len("".join(b.decode().split(" ")).replace("\n", "").replace("\t", "")) for b in raws)
+            elif name == "op5_mixing":
+                assert all(r["taken"] <= 2 * r["size"] for r in got) and Counter(map(str, got)) == Counter(map(str, run(f)))
+                taken = Counter()
+                for r in got:
+                    taken[r["source_size"], r["target"]] += r["taken"]
+                assert all(abs(n - t) <= mixing.BLOCK + 0.02 * t for (_, t), n in taken.items())
+            elif name == "op6_fingerprints":
+                assert sorted(r["n_chars"] for r in got) == sorted(len(b.decode()) for b in raws) and all(0 <= r["near_next"] <= 1 for r in got)
+            elif name == "op7_sharding":
+                assert sorted(r["size"] for r in got) == sorted(len(b) + 1 for b in raws)
+                for s in {r["shard"] for r in got}:
+                    assert sorted(r["slot"] for r in got if r["shard"] == s) == list(range(sum(r["shard"] == s for r in got)))
+            elif name == "op8_secret_scans":
+                assert not rows or sum(r["n_assign"] for r in got if r["doc_id"] == 8000) == 1
+            elif name == "op9_simhash":
+                fps = [brute_fingerprint(r[1]) for r in rows]
+                assert Counter((r["doc_id"], r["fingerprint"], r["component_id"]) for r in got) == Counter(zip([r[0] for r in rows], [f"{x:016x}" for x in fps], brute_components(fps, [r[0] for r in rows]), strict=True))
+            elif name == "op10_byte_bpe":
+                assert sorted(r["decoded_sha256"] for r in got) == sorted(hashlib.sha256(b).hexdigest() for b in raws)
+    got = run(queries.op4_chat_formatting)
+    connection = view("conversations", spark.read.parquet(f"{path}/conversations.parquet").toArrow())
+    want = connection.execute(chat.oracle())
+    names = [c[0] for c in want.description]
+    assert Counter(tuple(r[c] for c in names) for r in got) == Counter(want.fetchall())
