@@ -43,7 +43,7 @@ def rows_of(rows, columns):
 
 
 #: Their conditions fit larger tables.
-EMPTY_AT_THE_SMALLEST = {"anti_join", "group_having", "freshness_status"}
+EMPTY_AT_THE_SMALLEST = {"anti_join", "group_having", "not_in_subquery"}
 
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
