@@ -8,7 +8,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, fingerprints, lm, mixing, quality, secrets, sharding, simhash, toxicity
+from . import bpe, chat, fingerprints, lm, mixing, negatives, quality, runs, secrets, sharding, simhash, toxicity, warc
 from ._shared import documents
 
 
@@ -58,11 +58,23 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(documents(spark, sf_dir), bpe.vocabulary_path())
 
 
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.mine(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("id") % 100 == 0, label=negatives.shifted())
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.digest(runs.find(runs.planted(documents(spark, sf_dir))))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    single = (op1_toxicity, op2_lm_scoring, op3_quality_rules, op4_chat_formatting, op5_mixing, op6_fingerprints, op7_sharding, op8_secret_scans, op9_simhash, op10_byte_bpe)
+    single = (op1_toxicity, op2_lm_scoring, op3_quality_rules, op4_chat_formatting, op5_mixing, op6_fingerprints, op7_sharding, op8_secret_scans, op9_simhash, op10_byte_bpe, op11_warc, op12_hard_negatives, op13_periodic_runs)
     return {f.__name__: f for f in single} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
-    found = {"op4_chat_formatting": chat.oracle(), "op5_mixing": mixing.oracle()}
+    found = {"op4_chat_formatting": chat.oracle(), "op5_mixing": mixing.oracle(), "op11_warc": warc.oracle(), "op12_hard_negatives": negatives.oracle()}
     return found | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
