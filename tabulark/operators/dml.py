@@ -1,21 +1,22 @@
 """Insert, update, delete and upsert over immutable data.
 
-Each verb maps a DataFrame to its next version. VersionedTable keeps versions of a Parquet table in a folder, with a
-log of numbered pointers: the pointer of the next number is made only if there is none, so a failed write changes
-nothing that readers see, and of two writers that start from one version the second fails.
+Each verb maps a DataFrame to its next version. VersionedTable applies them to a table in files, with a log (see
+versions): a failed write changes nothing that readers see, and of two writers of the same rows the second fails.
 """
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Iterable
+from dataclasses import replace
 from types import TracebackType
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
+from .versions import Change, ConflictError, Log, Ranges, State, q
 
-class ConflictError(RuntimeError):
-    """Another writer came first."""
+__all__ = ["ConflictError", "Transaction", "VersionedTable", "delete", "insert", "insert_if_missing", "key_columns", "last_of_each", "merge", "update"]
 
 
 def insert(target: DataFrame, rows: DataFrame) -> DataFrame:
@@ -94,121 +95,150 @@ def key_columns(primary: list[str], columns: list[str], identity: list[str] | No
     return primary, [c for c in columns if c.lower() not in fixed]
 
 
-class VersionedTable:
-    """A Parquet table with versions in one folder: `v-*` folders, and `log/N`, the name of version N's folder."""
+class VersionedTable(Log):
+    """A Parquet table with versions in a folder (see versions). Verbs give the rows they affect. An append reads nothing
+    of the table; others rewrite files that hold a row they affect, and look only into those whose least
+    and greatest values allow one."""
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path.rstrip("/")
+    def append(self, rows: DataFrame) -> int:
+        base = self.number()
+        state = self.state(base)
+        aligned = insert(self.spark.createDataFrame([], state.schema), rows)
+        made = self.stage(aligned.select(*[F.col(q(f.name)).cast(f.dataType).alias(f.name) for f in state.schema]))
+        self.publish(replace(made, replace=False, schema=None), base)
+        return sum(f.rows for f in made.add)
+
+    def _named(self, state: State, paths: Iterable[str]) -> DataFrame:
+        """Rows of files with _file, the file's path below the table's folder."""
+        rows = self.read_files(state, paths)
+        if not rows.inputFiles():
+            return rows.withColumn("_file", F.lit(None).cast("string"))
+        return rows.select("*", F.regexp_extract("_metadata.file_path", "[^/]+/[^/]+$", 0).alias("_file"))
+
+    def change(self, hit: Callable[[DataFrame], DataFrame], changes: dict[str, Column] | None, ranges: Ranges | None = None) -> int:
+        """Update (changes) or delete (None) rows for which the column _hit, which hit() adds, is true. ranges: bounds that such
+        rows lie within, if they are known."""
+        base = self.number()
+        state = self.state(base)
+        if changes and (unknown := {c.lower() for c in changes} - {f.name.lower() for f in state.schema}):
+            raise ValueError(f"unknown columns: {sorted(unknown)}")
+        found = hit(self._named(state, [f.path for f in state.matching(ranges)])).where("_hit").groupBy("_file").count().collect()  # a row a file
+        counts = {r["_file"]: r["count"] for r in found}
+        columns = [F.col(q(c)) for c in state.schema.names]
+        whole = [p for p, n in counts.items() if changes is None and n == state.files[p].rows]  # these just go
+        part = [p for p in counts if p not in whole]
+        made = Change()
+        if part:
+            rows = hit(self.read_files(state, part))
+            out = delete(rows, F.col("_hit")) if changes is None else update(rows, changes, F.col("_hit"))
+            made = self.stage(out.select(*columns))
+        if counts:
+            self.publish(Change(made.add, frozenset(counts), looked=(ranges or {},)), base)
+        return sum(counts.values())
+
+    def update(self, changes: dict[str, Column], where: Column, ranges: Ranges | None = None) -> int:
+        return self.change(lambda df: df.withColumn("_hit", where), changes, ranges)
+
+    def delete(self, where: Column, ranges: Ranges | None = None) -> int:
+        return self.change(lambda df: df.withColumn("_hit", where), None, ranges)
 
-    def _fs(self):
-        jvm = self.spark.sparkContext._jvm
-        root = jvm.org.apache.hadoop.fs.Path(self.path)
-        return jvm, root.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+    def upsert(self, rows: DataFrame, keys: list[str], update_columns: list[str] | None = None) -> int:
+        """merge() with the files that hold a key of rows; the others stay."""
+        if unknown := {*keys, *(update_columns or [])} - set(rows.columns):
+            raise ValueError(f"unknown columns: {sorted(unknown)}")
+        base = self.number()
+        state = self.state(base)
+        bounds = rows.agg(*[x for i, k in enumerate(keys) for x in (F.min(q(k)).alias(f"a{i}"), F.max(q(k)).alias(f"b{i}"), F.count_if(F.col(q(k)).isNull()).alias(f"z{i}"))]).first()
+        ranges = {k: (bounds[f"a{i}"], bounds[f"b{i}"]) for i, k in enumerate(keys) if not bounds[f"z{i}"] and bounds[f"a{i}"] is not None}
+        old = self._named(state, [f.path for f in state.matching(ranges)]).select("_file", *[F.col(q(k)).alias(f"_old_{k}") for k in keys])
+        new = rows.select(*[F.col(q(k)) for k in keys]).distinct()
+        touched = [r[0] for r in old.join(new, [old[q(f"_old_{k}")].eqNullSafe(new[q(k)]) for k in keys], "left_semi").select("_file").distinct().collect()]
+        seen = Observation()
+        target = self.read_files(state, touched)
+        hit = F.col("_new") if update_columns is None or update_columns else F.col("_new") & F.col("_old").isNull()
+        both = _joined(target, rows, keys).observe(seen, F.count_if(hit).alias("rows"))
+        made = self.stage(_taken(both, target, rows, keys, update_columns).select(*[F.col(q(f.name)).cast(f.dataType).alias(f.name) for f in state.schema]))
+        self.publish(Change(made.add, frozenset(touched), looked=(ranges,)), base)
+        return seen.get["rows"]
 
-    def number(self) -> int:
-        """The current version's number; 0 if there is none."""
-        jvm, fs = self._fs()
-        log = jvm.org.apache.hadoop.fs.Path(f"{self.path}/log")
-        if not fs.exists(log):
-            return 0
-        names = [s.getPath().getName() for s in fs.listStatus(log)]
-        return max((int(n) for n in names if n.isdigit()), default=0)
-
-    def version(self, number: int) -> str:
-        return self.spark.read.text(f"{self.path}/log/{number:020d}").first()[0]
-
-    def read(self, number: int | None = None) -> DataFrame:
-        """The current version, or one of the past."""
-        number = self.number() if number is None else number
-        if number == 0:
-            raise FileNotFoundError(self.path)
-        return self.spark.read.parquet(f"{self.path}/{self.version(number)}")
-
-    def stage(self, df: DataFrame) -> str:
-        """Write df where no reader looks; publish() makes it the current version."""
-        version = f"v-{uuid.uuid4().hex}"
-        df.write.parquet(f"{self.path}/{version}")
-        return version
-
-    def publish(self, version: str, base: int) -> int:
-        """Make a staged version number base + 1. The pointer is written aside and renamed to its number, which fails
-        if the number is taken."""
-        jvm, fs = self._fs()
-        paths = jvm.org.apache.hadoop.fs
-        aside, pointer = paths.Path(f"{self.path}/.{version}"), paths.Path(f"{self.path}/log/{base + 1:020d}")
-        fs.mkdirs(pointer.getParent())
-        stream = fs.create(aside, True)
-        stream.write(bytearray(version.encode()))
-        stream.close()
-        context = paths.FileContext.getFileContext(fs.getUri(), self.spark.sparkContext._jsc.hadoopConfiguration())
-        how = self.spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
-        how[0] = getattr(jvm.org.apache.hadoop.fs.Options.Rename, "NONE")
-        try:
-            context.rename(aside, pointer, how)
-        except Exception as error:
-            fs.delete(aside, False)
-            raise ConflictError(f"{self.path}: version {base + 1} is another writer's") from error
-        return base + 1
+    def truncate(self) -> int:
+        """No row is read: the log knows how many there were."""
+        base = self.number()
+        state = self.state(base)
+        self.publish(Change(replace=True, schema=state.schema), base)
+        return state.rows()
 
-    def commit(self, df: DataFrame, base: int | None = None) -> int:
-        """df as the version after base (default: after the current one)."""
-        base = self.number() if base is None else base
-        return self.publish(self.stage(df), base)
 
-    def _counted(self, df: DataFrame, observed: Observation, base: int) -> int:
-        self.commit(df, base)
-        return observed.get["rows"]
+class Part(VersionedTable):
+    """A table within a transaction: its verbs see what the transaction has done so far, and nobody else does."""
 
-    def append(self, rows: DataFrame) -> int:
-        """Rows inserted. Verbs give the rows they affect, counted by the job that writes."""
-        base, seen = self.number(), Observation()
-        return self._counted(insert(self.read(base), rows.observe(seen, F.count(F.lit(1)).alias("rows"))), seen, base)
+    def __init__(self, table: VersionedTable):
+        super().__init__(table.spark, table.path)
+        self.base = table.number()
+        self.first = self.current = table.state(self.base) if self.base else None
+        self.looked: list[Ranges] = []
+        self.replaced = False
 
-    def update(self, changes: dict[str, Column], where: Column) -> int:
-        base, seen = self.number(), Observation()
-        return self._counted(update(self.read(base).observe(seen, F.count_if(where).alias("rows")), changes, where), seen, base)
+    def number(self) -> int:
+        return self.base
 
-    def delete(self, where: Column) -> int:
-        base, seen = self.number(), Observation()
-        return self._counted(delete(self.read(base).observe(seen, F.count_if(where).alias("rows")), where), seen, base)
+    def state(self, number: int | None = None) -> State:
+        if self.current is None:
+            raise FileNotFoundError(self.path)
+        return self.current
 
-    def upsert(self, rows: DataFrame, keys: list[str], update_columns: list[str] | None = None) -> int:
-        base, seen = self.number(), Observation()
-        target = self.read(base)
-        hit = F.col("_new") if update_columns is None or update_columns else F.col("_new") & F.col("_old").isNull()
-        both = _joined(target, rows, keys).observe(seen, F.count_if(hit).alias("rows"))
-        return self._counted(_taken(both, target, rows, keys, update_columns), seen, base)
+    def publish(self, change: Change, base: int, decision: str | None = None) -> int:
+        self.current = change.after(self.current)
+        self.replaced |= change.replace
+        self.looked += change.looked or ()
+        return self.base
 
-    def truncate(self) -> int:
-        base = self.number()
-        rows = self.read(base).count()
-        self.commit(self.read(base).limit(0), base)
-        return rows
+    def sum(self) -> Change | None:
+        """All that was done, as one change."""
+        if self.current is self.first:
+            return None
+        old, new = self.first.files if self.first else {}, self.current.files
+        schema = None if self.first and self.first.schema == self.current.schema else self.current.schema
+        if self.replaced:
+            return Change(tuple(new.values()), replace=True, schema=self.current.schema)
+        return Change(tuple(f for p, f in new.items() if p not in old), frozenset(old.keys() - new.keys()), schema=schema, looked=tuple(self.looked) or None)
 
 
 class Transaction:
-    """Next versions of several tables, published together when the block ends well, and none if it doesn't. If a
-    table has moved on meanwhile, those already published go back to where they were and the error is raised."""
+    """Changes of several tables that are published together when the block ends well, and none if it doesn't, whatever
+    the reason, and if the driver is lost. table() gives a table whose verbs belong to the transaction."""
 
     def __init__(self):
-        self.staged: list[tuple[VersionedTable, str, int]] = []
+        self.parts: dict[str, Part] = {}
+        self.tables: dict[str, VersionedTable] = {}
+
+    def table(self, table: VersionedTable) -> Part:
+        if table.path not in self.parts:
+            self.parts[table.path], self.tables[table.path] = Part(table), table
+        return self.parts[table.path]
 
     def write(self, table: VersionedTable, df: DataFrame) -> None:
-        base = table.number()
-        self.staged.append((table, table.stage(df), base))
+        """df as the table's whole content."""
+        self.table(table).commit(df)
 
     def __enter__(self) -> Transaction:
         return self
 
     def __exit__(self, kind: type | None, error: BaseException | None, trace: TracebackType | None) -> None:
-        if error is not None:
+        changes = {p: c for p, part in self.parts.items() if (c := part.sum()) is not None}
+        if error is not None or not changes:
+            return
+        if len(changes) == 1:
+            (path, change), = changes.items()
+            self.tables[path].publish(change, self.parts[path].base)
             return
-        done: list[tuple[VersionedTable, int]] = []
+        first = self.tables[min(changes)]
+        decision = f"{first.path}/decisions/{uuid.uuid4().hex}"
         try:
-            for table, version, base in self.staged:
-                table.publish(version, base)
-                done.append((table, base))
-        except ConflictError:
-            for table, base in reversed(done):
-                table.publish(table.version(base), base + 1) if base else table.commit(table.read(1).limit(0), 1)
+            for path in sorted(changes):  # in one order for all, so that two rarely stop each other
+                self.tables[path].publish(changes[path], self.parts[path].base, decision)
+            if not first.folder.put(decision, "committed"):
+                raise ConflictError("another writer met the transaction before it was decided")
+        except BaseException:
+            first.folder.put(decision, "aborted")
             raise

@@ -15,7 +15,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .dml import VersionedTable
+from .dml import Transaction, VersionedTable
 from .infer import from_objects
 
 MISSING = object()
@@ -91,11 +91,11 @@ class WritePlan:
         rows = self.rows(spark, items, ambient)
         rows = rows.select(*[F.col(c).cast(types[c.lower()]).alias(c) for c in rows.columns])
         rows = rows.repartition(degree) if degree else rows
-        base = table.number()
-        n = table.upsert(rows, list(self.keys), None if self.update is None else list(self.update)) if self.keys else table.append(rows)
-        if expect is not None and n != expect:
-            table.publish(table.version(base), base + 1)  # back to what it was
-            raise ValueError(f"{n} rows affected where {expect} were expected")
+        with Transaction() as one:
+            part = one.table(table)
+            n = part.upsert(rows, list(self.keys), None if self.update is None else list(self.update)) if self.keys else part.append(rows)
+            if expect is not None and n != expect:  # nothing is published yet
+                raise ValueError(f"{n} rows affected where {expect} were expected")
         return n
 
 

@@ -10,12 +10,11 @@ import uuid
 from dataclasses import dataclass, replace
 from typing import Any
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import dml
 from ..operators.dml import VersionedTable
-from .query import Binder, Query, QueryError, _predicate
+from .query import Binder, Query, QueryError, Raw, _predicate
 
 
 def _rows(spark: SparkSession, table: DataFrame, columns: tuple[str, ...], rows: tuple[tuple, ...]) -> DataFrame:
@@ -78,18 +77,45 @@ class Change:
     def run(self, spark: SparkSession, table: VersionedTable) -> int:
         if self.verb == "update" and not self.changes:
             raise QueryError("an update sets one column or more")
-        base, seen, view, binder = table.number(), Observation(), f"t{uuid.uuid4().hex}", Binder()
-        target = table.read(base)
+        binder = Binder()
         test = _predicate(self.tests.tests, binder) if self.tests.tests else "true"
-        target.createOrReplaceTempView(view)
+
+        def hit(df: DataFrame) -> DataFrame:
+            view = f"t{uuid.uuid4().hex}"
+            df.createOrReplaceTempView(view)
+            try:
+                return spark.sql(f"SELECT *, ({test}) AS _hit FROM {view}", args=binder.args)
+            finally:
+                spark.catalog.dropTempView(view)
+
+        return table.change(hit, {c: F.lit(v) for c, v in self.changes} if self.verb == "update" else None, bounds_of(self.tests.tests))
+
+
+def bounds_of(tests: tuple) -> dict[str, tuple[Any, Any]]:
+    """Bounds that rows lie within if all tests hold; none if one may be enough, or for what isn't a comparison with values."""
+    found: dict[str, tuple[Any, Any]] = {}
+    if any(t.kind in ("open", "close") or t.connector == "OR" for t in tests):
+        return found
+    for t in tests:
+        if not isinstance(t.left, str) or t.negated or not t.values or any(v is None or isinstance(v, (Query, Raw)) for v in t.values):
+            continue
+        if t.kind == "compare":
+            low, high = {"=": (t.values[0],) * 2, "<": (None, t.values[0]), "<=": (None, t.values[0]), "!>": (None, t.values[0]), ">": (t.values[0], None), ">=": (t.values[0], None), "!<": (t.values[0], None)}.get(t.op, (None, None))
+        elif t.kind == "between":
+            low, high = t.values
+        elif t.kind == "in":
+            try:
+                low, high = min(t.values), max(t.values)
+            except TypeError:
+                continue
+        else:
+            continue
+        before = found.get(t.left, (None, None))
         try:
-            rows = spark.sql(f"SELECT *, ({test}) AS _hit FROM {view}", args=binder.args)
-        finally:
-            spark.catalog.dropTempView(view)
-        rows = rows.observe(seen, F.count_if("_hit").alias("rows"))
-        out = dml.delete(rows, F.col("_hit")) if self.verb == "delete" else dml.update(rows, {c: F.lit(v) for c, v in self.changes}, F.col("_hit"))
-        table.commit(out.select(*[F.col("`" + c.replace("`", "``") + "`") for c in target.columns]), base)
-        return seen.get["rows"]
+            found[t.left] = (low if before[0] is None else before[0] if low is None else max(low, before[0]), high if before[1] is None else before[1] if high is None else min(high, before[1]))
+        except TypeError:
+            continue
+    return found
 
 
 def update() -> Change:
