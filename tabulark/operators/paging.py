@@ -16,6 +16,8 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import StructType, _parse_datatype_string
 
 from ..session import ship
+from .dml import VersionedTable
+from .versions import File, State
 
 
 class PagingError(ValueError):
@@ -59,6 +61,89 @@ def pages(df: DataFrame, keys: list[str], size: int) -> Iterator[list[Row]]:
         last = rows[-1]
 
 
+class OrderIndex:
+    """A versioned table laid out in order of keys: each file holds a range of them, and the log knows rows, least and greatest key of each. So
+    a page by number or by key opens the files that it lies in (two at most if pages are smaller than files), and all pages one
+    after the other read each file once. The layout holds for the version that build() makes; a table that was changed since is built anew."""
+
+    def __init__(self, table: VersionedTable, keys: list[str]):
+        require_order(keys)
+        self.table, self.keys = table, keys
+        self.order = [F.col(k).asc_nulls_last() for k in keys]
+        self.opened = 0
+
+    def build(self, df: DataFrame, rows: int = 1_000_000) -> OrderIndex:
+        """Lay df out in files of about so many rows, as the table's next version."""
+        files = max(1, -(-df.count() // rows))
+        self.table.commit(df.repartitionByRange(files, *self.order).sortWithinPartitions(*self.order))
+        return self
+
+    def _files(self) -> tuple[State, list[File]]:
+        state = self.table.state()
+        if len({f.path.split("/")[0] for f in state.files.values()}) > 1:
+            raise PagingError("the table has changed since it was laid out")
+        return state, sorted(state.files.values(), key=lambda f: f.path)  # ranges are numbered in file names
+
+    def _read(self, state: State, files: list[File]) -> DataFrame:
+        self.opened += len(files)
+        return self.table.read_files(state, [f.path for f in files])
+
+    def by_number(self, number: int, size: int) -> list[Row]:
+        """Page 0, 1, .. of `size` rows."""
+        if size <= 0 or number < 0:
+            raise PagingError("a page has one row or more, and a number from 0 on")
+        state, files = self._files()
+        first, before, some, skip = number * size, 0, [], 0
+        for f in files:
+            if before + f.rows > first and before < first + size:
+                skip = first - before if not some else skip
+                some.append(f)
+            before += f.rows
+        return self._read(state, some).orderBy(*self.order).offset(skip).limit(size).collect() if some else []
+
+    def after(self, last: Row | None, size: int) -> list[Row]:
+        """The page of rows after `last` (None: from the start)."""
+        if size <= 0:
+            raise PagingError("a page has one row or more")
+        state, files = self._files()
+        kind = state.schema[self.keys[0]].dataType
+        if last is not None and last[self.keys[0]] is not None:
+            files = [f for f in files if not (b := f.bounds(self.keys[0], kind)) or b[1] is None or f.stats[self.keys[0]][2] or b[1] >= last[self.keys[0]]]
+        rows: list[Row] = []
+        for i, f in enumerate(files):
+            df = self._read(state, [f])
+            rows += (df if last is None else df.where(after(self.keys, last))).orderBy(*self.order).limit(size - len(rows)).collect()
+            if len(rows) >= size or i == len(files) - 1:
+                break
+        return rows
+
+    def pages(self, size: int) -> Iterator[list[Row]]:
+        """All pages, one at a time in the driver; files are streamed one after the other, each once."""
+        if size <= 0:
+            raise PagingError("a page has one row or more")
+        state, files = self._files()
+        held: list[Row] = []
+        for f in files:
+            for row in self._read(state, [f]).coalesce(1).sortWithinPartitions(*self.order).toLocalIterator():
+                held.append(row)
+                if len(held) == size:
+                    yield held
+                    held = []
+        if held:
+            yield held
+
+    def numbered(self, size: int) -> DataFrame:
+        """All rows with the number of their page, without passing the driver: a file's rows start where those of the files before it end."""
+        state, files = self._files()
+        starts, before = [], 0
+        for f in files:
+            starts.append((f.path.split("/")[1], before))
+            before += f.rows
+        known = F.broadcast(self.table.spark.createDataFrame(starts, "_file string, _before long"))  # a row a file
+        rows = self.table.read_files(state, [f.path for f in files]).select("*", F.regexp_extract("_metadata.file_path", "[^/]+$", 0).alias("_file"), F.col("_metadata.row_index").alias("_row"))
+        return rows.join(known, "_file").withColumn("page", F.floor((F.col("_before") + F.col("_row")) / size)).drop("_file", "_row", "_before")
+
+
 @dataclass(frozen=True)
 class Page:
     rows: list

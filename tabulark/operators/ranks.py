@@ -90,3 +90,22 @@ def near_in_time(left: DataFrame, right: DataFrame, time: str, other: str, width
     b = right.withColumn("_bin", F.explode(F.array(bin_of(other), bin_of(other) + 1)))
     close = (F.col(other) <= F.col(time)) & (F.col(other) >= F.col(time) - F.lit(width))
     return a.join(b, "_bin").where(close).drop("_bin")
+
+
+def near_counts(left: DataFrame, right: DataFrame, time: str, other: str, width: datetime.timedelta, keys: list[str] | None = None, name: str = "n", ranges: int | None = None) -> DataFrame:
+    """left with how many rows of right have equal keys (none: all rows count; null is a key) and a time at most `width` before its own, or
+    at it. No pairs are made: both sides are sorted into the same ranges, each row of left stands at both ends of its interval, and the count is
+    the difference of two running ranks. Rows shuffled: two of left and one of right, whatever the number of pairs, and a time that many
+    rows share is split over ranges like any other."""
+    keys = keys or []
+    rows = cut(left.withColumn("_asked", F.monotonically_increasing_id()))
+    at = F.unix_micros(F.col(time).cast("timestamp"))
+    micros = width // datetime.timedelta(microseconds=1)
+    # at one time: starts come before rows of the right, ends after them
+    ends = F.array(F.struct((at - micros).alias("_at"), F.lit(-1).alias("_side")), F.struct(at.alias("_at"), F.lit(1).alias("_side")))
+    asked = rows.where(F.col(time).isNotNull()).select(*keys, "_asked", F.explode(ends).alias("_end")).select(*keys, F.col("_end._at").alias("_at"), F.col("_end._side").alias("_side"), "_asked", F.lit(0).alias("_one"))
+    there = right.where(F.col(other).isNotNull()).select(*keys, F.unix_micros(F.col(other).cast("timestamp")).alias("_at"), F.lit(0).alias("_side"), F.lit(None).cast("long").alias("_asked"), F.lit(1).alias("_one"))
+    order = [*[F.col(k).asc_nulls_first() for k in keys], F.col("_at"), F.col("_side"), F.col("_asked")]
+    ranked = running_total(asked.unionByName(there), F.col("_one"), order, "_rank", ranges)
+    counts = ranked.where("_asked IS NOT NULL").groupBy("_asked").agg(F.sum(F.col("_side") * F.col("_rank")).alias(name))
+    return rows.join(counts, "_asked", "left").select(*left.columns, F.coalesce(name, F.lit(0)).cast("long").alias(name))

@@ -76,13 +76,10 @@ def range_join(spark: SparkSession, folder: str) -> DataFrame:
 
 @made("SELECT e.event_id, count(b.event_id) AS n FROM events e LEFT JOIN events b ON b.ts >= e.ts - INTERVAL 10 MINUTES AND b.ts <= e.ts AND b.event_id <> e.event_id GROUP BY 1")
 def interval_join(spark: SparkSession, folder: str) -> DataFrame:
-    """Events of the ten minutes before each: no key but time, so time is cut in bins that are joined with their neighbours."""
+    """Events of the ten minutes before each: no key but time."""
     events = table(spark, folder, "events").select("event_id", "ts")
-    pairs = ranks.near_in_time(events, events.select(F.col("event_id").alias("other"), F.col("ts").alias("other_ts")), "ts", "other_ts", datetime.timedelta(minutes=10))
-    found = pairs.where("other <> event_id").groupBy("event_id").agg(F.count("*").alias("n"))
-    return events.join(found, "event_id", "left").select("event_id", F.coalesce("n", F.lit(0)).alias("n"))
-
-
+    found = ranks.near_counts(events, events.select(F.col("ts").alias("other_ts")), "ts", "other_ts", datetime.timedelta(minutes=10))
+    return found.select("event_id", (F.col("n") - 1).alias("n"))
 
 
 @made("SELECT e.event_id, p.event_id AS purchase_id FROM (SELECT * FROM events WHERE event_type = 'error') e ASOF LEFT JOIN (SELECT user_id, ts, max(event_id) AS event_id FROM events WHERE event_type = 'purchase' GROUP BY ALL) p ON e.user_id = p.user_id AND e.ts > p.ts")
@@ -438,4 +435,4 @@ def pattern_columns(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "part").select("p_partkey", matching.similar_to(name, "[a-l]%").alias("similar"), matching.glob(name, "*bolt").alias("globbed"), matching.match(name, "RE t").alias("matched"))
 
 
-from . import queries_more  # noqa: E402, F401  registers the rest
+from . import queries_more, queries_tables  # noqa: E402, F401  register the rest
