@@ -1,7 +1,7 @@
 """Sketches as stored columns: distinct counts, quantiles and heavy hitters that are built once and merged as often as asked.
 
-A table of sketches has a row for each group (a day and a kind, say). merge() gives the same sketch for coarser groups as building anew would
-answer, from those rows alone; the table's rows are never read again. Distinct counts are HyperLogLog (2^lg_k registers,
+A table of sketches has a row for each group (a day and a kind, say). merge() gives those of coarser groups, whose answers have
+the same bounds as if they had been built anew, from those rows alone; the table's rows are never read again. Distinct counts are HyperLogLog (2^lg_k registers,
 relative error 1.04 / sqrt(2^lg_k) one time in three), quantiles are KLL (rank error about 2.3 / k^0.9). Heavy hitters are counted by
 hash in `width` cells of `depth` rows (count-min), beside a list of candidates: an estimate is never too small, and too large by more than
 2.72 / width of all rows with probability exp(-depth).

@@ -103,8 +103,10 @@ class VersionedTable(Log):
     def append(self, rows: DataFrame) -> int:
         base = self.number()
         state = self.state(base)
-        aligned = insert(self.spark.createDataFrame([], state.schema), rows)
-        made = self.stage(aligned.select(*[F.col(q(f.name)).cast(f.dataType).alias(f.name) for f in state.schema]))
+        known = {c.lower(): c for c in rows.columns}
+        if extra := known.keys() - {f.name.lower() for f in state.schema}:
+            raise ValueError(f"unknown columns: {sorted(extra)}")
+        made = self.stage(rows.select(*[(F.col(q(known[f.name.lower()])) if f.name.lower() in known else F.lit(None)).cast(f.dataType).alias(f.name) for f in state.schema]))
         self.publish(replace(made, replace=False, schema=None), base)
         return sum(f.rows for f in made.add)
 

@@ -13,6 +13,7 @@ from .operators import dml, paging, ranks, verify
 from .plans import statements
 from .queries_more import scratch
 from .registry import made, table
+from .sources import files
 
 
 @made("""WITH n AS (SELECT o_orderstatus AS s, count(*) AS n FROM orders GROUP BY 1), f AS (SELECT coalesce(max(n), 0) AS n FROM n WHERE s = 'F'), o AS (SELECT coalesce(max(n), 0) AS n FROM n WHERE s = 'O'), p AS (SELECT coalesce(max(n), 0) AS n FROM n WHERE s = 'P')
@@ -160,3 +161,19 @@ def order_lookup(spark: SparkSession, folder: str) -> DataFrame:
     few = int(index.opened <= 4)
     rows = [("number", r["o_orderkey"]) for r in first] + [("key", r["o_orderkey"]) for r in second] + [("opened", few)]
     return spark.createDataFrame(rows, "how string, o_orderkey long")
+
+
+@made("SELECT doc_id, text, lang FROM documents UNION ALL SELECT -1, NULL, '' UNION ALL SELECT -2, ' \"a\" , b' || chr(13) || chr(10) || chr(10) || 'c ', ' x ' UNION ALL SELECT -3, '', NULL")
+def csv_text_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    """Texts with line ends, quotes and blanks at their ends as one CSV file, read in several tasks."""
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    odd = spark.createDataFrame([(-1, None, ""), (-2, ' "a" , b\r\n\nc ', " x "), (-3, "", None)], docs.schema)
+    path = scratch(spark, "csv")
+    files.write_csv(docs.unionByName(odd).coalesce(1), path)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "256k")  # small files are to be cut as well
+    try:
+        files.read_csv(spark, path, "doc_id long, text string, lang string").write.parquet(f"{path}-back")
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    return spark.read.parquet(f"{path}-back")

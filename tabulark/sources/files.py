@@ -12,6 +12,8 @@ from dataclasses import asdict, dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import csv_blocks
+
 REQUIRED = {"csv": ("path",), "json": ("path",), "parquet": ("path",), "orc": ("path",), "text": ("path",), "jdbc": ("url", "dbtable"), "sqlite": ("path",)}
 #: What providers of tables can do.
 CAPABILITIES = ("query", "stream", "write", "bulk_write", "procedures", "metadata", "transaction")
@@ -84,12 +86,30 @@ def read(spark: SparkSession, format_: str, schema: str | None = None, **options
     return reader.options(**options).load(path)
 
 
+#: What CSV is written and read with: quotes are doubled, blanks stay, and a quoted empty text isn't null.
+CSV = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+NOTHING = "\x01null"
+
+
 def read_csv(spark: SparkSession, path: str, schema: str, static: dict[str, str] | None = None, **options: str) -> DataFrame:
-    """CSV with a header and a given schema; bad rows fail unless mode says otherwise; static columns are added."""
-    df = spark.read.schema(schema).options(header="true", mode="FAILFAST", **options).csv(path)
+    """CSV with a header and a given schema; bad rows fail unless mode says otherwise; static columns are added. Texts may hold
+    line ends: see load_csv()."""
+    asked = {**CSV, "nullValue": NOTHING, "mode": "FAILFAST", **options}
+    df = _parsed(spark, path, schema, asked, True, 0, None)
     return df.withColumns({k: F.lit(v) for k, v in (static or {}).items()})
 
 
+def _parsed(spark: SparkSession, path: str, schema: str, asked: dict[str, str], header: bool, skip_rows: int, comment: str | None) -> DataFrame:
+    """Spark's reader where every line is a record, else records cut out of blocks (see csv_blocks): one pass tells."""
+    quote, encoding = asked.get("quote", '"'), asked.get("encoding", "UTF-8")
+    if not skip_rows and csv_blocks.plain(csv_blocks.lines_of(spark, path, encoding), quote):
+        return spark.read.schema(schema).options(header=str(header).lower(), **asked).csv(path)
+    rows = csv_blocks.records(spark, path, quote, comment, skip_rows, header, encoding)
+    own = {k: v for k, v in asked.items() if k not in ("encoding", "comment")}
+    # no line end ends a record here
+    return rows.select(F.from_csv("record", schema, {**own, "lineSep": "\x00", "multiLine": "true"}).alias("row")).select("row.*")
+
+
 @dataclass(frozen=True)
 class CsvOptions:
     """How a CSV is read. delimiter None: the one of , ; tab | that cuts the head evenly most often. skip_rows: lines
@@ -127,22 +147,12 @@ def delimiter_of(lines: list[str]) -> str:
 
 
 def load_csv(spark: SparkSession, path: str, schema: str, options: CsvOptions = CsvOptions()) -> DataFrame:
-    """A CSV with a given schema. Lines are read in parallel; skipping lines before a header needs their places in
-    files, so then a file is a task."""
+    """A CSV with a given schema, in parallel whatever its files hold: line ends in quoted texts, lines before the header."""
     text = spark.read.option("encoding", options.encoding)
     delimiter = options.delimiter or delimiter_of([r[0] for r in text.text(path).limit(20).collect()][options.skip_rows :])
-    asked = {"sep": delimiter, "quote": options.quote, "comment": options.comment, "dateFormat": options.date_format, "timestampFormat": options.timestamp_format, "timestampNTZFormat": options.timestamp_format, "encoding": options.encoding, "mode": MODES[options.mismatch]}
+    asked = {**CSV, "sep": delimiter, "quote": options.quote, "escape": options.quote, "comment": options.comment, "dateFormat": options.date_format, "timestampFormat": options.timestamp_format, "timestampNTZFormat": options.timestamp_format, "encoding": options.encoding, "mode": MODES[options.mismatch], "nullValue": NOTHING, "columnNameOfCorruptRecord": "_corrupt"}
     shape = schema + ("" if options.mismatch == "fail" else ", _corrupt string")
-    reader = spark.read.schema(shape).options(columnNameOfCorruptRecord="_corrupt", **{k: v for k, v in asked.items() if v is not None})
-    if options.skip_rows:
-        whole = spark.read.option("encoding", options.encoding).text(path, wholetext=True)
-        lines = whole.select(F.posexplode(F.split("value", "\r\n|\n|\r"))).where((F.col("pos") >= options.skip_rows + options.header) & (F.length("col") > 0))
-        parsed = F.from_csv("col", shape, {k: v for k, v in asked.items() if v is not None and k not in ("encoding", "comment")} | {"columnNameOfCorruptRecord": "_corrupt", "mode": "FAILFAST" if options.mismatch == "fail" else "PERMISSIVE"})
-        if options.comment:
-            lines = lines.where(~F.col("col").startswith(options.comment))
-        df = lines.select(parsed.alias("row")).select("row.*")
-    else:
-        df = reader.option("header", str(options.header).lower()).csv(path)
+    df = _parsed(spark, path, shape, {k: v for k, v in asked.items() if v is not None}, options.header, options.skip_rows, options.comment)
     if options.mismatch == "drop":
         # which rows are malformed is known only if all columns are read: the hash (never 0 here) asks for them
         df = df.where(F.col("_corrupt").isNull() & (F.xxhash64(*[c for c in df.columns if c != "_corrupt"]).bitwiseOR(F.lit(1).cast("long")) != 0)).drop("_corrupt")
@@ -205,7 +215,8 @@ def run_csv(spark: SparkSession, plan: CsvPlan, write: Callable[[DataFrame, str]
 
 
 def write_csv(df: DataFrame, path: str, gzip: bool = False, mode: str = "error") -> None:
-    df.write.mode(mode).option("header", "true").csv(path, compression="gzip" if gzip else "none")
+    """CSV with a header, as RFC 4180 has it: quotes doubled, texts with line ends quoted, null unquoted and empty."""
+    df.write.mode(mode).options(header="true", **CSV).csv(path, compression="gzip" if gzip else "none")
 
 
 def spec_fingerprint(spec: dict) -> str:
