@@ -435,4 +435,4 @@ def pattern_columns(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "part").select("p_partkey", matching.similar_to(name, "[a-l]%").alias("similar"), matching.glob(name, "*bolt").alias("globbed"), matching.match(name, "RE t").alias("matched"))
 
 
-from . import queries_more, queries_tables  # noqa: E402, F401  register the rest
+from . import queries_more, queries_streams, queries_tables  # noqa: E402, F401  register the rest

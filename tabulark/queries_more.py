@@ -498,19 +498,6 @@ def late_events(spark: SparkSession, folder: str) -> DataFrame:
     return good.select("event_id", F.lit(False).alias("late")).unionByName(late.select("event_id", F.lit(True).alias("late")))
 
 
-@made("SELECT event_type, user_id, min(event_id) AS event_id FROM (SELECT *, date_trunc('day', ts) AS day FROM events) WHERE (event_type, user_id, ts) IN (SELECT event_type, user_id, min(ts) FROM events GROUP BY ALL) GROUP BY event_type, user_id")
-def first_of_stream(spark: SparkSession, folder: str) -> DataFrame:
-    """A stream's first row of each key: repeats within a month's watermark are dropped, in one batch in order of time."""
-    events = table(spark, folder, "events")
-    path = scratch(spark, "first")
-    events.repartition("event_type", "user_id").sortWithinPartitions("event_type", "user_id", "ts", "event_id").write.parquet(f"{path}/in")
-    stream = windows.first_seen(spark.readStream.schema(events.schema).parquet(f"{path}/in"), "ts", ["event_type", "user_id"], "60 days")
-    stream.writeStream.format("parquet").option("checkpointLocation", f"{path}/state").option("path", f"{path}/out").trigger(availableNow=True).start().awaitTermination()
-    kept = spark.read.parquet(f"{path}/out").select("event_type", "user_id").distinct()
-    first = events.groupBy("event_type", "user_id").agg(F.min(F.struct("ts", "event_id"))["event_id"].alias("event_id"))
-    return first.join(kept, ["event_type", "user_id"], "left_semi").select("event_type", "user_id", "event_id")
-
-
 # functions of one's own
 @made("SELECT c_custkey, c_acctbal * 1.19 + 1 AS gross, CAST(length(c_name) * 2 AS INT) AS doubled FROM customer")
 def user_scalar(spark: SparkSession, folder: str) -> DataFrame:

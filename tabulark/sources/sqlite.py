@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, DataSourceWriter, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, In, InputPartition, IsNotNull, IsNull, LessThan, LessThanOrEqual, Not, WriterCommitMessage
 from pyspark.sql.types import BinaryType, BooleanType, ByteType, DoubleType, FloatType, IntegerType, LongType, ShortType, StringType, StructField, StructType
 
 from ..session import ship
@@ -85,6 +85,9 @@ class SqliteSource(DataSource):
     def reader(self, schema: StructType) -> DataSourceReader:
         return SqliteReader(dict(self.options), schema, self._relation())
 
+    def streamReader(self, schema: StructType) -> DataSourceStreamReader:
+        return SqliteStream(dict(self.options), schema, self._relation())
+
     def writer(self, schema: StructType, overwrite: bool) -> DataSourceWriter:
         return SqliteWriter(dict(self.options), schema, overwrite)
 
@@ -102,12 +105,51 @@ def _as(kind, value: Any) -> Any:
     return value.decode() if isinstance(value, bytes) else str(value)
 
 
+#: Comparisons that are pushed down, with SQLite's signs.
+SIGNS = {EqualTo: "=", GreaterThan: ">", GreaterThanOrEqual: ">=", LessThan: "<", LessThanOrEqual: "<="}
+
+
+def condition(filter_: Filter, kinds: dict[str, Any]) -> tuple[str, list] | None:
+    """A filter as SQLite's condition, with its parameters; None if SQLite could mean something else by it. Values of any type can stand in any
+    column, so a condition also asks for a type that compares alike: what isn't of it goes to Spark, which looks at all again."""
+    if isinstance(filter_, Not):
+        return (f"{quoted(filter_.child.attribute[0])} IS NOT NULL", []) if isinstance(filter_.child, IsNull) and len(filter_.child.attribute) == 1 else None
+    column = getattr(filter_, "attribute", ())
+    if len(column) != 1 or column[0] not in kinds:
+        return None
+    name, kind = quoted(column[0]), kinds[column[0]]
+    if isinstance(filter_, (IsNull, IsNotNull)):
+        return f"{name} IS {'NOT ' * isinstance(filter_, IsNotNull)}NULL", []
+    values = list(filter_.value) if isinstance(filter_, In) else [filter_.value] if type(filter_) in SIGNS else []
+    number = isinstance(kind, (LongType, DoubleType)) and all(isinstance(v, (int, float)) and not isinstance(v, bool) and v == v for v in values)
+    text = isinstance(kind, StringType) and all(isinstance(v, str) and "\x00" not in v for v in values)
+    if not values or not (number or text):
+        return None
+    odd = f"typeof({name}) NOT IN ('integer', 'real')" if number else f"typeof({name}) <> 'text'"
+    collate = "" if number else " COLLATE BINARY"
+    test = f"{name}{collate} IN ({', '.join('?' * len(values))})" if isinstance(filter_, In) else f"{name} {SIGNS[type(filter_)]} ?{collate}"
+    return f"({test} OR ({name} IS NOT NULL AND {odd}))", values
+
+
 class SqliteReader(DataSourceReader):
+    """Options partitions and column: into how many ranges of which whole numbers (default: the rowid of a table) a read is cut."""
+
     def __init__(self, options: dict, schema: StructType, relation: str):
         self.options, self.schema, self.relation = options, schema, relation
+        self.conditions: list[tuple[str, list]] = []
+
+    def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
+        kinds = {f.name: f.dataType for f in self.schema}
+        for filter_ in filters:
+            found = condition(filter_, kinds)
+            if found:
+                self.conditions.append(found)
+            yield filter_  # Spark looks again: SQLite only leaves out what can't match
 
     def partitions(self) -> list[InputPartition]:
         n = int(self.options.get("partitions", 1))
+        if n >= 2 and "column" in self.options:
+            return self._ranges(n, quoted(self.options["column"]))
         if n < 2 or "query" in self.options:
             return [InputPartition(None)]
         connection = connect(self.options["path"])
@@ -122,17 +164,67 @@ class SqliteReader(DataSourceReader):
         step = max(1, -(-(high - low + 1) // n))
         return [InputPartition((a, min(high, a + step - 1))) for a in range(low, high + 1, step)] or [InputPartition((0, -1))]
 
+    def _ranges(self, n: int, column: str) -> list[InputPartition]:
+        """Ranges of a column of whole numbers; what else there is in it (nulls, texts) is a range of its own."""
+        connection = connect(self.options["path"])
+        try:
+            low, high = connection.execute(f"SELECT min({column}), max({column}) FROM {self.relation} WHERE typeof({column}) = 'integer'").fetchone()
+        finally:
+            connection.close()
+        rest = InputPartition((f"typeof({column}) <> 'integer'", []))
+        if low is None:
+            return [rest]
+        step = max(1, -(-(high - low + 1) // n))
+        return [InputPartition((f"typeof({column}) = 'integer' AND {column} BETWEEN ? AND ?", [a, min(high, a + step - 1)])) for a in range(low, high + 1, step)] + [rest]
+
     def read(self, partition: InputPartition) -> Iterator[tuple]:
-        names = ", ".join(quoted(f.name) for f in self.schema)
-        kinds = [f.dataType for f in self.schema]
-        where, values = ("", ()) if partition.value is None else (" WHERE rowid BETWEEN ? AND ?", partition.value)
+        tests = list(self.conditions)
+        if partition.value is not None:
+            tests.append(partition.value if isinstance(partition.value[0], str) else ("rowid BETWEEN ? AND ?", list(partition.value)))
+        yield from rows_of(self.options["path"], self.relation, self.schema, tests)
+
+
+def rows_of(path: str, relation: str, schema: StructType, tests: list[tuple[str, list]]) -> Iterator[tuple]:
+    names, kinds = ", ".join(quoted(f.name) for f in schema), [f.dataType for f in schema]
+    where = f" WHERE {' AND '.join(t for t, _ in tests)}" if tests else ""
+    connection = connect(path)
+    try:
+        for row in connection.execute(f"SELECT {names} FROM {relation}{where}", [v for _, values in tests for v in values]):
+            yield tuple(_as(k, v) for k, v in zip(kinds, row, strict=True))
+    finally:
+        connection.close()
+
+
+class SqliteStream(DataSourceStreamReader):
+    """New rows of a table that only grows, by rowid: the offset is the last one read, which Spark keeps in its checkpoint; a stopped stream goes
+    on after it. A batch is cut into ranges, a task each."""
+
+    def __init__(self, options: dict, schema: StructType, relation: str):
+        if "table" not in options:
+            raise ValueError("a stream reads a table")
+        self.options, self.schema, self.relation = options, schema, relation
+
+    def initialOffset(self) -> dict:
+        return {"rowid": int(self.options.get("start", 0))}
+
+    def latestOffset(self) -> dict:
         connection = connect(self.options["path"])
         try:
-            for row in connection.execute(f"SELECT {names} FROM {self.relation}{where}", values):
-                yield tuple(_as(k, v) for k, v in zip(kinds, row, strict=True))
+            return {"rowid": max(self.initialOffset()["rowid"], connection.execute(f"SELECT coalesce(max(rowid), 0) FROM {self.relation}").fetchone()[0])}
         finally:
             connection.close()
 
+    def partitions(self, start: dict, end: dict) -> list[InputPartition]:
+        low, high, n = start["rowid"] + 1, end["rowid"], int(self.options.get("partitions", 1))
+        step = max(1, -(-(high - low + 1) // n))
+        return [InputPartition((a, min(high, a + step - 1))) for a in range(low, high + 1, step)]
+
+    def read(self, partition: InputPartition) -> Iterator[tuple]:
+        yield from rows_of(self.options["path"], self.relation, self.schema, [("rowid BETWEEN ? AND ?", list(partition.value))])
+
+    def commit(self, end: dict) -> None:
+        pass
+
 
 @dataclass
 class Staged(WriterCommitMessage):
@@ -236,6 +328,7 @@ def _remove(path: str) -> None:
 
 def register(spark: SparkSession) -> None:
     ship(spark)
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(SqliteSource)
 
 

@@ -31,29 +31,34 @@ def running_counts(stream: DataFrame, key: str, value: str) -> DataFrame:
     return slim.groupBy(key).applyInPandasWithState(add, f"key {kind}, n long, total double", "n long, total double", "update", GroupStateTimeout.NoTimeout)
 
 
-def changes(stream: DataFrame, key: str, time: str, value: str) -> DataFrame:
-    """Rows (key, time, value, before) whose value differs from their key's last one: within a batch in order of time,
-    across batches in order of arrival. The first of a key counts. Append mode; state is a value a key."""
+def changes(stream: DataFrame, key: str, time: str, value: str, ties: list[str] | None = None) -> DataFrame:
+    """Rows (key, time, value, before) whose value is distinct from their key's last one (null is a value): within a batch in order of
+    time and ties, across batches in order of arrival. The first of a key counts. Append mode; state is a value a key; a key's rows of
+    one batch are sorted in memory, which the stream's limits (maxFilesPerTrigger, say) bound."""
+    ties = ties or []
 
     def compare(key_: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        last = state.get[0] if state.exists else None
-        rows = pd.concat(list(frames)).sort_values(time, kind="stable")
-        before = rows["value"].shift()
-        before.iloc[0] = last
-        out = rows.assign(before=before)[(rows["value"] != before) | before.isna()]
-        state.update((str(rows["value"].iloc[-1]),))
-        yield pd.DataFrame({"key": key_[0], "time": out[time], "value": out["value"], "before": out["before"]})
+        seen, last = (True, state.get[0]) if state.exists else (False, None)
+        rows = pd.concat(list(frames)).sort_values([time, *ties], kind="stable")
+        out = []
+        for at, text in zip(rows[time], rows["value"], strict=True):
+            text = None if pd.isna(text) else text
+            if not seen or text != last:
+                out.append((key_[0], at, text, last))
+            seen, last = True, text
+        state.update((last,))
+        yield pd.DataFrame(out, columns=["key", "time", "value", "before"])
 
     kind = stream.schema[key].dataType.simpleString()
-    slim = stream.select(F.col(key), F.col(time), F.col(value).cast("string").alias("value"))
+    slim = stream.select(F.col(key), F.col(time), *ties, F.col(value).cast("string").alias("value"))
     return slim.groupBy(key).applyInPandasWithState(compare, f"key {kind}, time {stream.schema[time].dataType.simpleString()}, value string, before string", "last string", "append", GroupStateTimeout.NoTimeout)
 
 
 def batch_changes(df: DataFrame, key: str, time: str, value: str, ties: list[str] | None = None) -> DataFrame:
     """The batch form of changes()."""
     over = Window.partitionBy(key).orderBy(time, *(ties or []))
-    rows = df.withColumn("_value", F.col(value).cast("string")).withColumn("before", F.lag("_value").over(over))
-    return rows.where(F.col("before").isNull() | (F.col("_value") != F.col("before"))).select(F.col(key).alias("key"), F.col(time).alias("time"), F.col("_value").alias("value"), "before")
+    rows = df.withColumn("_value", F.col(value).cast("string")).withColumn("before", F.lag("_value").over(over)).withColumn("_first", F.row_number().over(over) == 1)
+    return rows.where(F.col("_first") | ~F.col("_value").eqNullSafe(F.col("before"))).select(F.col(key).alias("key"), F.col(time).alias("time"), F.col("_value").alias("value"), "before")
 
 
 def split_late(df: DataFrame, time: str, arrived: str, wait: str) -> tuple[DataFrame, DataFrame]:
