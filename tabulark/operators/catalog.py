@@ -113,15 +113,11 @@ def script(spark: SparkSession, name: str) -> str:
 def reachable(edges: DataFrame, start: DataFrame) -> DataFrame:
     """(node, depth): what can be reached over edges (parent, child) from the nodes of start (node), with the fewest
     steps. Rows are as many as nodes; each round adds what is new, until nothing is."""
-    found = cut(start.select("node").distinct().withColumn("depth", F.lit(0)))
-    edge, depth = edges.select("parent", "child").distinct(), 0
-    frontier = found
-    while frontier.limit(1).count():
-        depth += 1
-        new = frontier.join(edge, F.col("node") == F.col("parent")).select(F.col("child").alias("node")).distinct().join(found, "node", "left_anti")
-        frontier = cut(new.withColumn("depth", F.lit(depth)))
-        found = cut(found.unionByName(frontier))
-    return found
+    edge, rounds = edges.select("parent", "child").distinct(), [cut(start.select("node").distinct().withColumn("depth", F.lit(0)))]
+    while rounds[-1].limit(1).count():  # each round writes what is new; what was found stays where it is
+        new = rounds[-1].join(edge, F.col("node") == F.col("parent")).select(F.col("child").alias("node")).distinct()
+        rounds.append(cut(new.join(reduce(DataFrame.unionByName, rounds).select("node"), "node", "left_anti").withColumn("depth", F.lit(len(rounds)))))
+    return reduce(DataFrame.unionByName, rounds)
 
 
 def closure(edges: DataFrame) -> DataFrame:

@@ -6,19 +6,24 @@ copied is observed in that job. Guards and plans run in the driver on metadata a
 
 from __future__ import annotations
 
+import functools
 import hashlib
+import inspect
 import os
 import re
+import threading
 import time
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from typing import Any
 
 from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import VERSION
 from ..functions.convert import TARGETS, convert
+from . import verify
 
 
 class CopyError(ValueError):
@@ -96,8 +101,8 @@ class CopyOptions:
     """Of a whole run. allow_unordered: pages of sources that page may come in any order. missing_is_empty: a source that
     isn't there has no rows. schema_only: a source without rows is written as an empty table (else nothing is written)."""
 
-    page_size: int = 10_000
-    batch_size: int = 10_000
+    page_size: int | None = None
+    batch_size: int | None = None
     timeout: float = 600.0
     allow_unordered: bool = False
     missing_is_empty: bool = False
@@ -105,7 +110,7 @@ class CopyOptions:
 
     def __post_init__(self):
         for name in ("page_size", "batch_size", "timeout"):
-            if getattr(self, name) <= 0:
+            if getattr(self, name) is not None and getattr(self, name) <= 0:
                 raise CopyError(f"{name} must be positive")
 
 
@@ -181,19 +186,30 @@ def same_place(a: str, b: str) -> bool:
     return x.split(".")[-n:] == y.split(".")[-n:]
 
 
-def missing_table(error: Exception) -> bool:
-    """Whether an error says that a table isn't there."""
-    said = str(error).lower()
-    return isinstance(error, FileNotFoundError) or any(m in said for m in ("table_or_view_not_found", "path_not_found", "no such table", "does not exist", "doesn't exist", "invalid object name", "ora-00942"))
+#: How stores say that a table isn't there, and how they say that of a column, which is another matter.
+NO_TABLE = re.compile(r"no such table|invalid object name|table_or_view_not_found|path_not_found|ora-00942|\b(?:relation|schema|table|view)\b.*\b(?:does not|doesn't) exist", re.DOTALL)
+NO_COLUMN = re.compile(r"no such column|unknown column|invalid column name|unresolved_column|\bcolumn\b.*\bdoes not exist", re.DOTALL)
 
 
-def _opened(read: Callable[[str], DataFrame], spec: CopySpec, options: CopyOptions) -> DataFrame | None:
-    """The source, None if it isn't there and that is allowed."""
+def missing_table(error: BaseException | None) -> bool:
+    """Whether an error, or one that caused it, says that a table isn't there. What says that of a column, a role or a function isn't one."""
+    while error is not None:
+        said = str(error).split("\n== SQL")[0].lower()
+        if NO_COLUMN.search(said):
+            return False
+        if isinstance(error, FileNotFoundError) or NO_TABLE.search(said):
+            return True
+        error = error.__cause__
+    return False
+
+
+def _absent(work: Callable[[], Any], options: CopyOptions, without: Any) -> Any:
+    """What work gives, or `without` if a table isn't there and that is allowed."""
     try:
-        return read(spec.source)
+        return work()
     except Exception as error:
         if options.missing_is_empty and missing_table(error):
-            return None
+            return without
         raise
 
 
@@ -212,15 +228,57 @@ def check_run(specs: list[CopySpec], clear: bool, options: CopyOptions, paged: b
         raise CopyError("two tables have one destination")
 
 
-def copy_tables(specs: list[CopySpec], read: Callable[[str], DataFrame], write: Callable[[DataFrame, str], None], count: Callable[[str], int | None], clear: Callable[[str], None] | None = None, progress: Callable[[str, int], None] | None = None, options: CopyOptions = CopyOptions(), columns: Callable[[str], list[str] | None] | None = None, paged: bool = False, warnings: list[str] | None = None) -> Manifest:
-    """Copy each table. clear: given, destinations are emptied first, last to first, after every table has
+def taking(function: Callable[..., Any], name: str, value: int | None) -> Callable[..., Any]:
+    """The function with an option that was given; one that it doesn't take is refused, as it would do nothing."""
+    if value is None:
+        return function
+    known = inspect.signature(function).parameters
+    if name not in known and not any(p.kind == p.VAR_KEYWORD for p in known.values()):
+        raise CopyError(f"{name} is given, and nothing takes it")
+    return functools.partial(function, **{name: value})
+
+
+def within_time(spark: SparkSession, seconds: float, work: Callable[[], None], what: str) -> None:
+    """work, whose Spark jobs are stopped after so many seconds."""
+    context, tag, late = spark.sparkContext, f"copy-{uuid.uuid4().hex}", threading.Event()
+
+    def stop() -> None:
+        late.set()
+        context.cancelJobsWithTag(tag)
+
+    timer = threading.Timer(seconds, stop)
+    context.addJobTag(tag)
+    timer.start()
+    try:
+        work()
+    except Exception as error:
+        if late.is_set():
+            raise CopyError(f"{what} took more than {seconds} seconds and was stopped") from error
+        raise
+    finally:
+        timer.cancel()
+        context.removeJobTag(tag)
+
+
+def _renamed(spec: CopySpec) -> list[str]:
+    maps = {k.lower(): v for k, v in spec.mappings.items()}
+    return [maps.get(k.lower(), k) for k in spec.order_by]
+
+
+def copy_tables(specs: list[CopySpec], read: Callable[[str], DataFrame], write: Callable[[DataFrame, str], None], count: Callable[[str], int | None], clear: Callable[[str], None] | None = None, progress: Callable[[str, int], None] | None = None, options: CopyOptions = CopyOptions(), columns: Callable[[str], list[str] | None] | None = None, paged: bool = False, warnings: list[str] | None = None, back: Callable[[str], DataFrame] | None = None) -> Manifest:
+    """Copy each table. read may take a page_size and write a batch_size: options that nobody takes are refused. A table takes at most
+    options.timeout seconds to write, then its jobs are stopped. back: given, reads a destination back, whose content is compared by digests with the
+    source's (which is read again for that); counts alone don't tell what changed, and where a store doesn't know its count, only this verifies.
+    clear: given, destinations are emptied first, last to first, after every table has
     passed preflight: it can be read, its plan is sound, and the destination (columns(name): its columns, None if it isn't
     there yet) has a place for each column. Source rows and copied rows are counted by the job that writes: nothing
     is read twice, so a source that changes meanwhile does no harm. Counts that don't fit raise."""
     started, said, frames = time.time(), list(warnings or []), []
     check_run(specs, clear is not None, options, paged)
+    read, given = taking(read, "page_size", options.page_size), {} if options.batch_size is None else {"batch_size": options.batch_size}
+    taking(write, "batch_size", options.batch_size)
     for s in specs:
-        df = _opened(read, s, options)
+        df = _absent(lambda s=s: read(s.source), options, None)
         if df is None:
             said.append(f"{s.source}:MissingSourceTable")
             frames.append((None, None))
@@ -236,27 +294,30 @@ def copy_tables(specs: list[CopySpec], read: Callable[[str], DataFrame], write:
         frames.append((df if some or options.schema_only else df.limit(0), seen if some else None))
     if clear:
         for s in reversed(specs):
-            try:
-                clear(s.destination)
-            except Exception as error:
-                if not missing_table(error):
-                    raise
+            if not _absent(lambda s=s: (clear(s.destination), True)[1], options, False):
                 said.append(f"{s.destination}:MissingDestinationTable")
     results = []
     for s, (df, source_seen) in zip(specs, frames, strict=True):
-        if df is not None and source_seen is None and not options.schema_only:
-            results.append(TableResult(s.source, s.destination, 0, 0, count(s.destination), True))
-        elif df is not None:
-            before = 0 if clear else count(s.destination) or 0
+        before = _absent(lambda s=s: count(s.destination), options, 0)
+        if clear and before:
+            raise CopyError(f"{s.destination} still has {before} rows after it was cleared; nothing was written to it")
+        if df is None or source_seen is None and not options.schema_only:
+            results.append(TableResult(s.source, s.destination, 0, 0, before, True))
+        else:
             seen = Observation(f"copy-{uuid.uuid4().hex}")
-            write(df.observe(seen, F.count(F.lit(1)).alias("rows")), s.destination)
+            frame = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+            within_time(frame.sparkSession, options.timeout, lambda s=s, frame=frame: write(frame, s.destination, **given), s.destination)
             copied, source_rows, after = seen.get["rows"], source_seen.get["rows"] if source_seen else 0, count(s.destination)
-            sound = source_rows == copied and (after is None or after == before + copied)
-            results.append(TableResult(s.source, s.destination, source_rows, copied, after, sound))
+            sound = source_rows == copied and (after is None or after == (before or 0) + copied)
+            if sound and back is not None:
+                if before:
+                    raise CopyError(f"{s.destination} had rows before: its content can't be compared with the source's")
+                found = verify.compare(df, back(s.destination), list(df.columns if not s.order_by else _renamed(s)))
+                if not found.same():
+                    raise CopyError(f"{s.destination}: {len(found.differing)} of {found.buckets} buckets differ from the source")
+            results.append(TableResult(s.source, s.destination, source_rows, copied, after, sound and (after is not None or back is not None)))
             if not sound:
                 raise CopyError(f"{s.destination}: source {source_rows}, copied {copied}, before {before}, now {after}")
-        else:
-            results.append(TableResult(s.source, s.destination, None, 0, None, False))
         if progress:
             progress(s.destination, min(100, 100 * len(results) // len(specs)))
     return Manifest(uuid.uuid4().hex, started, time.time(), fingerprint(specs), results, said)

@@ -90,19 +90,19 @@ def dependencies(*sources: DataFrame) -> DataFrame:
 
 def levels(edges: DataFrame) -> DataFrame:
     """(node, level): 0 for what depends on nothing, else one more than the deepest it depends on: the order to make
-    things in. Rows stay as many as nodes. Raises if things depend on each other in a circle."""
-    nodes = edges.select(F.col("parent").alias("node")).union(edges.select("child")).distinct()
-    n = nodes.count()
-    found = cut(nodes.withColumn("level", F.lit(0)))
-    for _ in range(n + 1):
-        deeper = edges.join(found, F.col("parent") == F.col("node")).groupBy(F.col("child").alias("node")).agg((F.max("level") + 1).alias("deeper"))
-        following = cut(found.join(deeper, "node", "left").select("node", F.coalesce("deeper", F.lit(0)).alias("level")))
-        if not following.exceptAll(found).limit(1).count():
-            return found
-        if following.agg(F.max("level")).first()[0] >= n:
+    things in. Each round takes off what depends on nothing that is left, and its edges, so rounds are as many as levels and their
+    work shrinks. Raises as soon as all that is left depends on each other: a circle alone is noticed in the first round."""
+    left = cut(edges.select("parent", "child").distinct())
+    nodes = cut(left.select(F.col("parent").alias("node")).union(left.select("child")).distinct())
+    found, level = [], 0
+    while nodes.limit(1).count():
+        free = cut(nodes.join(left.select(F.col("child").alias("node")).distinct(), "node", "left_anti"))
+        if not free.limit(1).count():
             raise ValueError("things depend on each other in a circle")
-        found = following
-    return found
+        found.append(free.withColumn("level", F.lit(level)))
+        left = cut(left.join(free.select(F.col("node").alias("parent")), "parent", "left_anti"))
+        nodes, level = cut(nodes.join(free, "node", "left_anti")), level + 1
+    return reduce(DataFrame.unionByName, found) if found else nodes.withColumn("level", F.lit(0))
 
 
 def copy_texts(table: str, destination: str, columns: list[str], keys: list[str], where: str | None = None) -> dict[str, str]:

@@ -18,6 +18,10 @@ SYSTEM = ("master", "model", "msdb", "tempdb", "distribution")
 OUTCOMES = {0: "Failed", 1: "Succeeded", 2: "Retry", 3: "Cancelled", 4: "InProgress"}
 
 
+#: Keys that one task may sum.
+FEW = 100_000
+
+
 @dataclass(frozen=True)
 class Ages:
     """How old the last of each kind may be."""
@@ -31,10 +35,14 @@ class Ages:
 def pareto(df: DataFrame, key: str, amount: Column, percent: float = 80.0, floor: float = 1.0, ranges: int | None = None) -> DataFrame:
     """Sum by key with share and running share of the total; keys until the running share exceeds percent, or
     with a share of at least floor. Ties by key. Shares are null where the total is 0. The running sum is distributed:
-    there may be as many keys as rows."""
+    there may be as many keys as rows; up to FEW of them are summed by one task."""
     sums = cut(df.groupBy(key).agg(F.sum(amount).alias("amount")))
     total = F.broadcast(sums.agg(F.nullif(F.sum("amount"), F.lit(0).cast("decimal(38,2)")).cast("double").alias("_total")))  # one row
-    ran = running_total(sums, F.col("amount"), [F.col("amount").desc(), F.col(key)], "_running", ranges).join(total)
+    order = [F.col("amount").desc(), F.col(key)]
+    if ranges is None and sums.count() <= FEW:
+        ran = sums.withColumn("_running", F.sum("amount").over(Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))).join(total)
+    else:
+        ran = running_total(sums, F.col("amount"), order, "_running", ranges).join(total)
     out = ran.withColumn("pct", F.lit(100.0) * F.col("amount").cast("double") / F.col("_total")).withColumn("running", F.lit(100.0) * F.col("_running").cast("double") / F.col("_total"))
     return out.where((F.col("running") <= percent) | (F.col("pct") >= floor)).drop("_running", "_total")
 

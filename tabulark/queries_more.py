@@ -160,7 +160,7 @@ def copy_plans(spark: SparkSession, folder: str) -> DataFrame:
     return spark.createDataFrame(rows, "source string, destination string, order_by string, mappings string, exclusions string, warnings string")
 
 
-@made("SELECT 'orders' AS source, count(*) AS source_rows, count(*) AS copied_rows, count(*) AS destination_rows, true AS verified FROM orders UNION ALL SELECT 'events', count(*), count(*), count(*), true FROM (SELECT DISTINCT lower(event_type), user_id FROM events) UNION ALL SELECT 'gone', NULL, 0, NULL, false")
+@made("SELECT 'orders' AS source, count(*) AS source_rows, count(*) AS copied_rows, count(*) AS destination_rows, true AS verified FROM orders UNION ALL SELECT 'events', count(*), count(*), count(*), true FROM (SELECT DISTINCT lower(event_type), user_id FROM events) UNION ALL SELECT 'gone', 0, 0, 0, true")
 def copy_manifest(spark: SparkSession, folder: str) -> DataFrame:
     """A run of three tables: one as it is, one deduplicated, one that isn't there; counted by the writes."""
     root = scratch(spark, "copies")

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import partial, sketches
-from .operators import dml, paging, ranks, verify
+from .operators import copy, dml, paging, ranks, verify
 from .plans import statements
 from .queries_more import scratch
 from .registry import made, table
@@ -177,3 +177,12 @@ def csv_text_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
     return spark.read.parquet(f"{path}-back")
+
+
+@made("SELECT 'orders' AS source, count(*) AS source_rows, count(*) AS copied_rows, CAST(NULL AS BIGINT) AS destination_rows, true AS verified FROM orders UNION ALL SELECT 'customer', count(*), count(*), NULL, true FROM customer")
+def verified_copies(spark: SparkSession, folder: str) -> DataFrame:
+    """Copies into a store that doesn't count: verified by their content, which is read back and compared by digests."""
+    root = scratch(spark, "copies")
+    specs = [copy.CopySpec("orders", "a", ("o_orderkey",), {"o_orderkey": "id"}, ("o_orderpriority",)), copy.CopySpec("customer", "b", ("c_custkey",))]
+    done = copy.copy_tables(specs, lambda n: table(spark, folder, n), lambda df, n, batch_size: df.write.option("maxRecordsPerFile", batch_size).parquet(f"{root}/{n}"), lambda n: None, options=copy.CopyOptions(batch_size=5000), back=lambda n: spark.read.parquet(f"{root}/{n}"))
+    return done.rows(spark).select("source", "source_rows", "copied_rows", "destination_rows", "verified")

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
-_schemas: dict[str, StructType] = {}
+_schemas: dict[str, tuple[tuple, StructType]] = {}
 
 
 def session(app: str = "tabulark", master: str | None = None, **conf: str) -> SparkSession:
@@ -25,12 +25,20 @@ def session(app: str = "tabulark", master: str | None = None, **conf: str) -> Sp
     return builder.getOrCreate()
 
 
+def _listing(spark: SparkSession, path: str) -> tuple:
+    """Names, sizes and times of a table's files: what its schema depends on."""
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return tuple((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in fs.listStatus(root)) if fs.exists(root) else ()
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A Parquet table of a folder. Its schema is read once a process: schemas of a folder don't change."""
+    """A Parquet table of a folder. Its schema is read once for as long as its files are the same."""
     path = f"{folder}/{name}.parquet"
-    if path not in _schemas:
-        _schemas[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_schemas[path]).parquet(path)
+    files = _listing(spark, path)
+    if path not in _schemas or _schemas[path][0] != files:
+        _schemas[path] = files, spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path][1]).parquet(path)
 
 
 def named_in(text: str, tables: tuple = TABLES) -> tuple[str, ...]:

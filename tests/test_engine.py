@@ -264,8 +264,54 @@ def test_copy(spark):
         assert found.tables[0].verified and found.total() == 0
     assert kept["e"].count() == 3 and kept["f"].columns == ["ProbeName", "LastUtc"] and kept["f"].count() == 0
     found = copy.copy_tables([copy.CopySpec("a", "b")], lost, write, count, lost, options=copy.CopyOptions(missing_is_empty=True))
-    assert found.warnings == ["a:MissingSourceTable", "b:MissingDestinationTable"] and found.tables[0].source_rows is None
-    assert copy.missing_table(RuntimeError("no such table: x")) and not copy.missing_table(RuntimeError("timeout"))
+    assert found.warnings == ["a:MissingSourceTable", "b:MissingDestinationTable"] and (found.tables[0].source_rows, found.tables[0].copied_rows, found.tables[0].verified) == (0, 0, True)
+    for said in ('relation "missing" does not exist', 'schema "s" does not exist', "no such table: T", "invalid object name 'dbo.T'.", "Table 'd.t' doesn't exist", "table or view does not exist"):
+        assert copy.missing_table(RuntimeError(said))
+    for said in ("function lower(integer) does not exist", 'column "k" does not exist', 'column "k" of relation "t" does not exist', "no such column: k", "Unknown column 'k' in 'field list'", "Invalid column name 'k'.", 'role "app" does not exist', "timeout"):
+        assert not copy.missing_table(RuntimeError(said))
+
+
+def test_copies_that_must_not_go_on(spark):
+    kept = {}
+    write = lambda df, n: kept.update({n: spark.createDataFrame(df.collect(), df.schema)})
+    source = lambda n: spark.range(3)
+
+    def clear(name):
+        raise RuntimeError('column "x" does not exist')
+
+    with pytest.raises(RuntimeError, match="column"):  # no missing table, whatever is allowed
+        copy.copy_tables([copy.CopySpec("a", "b")], source, write, lambda n: None, clear, options=copy.CopyOptions(missing_is_empty=True))
+    with pytest.raises(RuntimeError, match="no such table"):  # a missing table, and it isn't allowed
+        copy.copy_tables([copy.CopySpec("a", "b")], source, write, lambda n: None, lambda n: (_ for _ in ()).throw(RuntimeError("no such table: b")))
+    with pytest.raises(copy.CopyError, match="still has 7"):
+        copy.copy_tables([copy.CopySpec("a", "b")], source, write, lambda n: 7, lambda n: None)
+    assert not kept
+    with pytest.raises(copy.CopyError, match="page_size"):
+        copy.copy_tables([copy.CopySpec("a", "b")], source, write, lambda n: None, options=copy.CopyOptions(page_size=5))
+    with pytest.raises(copy.CopyError, match="stopped"):
+        slow = lambda df, n: df.select(F.expr("java_method('java.lang.Thread', 'sleep', 20000L)")).collect()
+        copy.copy_tables([copy.CopySpec("a", "b")], source, slow, lambda n: None, options=copy.CopyOptions(timeout=1.0))
+    back = lambda n: kept[n].where("id <> 1").unionByName(spark.createDataFrame([(8,)], "id long"))
+    with pytest.raises(copy.CopyError, match="buckets differ"):  # as many rows, and others
+        copy.copy_tables([copy.CopySpec("a", "b", ("id",))], source, write, lambda n: None, back=back)
+    found = copy.copy_tables([copy.CopySpec("a", "c", ("id",))], source, write, lambda n: None, back=lambda n: kept[n])
+    assert found.tables[0].verified and not copy.copy_tables([copy.CopySpec("a", "d")], source, write, lambda n: None).tables[0].verified
+
+
+def test_schema_follows_files(spark, tmp_path):
+    spark.range(2).write.parquet(f"{tmp_path}/t.parquet")
+    assert queries.table(spark, str(tmp_path), "t").columns == ["id"]
+    spark.range(2).withColumn("more", F.lit(1)).write.mode("overwrite").parquet(f"{tmp_path}/t.parquet")
+    assert queries.table(spark, str(tmp_path), "t").columns == ["id", "more"]
+
+
+def test_circles_are_noticed_at_once(spark):
+    ring = spark.range(40).select(F.col("id").alias("parent"), ((F.col("id") + 1) % 40).alias("child"), F.lit("x").alias("kind"))
+    with pytest.raises(ValueError, match="circle"):
+        manage.levels(ring)
+    chain = spark.createDataFrame([(1, 2, "x"), (2, 3, "x"), (1, 3, "x"), (9, 3, "x")], "parent int, child int, kind string")
+    assert {r["node"]: r["level"] for r in manage.levels(chain).collect()} == {1: 0, 9: 0, 2: 1, 3: 2}
+    assert manage.levels(chain.limit(0)).count() == 0
 
 
 def test_copy_rules():
