@@ -1,9 +1,9 @@
 """Secret scans through layers of encoding.
 
-Base patterns are matched in the text as it stands. Then a worklist unwraps layers: percent and
-Unicode escapes and HTML character references are decoded in place; what runs of base64, hex or percent escapes
-hold of readable text or of compressed streams (gzip, zlib, zstd, raw deflate; all members or frames) becomes
-layers of its own. Runs are also joined over line breaks, and decoded from each of their first four characters
+Base patterns are matched in the text as it stands. Then a worklist unwraps layers: percent, Unicode, octal
+and JSON escapes, HTML character references and quoted-printable bytes are decoded in place; what runs of base64, hex or percent escapes
+hold of readable text or of compressed streams (gzip, zlib, zstd, bz2, xz, raw deflate; all members or frames) becomes
+layers of its own. Runs are also joined over line breaks (also those written as \\n), and decoded from each of their first four characters
 (two of hex), as a path or a word may touch the encoded part: stretches of 12 or more readable characters are
 kept, in UTF-8 (of which ASCII is all that the patterns need, whatever other single-byte charset surrounds it)
 or UTF-16. Every new layer is scanned and unwrapped in turn until none is left; layers seen before (by place and
@@ -23,12 +23,15 @@ table gives no rows; extra columns are not read (find) or kept (redact), whateve
 from __future__ import annotations
 
 import base64
+import bz2
 import hashlib
 import html
+import lzma
 import re
 import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -44,9 +47,14 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{12,}")
 HEX = re.compile(r"[0-9a-f]{32,}")
 #: One of these (lower case) is in every text that ASSIGN matches.
 HINTS = ("passw", "secret", "token", "apikey", "api_key")
-ESCAPES = re.compile(r"(?:%[0-9A-Fa-f]{2})+|(?:\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2}|\\u\{[0-9A-Fa-f]{1,6}\})+|&(?:#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|amp|lt|gt|quot|apos);")
-UNIT = re.compile(r"\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})")
-BREAK = r"(?:\r\n?|\n)[\x20\t]*+"
+ESCAPES = re.compile(r"(?:%[0-9A-Fa-f]{2})+|(?:\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8}|%u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2}|\\[0-3][0-7]{2}|\\u\{[0-9A-Fa-f]{1,6}\})+|\\[nrt/\"']|&(?:#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});")
+UNIT = re.compile(r"\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})|\\U([0-9A-Fa-f]{8})|%u([0-9A-Fa-f]{4})|\\([0-3][0-7]{2})")
+SHORT = {"\\n": "\n", "\\r": "\r", "\\t": "\t", "\\/": "/", '\\"': '"', "\\'": "'"}
+#: Quoted-printable: bytes, and line ends that it puts into a text.
+PRINTABLE = re.compile(r"(?:=[0-9A-F]{2}|=\r?\n)+")
+#: A line end, also as a text in JSON has it, and the slash that JSON may escape.
+BREAK = r"(?:(?:\r\n?|\n|(?:\\r)?\\n|\\r)[\x20\t]*+|\\(?=/))"
+BREAKS = re.compile(BREAK)
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 BASE64_LINES = re.compile(rf"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]++(?:{BREAK}[A-Za-z0-9+/_-]++)++(?:{BREAK})?={{0,2}}")
 HEX_RUN = re.compile(r"[0-9A-Fa-f]{24,}")
@@ -55,11 +63,13 @@ HEX_LINES = re.compile(rf"(?<![0-9A-Fa-f])[0-9A-Fa-f]++(?:{BREAK}[0-9A-Fa-f]++)+
 STRETCH = re.compile(rb"(?:[\t\n\r\x20-\x7e]|[\xc2-\xdf][\x80-\xbf]|\xe0[\xa0-\xbf][\x80-\xbf]|[\xe1-\xec\xee\xef][\x80-\xbf]{2}|\xed[\x80-\x9f][\x80-\xbf]|\xf0[\x90-\xbf][\x80-\xbf]{2}|[\xf1-\xf3][\x80-\xbf]{3}|\xf4[\x80-\x8f][\x80-\xbf]{2}){12,}")
 #: The same in UTF-16, of either byte order.
 STRETCH_16 = ((re.compile(rb"(?:[\t\n\r\x20-\x7e]\x00){12,}"), "utf-16-le"), (re.compile(rb"(?:\x00[\t\n\r\x20-\x7e]){12,}"), "utf-16-be"))
-STREAM = re.compile(rb"\x1f\x8b|\x28\xb5\x2f\xfd|\x78[\x01\x5e\x9c\xda]")
-#: Percent escapes among the characters that need none.
-PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2}|[!-$&-~])*%[0-9A-Fa-f]{2}(?:%[0-9A-Fa-f]{2}|[!-$&-~])*")
+STREAM = re.compile(rb"\x1f\x8b|\x28\xb5\x2f\xfd|\x78[\x01\x5e\x9c\xda]|BZh[1-9]|\xfd7zXZ\x00")
+#: Percent escapes among the characters that need none; runs without an escape are passed over.
+PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2}|[!-$&-~])++")
 PERCENT_UNIT = re.compile(r"%[0-9A-Fa-f]{2}|.", re.DOTALL)
 MOST, OVERLAP, CHUNK, ROWS = 1 << 22, 1 << 16, 1 << 20, 256
+#: Bytes of a stream that are looked at first; raw deflate, which has no mark, must give something readable within them.
+PROBE, PATIENCE = 1 << 10, 1 << 13
 
 
 @dataclass
@@ -121,10 +131,11 @@ def stretches(raw: bytes) -> Iterator[tuple[int, str, np.ndarray]]:
                 yield h.start(), h.group().decode(charset), np.full(len(h.group()) // 2, 2)
 
 
-def inflated(raw: bytes) -> Iterator[tuple[bytes, int]]:
+def inflated(raw: memoryview) -> Iterator[tuple[bytes, int]]:
     """Content of the compressed stream that raw begins with, all members or frames, in chunks; and how many bytes
     of raw were read by then. What comes before an error counts: streams may be cut."""
-    if raw[:4] == b"\x28\xb5\x2f\xfd":
+    head = bytes(raw[:6])
+    if head[:4] == b"\x28\xb5\x2f\xfd":
         try:
             with zstandard.ZstdDecompressor(max_window_size=1 << 31).stream_reader(raw, read_across_frames=True) as stream:
                 while chunk := stream.read(CHUNK):
@@ -132,40 +143,82 @@ def inflated(raw: bytes) -> Iterator[tuple[bytes, int]]:
         except zstandard.ZstdError:
             return
         return
-    left = raw
-    while left[:2] == b"\x1f\x8b" or left[:1] == b"\x78" and len(left) > 2 and (left[0] << 8 | left[1]) % 31 == 0:
-        stream = zlib.decompressobj(47)
+    opener = bz2.BZ2Decompressor if head[:3] == b"BZh" else (lambda: lzma.LZMADecompressor(lzma.FORMAT_XZ)) if head == b"\xfd7zXZ\x00" else None
+    at = 0
+    while at < len(raw):
+        head = bytes(raw[at : at + 6])
+        if opener is None and not (head[:2] == b"\x1f\x8b" or head[:1] == b"\x78" and len(head) > 2 and (head[0] << 8 | head[1]) % 31 == 0) or opener and not STREAM.match(head):
+            return
+        end = None
         try:
-            while not stream.eof:
-                chunk = stream.decompress(left, CHUNK)
-                left = stream.unconsumed_tail
-                if not chunk and not left and not stream.eof:
-                    return  # cut short
-                yield chunk, len(raw) - len(stream.unused_data if stream.eof else left)
-        except zlib.error:
+            for chunk, used, _ in fed(opener() if opener else zlib.decompressobj(47), raw[at:], None if opener else PATIENCE):
+                end = at + used
+                yield chunk, end
+        except (zlib.error, OSError, EOFError, lzma.LZMAError):
             return
-        left = stream.unused_data.lstrip(b"\x00")
-
-
-def deflated(raw: bytes) -> Iterator[tuple[bytes, int]]:
-    """The same for raw deflate, which has no mark: only streams that end well count."""
-    stream, chunks, left = zlib.decompressobj(-15), [], raw
-    try:
-        while not stream.eof:
+        if end is None:
+            return
+        at = end
+        while at < len(raw) and raw[at] == 0:
+            at += 1
+
+
+def fed(stream: Any, raw: memoryview, patience: int | None = None) -> Iterator[tuple[bytes, int, bool]]:
+    """What a decompressor makes of raw, in chunks of bounded size; bytes of raw read by then; whether it is the end. Fed in
+    slices that grow, so that a stream that ends or fails soon costs little, whatever comes after it. patience: bytes within which
+    something must come out (a gzip header is no longer)."""
+    at, step, any_ = 0, PROBE, False
+    while not stream.eof:
+        if at >= len(raw) or patience is not None and not any_ and at >= patience:
+            return  # cut short, or none
+        piece = raw[at : at + step]
+        at, step = at + len(piece), min(2 * step, CHUNK)
+        left = piece
+        while True:
             chunk = stream.decompress(left, CHUNK)
-            if not chunks and (len(chunk) < 12 or not STRETCH.search(chunk)):
-                return
-            chunks.append((chunk, len(raw)))
-            left = stream.unconsumed_tail
-            if not left and not stream.eof:
+            if stream.eof:
+                yield chunk, at - len(stream.unused_data), True
                 return
-            if len(chunks) > 4:  # no chance: it is a stream, and may be long
-                yield from chunks
-                chunks = [(b"", 0)]
-    except zlib.error:
+            left = stream.unconsumed_tail if hasattr(stream, "unconsumed_tail") else b""
+            if chunk:
+                any_ = True
+                yield chunk, at, False
+            if not left and (hasattr(stream, "unconsumed_tail") or stream.needs_input):
+                break
+
+
+def may_be_deflate(raw: memoryview) -> bool:
+    """Whether bytes can begin a raw deflate stream: the kind of its first block, and the numbers that it begins with."""
+    kind = raw[0] >> 1 & 3
+    if kind == 0:
+        return len(raw) > 4 and (raw[1] | raw[2] << 8) ^ 0xFFFF == (raw[3] | raw[4] << 8)
+    if kind == 2:
+        return len(raw) > 2 and (raw[0] >> 3) <= 29 and (raw[1] & 31) <= 29
+    return kind == 1
+
+
+def deflated(raw: memoryview, failed: set[bytes]) -> Iterator[tuple[bytes, int]]:
+    """The same for raw deflate, which has no mark: only streams that end well count, and that give something readable
+    within their first PROBE bytes. failed: such beginnings that are known to fail, which are not tried again."""
+    if not len(raw) or not may_be_deflate(raw) or (start := bytes(raw[:PROBE])) in failed:
         return
-    for chunk, _ in chunks:
-        yield chunk, len(raw) - len(stream.unused_data)
+    held, size, found, beyond = [], 0, False, False
+    try:
+        for chunk, used, over in fed(zlib.decompressobj(-15), raw):
+            beyond = used > PROBE or len(raw) <= PROBE
+            held.append((chunk, used))
+            size += len(chunk)
+            if not found:
+                found = STRETCH.search(b"".join(c for c, _ in held)) is not None
+                if not found and (over or beyond or size > CHUNK):
+                    failed.add(start)
+                    return
+            if over or size > 4 * CHUNK:  # no chance: it is a stream, and may be long
+                yield from held
+                held = []
+    except zlib.error:
+        if not beyond:
+            failed.add(start)
 
 
 def windows(chunks: Iterator[tuple[bytes, int]], most: int) -> Iterator[tuple[list[str], int, int]]:
@@ -191,7 +244,9 @@ def unescape(layer: Layer) -> Layer | None:
     parts, lows, highs, done = [], [], [], 0
     for m in ESCAPES.finditer(layer.text):
         run, pieces = m.group(), []
-        if run[0] == "%":
+        if run in SHORT:
+            pieces = [(SHORT[run], 0, len(run))]
+        elif run[0] == "%" and run[1] != "u":
             raw = bytes.fromhex(run.replace("%", ""))
             try:
                 text = raw.decode()
@@ -206,8 +261,10 @@ def unescape(layer: Layer) -> Layer | None:
                     at += width
         elif run[0] == "&":
             pieces = [(c, 0, len(run)) for c in html.unescape(run)]
+            if len(pieces) > 2:  # no known name
+                continue
         else:
-            units, i = [(int(u[1] or u[2] or u[3], 16), u.start(), u.end()) for u in UNIT.finditer(run)], 0
+            units, i = [(int(u[6], 8) if u[6] else int(u[u.lastindex], 16), u.start(), u.end()) for u in UNIT.finditer(run)], 0
             while i < len(units):
                 code, a, b = units[i]
                 i += 1
@@ -229,6 +286,30 @@ def unescape(layer: Layer) -> Layer | None:
     return layer.part("".join([*parts, layer.text[done:]]), np.concatenate([*lows, rest]), np.concatenate([*highs, rest]))
 
 
+def printable(layer: Layer) -> Layer | None:
+    """The layer with quoted-printable bytes decoded in place; None if there are none."""
+    parts, lows, highs, done = [], [], [], 0
+    for m in PRINTABLE.finditer(layer.text):
+        run = m.group()
+        cuts = [(u.start(), u.end()) for u in re.finditer(r"=[0-9A-F]{2}", run)]
+        raw = bytes(int(run[a + 1 : b], 16) for a, b in cuts)
+        try:
+            text = raw.decode()
+        except UnicodeDecodeError:
+            text = raw.decode("latin-1")
+        sizes = [1] * len(text) if len(text) == len(raw) else [len(c.encode()) for c in text]
+        ends = np.cumsum(sizes) if sizes else np.zeros(0, np.int64)
+        parts += [layer.text[done : m.start()], text]
+        plain = np.arange(done, m.start())
+        lows += [plain, np.array([m.start() + cuts[e - n][0] for e, n in zip(ends, sizes, strict=True)], np.int64)]
+        highs += [plain, np.array([m.start() + cuts[e - 1][1] - 1 for e in ends], np.int64)]
+        done = m.end()
+    if not parts:
+        return None
+    rest = np.arange(done, len(layer.text))
+    return layer.part("".join([*parts, layer.text[done:]]), np.concatenate([*lows, rest]), np.concatenate([*highs, rest]))
+
+
 def decoded(chars: str, step: int) -> bytes:
     """Bytes of a run of base64 (step 3) or hex (step 1); what is too short for a byte at its end is left out."""
     if step == 1:
@@ -242,9 +323,10 @@ def streams(layer: Layer, raw: bytes, low: Callable[[int], int], high: Callable[
     """Layers from compressed streams in raw, whose byte j comes from characters low(j) to high(j) (inclusive) of the
     layer: those with a mark, and unmarked ones that start at the bytes `bare`. Whether it is a first window more of a large stream."""
     starts = [(h.start(), inflated) for h in STREAM.finditer(raw)] if marked else []
-    for start, reader in starts + [(j, deflated) for j in bare]:
+    failed: set[bytes] = set()
+    for start, reader in starts + [(j, lambda part: deflated(part, failed)) for j in bare]:
         begin = low(start)
-        for texts, used, number in windows(reader(raw[start:]), most):
+        for texts, used, number in windows(reader(memoryview(raw)[start:]), most):
             span = layer.span(begin, high(start + max(1, used) - 1) + 1)
             for i, text in enumerate(texts):
                 yield Layer(text, whole=span), number == 1 and not i
@@ -254,16 +336,19 @@ def blobs(layer: Layer, most: int) -> tuple[list[Layer], int]:
     """Layers from what runs hold of readable or compressed content; and how many streams took several windows."""
     found, windowed, text = [], 0, layer.text
     for lines, pattern, width, step in ((BASE64_LINES, BASE64, 4, 3), (HEX_LINES, HEX_RUN, 2, 1)):
-        runs = [m for m in lines.finditer(text)] if "\n" in text or "\r" in text else []
+        runs = [m for m in lines.finditer(text)] if "\n" in text or "\r" in text or "\\" in text else []
         for m in [*runs, *pattern.finditer(text)]:
             run = m.group().rstrip("=")
-            chars = "".join(run.split())
-            if len(chars) < 4 * width:
+            chars = BREAKS.sub("", run)
+            if len(chars) < 4 * width or not chars.strip(chars[0]):
                 continue
             at = np.arange(m.start(), m.start() + len(run))
             if len(chars) < len(run):
-                at = at[[not c.isspace() for c in run]]
-            cuts = [0, *(i + 1 for i, c in enumerate(chars) if c in "/_-")] if step == 3 else [0]
+                gone = np.zeros(len(run), bool)
+                for g in BREAKS.finditer(run):
+                    gone[g.start() : g.end()] = True
+                at = at[~gone]
+            cuts = [0, *(g.end() for g in re.finditer("[/_-](?![/_-])", chars))] if step == 3 else [0]
             for phase in range(width):
                 raw = decoded(chars[phase:], step)
                 low = lambda j: int(at[phase + j // step * width + j % step])  # noqa: B023, E731
@@ -281,6 +366,8 @@ def blobs(layer: Layer, most: int) -> tuple[list[Layer], int]:
                     found.append(layer.part(new, at[lo], at[np.minimum(hi, len(at) - 1)]))
     if "%" in text:
         for m in PERCENT.finditer(text):
+            if "%" not in m.group():
+                continue
             units = [u.span() for u in PERCENT_UNIT.finditer(m.group())]
             raw = b"".join(bytes([int(m.group()[a + 1 : b], 16)]) if b - a == 3 else m.group()[a:b].encode() for a, b in units)
             bare = [j for j, (a, b) in enumerate(units) if b - a == 3 and (not j or units[j - 1][1] - units[j - 1][0] == 1)]
@@ -304,8 +391,7 @@ def spans_of(text: str, most: int = MOST) -> tuple[list[tuple[str, int, int]], l
         layer = work.pop()
         inner, large = blobs(layer, most)
         windowed += large
-        if (plain := unescape(layer)) is not None:
-            inner.append(plain)
+        inner += [plain for plain in (unescape(layer), printable(layer)) if plain is not None]
         for new in inner:
             # the same content at another place is another layer: its spans differ
             digest = hashlib.sha256(new.place() + b"/" + new.text.encode("utf-8", "surrogatepass")).digest()
