@@ -46,7 +46,7 @@ HEADER = 1 << 16
 MARK = b"\x1f\x8b\x08"
 VERSION_LINE = re.compile(rb"WARC/[01]\.[0-9]{1,2}\r?\n")
 BLANK = re.compile(rb"\r?\n\r?\n")
-#: Bytes of an archive that are decompressed at once, at first and at most.
+#: Bytes of an archive that are decompressed at once, at first and at most. A member gives something within the first.
 CHUNK, MOST = 1 << 13, 1 << 20
 
 
@@ -125,11 +125,15 @@ class Salvage:
                 if used >= len(view):
                     reason = "cut short"
                     break
+                if not seen and used - at >= CHUNK:
+                    return [], None, "a member's header without an end"
                 fed = view[used : used + step]
                 parts.append(stream.decompress(fed))
                 used, step = used + len(fed), min(2 * step, MOST)
                 if len(seen) < 12:
                     seen = b"".join(parts)
+                    if not seen:
+                        continue
                     if not VERSION_LINE.match(seen) and (len(seen) >= 12 or not any(v.startswith(seen[:7]) for v in (b"WARC/0.", b"WARC/1."))):
                         return [], None, "a member without a record"
         except zlib.error as error:
