@@ -53,7 +53,7 @@ class Sessions(StatefulProcessor):
         for at in now - before:
             self.handle.registerTimer(at)
         self.open.put(spans)
-        yield pd.DataFrame({"key": [], "first": [], "last": [], "n": []}).astype({"first": "int64", "last": "int64", "n": "int64"})
+        yield from ()  # sessions come from timers alone
 
     def handleExpiredTimer(self, key: tuple, timerValues: object, expiredTimerInfo: object) -> Iterator[pd.DataFrame]:
         due = expiredTimerInfo.getExpiryTimeInMs()
@@ -64,7 +64,8 @@ class Sessions(StatefulProcessor):
             self.open.put(rest)
         else:
             self.open.clear()
-        yield pd.DataFrame([(key[0], *s) for s in over], columns=["key", "first", "last", "n"])
+        if over:
+            yield pd.DataFrame([(key[0], *s) for s in over], columns=["key", "first", "last", "n"]).astype({"key": object})
 
     def close(self) -> None:
         pass
@@ -107,7 +108,7 @@ class Recent(StatefulProcessor):
                 old = self.seen.getValue((value,)) if self.seen.containsKey((value,)) else (0,)
                 self.seen.updateValue((value,), (int(old[0]) + int(n),))
         counts = [int(v[0]) for v in self.seen.values()]
-        yield pd.DataFrame({"key": [key[0]], "n_values": [len(counts)], "n": [sum(counts)]})
+        yield pd.DataFrame({"key": [key[0]], "n_values": [len(counts)], "n": [sum(counts)]}).astype({"key": object})
 
     def close(self) -> None:
         pass
