@@ -248,7 +248,7 @@ def test_copy(spark):
     assert cleared == []
     # a write that loses rows is found out, and one that adds to what was there isn't blamed for it
     with pytest.raises(copy.CopyError, match="copied"):
-        copy.copy_tables([copy.CopySpec("a", "b")], lambda n: source, lambda df, n: write(df, n) or kept.update({n: kept[n].limit(1)}), count, cleared.append)
+        copy.copy_tables([copy.CopySpec("a", "b")], lambda n: source, lambda df, n: write(df, n) or kept.update({n: kept[n].limit(1)}), count, lambda n: kept.pop(n, None))
     kept["b"] = source
     copy.copy_tables([copy.CopySpec("a", "b")], lambda n: source, lambda df, n: kept.update({n: kept[n].union(spark.createDataFrame(df.collect(), df.schema))}), count)
     assert kept["b"].count() == 6
