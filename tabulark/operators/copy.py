@@ -299,10 +299,10 @@ def copy_tables(specs: list[CopySpec], read: Callable[[str], DataFrame], write:
     results = []
     for s, (df, source_seen) in zip(specs, frames, strict=True):
         before = _absent(lambda s=s: count(s.destination), options, 0)
-        if clear and before:
-            raise CopyError(f"{s.destination} still has {before} rows after it was cleared; nothing was written to it")
         if df is None or source_seen is None and not options.schema_only:
             results.append(TableResult(s.source, s.destination, 0, 0, before, True))
+        elif clear and before:
+            raise CopyError(f"{s.destination} still has {before} rows after it was cleared; nothing was written to it")
         else:
             seen = Observation(f"copy-{uuid.uuid4().hex}")
             frame = df.observe(seen, F.count(F.lit(1)).alias("rows"))
