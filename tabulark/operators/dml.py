@@ -115,7 +115,7 @@ class VersionedTable(Log):
         rows = self.read_files(state, paths)
         if not rows.inputFiles():
             return rows.withColumn("_file", F.lit(None).cast("string"))
-        return rows.select("*", F.regexp_extract("_metadata.file_path", "[^/]+/[^/]+$", 0).alias("_file"))
+        return rows.select("*", F.substring_index("_metadata.file_path", "/", -2).alias("_file"))
 
     def change(self, hit: Callable[[DataFrame], DataFrame], changes: dict[str, Column] | None, ranges: Ranges | None = None) -> int:
         """Update (changes) or delete (None) rows for which the column _hit, which hit() adds, is true. ranges: bounds that such

@@ -140,7 +140,7 @@ class OrderIndex:
             starts.append((f.path.split("/")[1], before))
             before += f.rows
         known = F.broadcast(self.table.spark.createDataFrame(starts, "_file string, _before long"))  # a row a file
-        rows = self.table.read_files(state, [f.path for f in files]).select("*", F.regexp_extract("_metadata.file_path", "[^/]+$", 0).alias("_file"), F.col("_metadata.row_index").alias("_row"))
+        rows = self.table.read_files(state, [f.path for f in files]).select("*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row"))
         return rows.join(known, "_file").withColumn("page", F.floor((F.col("_before") + F.col("_row")) / size)).drop("_file", "_row", "_before")
 
 
