@@ -5,9 +5,9 @@ clustering, in two steps:
 
 * the CORE most frequent words move, one at a time, to the class that raises the likelihood of the class bigrams
   most (in the driver: a table of CORE^2 numbers, whatever the corpus);
-* every other word that is LEAST training tokens or more, and at least one in TAIL of them, then makes the same move,
-  against the table of the first step: the classes of its neighbours are counted over the whole corpus, and all such
-  words move at once. They are never gathered in one place.
+* every other word that is LEAST training tokens or more, at every size, then makes the same move, against the table
+  of the first step: the classes of its neighbours are counted over the whole corpus, and all such words move at once.
+  They are never gathered in one place: a block sends a row to each bucket of words, with its counts in columns.
 
 Rarer words, whose neighbours say little, belong to classes by shape (ending, script, length), and unseen ones share
 the mass that absolute discounting leaves in theirs (as many unseen types as seen ones are assumed in a shape). All
@@ -28,6 +28,7 @@ from __future__ import annotations
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -37,9 +38,9 @@ from pyspark.sql import functions as F
 
 from ._shared import collect_garbage, discard, map_arrow, materialize, part_of, ship
 
-CORE, LEAST, TAIL, CLASSES, ROUNDS = 1000, 40, 200_000, 64, 6
+CORE, LEAST, CLASSES, ROUNDS = 1000, 40, 64, 6
 DISCOUNT, BACKOFF, MIX = 0.75, 20.0, 0.8
-BLOCK_BYTES, PARTITIONS, PIECE, ROWS, CHOSEN = 16 << 20, 20_000, 1 << 20, 100_000, 1 << 15
+BLOCK_BYTES, PARTITIONS, PIECE, ROWS, CHOSEN, BUCKET = 16 << 20, 20_000, 1 << 20, 100_000, 1 << 15, 20_000
 #: Stands for the end of a text; no word can be this.
 END = b"\n"
 ENDINGS = {ord("."): 1, ord(","): 2}
@@ -94,12 +95,13 @@ def h(x: np.ndarray) -> np.ndarray:
 def gains(table: np.ndarray, out: np.ndarray, into: np.ndarray, self_: float, classes: int) -> np.ndarray:
     """By how much the log likelihood of the class bigrams grows if a word joins each of the first `classes`. table:
     class bigrams without the word; out, into: its counts with the others of the class that follows, precedes; self_: with itself."""
-    joined_rows, joined_columns = table[:classes] + out, table[:, :classes].T + into
+    ahead, behind = np.flatnonzero(out), np.flatnonzero(into)  # a rare word has few neighbours, and nothing else changes
+    rows, columns = table[:classes, ahead], table[behind, :classes].T
     # what changes if w joins c: row c, column c, their crossing and the two margins
-    gain = (h(joined_rows) - h(table[:classes])).sum(axis=1) + (h(joined_columns) - h(table[:, :classes].T)).sum(axis=1)
+    gain = (h(rows + out[ahead]) - h(rows)).sum(axis=1) + (h(columns + into[behind]) - h(columns)).sum(axis=1)
     at = np.arange(classes)
     cross = table[at, at]
-    gain -= h(joined_rows[at, at]) + h(joined_columns[at, at]) - 2 * h(cross)
+    gain -= h(cross + out[:classes]) + h(cross + into[:classes]) - 2 * h(cross)
     gain += h(cross + out[:classes] + into[:classes] + self_) - h(cross)
     rows, columns = table.sum(axis=1)[:classes] + into[:classes], table.sum(axis=0)[:classes] + out[:classes]  # w's neighbours stay where they are
     return gain - (h(rows + out.sum() + self_) - h(rows) + h(columns + into.sum() + self_) - h(columns))
@@ -311,10 +313,11 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     discard(words)
     collect_garbage(spark)
     counts = known.where("lead AND c > 0").select("word", "c")
-    n, v = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
+    n, v, movable = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*"), F.count_if(F.col("c") >= least)).first()
+    buckets = max(spark.sparkContext.defaultParallelism, -(-movable // BUCKET))
     frequent = [END, *(bytes(r["word"]) for r in counts.where(F.col("word") != F.lit(END)).orderBy(F.desc("c"), "word").limit(core_words).collect())]
     number, f = {w: i for i, w in enumerate(frequent)}, len(frequent)
-    least = max(least, n // TAIL)
+    top = F.broadcast(spark.createDataFrame([(w, True) for w in frequent], "word binary, core boolean"))  # core_words rows
 
     def count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         k, found = f + SHAPES, np.zeros(0, np.int64)
@@ -336,17 +339,19 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     k, keys = core.k, 2 * core.k + 1
 
     def neighbours(block: pa.Table, chosen: pa.Table) -> pa.Table:
-        """For each of the chosen words: how often which class follows (key below k), precedes (k to 2 k), itself follows (2 k)."""
-        out = [[], []]
+        """For each of the chosen words: how often which class follows (key below k), precedes (k to 2 k), itself
+        follows (2 k). A row for some words of a bucket: the words, how many keys each has, keys, counts."""
+        out = []
         for row in block.to_pylist():
             own, shapes, ids, ends, flags = _block(row)
-            local = np.sort(np.array([i for i in chosen.column("local").to_pylist() if own[i] not in core.symbols], np.int64))
+            order = sorted((crc32(own[i]) % buckets, own[i], i) for i in chosen.column("local").to_pylist())
+            bucket, local = np.array([o[0] for o in order], np.int64), np.array([o[2] for o in order], np.int64)
             place = np.full(len(own), -1)
             place[local] = np.arange(len(local))
             kind = core.kinds(own, shapes)
             a, b = _pairs(ids, ends, flags, own.index(END))
             for low in range(0, len(local), CHOSEN):  # so many words at a time, so their table stays small
-                some = local[low : low + CHOSEN]
+                some = bucket[low : low + CHOSEN]
                 first, second = place[a] - low, place[b] - low
                 hits = [(x >= 0) & (x < len(some)) for x in (first, second)]
                 same = hits[0] & (a == b)
@@ -354,32 +359,34 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 times = sum(np.bincount(c, minlength=len(some) * keys) for c in code)
                 code = np.flatnonzero(times)
                 cuts = np.searchsorted(code, np.arange(len(some) + 1) * keys)
-                both = np.zeros(len(code), np.dtype([("key", np.uint8), ("n", np.uint32)]))
-                both["key"], both["n"] = code % keys, times[code]
-                blob, width = both.tobytes(), both.itemsize
-                out[0] += [own[i] for i in some.tolist()]
-                out[1] += [blob[x * width : y * width] for x, y in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
-        return pa.table([pa.array(out[0], pa.binary()), pa.array(out[1], pa.binary())], names=["word", "near"])
+                borders = [0, *(np.flatnonzero(np.diff(some)) + 1).tolist(), len(some)]
+                for x, y in zip(borders[:-1], borders[1:], strict=True):
+                    part = code[cuts[x] : cuts[y]]
+                    columns = np.diff(cuts[x : y + 1]).astype(np.int32), (part % keys).astype(np.uint8), times[part]
+                    out.append((int(some[x]), packed(b" ".join(o[1] for o in order[low + x : low + y])), *map(packed, columns)))
+        columns = list(zip(*out, strict=True)) if out else [[]] * 5
+        return pa.table([pa.array(c, t) for c, t in zip(columns, (pa.int32(), *[pa.binary()] * 4), strict=True)], names=["bucket", "words", "sizes", "keys", "times"])
 
     def moved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """(word, class, before, c) from neighbours() in order of word: where it goes and comes from. Each token of it is followed once."""
+        """(word, class, before, c) from neighbours() in order of bucket: where it goes and comes from. Each token of it is followed once."""
 
-        def row() -> tuple:
-            return word, move(core, word, total), core.class_of(word), int(total[:k].sum())
+        def rows() -> pa.RecordBatch:
+            return _moves([(w, move(core, w, total[i]), core.class_of(w), int(total[i, :k].sum())) for w, i in place.items()])
 
-        word, total = None, None
+        bucket, place, total = None, {}, np.zeros((1024, keys), np.int64)
         for batch in batches:
-            done = []
-            for w, near in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                if w != word:
-                    if word is not None:
-                        done.append(row())
-                    word, total = w, np.zeros(keys, np.int64)
-                near = np.frombuffer(near, np.dtype([("key", np.uint8), ("n", np.uint32)]))
-                total[near["key"]] += near["n"]
-            yield _moves(done)
-        if word is not None:
-            yield _moves([row()])
+            for b, words, *columns in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if b != bucket:
+                    if place:
+                        yield rows()
+                    bucket, place, total = b, {}, np.zeros((1024, keys), np.int64)
+                sizes, key, times = (unpacked(c, t) for c, t in zip(columns, (np.int32, np.uint8, np.int64), strict=True))
+                at = np.array([place.setdefault(w, len(place)) for w in unpacked(words).split(b" ")])
+                if len(place) > len(total):
+                    total = np.vstack([total, np.zeros((max(len(total), len(place) - len(total)), keys), np.int64)])
+                total[np.repeat(at, sizes), key] += times  # a word has a key once in a row
+        if place:
+            yield rows()
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Tokens and types of each class, before any moves."""
@@ -389,9 +396,13 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 found[core.class_of(w)] += (c, 1)
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(k, dtype=np.int32)), pa.array(found[:, 0]), pa.array(found[:, 1])], ["class", "c", "t"])
 
-    chosen = known.where(F.col("learnt") & (F.col("c") >= least)).select("block", "local", "word")
-    near = texts.select("own", "words", "shapes", "ids", "ends", "flags").groupBy("own").cogroup(chosen.groupBy("block")).applyInArrow(neighbours, "word binary, near binary")
-    moves = materialize(map_arrow(near.repartition(F.col("word")).sortWithinPartitions("word"), moved, "word binary, class int, before int, c long"), "moves")
+    marked = known.where("c > 0").join(top, "word", "left")
+    rare = (F.col("c") >= least) & F.col("core").isNull()  # of those that move
+    chosen = marked.where(rare & F.col("learnt")).select("block", "local")
+    near = texts.select("own", "words", "shapes", "ids", "ends", "flags").groupBy("own").cogroup(chosen.groupBy("block")).applyInArrow(neighbours, "bucket int, words binary, sizes binary, keys binary, times binary")
+    parts = min(buckets, PARTITIONS)
+    near = near.repartitionById(parts, F.pmod("bucket", F.lit(parts)).cast("int")).sortWithinPartitions("bucket")
+    moves = materialize(map_arrow(near, moved, "word binary, class int, before int, c long"), "moves")
     collect_garbage(spark)
     class_counts, class_types = np.zeros(k), np.zeros(k)
     every = map_arrow(counts, sums, "class int, c long, t long")
@@ -406,8 +417,9 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         for row in block.to_pylist():
             own, shapes, ids, ends, flags = _block(row)
             kind, times = core.kinds(own, shapes), np.zeros(len(own), np.int64)
-            local, value, moves_ = (known.column(c).to_numpy() for c in ("local", "value", "moves"))
-            times[local[~moves_]], kind[local[moves_]] = value[~moves_], value[moves_]
+            local, c, goes = (known.column(c).to_numpy() for c in ("local", "c", "class"))
+            times[local] = c
+            kind[local[goes >= 0]] = goes[goes >= 0]
             a, b = _pairs(ids, ends, flags, own.index(END))
             sums = np.bincount(kind[a] * k + kind[b], minlength=k * k)
             out.append((row["ids"], row["ends"], row["docs"], row["flags"], packed(kind.astype(np.uint8)), packed(times), sums.tolist()))
@@ -415,8 +427,8 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         return pa.table([*(pa.array(c, pa.binary()) for c in columns[:6]), pa.array(columns[6], pa.list_(pa.int64()))], names=["ids", "ends", "docs", "flags", "kinds", "counts", "pairs"])
 
     # a word that moved did so in every block that has it, learnt there or not
-    some = known.where(F.col("c") >= least).select("block", "local", "word").join(moves.select("word", "class"), "word")
-    attributes = known.where("c > 0").select("block", "local", F.col("c").alias("value"), F.lit(False).alias("moves")).union(some.select("block", "local", F.col("class").cast("long"), F.lit(True)))
+    stays = marked.where(~rare).select("block", "local", "c", F.lit(-1).alias("class"))
+    attributes = stays.union(marked.where(rare).join(moves.select("word", "class"), "word", "left").select("block", "local", "c", F.coalesce("class", F.lit(-1))))
     ready = texts.select("own", "words", "shapes", "ids", "ends", "docs", "flags").groupBy("own").cogroup(attributes.groupBy("block")).applyInArrow(attach, "ids binary, ends binary, docs binary, flags binary, kinds binary, counts binary, pairs array<long>")
     ready = materialize(ready, "ready")
     collect_garbage(spark)
