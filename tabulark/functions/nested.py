@@ -60,6 +60,32 @@ def json_map(text: Column, values: str = "string") -> Column:
     return F.from_json(text, f"map<string,{values}>")
 
 
+def json_variant(text: Column) -> Column:
+    """A JSON text as a variant, which is parsed once however many values are taken of it; null if the text is no JSON."""
+    return F.try_parse_json(text)
+
+
+def variant_value(variant: Column, path: str, kind: str = "string") -> Column:
+    """The value at a path of a variant, as a type; null if it isn't there or can't be of that type."""
+    return F.try_variant_get(variant, "$" + "".join(f"[{s}]" if isinstance(s, int) else f"['{s}']" for s in steps(path)), kind)
+
+
+def json_rows(df: DataFrame, text: str, schema: str, broken: str | None = None) -> DataFrame:
+    """df with the fields of the JSON objects in a column as columns in its place. broken: a column that takes the texts that don't have
+    the schema (their fields are null); without it such a text is an error."""
+    names = [f.name for f in T._parse_datatype_string(schema)]
+    if clash := {n.lower() for n in [*names, *([broken] if broken else [])]} & {c.lower() for c in df.columns if c != text}:
+        raise ValueError(f"columns that are there already: {sorted(clash)}")
+    column, lost = F.col("`" + text.replace("`", "``") + "`"), "_" + (broken or "broken")
+    while lost in names:
+        lost = f"_{lost}"
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": lost} if broken else {"mode": "FAILFAST"}
+    found = F.from_json(column, f"{schema}, {lost} string" if broken else schema, options)
+    rest = df.select("*", found.alias(lost)).drop(text)
+    out = [rest[c] for c in rest.columns if c != lost] + [rest[lost][n].alias(n) for n in names]
+    return rest.select(*out, *([rest[lost][lost].alias(broken)] if broken else []))
+
+
 def renamed_keys(column: Column, fold: bool = True) -> Column:
     """A map with keys in lower case (of two that become one the last counts)."""
     entries = F.map_entries(column)

@@ -100,14 +100,23 @@ class VersionedTable(Log):
     of the table; others rewrite files that hold a row they affect, and look only into those whose least
     and greatest values allow one."""
 
-    def append(self, rows: DataFrame) -> int:
+    def append_once(self, rows: DataFrame, source: str, number: int) -> int:
+        """Append what a source gives as its part `number` (parts come in order), unless that is there already: a part that is
+        repeated after a failure adds nothing. The entry that adds the rows says so, thus neither is there without the other."""
+        if self.state().sources.get(source, -1) >= number:
+            return 0
+        return self.append(rows, ((source, number),))
+
+    def append(self, rows: DataFrame, sources: tuple[tuple[str, int], ...] = ()) -> int:
         base = self.number()
         state = self.state(base)
         known = {c.lower(): c for c in rows.columns}
         if extra := known.keys() - {f.name.lower() for f in state.schema}:
             raise ValueError(f"unknown columns: {sorted(extra)}")
         made = self.stage(rows.select(*[(F.col(q(known[f.name.lower()])) if f.name.lower() in known else F.lit(None)).cast(f.dataType).alias(f.name) for f in state.schema]))
-        self.publish(replace(made, replace=False, schema=None), base)
+        if sources and any(self.state().sources.get(s, -1) >= n for s, n in sources):  # another attempt came first meanwhile
+            return 0
+        self.publish(replace(made, replace=False, schema=None, sources=sources), base)
         return sum(f.rows for f in made.add)
 
     def _named(self, state: State, paths: Iterable[str]) -> DataFrame:
@@ -200,10 +209,11 @@ class Part(VersionedTable):
         if self.current is self.first:
             return None
         old, new = self.first.files if self.first else {}, self.current.files
+        sources = tuple((self.current.sources.items() - self.first.sources.items()) if self.first else self.current.sources.items())
         schema = None if self.first and self.first.schema == self.current.schema else self.current.schema
         if self.replaced:
-            return Change(tuple(new.values()), replace=True, schema=self.current.schema)
-        return Change(tuple(f for p, f in new.items() if p not in old), frozenset(old.keys() - new.keys()), schema=schema, looked=tuple(self.looked) or None)
+            return Change(tuple(new.values()), replace=True, schema=self.current.schema, sources=sources)
+        return Change(tuple(f for p, f in new.items() if p not in old), frozenset(old.keys() - new.keys()), schema=schema, looked=tuple(self.looked) or None, sources=sources)
 
 
 class Transaction:

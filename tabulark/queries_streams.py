@@ -6,10 +6,12 @@ import datetime
 import uuid
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
+from .operators import dml
 from .queries_more import local_scratch, scratch
 from .registry import made, table
 from .sources import jdbc, sqlite
@@ -136,3 +138,51 @@ def jdbc_all_or_nothing(spark: SparkSession, folder: str) -> DataFrame:
     lost.winners.clear()  # as if these tasks had been lost after their commits
     staged.commit()
     return jdbc.read(spark, url, "SUPPLIER")
+
+
+@made("SELECT o_orderkey, o_custkey, o_totalprice FROM orders")
+def incremental_copy(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders copied as they come. The stream is lost after its second batch is in the table and before Spark has noted it; started
+    again it repeats the batch, which adds nothing, and goes on."""
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    path = scratch(spark, "increment")
+    target = Lost(spark, f"{path}/table")
+    target.commit(orders.limit(0))
+    for k in range(3):
+        orders.where(F.col("o_orderkey") % 3 == k).write.mode("append").parquet(f"{path}/in")
+        stream = spark.readStream.schema(orders.schema).parquet(f"{path}/in")
+        target.lost = k == 1
+        try:
+            windows.into_table(stream, target, f"{path}/state")
+        except StreamingQueryException:
+            target.lost = False
+            windows.into_table(stream, target, f"{path}/state")
+    return target.read()
+
+
+class Lost(dml.VersionedTable):
+    """A table whose writer is lost right after it has published."""
+
+    lost = False
+
+    def append_once(self, rows: DataFrame, source: str, number: int) -> int:
+        done = super().append_once(rows, source, number)
+        if self.lost:
+            raise OSError("the writer is gone")
+        return done
+
+
+@made("SELECT user_id, max(event_id) AS event_id, arg_max(event_type, event_id) AS event_type FROM events WHERE user_id IS NOT NULL GROUP BY 1")
+def incremental_upserts(spark: SparkSession, folder: str) -> DataFrame:
+    """The last event of each user, merged by key from the batches of a stream in order of event_id."""
+    events = table(spark, folder, "events").where("user_id IS NOT NULL").select("user_id", "event_id", "event_type")
+    path = scratch(spark, "upserts")
+    target = dml.VersionedTable(spark, f"{path}/table")
+    target.commit(events.limit(0))
+    last = lambda df: df.groupBy("user_id").agg(F.max("event_id").alias("event_id"), F.max_by("event_type", "event_id").alias("event_type"))
+    top = events.agg(F.coalesce(F.max("event_id"), F.lit(0))).first()[0]
+    for k in range(3):
+        part = F.floor(F.col("event_id") * 3 / F.lit(top + 1)) == k
+        last(events.where(part)).coalesce(1).write.mode("append").parquet(f"{path}/in")
+        windows.into_table(spark.readStream.schema(target.state().schema).parquet(f"{path}/in"), target, f"{path}/state", ["user_id"])
+    return target.read()

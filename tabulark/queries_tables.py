@@ -8,7 +8,7 @@ import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .functions import partial, sketches
+from .functions import nested, partial, sketches
 from .operators import copy, dml, paging, ranks, verify
 from .plans import statements
 from .queries_more import scratch
@@ -186,3 +186,55 @@ def verified_copies(spark: SparkSession, folder: str) -> DataFrame:
     specs = [copy.CopySpec("orders", "a", ("o_orderkey",), {"o_orderkey": "id"}, ("o_orderpriority",)), copy.CopySpec("customer", "b", ("c_custkey",))]
     done = copy.copy_tables(specs, lambda n: table(spark, folder, n), lambda df, n, batch_size: df.write.option("maxRecordsPerFile", batch_size).parquet(f"{root}/{n}"), lambda n: None, options=copy.CopyOptions(batch_size=5000), back=lambda n: spark.read.parquet(f"{root}/{n}"))
     return done.rows(spark).select("source", "source_rows", "copied_rows", "destination_rows", "verified")
+
+
+@made("SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k, json_extract_string(props, '$.k') AS k_text, CAST(NULL AS BIGINT) AS absent FROM events")
+def json_variants(spark: SparkSession, folder: str) -> DataFrame:
+    """Properties of events, parsed once each: a number, the same as text, and one that isn't there."""
+    events = table(spark, folder, "events").select("event_id", nested.json_variant(F.col("props")).alias("props"))
+    at = lambda path, kind: nested.variant_value(F.col("props"), path, kind)
+    return events.select("event_id", at("k", "bigint").alias("k"), at("k", "string").alias("k_text"), at("absent.there", "bigint").alias("absent"))
+
+
+@made("SELECT event_id, CASE WHEN event_id % 7 = 0 THEN NULL ELSE CAST(json_extract(props, '$.k') AS BIGINT) END AS k, CASE WHEN event_id % 7 = 0 THEN concat('no', props) END AS broken FROM events")
+def json_typed_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Properties of events as typed columns; every seventh text is broken and is kept beside them."""
+    props = F.when(F.col("event_id") % 7 == 0, F.concat(F.lit("no"), "props")).otherwise(F.col("props"))
+    return nested.json_rows(table(spark, folder, "events").select("event_id", props.alias("props")), "props", "k long", "broken")
+
+
+@made("""SELECT * FROM (SELECT 'nation2' AS destination, count(*) AS n, 'n_nationkey,n_name,n_regionkey' AS columns, 2 AS cleared FROM nation
+UNION ALL SELECT 'customer2', count(*), 'c_custkey,c_acctbal', 1 FROM customer UNION ALL SELECT 'part2', 0, 'p_partkey', NULL)""")
+def copies_of_what_is_there(spark: SparkSession, folder: str) -> DataFrame:
+    """Tables with rows to clear are cleared last to first; one that isn't there yet is made, of a source without rows with its schema
+    alone; a source that isn't there is passed over; a copy onto itself, or one whose clearing removes a source, is refused before anything is touched."""
+    sources = {"nation": table(spark, folder, "nation").select("n_nationkey", "n_name", "n_regionkey"), "customer": table(spark, folder, "customer").select("c_custkey", "c_acctbal"), "part": table(spark, folder, "part").select("p_partkey").where(F.lit(False))}
+    places = {f"{s}2": dml.VersionedTable(spark, scratch(spark, s)) for s in (*sources, "absent")}
+    places["nation2"].commit(sources["nation"].union(sources["nation"]))
+    places["customer2"].commit(sources["customer"])
+    cleared: list[str] = []
+
+    def read(name: str) -> DataFrame:
+        if name not in sources:
+            raise FileNotFoundError(name)
+        return sources[name]
+
+    def clear(name: str) -> None:
+        places[name].truncate()
+        cleared.append(name)
+
+    def write(df: DataFrame, name: str) -> None:
+        places[name].append(df) if places[name].number() else places[name].commit(df)
+
+    count = lambda name: places[name].state().rows()
+    for wrong in ([copy.CopySpec("nation", "NATION")], [copy.CopySpec("nation", "customer"), copy.CopySpec("customer", "customer2")]):
+        try:
+            copy.copy_tables(wrong, read, write, count, clear)
+        except copy.CopyError:
+            continue
+        raise AssertionError("such a copy must be refused")
+    specs = [copy.CopySpec("customer", "customer2"), copy.CopySpec("absent", "absent2"), copy.CopySpec("nation", "nation2"), copy.CopySpec("part", "part2")]
+    copy.copy_tables(specs, read, write, count, clear, options=copy.CopyOptions(missing_is_empty=True))
+    order = {name: i for i, name in enumerate(reversed(cleared), 1)}
+    rows = [(name, place.read().count(), ",".join(place.state().schema.names), order.get(name)) for name, place in places.items() if place.number()]
+    return spark.createDataFrame(rows, "destination string, n long, columns string, cleared int")

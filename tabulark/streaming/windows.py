@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.dml import VersionedTable
+
 
 def event_time(df: DataFrame, column: str) -> DataFrame:
     """Zoneless timestamps as instants (UTC sessions): watermarks take no others."""
@@ -37,3 +40,22 @@ def copy_increment(spark: SparkSession, source: str, schema, checkpoint: str, wr
     """What is new in a folder since the checkpoint, in batches, then stop. The checkpoint is the resume token."""
     stream = spark.readStream.format(format_).schema(schema).load(source)
     stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+
+
+def into_table(stream: DataFrame, table: VersionedTable, checkpoint: str, keys: list[str] | None = None) -> None:
+    """What is new in a stream since the checkpoint, into a table: appended, or by keys merged with what is there. Each batch counts
+    once, though Spark repeats one whose end it hasn't noted: the table's log holds the stream's id and the batch's number
+    beside the rows. A new checkpoint is a new stream, whose batches are others. A batch that is merged may be repeated as it is."""
+
+    def write(batch: DataFrame, number: int) -> None:
+        if keys:
+            table.upsert(batch, keys)
+        else:
+            table.append_once(batch, stream_id(batch.sparkSession, checkpoint), number)
+
+    stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+
+
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark gave the stream of a checkpoint when it first ran."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]

@@ -1,6 +1,7 @@
 """Tables in versions, verification, order indexes, interval counts, CSV in blocks, sketches and aggregates with partial state."""
 
 import csv
+import dataclasses
 import datetime
 import io
 import random
@@ -9,7 +10,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from tabulark.functions import partial, sketches
+from tabulark.functions import nested, partial, sketches
 from tabulark.operators import dml, paging, ranks, verify, versions
 from tabulark.plans import statements
 from tabulark.plans.query import Query
@@ -209,3 +210,45 @@ def test_sketches_merge(spark):
     assert all(abs(r["u"] - once[r["g"]]) < 4 * 0.0163 * 777 and abs(r["u"] - 777) < 4 * 0.0163 * 777 and r["rows"] == 5000 and abs(r["x"] - 18000) < 20000 * 4 * wanted["x"].error() for r in merged)
     with pytest.raises(ValueError):
         sketches.Hitters("u", width=100, least=0.01)
+
+
+def test_a_source_counts_once(spark, tmp_path):
+    target = dml.VersionedTable(spark, f"{tmp_path}/t")
+    rows = spark.range(3)
+    target.commit(rows)
+    assert [target.append_once(rows, "a", n) for n in (0, 0, 1, 0)] == [3, 0, 3, 0]
+    assert target.append_once(rows, "b", 0) == 3  # another source has numbers of its own
+    target.truncate()
+    assert target.append_once(rows, "a", 1) == 0  # what was taken stays taken
+    for n in range(2, 20):  # beyond a checkpoint of the log
+        target.append_once(rows, "a", n)
+    again = dml.VersionedTable(spark, f"{tmp_path}/t")
+    assert again.state().sources == {"a": 19, "b": 0} and again.append_once(rows, "a", 19) == 0 and again.read().count() == 54
+    with dml.Transaction() as both:
+        assert both.table(again).append_once(rows, "a", 20) == 3 and both.table(again).append_once(rows, "a", 20) == 0
+    assert dml.VersionedTable(spark, f"{tmp_path}/t").append_once(rows, "a", 20) == 0
+
+
+def test_two_attempts_of_one_batch(spark, tmp_path):
+    """Of two attempts that both found the batch missing, one publishes."""
+    one, two = (dml.VersionedTable(spark, f"{tmp_path}/t") for _ in range(2))
+    rows = spark.range(3)
+    one.commit(rows)
+    base, made = two.number(), two.stage(rows)
+    assert one.append_once(rows, "a", 0) == 3
+    with pytest.raises(versions.ConflictError, match="takes from a"):
+        two.publish(dataclasses.replace(made, replace=False, schema=None, sources=(("a", 0),)), base)
+    assert one.read().count() == 6
+
+
+def test_json_rows(spark):
+    df = spark.createDataFrame([(1, '{"a": 5, "b": {"c": "x"}}'), (2, "{nope"), (3, None), (4, '{"a": "no number"}'), (5, "{}")], "id int, js string")
+    got = {r["id"]: (r["a"], r["b"] and r["b"]["c"], r["bad"]) for r in nested.json_rows(df, "js", "a int, b struct<c: string>", "bad").collect()}
+    assert got == {1: (5, "x", None), 2: (None, None, "{nope"), 3: (None, None, None), 4: (None, None, '{"a": "no number"}'), 5: (None, None, None)}
+    with pytest.raises(ValueError, match="there already"):
+        nested.json_rows(df, "js", "ID int")
+    with pytest.raises(Exception, match="MALFORMED"):
+        nested.json_rows(df, "js", "a int").collect()
+    v = nested.json_variant(df.js)
+    found = df.select(nested.variant_value(v, "a", "int").alias("a"), nested.variant_value(v, "b.c").alias("c"), nested.variant_value(v, "b.c[0]").alias("none")).collect()
+    assert [tuple(r) for r in found] == [(5, "x", None), (None,) * 3, (None,) * 3, (None,) * 3, (None,) * 3]
