@@ -171,7 +171,7 @@ def near_copies(nodes: DataFrame, base: DataFrame) -> DataFrame:
         lost = materialize(proven(edges, texts), "near")
         tables += [found, edges, named, texts, lost]
         gone = gone.union(lost)
-        rest = found.where("hub IS NULL").select("key", "digest", "sketch").join(bounded(lost), "digest", "left_anti")
+        rest = found.where("hub IS NULL").select("key", "digest", "sketch").join(bounded(lost), "digest", "left_anti").select("key", "digest", "sketch")  # the join puts digest first
         if not rest.groupBy("key").count().where("count > 1").limit(1).count():
             break
         hubs = 4 * hubs

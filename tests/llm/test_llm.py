@@ -506,6 +506,46 @@ def test_toxicity_query(spark, odd):
     assert len(toxicity.labelled_sample(many, labels, "doc_id", "text", "toxic")[0]) <= 2 * (toxicity.SAMPLE_TOXIC + toxicity.SAMPLE_CLEAN)
 
 
+def one_by_one(sizes, capacity):
+    """(size, bin) of each, largest first: into the bin with the least room that takes it, of several the first."""
+    room, out = [], []
+    for size in sorted(sizes, reverse=True):
+        fit = min(((r, i) for i, r in enumerate(room) if r >= size), default=(None, len(room)))[1]
+        if fit == len(room):
+            room.append(capacity)
+        room[fit] -= size
+        out.append((size, fit))
+    return out
+
+
+def test_sharding_by_brute_force(spark):
+    rng = random.Random(4)
+    for n in range(30):  # many of one size, too
+        sizes = [rng.randrange(1, 40 if n % 2 else 6) for _ in range(200)]
+        runs = sharding.best_fit_decreasing(list(Counter(sizes).items()), 50)
+        assert Counter((s, b) for s, b, k in runs for _ in range(k)) == Counter(one_by_one(sizes, 50))
+    texts = [f"{i % 97} " * (i % 41 + 1) for i in range(2000)]  # repeated, so groups have several rows; no group needs to be cut
+    got = sharding.shard(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), 8).collect()
+    groups = Counter(texts)
+    sizes = {t: (len(t) + 1) * n for t, n in groups.items()}
+    assert max(sizes.values()) <= sum(sizes.values()) // 8
+    homes = {texts[r["doc_id"]]: r["shard"] for r in got}
+    assert len({(texts[r["doc_id"]], r["shard"]) for r in got}) == len(homes)  # a group is in one shard
+    low = max(-(-sum(sizes.values()) // 8), max(sizes.values()))
+    capacity = next(c for c in range(low, 2 * low) if max(b for _, b in one_by_one(sizes.values(), c)) < 8)
+    assert Counter((sizes[t], b) for t, b in homes.items()) == Counter(one_by_one(sizes.values(), capacity))
+
+
+def test_bpe_query_equals_the_library(spark, documents):
+    library = tiktoken.Encoding("own", pat_str=__import__("public_tokenizers").PATTERN, mergeable_ranks=bpe.ByteBpe(bpe.vocabulary_path()).ranks, special_tokens={})
+    want = {}
+    for i, text, *_ in documents:
+        ids = library.encode_ordinary(text or "")
+        want[i] = (len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(), hashlib.sha256((text or "").encode()).hexdigest())
+    got = {r["doc_id"]: (r["n_tokens"], r["ids_sha256"], r["decoded_sha256"]) for r in queries.queries()["op10_byte_bpe"](spark, DATA).collect()}
+    assert got == want
+
+
 def test_sharding(spark, documents, odd):
     assert sharding.best_fit_decreasing([(6, 1), (5, 2), (4, 1)], 10) == [(6, 0, 1), (5, 1, 2), (4, 0, 1)]
     assert sharding.best_fit_decreasing([(11, 1)], 10) is None
@@ -653,6 +693,15 @@ def test_near_copies(spark, documents):
     assert extra.columns == ["doc_id", "text", "digest", "_at", "id"] and extra.count() == len(stay)
 
 
+def test_near_copies_behind_a_hub(spark):
+    """What is alike in a bucket whose first rows are alike to none is found in later rounds, by the jobs themselves."""
+    texts = {n: " ".join(f"w{n}x{i}" for i in range(60)) for n in range(8)}
+    texts |= {8: texts[7] + " more", 9: "other " + texts[7]}
+    nodes = [(n, [5, 100 + n], bytes([min(n, 7)] * copies.SKETCH)) for n in texts]
+    got = copies.near_copies(spark.createDataFrame(nodes, "digest long, keys array<long>, sketch binary"), spark.createDataFrame(list(texts.items()), "digest long, text string"))
+    assert sorted(r["digest"] for r in got.collect()) == [8, 9]
+
+
 def test_near_copies_in_rounds():
     """Buckets of what is alike in pairs only, streamed in batches: all pairs that share one are compared."""
     rng = np.random.default_rng(2)
