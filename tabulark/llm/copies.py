@@ -13,8 +13,9 @@ Buckets aren't held or expanded into pairs. In each round the first `hubs` rows
 digest) are compared with all that follow, which stream by; a row that proves alike to a hub goes. What is left
 of buckets, without the hubs, meets in the next round, with four times as many hubs: the first round (one hub)
 removes near copies of one text in a star, however many they are; later ones see what remains. Candidates meet
-their hub in SALT parts, so a hub of a third of all rows is compared in as many tasks. After the last round
-every pair that shares a bucket, and stays, has been compared.
+their hubs in blocks (a bucket's hubs, BLOCK at a time), a text once a block and in parts of PART texts, so the texts
+that travel are fewer than the pairs by the size of a block, and a hub of a third of all rows is compared in many tasks.
+After the last round every pair that shares a bucket, and stays, has been compared.
 
 Defined results: null and blank texts are one set, the empty; fewer than five words are one shingle; of equal
 sets, and of a SimHash class, the row of the least id stays, nulls last, then by a hash of the row; equal rows
@@ -24,6 +25,7 @@ still; an empty table gives no rows; texts are read whole; extra columns stay, w
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,7 +39,9 @@ from ._shared import bounded, discard, fresh, map_arrow, materialize, raw_texts
 
 SEED, WIDTH = 42, 5
 BANDS, DEEP, SKETCH, ALIKE = 24, 4, 64, 35
-SALT, TILE, ROWS = 64, 1 << 12, 256
+TILE, ROWS = 1 << 12, 256
+#: Hubs of a block, members of a part of it, bytes of hubs' sets in memory.
+BLOCK, PART, HELD = 64, 256, 1 << 26
 _draw = np.random.default_rng(SEED)
 MASKS, FACTORS = (_draw.integers(0, 1 << 64, BANDS * DEEP, np.uint64) for _ in range(2))
 FACTORS |= np.uint64(1)
@@ -100,7 +104,7 @@ def place_of(docs: DataFrame):
 
 
 def compare_hubs(hubs: int):
-    """For rows (key, digest, sketch) sorted by key and digest: candidates (digest, hub) of the first `hubs` rows of
+    """For rows (key, digest, sketch) sorted by key and digest: candidates (key, digest, hub) of the first `hubs` rows of
     each key, and (key, digest, sketch) of all rows after those. Holds the hubs of one key only."""
     names = ["key", "digest", "hub", "sketch"]
 
@@ -123,38 +127,66 @@ def compare_hubs(hubs: int):
                 for h in range(len(held_d)):  # rows are sorted: the hub of a pair is the lesser
                     after = a + int(np.searchsorted(digests[a:b], held_d[h], "right"))
                     hit = after + np.flatnonzero((sketches[after:b] == held_s[h]).sum(axis=1) >= ALIKE)
-                    edges.append(np.stack([digests[hit], np.full(len(hit), held_d[h])]))
+                    edges.append(np.stack([digests[hit], np.full(len(hit), held_d[h]), np.full(len(hit), current)]))
                 left.append(np.arange(a + more, b))
             if alone[-1]:
                 current, held_d, held_s = keys[-1], digests[-1:].copy(), sketches[-1:].copy()
-            pair = np.concatenate(edges, axis=1) if edges else np.zeros((2, 0), np.int64)
+            *pair, of = np.concatenate(edges, axis=1) if edges else np.zeros((3, 0), np.int64)
             rest = np.concatenate(left) if left else np.zeros(0, np.int64)
-            n, m = pair.shape[1], len(rest)
-            yield pa.RecordBatch.from_arrays([pa.array(np.r_[np.zeros(n, np.int64), keys[rest]]), pa.array(np.r_[pair[0], digests[rest]]), pa.array(np.r_[pair[1], np.zeros(m, np.int64)], mask=np.r_[np.zeros(n, bool), np.ones(m, bool)]), pa.array([None] * n + [s.tobytes() for s in sketches[rest]], pa.binary())], names)
+            n, m = len(of), len(rest)
+            yield pa.RecordBatch.from_arrays([pa.array(np.r_[of, keys[rest]]), pa.array(np.r_[pair[0], digests[rest]]), pa.array(np.r_[pair[1], np.zeros(m, np.int64)], mask=np.r_[np.zeros(n, bool), np.ones(m, bool)]), pa.array([None] * n + [s.tobytes() for s in sketches[rest]], pa.binary())], names)
 
     return run
 
 
+class Held:
+    """Sets of hubs, in memory up to so many bytes, and in a file beyond."""
+
+    def __init__(self, most: int):
+        self.most, self.sets, self.bytes = most, {}, 0
+
+    def add(self, hub: int, hashes: np.ndarray) -> None:
+        self.bytes += hashes.nbytes
+        if self.bytes > self.most and len(hashes):
+            with tempfile.TemporaryFile() as out:
+                out.write(hashes.tobytes())
+                out.flush()
+                hashes = np.memmap(out, np.uint64, "r")
+        self.sets[hub] = hashes
+
+
 def _check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Digests that prove alike to their hub, from (hub, salt, member, text) sorted so, the hub's own row (null) first."""
-    own, key = None, None
+    """Digests that prove alike to one of their hubs, from (key, block, part, member, hubs, text) sorted so, a row for each hub
+    (member null) first. A member's set is made once for all hubs of a block."""
+    held, at = Held(HELD), None
     for batch in batches:
         found = []
-        for hub, salt, member, raw in zip(*(batch.column(i).to_pylist() for i in range(3)), raw_texts(batch.column(3)), strict=True):
+        for *group, member, hubs, raw in zip(*(batch.column(i).to_pylist() for i in range(5)), raw_texts(batch.column(5)), strict=True):
+            if group != at:
+                held, at = Held(HELD), group
+            hashes = shingle_set(raw)
             if member is None:
-                own, key = shingle_set(raw), (hub, salt)
-            elif (hub, salt) == key and alike(own, shingle_set(raw)):
+                held.add(hubs[0], hashes)
+            elif any(5 * min(len(s), len(hashes)) >= 4 * max(len(s), len(hashes)) and alike(s, hashes) for s in map(held.sets.__getitem__, hubs)):
                 found.append(member)
         yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64())], ["digest"])
 
 
-def proven(edges: DataFrame, texts: DataFrame) -> DataFrame:
-    """(digest) of those edges (digest, hub) whose sets are alike. texts: (digest, text), one row a digest."""
-    edges = edges.withColumn("salt", F.pmod(F.xxhash64("digest"), F.lit(SALT)).cast("int"))
-    members = edges.join(texts, "digest").select("hub", "salt", F.col("digest").alias("member"), "text")
-    owners = edges.select("hub", "salt").distinct().join(texts.select(F.col("digest").alias("hub"), "text"), "hub").select("hub", "salt", F.lit(None).cast("long").alias("member"), "text")
-    both = owners.unionByName(members).repartition("hub", "salt").sortWithinPartitions("hub", "salt", F.col("member").asc_nulls_first())
-    return map_arrow(both, _check, "digest long").distinct()
+def proven(edges: DataFrame, texts: DataFrame, hubs: int) -> DataFrame:
+    """(digest) of those edges (digest, hub, key) whose sets are alike. texts: (digest, text), one row a digest; hubs: how many a
+    key has at most. A text goes once to each block of hubs that it has edges to, not once an edge."""
+    blocks = edges.withColumn("block", F.pmod(F.xxhash64("hub"), F.lit(-(-hubs // BLOCK))).cast("int"))
+    pairs = blocks.groupBy("key", "block", "digest").agg(F.collect_list("hub").alias("hubs"))
+    pairs = materialize(pairs, "pairs")
+    large = pairs.groupBy("key", "block").agg(F.ceil(F.count(F.lit(1)) / PART).alias("parts")).where("parts > 1")
+    pairs_ = pairs.join(large, ["key", "block"], "left").withColumn("part", F.pmod(F.xxhash64("digest"), F.coalesce("parts", F.lit(1))).cast("int"))
+    members = pairs_.join(texts, "digest").select("key", "block", "part", F.col("digest").alias("member"), "hubs", "text")
+    owned = blocks.select("key", "block", "hub").distinct().join(large, ["key", "block"], "left").select("key", "block", "hub", F.explode(F.sequence(F.lit(0), (F.coalesce("parts", F.lit(1)) - 1).cast("int"))).alias("part"))
+    owners = owned.join(texts.withColumnRenamed("digest", "hub"), "hub").select("key", "block", "part", F.lit(None).cast("long").alias("member"), F.array("hub").alias("hubs"), "text")
+    both = owners.unionByName(members).repartition("key", "block", "part").sortWithinPartitions("key", "block", "part", F.col("member").asc_nulls_first())
+    out = materialize(map_arrow(both, _check, "digest long").distinct(), "near")
+    discard(pairs)
+    return out
 
 
 def near_copies(nodes: DataFrame, base: DataFrame) -> DataFrame:
@@ -165,10 +197,10 @@ def near_copies(nodes: DataFrame, base: DataFrame) -> DataFrame:
     while True:
         dealt = rest.repartition(F.col("key")).sortWithinPartitions("key", "digest")
         found = materialize(map_arrow(dealt, compare_hubs(hubs), "key long, digest long, hub long, sketch binary"), "candidates")
-        edges = materialize(found.where("hub IS NOT NULL").select("digest", "hub").distinct(), "edges")
+        edges = materialize(found.where("hub IS NOT NULL").groupBy("digest", "hub").agg(F.min("key").alias("key")), "edges")
         named = materialize(edges.select("digest").union(edges.select("hub")).distinct(), "named")
         texts = materialize(base.select("digest", "text").join(bounded(named), "digest", "left_semi").dropDuplicates(["digest"]), "texts")
-        lost = materialize(proven(edges, texts), "near")
+        lost = proven(edges, texts, hubs)
         tables += [found, edges, named, texts, lost]
         gone = gone.union(lost)
         rest = found.where("hub IS NULL").select("key", "digest", "sketch").join(bounded(lost), "digest", "left_anti").select("key", "digest", "sketch")  # the join puts digest first

@@ -702,6 +702,27 @@ def test_near_copies_behind_a_hub(spark):
     assert sorted(r["digest"] for r in got.collect()) == [8, 9]
 
 
+def test_near_copies_travel_once_a_block(spark, monkeypatch):
+    """Texts of one bucket that are alike below 0.8 only, and two that are alike: all are compared, far fewer texts travel than pairs."""
+    n = 200
+    texts = {k: " ".join([f"c{i}" for i in range(70)] + [f"w{k}x{i}" for i in range(30)]) for k in range(n)}
+    texts[n] = texts[n - 1] + " more"
+    moved, plain = [], copies.map_arrow
+    monkeypatch.setattr(copies, "map_arrow", lambda df, fn, schema: (moved.append(df.count()) if fn is copies._check else None, plain(df, fn, schema))[1])
+    nodes = spark.createDataFrame([(k, [5], bytes(copies.SKETCH)) for k in texts], "digest long, keys array<long>, sketch binary")
+    got = copies.near_copies(nodes, spark.createDataFrame(list(texts.items()), "digest long, text string"))
+    assert [r["digest"] for r in got.collect()] == [n]
+    assert sum(moved) < n * n / 2 / 8
+
+
+def test_hubs_beyond_memory_are_read_from_a_file():
+    held = copies.Held(100)
+    sets = {k: np.arange(k, k + 10, dtype=np.uint64) for k in range(5)}
+    for k, s in sets.items():
+        held.add(k, s)
+    assert isinstance(held.sets[4], np.memmap) and all((held.sets[k] == s).all() for k, s in sets.items()) and copies.alike(held.sets[4], sets[4])
+
+
 def test_near_copies_in_rounds():
     """Buckets of what is alike in pairs only, streamed in batches: all pairs that share one are compared."""
     rng = np.random.default_rng(2)
