@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import StructType, _parse_datatype_string
 
-from ..session import ship
+from ..session import cut, ship
+from . import ranks
 from .dml import VersionedTable
 from .versions import File, State
 
@@ -51,14 +52,33 @@ def page(df: DataFrame, keys: list[str], size: int, last: Row | None = None, all
 
 
 def pages(df: DataFrame, keys: list[str], size: int) -> Iterator[list[Row]]:
-    """All pages, one at a time in the driver: for consumers that page. A short page is the last."""
+    """All pages, one at a time in the driver: for consumers that page. A short page is the last. Rows are sorted once and come range by
+    range (session.cut), so all pages cost one sort and not a scan each."""
+    if size <= 0:
+        raise PagingError("a page has one row or more")
     require_order(keys)
-    last = None
-    while rows := page(df, keys, size, last).collect():
-        yield rows
-        if len(rows) < size:
-            return
-        last = rows[-1]
+    order = [F.col(k).asc_nulls_last() for k in keys]
+    held: list[Row] = []
+    for row in cut(df.repartitionByRange(*order).sortWithinPartitions(*order)).toLocalIterator():
+        held.append(row)
+        if len(held) == size:
+            yield held
+            held = []
+    if held:
+        yield held
+
+
+def numbered(df: DataFrame, keys: list[str], size: int, name: str = "page") -> DataFrame:
+    """All rows with the number of their page (0, 1, ..) in order of keys, without passing the driver."""
+    if size <= 0:
+        raise PagingError("a page has one row or more")
+    require_order(keys)
+    rows = ranks.number_rows(df, [F.col(k).asc_nulls_last() for k in keys], "_number")
+    return rows.withColumn(name, F.floor((F.col("_number") - 1) / size)).drop("_number")
+
+
+#: Files that one task of a layout writes at most.
+FILES = 64
 
 
 class OrderIndex:
@@ -73,16 +93,20 @@ class OrderIndex:
         self.opened = 0
 
     def build(self, df: DataFrame, rows: int = 1_000_000) -> OrderIndex:
-        """Lay df out in files of about so many rows, as the table's next version."""
-        files = max(1, -(-df.count() // rows))
-        self.table.commit(df.repartitionByRange(files, *self.order).sortWithinPartitions(*self.order))
+        """Lay df out in files of so many rows (the last: the rest), as the table's next version. A task writes several files if they are
+        small: ranges are as many as a million rows or FILES files each need, and not one a file, each with a sample in the driver."""
+        per = rows * max(1, min(FILES, 1_000_000 // rows))
+        placed = ranks.number_rows(df, self.order, "_number")
+        ranges = max(1, -(-(placed.agg(F.max("_number")).first()[0] or 0) // per))
+        dealt = placed.withColumn("_range", F.floor((F.col("_number") - 1) / per).cast("int")).repartitionById(ranges, "_range")
+        self.table.commit(dealt.sortWithinPartitions("_number").drop("_number", "_range"), file_rows=rows)
         return self
 
     def _files(self) -> tuple[State, list[File]]:
         state = self.table.state()
         if len({f.path.split("/")[0] for f in state.files.values()}) > 1:
             raise PagingError("the table has changed since it was laid out")
-        return state, sorted(state.files.values(), key=lambda f: f.path)  # ranges are numbered in file names
+        return state, sorted(state.files.values(), key=lambda f: f.path)  # ranges, and files within, are numbered in file names
 
     def _read(self, state: State, files: list[File]) -> DataFrame:
         self.opened += len(files)

@@ -236,8 +236,9 @@ def paged_entities(spark: SparkSession, folder: str) -> DataFrame:
 def page_reader(spark: SparkSession, folder: str) -> DataFrame:
     """All pages of a table that has no index but its order."""
     top = table(spark, folder, "customer").agg(F.max("c_custkey")).first()[0] / 8
-    found = [[r["o_orderkey"] for r in rows] for rows in paging.pages(table(spark, folder, "orders").where(F.col("o_custkey") < top).select("o_totalprice", "o_orderkey"), ["o_totalprice", "o_orderkey"], 400)]
-    return spark.createDataFrame([(sum(map(len, found)), len(found), sum(map(sum, found)))], "rows long, pages long, total long")
+    found = paging.numbered(table(spark, folder, "orders").where(F.col("o_custkey") < top).select("o_totalprice", "o_orderkey"), ["o_totalprice", "o_orderkey"], 400)
+    each = found.groupBy("page").agg(F.count("*").alias("n"), F.sum("o_orderkey").alias("total"))
+    return each.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.count("*").alias("pages"), F.sum("total").alias("total"))
 
 
 # catalog

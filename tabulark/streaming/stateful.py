@@ -11,6 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.types import BinaryType, FractionalType
 
 from .windows import event_time
 
@@ -31,27 +32,39 @@ def running_counts(stream: DataFrame, key: str, value: str) -> DataFrame:
     return slim.groupBy(key).applyInPandasWithState(add, f"key {kind}, n long, total double", "n long, total double", "update", GroupStateTimeout.NoTimeout)
 
 
-def changes(stream: DataFrame, key: str, time: str, value: str, ties: list[str] | None = None) -> DataFrame:
+#: Keys have their state in so many parts at most, each called once a batch.
+PARTS = 1024
+
+
+def changes(stream: DataFrame, key: str, time: str, value: str, ties: list[str] | None = None, parts: int = PARTS) -> DataFrame:
     """Rows (key, time, value, before) whose value is distinct from their key's last one (null is a value): within a batch in order of
-    time and ties, across batches in order of arrival. The first of a key counts. Append mode; state is a value a key; a key's rows of
-    one batch are sorted in memory, which the stream's limits (maxFilesPerTrigger, say) bound."""
+    time and ties, across batches in order of arrival. The first of a key counts. Append mode; state is a value a key, held for the keys
+    of a part together (by hash; `parts` of them), so calls of a batch don't grow with keys; the rows of a part and batch are sorted in
+    memory, which the stream's limits (maxFilesPerTrigger, say) and `parts` bound."""
     ties = ties or []
-
-    def compare(key_: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        seen, last = (True, state.get[0]) if state.exists else (False, None)
-        rows = pd.concat(list(frames)).sort_values([time, *ties], kind="stable")
-        out = []
-        for at, text in zip(rows[time], rows["value"], strict=True):
+    kind = stream.schema[key].dataType
+    # as text, so that integers beside nulls stay whole; the empty text is null
+    named = F.base64(key) if isinstance(kind, BinaryType) else (F.col(key) + F.lit(0).cast(kind) if isinstance(kind, FractionalType) else F.col(key)).cast("string")
+    named = F.coalesce(F.concat(F.lit("="), named), F.lit(""))
+
+    def compare(_: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        seen = dict(zip(*state.get, strict=True)) if state.exists else {}
+        rows = pd.concat(list(frames)).sort_values(["_key", "_time", *[f"_tie{i}" for i in range(len(ties))]], kind="stable")
+        kept, before = [], []
+        for i, (name, text) in enumerate(zip(rows["_key"], rows["_value"], strict=True)):
             text = None if pd.isna(text) else text
-            if not seen or text != last:
-                out.append((key_[0], at, text, last))
-            seen, last = True, text
-        state.update((last,))
-        yield pd.DataFrame(out, columns=["key", "time", "value", "before"])
-
-    kind = stream.schema[key].dataType.simpleString()
-    slim = stream.select(F.col(key), F.col(time), *ties, F.col(value).cast("string").alias("value"))
-    return slim.groupBy(key).applyInPandasWithState(compare, f"key {kind}, time {stream.schema[time].dataType.simpleString()}, value string, before string", "last string", "append", GroupStateTimeout.NoTimeout)
+            if name not in seen or seen[name] != text:
+                kept.append(i)
+                before.append(seen.get(name))
+            seen[name] = text
+        state.update((list(seen), list(seen.values())))
+        out = rows.iloc[kept]
+        yield pd.DataFrame({"key": out["_key"], "time": out["_time"], "value": out["_value"], "before": pd.Series(before, out.index, object)})
+
+    slim = stream.select(F.pmod(F.xxhash64(named), F.lit(parts)).alias("_part"), named.alias("_key"), F.col(time).alias("_time"), *[F.col(t).alias(f"_tie{i}") for i, t in enumerate(ties)], F.col(value).cast("string").alias("_value"))
+    found = slim.groupBy("_part").applyInPandasWithState(compare, f"key string, time {stream.schema[time].dataType.simpleString()}, value string, before string", "names array<string>, lasts array<string>", "append", GroupStateTimeout.NoTimeout)
+    bare = F.when(F.col("key") != "", F.substr("key", F.lit(2)))
+    return found.withColumn("key", F.unbase64(bare) if isinstance(kind, BinaryType) else bare.cast(kind))
 
 
 def batch_changes(df: DataFrame, key: str, time: str, value: str, ties: list[str] | None = None) -> DataFrame:

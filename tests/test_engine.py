@@ -635,6 +635,20 @@ def test_stateful_changes(spark, tmp_path):
     assert Counter(map(tuple, spark.sql("SELECT * FROM changes").collect())) == want and sum(want.values()) == 4
 
 
+def test_pages_cost_one_sort(spark):
+    """Jobs of all pages go by ranges of one sort, not by pages; numbers of pages need no driver."""
+    df = spark.range(3000).select((F.col("id") * 7919 % 3001).alias("k"), "id").repartition(5)
+    context = spark.sparkContext
+    context.setJobGroup("pages", "pages")
+    found = list(paging.pages(df, ["k"], 10))
+    context.setLocalProperty("spark.jobGroup.id", None)
+    assert [len(p) for p in found] == [10] * 300 and [r["k"] for p in found for r in p] == sorted(i * 7919 % 3001 for i in range(3000))
+    assert len(context.statusTracker().getJobIdsForGroup("pages")) < 100
+    pages = paging.numbered(df, ["k"], 10)
+    assert {(r["page"], r["id"]) for r in pages.collect()} == {(n, r["id"]) for n, p in enumerate(found) for r in p}
+    assert paging.numbered(df.limit(0), ["k"], 10).count() == 0 and not list(paging.pages(df.limit(0), ["k"], 10))
+
+
 def test_nested_values(spark):
     df = spark.sql("SELECT named_struct('Name', 'n', 'list', array(named_struct('X', 1), NULL)) AS Item, map('Key', 5, 'other', 6) AS m, NULL AS none, 1 AS dup, '{\"a\": {\"b c\": [1, {\"d\": 2}]}}' AS j")
     at = lambda p: df.select(nested.value_at(df, p).alias("v")).first()["v"]

@@ -3,7 +3,9 @@
 import datetime
 import sqlite3
 import uuid
+from collections import Counter
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import EqualTo, GreaterThan, In, IsNull, Not, StringContains
@@ -43,6 +45,42 @@ def test_sessions_are_closed_by_timers(spark, tmp_path):
     assert left <= {"z"}  # what is over left nothing behind
 
 
+def test_a_key_has_one_timer(monkeypatch):
+    """However many sessions a key has: calls go by keys. The timer closes all that the watermark has passed, and is set anew for the rest."""
+
+    class Store:
+        def __init__(self):
+            self.rows, self.timers, self.calls = [], set(), 0
+
+        def getListState(self, *_):
+            return self
+
+        def get(self):
+            return iter(self.rows)
+
+        def put(self, rows):
+            self.rows, self.calls = list(rows), self.calls + 1
+
+        def clear(self):
+            self.rows, self.calls = [], self.calls + 1
+
+        def registerTimer(self, at):
+            self.timers, self.calls = self.timers | {at}, self.calls + 1
+
+        def deleteTimer(self, at):
+            self.timers, self.calls = self.timers - {at}, self.calls + 1
+
+    store, work = Store(), timers.Sessions(1000, "long")
+    work.init(store)
+    told = lambda mark, at=0: type("T", (), {"getCurrentWatermarkInMs": lambda self: mark, "getExpiryTimeInMs": lambda self: at})()
+    assert not list(work.handleInputRows((7,), iter([pd.DataFrame({"at": [i * 10_000 for i in range(100, 0, -1)]})]), told(0)))
+    assert store.timers == {11} and store.calls == 2
+    store.timers = set()  # it fires
+    over = pd.concat(list(work.handleExpiredTimer((7,), told(501), told(0, 11))))
+    assert over["first"].tolist() == [i * 10_000 for i in range(1, 51)] and store.timers == {511} and store.calls == 4
+    assert not list(work.handleInputRows((7,), iter([pd.DataFrame({"at": [505_000]})]), told(501))) and store.timers == {506}
+
+
 def test_values_are_forgotten(spark, tmp_path):
     stream = batches(spark, tmp_path, "k string, v string", [("a", "x"), ("a", "x"), ("a", "y"), ("b", None)], [("a", "z")])
     seen = []
@@ -85,6 +123,27 @@ def test_changes_with_nulls(spark, tmp_path):
         assert {tuple(r) for r in spark.read.parquet(f"{path}/out").collect()} == want
 
 
+@pytest.mark.parametrize("kind, values", [("long", [2**60, 2**60 + 1, None]), ("binary", [b"\xff", b"", None]), ("double", [0.5, -0.0, float("inf")]), ("string", ["", "=", None])])
+def test_changes_keep_keys_in_parts(spark, tmp_path, kind, values):
+    """Keys of a part have their own last values and come out as they went in; a part is called once a batch, however many keys it has."""
+    a, b, c = minutes(0, 1, 2)
+    rows = [(k, t, v) for k in values for t, v in ((a, "x"), (b, "x"), (c, "y"))]
+    df = spark.createDataFrame(rows, f"k {kind}, t timestamp, v string")
+    stream = batches(spark, tmp_path, df.schema, rows[::2], rows[1::2])
+    found = stateful.changes(stream, "k", "t", "v", parts=1)
+    assert found.schema["key"].dataType == df.schema["k"].dataType
+    queries_streams.run(found, str(tmp_path))
+    got = spark.read.parquet(f"{tmp_path}/out").collect()
+    want, seen = [], {}
+    for part in (rows[::2], rows[1::2]):
+        for k in values:
+            for _, t, v in sorted((r for r in part if r[0] == k), key=lambda r: r[1]):
+                if k not in seen or seen[k] != v:
+                    want.append((k, t, v, seen.get(k)))
+                seen[k] = v
+    assert Counter((bytes(r[0]) if isinstance(r[0], bytearray) else r[0], *r[1:]) for r in got) == Counter(want)
+
+
 @pytest.fixture
 def odd_table(tmp_path):
     path = f"{tmp_path}/t.db"
