@@ -22,8 +22,9 @@ STORE = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.e
 
 class Sessions(StatefulProcessor):
     """Open sessions of a key, as a list of (start, end, n) in microseconds; rows may come in any order within the watermark. A row joins
-    the sessions that it is less than `gap` away from, and joins them to each other. A timer at a session's end plus the gap
-    closes it: no row in time can join it any more."""
+    the sessions that it is less than `gap` away from, and joins them to each other. A key has one timer, at the first end plus the gap;
+    it closes all sessions that the watermark has passed so, which no row in time can join any more, and is set anew for the
+    rest: calls go by keys of a batch, not by sessions."""
 
     def __init__(self, gap: int, kind: str):
         self.gap, self.kind = gap, kind
@@ -36,6 +37,16 @@ class Sessions(StatefulProcessor):
         """Milliseconds, rounded up: the watermark has them."""
         return -(-(last + self.gap) // 1000)
 
+    def _set(self, before: list[tuple[int, int, int]], now: list[tuple[int, int, int]], fired: int | None = None) -> None:
+        """A key has one timer, at the end of the first of its sessions to end. fired: one that is gone already."""
+        old, new = (min((self._timer(s[1]) for s in spans), default=None) for spans in (before, now))
+        if old == new and fired is None:
+            return
+        if old is not None and old != fired:
+            self.handle.deleteTimer(old)
+        if new is not None:
+            self.handle.registerTimer(new)
+
     def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: object) -> Iterator[pd.DataFrame]:
         had = [tuple(map(int, s)) for s in self.open.get()]
         spans = list(had)
@@ -47,19 +58,17 @@ class Sessions(StatefulProcessor):
                 else:
                     spans.append((t, t, 1))
             spans = joined(spans, self.gap)
-        before, now = {self._timer(s[1]) for s in had}, {self._timer(s[1]) for s in spans}
-        for at in before - now:
-            self.handle.deleteTimer(at)
-        for at in now - before:
-            self.handle.registerTimer(at)
+        self._set(had, spans)
         self.open.put(spans)
         yield from ()  # sessions come from timers alone
 
     def handleExpiredTimer(self, key: tuple, timerValues: object, expiredTimerInfo: object) -> Iterator[pd.DataFrame]:
-        due = expiredTimerInfo.getExpiryTimeInMs()
+        fired = expiredTimerInfo.getExpiryTimeInMs()
+        due = max(fired, timerValues.getCurrentWatermarkInMs())
         spans = [tuple(map(int, s)) for s in self.open.get()]
         over = [s for s in spans if self._timer(s[1]) <= due]
         rest = [s for s in spans if self._timer(s[1]) > due]
+        self._set(spans, rest, fired)
         if rest:
             self.open.put(rest)
         else:
