@@ -165,11 +165,11 @@ def order_lookup(spark: SparkSession, folder: str) -> DataFrame:
 
 @made("SELECT doc_id, text, lang FROM documents UNION ALL SELECT -1, NULL, '' UNION ALL SELECT -2, ' \"a\" , b' || chr(13) || chr(10) || chr(10) || 'c ', ' x ' UNION ALL SELECT -3, '', NULL")
 def csv_text_round_trip(spark: SparkSession, folder: str) -> DataFrame:
-    """Texts with line ends, quotes and blanks at their ends as one CSV file, read in several tasks."""
+    """Texts with line ends, quotes and blanks at their ends as CSV files, a task each; every file is read in several tasks."""
     docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
     odd = spark.createDataFrame([(-1, None, ""), (-2, ' "a" , b\r\n\nc ', " x "), (-3, "", None)], docs.schema)
     path = scratch(spark, "csv")
-    files.write_csv(docs.unionByName(odd).coalesce(1), path)
+    files.write_csv(docs.unionByName(odd), path)
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "256k")  # small files are to be cut as well
     try:

@@ -10,6 +10,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from tabulark import queries
 from tabulark.functions import nested, partial, sketches
 from tabulark.operators import dml, paging, ranks, verify, versions
 from tabulark.plans import statements
@@ -156,6 +157,40 @@ def test_order_index(spark, tmp_path):
         index.by_number(0, 5)
 
 
+def test_small_files_of_an_order_share_tasks(spark, tmp_path):
+    index = paging.OrderIndex(dml.VersionedTable(spark, f"file://{tmp_path}/t"), ["a"]).build(spark.range(5003).select((F.col("id") * 7919 % 5003).alias("a")), 10)
+    files = sorted(index.table.state().files.values(), key=lambda f: f.path)
+    assert [f.rows for f in files] == [10] * 500 + [3]
+    assert len({f.path.split("/")[1].split("-")[1] for f in files}) == 8  # one a file before
+    assert [r["a"] for n in (0, 63, 64, 500) for r in index.by_number(n, 10)] == [*range(10), *range(630, 650), 5000, 5001, 5002]
+    assert {(r["page"], r["a"]) for r in index.numbered(10).collect()} == {(i // 10, i) for i in range(5003)}
+    empty = paging.OrderIndex(dml.VersionedTable(spark, f"file://{tmp_path}/e"), ["a"]).build(spark.range(0).select(F.col("id").alias("a")), 10)
+    assert empty.by_number(0, 10) == []
+
+
+def test_copies_grow_by_tasks(spark, tmp_path, monkeypatch):
+    """Texts aren't written by one task, nor another order made by a fixed number."""
+    rows = [(i, f'"{i}"\n', "x") for i in range(40)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    lines = spark.range(40).select(F.col("id").alias("l_orderkey"), F.lit(1).alias("l_linenumber"), F.col("id").alias("l_partkey"), F.lit(0.1).alias("l_discount"))
+    lines.write.parquet(f"{tmp_path}/lineitem.parquet")
+    parts, write, compare = [], files.write_csv, verify.compare
+    monkeypatch.setattr(files, "write_csv", lambda df, path: (parts.append(df.rdd.getNumPartitions()), write(df, path)))
+    monkeypatch.setattr(verify, "compare", lambda left, right, *a, **b: (parts.append(right.rdd.getNumPartitions()), compare(left, right, *a, **b))[1])
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.files.openCostInBytes", "spark.sql.files.maxPartitionBytes")}
+    try:
+        for k, v in zip(before, ("16", "false", "1", "64"), strict=True):
+            spark.conf.set(k, v)
+        found = queries.QUERIES["csv_text_round_trip"](spark, str(tmp_path)).collect()
+        assert parts.pop() > 3
+        assert Counter(map(tuple, found)) == Counter([*rows, (-1, None, ""), (-2, ' "a" , b\r\n\nc ', " x "), (-3, "", None)])
+        assert sorted(map(tuple, queries.QUERIES["content_digests"](spark, str(tmp_path)).collect())) == [("another order", 0, 0), ("one changed", 1, 1)]
+        assert parts[1] == 16
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 @pytest.mark.parametrize("block", [7, 40, 4000])
 def test_csv_in_blocks(spark, tmp_path, block):
     rng, rows = random.Random(block), []
