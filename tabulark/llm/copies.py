@@ -10,12 +10,18 @@ many for keys that lose no pair. So what is left meets again as sets of its shin
 * candidates are compared as shingle sets, exactly.
 
 Buckets aren't held or expanded into pairs. In each round the first `hubs` rows of a bucket (in order of set
-digest) are compared with all that follow, which stream by; a row that proves alike to a hub goes. What is left
-of buckets, without the hubs, meets in the next round, with four times as many hubs: the first round (one hub)
-removes near copies of one text in a star, however many they are; later ones see what remains. Candidates meet
-their hubs in blocks (a bucket's hubs, BLOCK at a time), a text once a block and in parts of PART texts, so the texts
-that travel are fewer than the pairs by the size of a block, and a hub of a third of all rows is compared in many tasks.
-After the last round every pair that shares a bucket, and stays, has been compared.
+digest) are compared with all that follow, which stream by; a row that proves alike to a hub goes. The first round
+(one hub) removes near copies of one text in a star, however many they are; the second (four hubs) finishes buckets
+of six. A bucket that has more left may be of texts that are alike below 0.8, whose pairs would be compared for
+nothing, so all that is left in such buckets is dealt anew, by its rarest shingles: with the shingles of each set in
+one order (that of how many of these sets have them), a pair that is alike shares one among the first fifth of both,
+at places i and j that leave enough for what they must have in common, 1 + min(m - i - 1, n - j - 1) >= 4/9 (m + n).
+So the shorter has it in its first ninth; only such rows are hubs of these buckets. What texts have in common with
+hundreds of others comes last in the order, so texts with a common part and each with a fifth of its own don't meet.
+Rounds go on, with four times as many hubs each, until every pair that shares a bucket, and stays, has been compared.
+Candidates meet their hubs in blocks (a bucket's hubs, BLOCK at a time), a text once a block and in parts of PART
+texts, so the texts that travel are fewer than the pairs by the size of a block, and a hub of a third of all rows is
+compared in many tasks.
 
 Defined results: null and blank texts are one set, the empty; fewer than five words are one shingle; of equal
 sets, and of a SimHash class, the row of the least id stays, nulls last, then by a hash of the row; equal rows
@@ -42,6 +48,8 @@ BANDS, DEEP, SKETCH, ALIKE = 24, 4, 64, 35
 TILE, ROWS = 1 << 12, 256
 #: Hubs of a block, members of a part of it, bytes of hubs' sets in memory.
 BLOCK, PART, HELD = 64, 256, 1 << 26
+#: Hubs of a bucket in the last round of MinHash bands.
+LAST = 4
 _draw = np.random.default_rng(SEED)
 MASKS, FACTORS = (_draw.integers(0, 1 << 64, BANDS * DEEP, np.uint64) for _ in range(2))
 FACTORS |= np.uint64(1)
@@ -139,6 +147,75 @@ def compare_hubs(hubs: int):
     return run
 
 
+def rarest(left: DataFrame, base: DataFrame) -> DataFrame:
+    """(key, late, digest, sketch, size, at): the shingles of the first fifth of each set, in order of how many sets of `left`
+    (digest, sketch) have them; those of one set only come first and make no rows. late: beyond the first ninth."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, ROWS):
+                part = batch.slice(at, ROWS)
+                sets = [shingle_set(raw).view(np.int64) for raw in raw_texts(part.column(1))]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(sets, pa.list_(pa.int64()))], ["digest", "size", "shingles"])
+
+    texts = base.select("digest", "text").join(bounded(left), "digest", "left_semi").dropDuplicates(["digest"])
+    sets = materialize(map_arrow(texts, run, "digest long, size long, shingles array<long>"), "shingles")
+    rows = sets.select("digest", "size", F.explode("shingles").alias("key"))
+    shared = materialize(rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "shared")
+    held = rows.join(bounded(shared), "key").groupBy("digest").agg(F.first("size").alias("size"), F.sort_array(F.collect_list(F.struct("n", "key"))).alias("held"))
+    held = held.withColumn("own", F.col("size") - F.size("held"))
+    first = held.withColumn("held", F.slice("held", 1, F.greatest(F.lit(0), F.expr("size div 5 + 1 - own")).cast("int")))
+    placed = first.select("digest", "size", "own", F.posexplode("held").alias("at", "one")).select("digest", "size", (F.col("own") + F.col("at")).alias("at"), F.col("one.key").alias("key"))
+    out = placed.join(bounded(left), "digest").select("key", F.expr("at > size div 9").alias("late"), "digest", "sketch", "size", "at")
+    out = materialize(out, "rarest")
+    for t in (sets, shared):
+        discard(t)
+    return out
+
+
+def compare_rarest(hubs: int):
+    """For rows of rarest() sorted by key, late and digest: candidates (key, digest, hub) of the first `hubs` rows of each key that
+    aren't late, and the rows after those, as long as one that isn't late is among them. Holds the hubs of one key only."""
+    names = ["key", "late", "digest", "hub", "sketch", "size", "at"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, held, more = None, [], False
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys, late, digests = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
+            sizes, places = batch.column(4).to_numpy(), batch.column(5).to_numpy()
+            sketches = np.frombuffer(b"".join(batch.column(3).to_pylist()), np.uint8).reshape(-1, SKETCH)
+            starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+            ends = np.r_[starts[1:], len(keys)]
+            last = len(starts) - 1
+            edges, left = [], []
+            for k in np.flatnonzero((ends - starts > 1) & ~late[starts] | np.isin(np.arange(last + 1), [0, last])).tolist():
+                a, b = int(starts[k]), int(ends[k])
+                if keys[a] != current:
+                    current, held, more = keys[a], [], False
+                early = a + int(np.count_nonzero(~late[a:b]))
+                new = min(early - a, hubs - len(held))
+                more |= early - a > new
+                held += [(i, digests[i], sketches[i].copy(), sizes[i], places[i]) for i in range(a, a + new)]
+                for i, digest, sketch, size, place in held:
+                    after = max(a, i + 1)
+                    rest = np.minimum(size - place, sizes[after:b] - places[after:b])  # what can be common, with this shingle
+                    near = after + np.flatnonzero(9 * rest >= 4 * (size + sizes[after:b]))
+                    hit = near[(sketches[near] == sketch).sum(axis=1) >= ALIKE]
+                    edges.append(np.stack([np.full(len(hit), current), digests[hit], np.full(len(hit), digest)]))
+                left.append(np.arange(a + new, b if more else a + new))
+            held = [(-1, *h[1:]) for h in held]
+            key, member, hub = np.concatenate(edges, axis=1) if edges else np.zeros((3, 0), np.int64)
+            rest = np.concatenate(left) if left else np.zeros(0, np.int64)
+            n, m = len(key), len(rest)
+            none, there = np.r_[np.ones(n, bool), np.zeros(m, bool)], np.r_[np.zeros(n, bool), np.ones(m, bool)]
+            blank = np.zeros(n, np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(np.r_[key, keys[rest]]), pa.array(np.r_[blank.astype(bool), late[rest]], mask=none), pa.array(np.r_[member, digests[rest]]), pa.array(np.r_[hub, np.zeros(m, np.int64)], mask=there), pa.array([None] * n + [s.tobytes() for s in sketches[rest]], pa.binary()), pa.array(np.r_[blank, sizes[rest]], mask=none), pa.array(np.r_[blank, places[rest]], mask=none)], names)
+
+    return run
+
+
 class Held:
     """Sets of hubs, in memory up to so many bytes, and in a file beyond."""
 
@@ -156,8 +233,8 @@ class Held:
 
 
 def _check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Digests that prove alike to one of their hubs, from (key, block, part, member, hubs, text) sorted so, a row for each hub
-    (member null) first. A member's set is made once for all hubs of a block."""
+    """Of members and hubs that prove alike the greater digest, from (key, block, part, member, hubs, text) sorted so, a row for
+    each hub (member null) first. A member's set is made once for all hubs of a block."""
     held, at = Held(HELD), None
     for batch in batches:
         found = []
@@ -167,13 +244,18 @@ def _check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             hashes = shingle_set(raw)
             if member is None:
                 held.add(hubs[0], hashes)
-            elif any(5 * min(len(s), len(hashes)) >= 4 * max(len(s), len(hashes)) and alike(s, hashes) for s in map(held.sets.__getitem__, hubs)):
-                found.append(member)
+            else:
+                goes = False
+                for hub in sorted(hubs):
+                    s = held.sets[hub]
+                    if (hub > member or not goes) and 5 * min(len(s), len(hashes)) >= 4 * max(len(s), len(hashes)) and alike(s, hashes):
+                        found.append(max(hub, member))
+                        goes |= hub < member
         yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64())], ["digest"])
 
 
 def proven(edges: DataFrame, texts: DataFrame, hubs: int) -> DataFrame:
-    """(digest) of those edges (digest, hub, key) whose sets are alike. texts: (digest, text), one row a digest; hubs: how many a
+    """(digest) of what goes by those edges (digest, hub, key) whose sets are alike. texts: (digest, text), one row a digest; hubs: how many a
     key has at most. A text goes once to each block of hubs that it has edges to, not once an edge."""
     blocks = edges.withColumn("block", F.pmod(F.xxhash64("hub"), F.lit(-(-hubs // BLOCK))).cast("int"))
     pairs = blocks.groupBy("key", "block", "digest").agg(F.collect_list("hub").alias("hubs"))
@@ -193,20 +275,29 @@ def near_copies(nodes: DataFrame, base: DataFrame) -> DataFrame:
     """(digest) of the sets that go. nodes: (digest, keys, sketch), one row a digest; base: (digest, text)."""
     spark = base.sparkSession
     rest = nodes.select(F.explode("keys").alias("key"), "digest", "sketch")
-    gone, tables, hubs = spark.createDataFrame([], "digest long"), [], 1
+    gone, tables, hubs, by, compare = spark.createDataFrame([], "digest long"), [], 1, ["key", "digest"], compare_hubs
     while True:
-        dealt = rest.repartition(F.col("key")).sortWithinPartitions("key", "digest")
-        found = materialize(map_arrow(dealt, compare_hubs(hubs), "key long, digest long, hub long, sketch binary"), "candidates")
+        kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rest.schema).replace("digest bigint", "digest bigint, hub bigint")
+        dealt = rest.repartition(F.col("key")).sortWithinPartitions(*by)
+        found = materialize(map_arrow(dealt, compare(hubs), kinds), "candidates")
         edges = materialize(found.where("hub IS NOT NULL").groupBy("digest", "hub").agg(F.min("key").alias("key")), "edges")
         named = materialize(edges.select("digest").union(edges.select("hub")).distinct(), "named")
         texts = materialize(base.select("digest", "text").join(bounded(named), "digest", "left_semi").dropDuplicates(["digest"]), "texts")
         lost = proven(edges, texts, hubs)
         tables += [found, edges, named, texts, lost]
         gone = gone.union(lost)
-        rest = found.where("hub IS NULL").select("key", "digest", "sketch").join(bounded(lost), "digest", "left_anti").select("key", "digest", "sketch")  # the join puts digest first
-        if not rest.groupBy("key").count().where("count > 1").limit(1).count():
-            break
+        rest = found.where("hub IS NULL").drop("hub").join(bounded(lost), "digest", "left_anti").select(*rest.columns)  # the join puts digest first
+        late = F.col("late") if compare is compare_rarest else F.lit(False)
+        crowded = rest.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.every(late).alias("late")).where("n > 1 AND NOT late")
+        if compare is compare_hubs and hubs == LAST:
+            left = materialize(rest.join(crowded.select("key"), "key", "left_semi").select("digest", "sketch").distinct(), "left")
+            rest = rarest(left, base)
+            tables += [left, rest]
+            by, compare = ["key", "late", "digest"], compare_rarest
+            crowded = rest.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.every("late").alias("late")).where("n > 1 AND NOT late")
         hubs = 4 * hubs
+        if not crowded.limit(1).count():
+            break
     out = materialize(gone.distinct(), "gone")
     for t in tables:
         discard(t)

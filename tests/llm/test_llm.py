@@ -715,6 +715,50 @@ def test_near_copies_travel_once_a_block(spark, monkeypatch):
     assert sum(moved) < n * n / 2 / 8
 
 
+def test_texts_with_a_common_part_make_no_pairs(spark, monkeypatch):
+    """A bucket of texts alike at 0.55 to 0.75, and some that are alike beyond 0.8: candidates stay few, all that is alike is found."""
+    rng = random.Random(5)
+    texts = {k: " ".join([f"c{i}" for i in range(100)] + [f"w{k}x{i}" for i in range(rng.randrange(15, 40))]) for k in range(300)}
+    for k in range(300, 330):  # alike to one of those, and some to each other
+        of = rng.randrange(140, 160)
+        texts[k] = " ".join([texts[of], *(f"v{k}x{i}" for i in range(rng.randrange(1, 12)))])
+    made, plain = [], copies.materialize
+    monkeypatch.setattr(copies, "materialize", lambda df, name, parts=None: (out := plain(df, name, parts), made.append(out.count()) if name == "candidates" else None)[0])
+    nodes = spark.createDataFrame([(k, [5], bytes(copies.SKETCH)) for k in texts], "digest long, keys array<long>, sketch binary")
+    gone = {r["digest"] for r in copies.near_copies(nodes, spark.createDataFrame(list(texts.items()), "digest long, text string")).collect()}
+    sets = {k: five_words(t) for k, t in texts.items()}
+    pairs = [(a, b) for a in sets for b in sets if a < b and alike(sets[a], sets[b])]
+    assert not any({a, b}.isdisjoint(gone) for a, b in pairs) and gone <= {b for _, b in pairs} and len(gone) >= 20
+    assert sum(made) < 6000  # pairs: over 50,000
+
+
+def test_rarest_shingles_lose_no_pair(spark):
+    """Sets of every size and likeness, their rarest shingles streamed in batches: each alike pair is a candidate, whatever the rounds."""
+    rng = random.Random(8)
+    pool = [f"p{i}" for i in range(400)]
+    texts = {}
+    for k in range(150):
+        w = texts[rng.randrange(k)].split() if k > 5 and rng.random() < 0.8 else rng.choices(pool, k=rng.randrange(5, 120))
+        for _ in range(rng.randrange(0, 3)):
+            w[rng.randrange(len(w))] = rng.choice(pool)
+        texts[k] = " ".join(w + rng.choices(pool, k=rng.randrange(0, 4)))
+    sets = {k: five_words(t) for k, t in texts.items()}
+    want = {(a, b) for a in sets for b in sets if a < b and alike(sets[a], sets[b])}
+    left = copies.materialize(spark.createDataFrame([(k, bytes(copies.SKETCH)) for k in texts], "digest long, sketch binary"), "left")
+    rows = [tuple(r) for r in copies.rarest(left, spark.createDataFrame(list(texts.items()), "digest long, text string")).collect()]
+    found, hubs, names = set(), 1, ["key", "late", "digest", "sketch", "size", "at"]
+    kinds = pa.schema([("key", pa.int64()), ("late", pa.bool_()), ("digest", pa.int64()), ("sketch", pa.binary()), ("size", pa.int64()), ("at", pa.int64())])
+    while rows:
+        rows.sort(key=lambda r: r[:3])
+        cuts = sorted(rng.randrange(len(rows) + 1) for _ in range(7))
+        batches = [pa.RecordBatch.from_pylist([dict(zip(names, r, strict=True)) for r in rows[a:b]], kinds) for a, b in zip([0, *cuts], [*cuts, len(rows)], strict=True)]
+        out = pa.Table.from_batches(list(copies.compare_rarest(hubs)(iter(batches)))).to_pylist()
+        found |= {tuple(sorted((r["digest"], r["hub"]))) for r in out if r["hub"] is not None}
+        rows = [tuple(r[n] for n in names) for r in out if r["hub"] is None]
+        hubs *= 4
+    assert want <= found and len(want) > 50
+
+
 def test_hubs_beyond_memory_are_read_from_a_file():
     held = copies.Held(100)
     sets = {k: np.arange(k, k + 10, dtype=np.uint64) for k in range(5)}
