@@ -649,6 +649,19 @@ def test_pages_cost_one_sort(spark):
     assert paging.numbered(df.limit(0), ["k"], 10).count() == 0 and not list(paging.pages(df.limit(0), ["k"], 10))
 
 
+def test_page_reader_reads_the_whole_table(spark, tmp_path):
+    """Pages hold every order: of any customer, of none, without a price, and with equal prices."""
+    rows = [(k, None if k % 5 == 0 else k, None if k % 7 == 0 else float(k % 3)) for k in range(1, 1002)]
+    orders = "o_orderkey long, o_custkey long, o_totalprice double"
+    spark.createDataFrame([(k,) for k in range(1, 1002)], "c_custkey long").write.parquet(f"{tmp_path}/customer.parquet")
+    spark.createDataFrame(rows, orders).write.parquet(f"{tmp_path}/orders.parquet")
+    assert queries.QUERIES["page_reader"](spark, str(tmp_path)).first() == (1001, 3, 501501)
+    none = tmp_path / "none"
+    spark.createDataFrame([], "c_custkey long").write.parquet(f"{none}/customer.parquet")
+    spark.createDataFrame([], orders).write.parquet(f"{none}/orders.parquet")
+    assert queries.QUERIES["page_reader"](spark, str(none)).first() == (0, 0, None)
+
+
 def test_nested_values(spark):
     df = spark.sql("SELECT named_struct('Name', 'n', 'list', array(named_struct('X', 1), NULL)) AS Item, map('Key', 5, 'other', 6) AS m, NULL AS none, 1 AS dup, '{\"a\": {\"b c\": [1, {\"d\": 2}]}}' AS j")
     at = lambda p: df.select(nested.value_at(df, p).alias("v")).first()["v"]
